@@ -35,7 +35,7 @@ def distinct_counts(
     first += [F.sum(c).alias(f"__s_{n}") for n, c in sums.items()]
     for n, c in avgs.items():
         first += [F.sum(c).alias(f"__as_{n}"), F.count(c).alias(f"__ac_{n}")]
-    second = [F.sum(f"__f_{n}").cast("bigint").alias(n) for n in flags]
+    second = [F.coalesce(F.sum(f"__f_{n}"), F.lit(0)).cast("bigint").alias(n) for n in flags]
     second += [F.sum(f"__s_{n}").alias(n) for n in sums]
     second += [safe_ratio(F.sum(f"__as_{n}"), F.sum(f"__ac_{n}")).alias(n) for n in avgs]
     return df.groupBy(*keys, row_id).agg(*first).groupBy(*keys).agg(*second)

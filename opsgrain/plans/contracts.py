@@ -1,9 +1,11 @@
 """Schemas of the published fact tables."""
 
+from pyspark.sql.types import DecimalType
+
 from ..sources.tables import schema
 
-_NUMBER = "decimal(38,0)"
-_WHOLE = "decimal(30,0)"
+_NUMBER = DecimalType(38, 0)
+_WHOLE = DecimalType(30, 0)
 _TS = "timestamp_ntz"
 
 HOURLY_QUEUE = schema(

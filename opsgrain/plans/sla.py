@@ -142,7 +142,7 @@ def _messaging_handled(touches: DataFrame, keys: Sequence[str], row_id: str = "t
         sums={
             "response_time_min": response,
             "handle_time_min": handle,
-            "touch_lifetime_min": datediff_boundary("minute", "touch_assignment_time", "touch_end_time"),
+            "touch_lifetime_min": datediff_boundary("minute", "touch_assignment_time", "touch_end_time").cast("double"),
         },
         avgs={"avg_response_time_min": response, "avg_handle_time_min": handle} if avgs else None,
     )
@@ -508,7 +508,7 @@ def _unified_handled(df: DataFrame, keys: Sequence[str], flags: Mapping[str, Col
         sums={
             "response_time_min": F.when(in_hours, F.col("response_time") / 60),
             "handle_time_min": F.col("handle_time") / 60,
-            "touch_lifetime_min": datediff_boundary("minute", "touch_assignment_time", "touch_end_time"),
+            "touch_lifetime_min": datediff_boundary("minute", "touch_assignment_time", "touch_end_time").cast("double"),
         },
     )
     return out.withColumn("concurrency", concurrency("touch_lifetime_min", "handle_time_min"))

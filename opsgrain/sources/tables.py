@@ -54,11 +54,14 @@ def describe(df: DataFrame) -> list[tuple[str, str, str | None]]:
     return [(f.name, f.dataType.simpleString(), f.metadata.get("comment")) for f in df.schema.fields]
 
 
-def schema(*fields: tuple[str, str, str]) -> T.StructType:
-    """Contract from (name, type, comment)."""
+_KINDS = {k.typeName(): k() for k in (T.StringType, T.DateType, T.DoubleType, T.BooleanType, T.TimestampNTZType, T.LongType)}
+
+
+def schema(*fields: tuple[str, str | T.DataType, str]) -> T.StructType:
+    """Contract from (name, type or simple type name, comment)."""
     out = T.StructType()
     for name, kind, comment in fields:
-        out = out.add(T.StructField(name, T.DataType.fromDDL(kind), True, {"comment": comment}))
+        out = out.add(T.StructField(name, _KINDS[kind] if isinstance(kind, str) else kind, True, {"comment": comment}))
     return out
 
 
