@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dialect import add, array_slice0, datediff_boundary
 from .metrics import with_totals
-from .ordered import ordered, time_chunk
+from .ordered import asof_lookup, ordered, time_chunk
 
 
 def compact_changes(df: DataFrame, key: str, ts: str, value: str, tie: Sequence[str] = (), chunk: str = "month") -> DataFrame:
@@ -163,14 +163,17 @@ def event_duration(
     )
 
 
-def pair_events(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str, right_ts: str) -> DataFrame:
-    """All (start, end) rows sharing the keys, with the seconds between.
+def pair_events(
+    starts: DataFrame, ends: DataFrame, keys: Sequence[str], start_ts: str, end_ts: str, cols: Mapping[str, str], tie: Sequence[str] = ()
+) -> DataFrame:
+    """Each start with the next end of the same key at or after it, and the seconds between.
 
-    The relational definition: n starts and m ends of a key give n*m rows, which the result
-    itself demands.  ``event_duration`` is the linear form for one start and one end.
+    Starts without an end are left out.  Linear in the rows of a key; with one start and one
+    end per key this is the plain self join on the key.
     """
-    joined = left.join(right, list(keys), "inner")
-    return joined.withColumn("duration_seconds", datediff_boundary("second", left_ts, right_ts))
+    out = asof_lookup(starts, ends, keys, start_ts, end_ts, {**cols, "__end": end_ts}, tie=tie, direction="forward")
+    out = out.filter(F.col("__end").isNotNull())
+    return out.withColumn("duration_seconds", datediff_boundary("second", start_ts, "__end")).drop("__end")
 
 
 def pick_row(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:

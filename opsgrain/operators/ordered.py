@@ -195,7 +195,7 @@ def asof_lookup(
         F.floor(F.col("__at") / step),
         **({"last_seen": seen} if backward else {"next_seen": seen}),
     ).filter(F.col("__rank") == 1)
-    filled = filled.unionByName(lefts.filter(F.not_(F.coalesce(usable, F.lit(False)))), allowMissingColumns=True)
+    filled = filled.unionByName(lefts.filter(~F.coalesce(usable, F.lit(False))), allowMissingColumns=True)
     found = F.col("__hit")
     if within_seconds is not None:
         gap = epoch_micros(found["__ts"]) - F.col("__at")

@@ -26,6 +26,7 @@ def register(name: str, sql: str | None = None):
             return text_times(fn(spark, sf_dir))
 
         run.__name__ = name
+        run.__module__ = fn.__module__
         QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
@@ -38,6 +39,10 @@ class _Spark:
     text = "string"
     k = "cast(get_json_object(props, '$.k') as int)"
 
+    @staticmethod
+    def stamp(day: str) -> str:
+        return f"cast('{day}' as timestamp_ntz)"
+
     @staticmethod
     def plus(ts: str, seconds: str) -> str:
         return f"timestampadd(SECOND, cast({seconds} as int), {ts})"
@@ -47,6 +52,10 @@ class _Duck:
     text = "varchar"
     k = "cast(json_extract(props, '$.k') as int)"
 
+    @staticmethod
+    def stamp(day: str) -> str:
+        return f"cast('{day}' as timestamp)"
+
     @staticmethod
     def plus(ts: str, seconds: str) -> str:
         return f"({ts} + to_seconds(cast({seconds} as int)))"

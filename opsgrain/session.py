@@ -36,6 +36,7 @@ def local_session(cores: int | str = 8, app: str = "opsgrain", memory: str = "8g
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(cores))
+        .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.ui.showConsoleProgress", "false")
     )

@@ -61,7 +61,8 @@ def main(argv: list[str]) -> int:
     from opsgrain.session import local_session
 
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
-    names = argv[1:] or sorted(QUERIES)
+    names = [n for a in argv[1:] for n in ([a] if a[0] != "@" else [q for q in QUERIES if QUERIES[q].__module__.endswith("." + a[1:])])]
+    names = names or sorted(QUERIES)
     spark = local_session(8)
     con = connect(sf_dir)
     failed = 0
