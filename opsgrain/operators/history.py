@@ -52,25 +52,23 @@ def to_intervals(
     return out.withColumn(end, add("second", -gap_seconds, "__next")).drop("__next")
 
 
-def path_columns(df: DataFrame, key: str, seq: str, value: str, sep: str = ", ", max_steps: int = 20_000) -> DataFrame:
+def path_columns(
+    df: DataFrame, key: str, seq: str, value: str, sep: str = ", ", max_steps: int = 20_000, steps: DataFrame | None = None
+) -> DataFrame:
     """all_path, prior_path and later_path as text; NULL where prior or later is empty.
 
     The path is part of every result row, so it must fit into a row.  A key with more than
     ``max_steps`` steps fails loudly instead of being cut; use ``path_steps`` for those.
+    ``steps`` may name a cheaper frame with the same key, seq and value (1, 2, ... per key).
     """
-    steps = df.select(key, F.struct(F.col(seq).alias("s"), F.col(value).alias("v")).alias("__step"))
-    sizes = steps.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    # the position itself tells an overlong path before anything is collected
+    too_long = F.raise_error(F.lit("path longer than max_steps; use path_steps")).cast(df.schema[seq].dataType)
+    step = F.struct(F.when(F.col(seq) > max_steps, too_long).otherwise(F.col(seq)).alias("s"), F.col(value).alias("v"))
     fitting = (
-        with_size(steps, sizes, key)
-        .withColumn(
-            "__step",
-            F.when(F.col("__n") <= max_steps, F.col("__step")).otherwise(
-                F.raise_error(F.lit("path longer than max_steps; use path_steps")).cast(steps.schema["__step"].dataType)
-            ),
-        )
-        .groupBy(key)
-        .agg(F.sort_array(F.collect_list("__step")).alias("__all"))
-        .select(F.col(key).alias("__k"), F.transform("__all", lambda s: s["v"]).alias("__all"))
+        (steps if steps is not None else df)
+        .groupBy(F.col(key).alias("__k"))
+        .agg(F.sort_array(F.collect_list(step)).alias("__all"))
+        .select("__k", F.transform("__all", lambda x: x["v"]).alias("__all"))
     )
     joined = df.join(fitting, F.col(key) == F.col("__k"), "left").drop("__k")
     size = F.size("__all")
@@ -85,10 +83,6 @@ def path_columns(df: DataFrame, key: str, seq: str, value: str, sep: str = ", ",
     ).drop("__all")
 
 
-def with_size(df: DataFrame, sizes: DataFrame, key: str) -> DataFrame:
-    return df.join(sizes, key, "left")
-
-
 def path_steps(df: DataFrame, key: str, seq: str, value: str) -> DataFrame:
     """The path as rows (key, step, value, is_last): no limit on its length."""
     last = with_totals(df.select(key, seq, value), [key], {"__last": F.max(seq)})

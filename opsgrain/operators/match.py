@@ -24,26 +24,27 @@ def nearest_related(
     here = F.struct(F.col(ts).alias("ts"), F.col(tag).alias("tag"))
     span = time_chunk(ts, chunk)
     order = [ts, row_id]
+    tagged = F.col(tag).isNotNull()
     if relation == "any":
         near = ordered(df, [key], order, span, lag={"__p": here}, lead={"__n": here})
+        tagged = F.lit(True)
     elif relation == "same":
-        tagged = df.filter(F.col(tag).isNotNull())
-        near = ordered(tagged, [key, tag], order, span, lag={"__p": here}, lead={"__n": here})
-        near = _with_untagged(near, df, tag)
+        near = ordered(df, [key, tag], order, span, lag={"__p": here}, lead={"__n": here})
     elif relation == "different":
-        tagged = df.filter(F.col(tag).isNotNull())
-        runs = ordered(tagged, [key], order, span, lag={"__pl": here}, lead={"__nl": here})
+        # untagged rows are kept out of the sequence by a partition of their own
+        apart = df.withColumn("__untagged", F.col(tag).isNull())
+        runs = ordered(apart, [key, "__untagged"], order, span, lag={"__pl": here}, lead={"__nl": here})
         # where the tag changes, the neighbour is the nearest row with another tag; inside a
         # run of one tag the value of the run's border row holds
         start = F.when(F.col("__pl")["tag"] != F.col(tag), F.col("__pl"))
         stop = F.when(F.col("__nl")["tag"] != F.col(tag), F.col("__nl"))
-        runs = runs.withColumns({"__ps": start, "__ns": stop})
         near = ordered(
-            runs, [key], order, time_chunk(ts, chunk), last_seen={"__p": F.col("__ps")}, next_seen={"__n": F.col("__ns")}
-        ).drop("__pl", "__nl", "__ps", "__ns")
-        near = _with_untagged(near, df, tag)
+            runs.select(*apart.columns, start.alias("__ps"), stop.alias("__ns")), [key, "__untagged"], order, span,
+            last_seen={"__p": F.col("__ps")}, next_seen={"__n": F.col("__ns")},
+        ).drop("__ps", "__ns", "__untagged")
     else:
         raise ValueError(relation)
+    near = near.withColumns({"__p": F.when(tagged, F.col("__p")), "__n": F.when(tagged, F.col("__n"))})
 
     back = datediff_boundary("day", F.col(ts), F.col("__p")["ts"])
     ahead = datediff_boundary("day", F.col(ts), F.col("__n")["ts"])
@@ -59,10 +60,6 @@ def nearest_related(
     ).drop("__p", "__n", "__pick")
 
 
-def _with_untagged(near: DataFrame, df: DataFrame, tag: str) -> DataFrame:
-    return near.unionByName(df.filter(F.col(tag).isNull()), allowMissingColumns=True)
-
-
 def first_contact_resolution(days: str | Column, limits: Sequence[int] = (7, 14, 28), missing: int = 100) -> dict[str, Column]:
     """``fcr_<n>_day`` flags: no repeat within n days either way (no repeat counts as far away)."""
     gap = F.abs(F.coalesce(F.col(days) if isinstance(days, str) else days, F.lit(missing)))

@@ -16,6 +16,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.dialect import epoch
 
@@ -30,6 +31,32 @@ def time_chunk(ts: str | Column, step: str = "day") -> Column:
     return F.floor(epoch(ts) / _STEP[step])
 
 
+def _sortable(df: DataFrame, taken: Sequence[str]) -> list[str]:
+    """Remaining columns that can be sorted on."""
+    return [f.name for f in df.schema.fields if f.name not in taken and "map<" not in f.dataType.simpleString()
+            and "variant" not in f.dataType.simpleString()]
+
+
+def _plain_value(dtype: T.DataType) -> Column:
+    """Some non-NULL value of a type."""
+    if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.lit("1970-01-01").cast(dtype)
+    return F.lit("0").cast(dtype)
+
+
+def _never_null(df: DataFrame, keys: Sequence[str]) -> dict[str, Column]:
+    """The keys as columns that cannot be NULL, and a flag for rows that had one.
+
+    Joins on nullable keys make Spark filter NULLs on one branch only, which would end the
+    sharing of the shuffle; and NULL keys would lose their carried values.
+    """
+    if not keys:
+        return {}
+    out = {f"__k_{k}": F.coalesce(F.col(k), _plain_value(df.schema[k].dataType)) for k in keys}
+    out["__k_null"] = F.concat(*[F.when(F.col(k).isNull(), "1").otherwise("0") for k in keys])
+    return out
+
+
 def ordered(
     df: DataFrame,
     keys: Sequence[str],
@@ -48,65 +75,82 @@ def ordered(
     ``chunk`` must not fall when the order rises; ``order`` should be total.
     ``lag``/``lead`` take the value of the neighbouring row, ``last_seen``/``next_seen`` the
     nearest non-NULL value up to / from the current row, ``running`` the sum up to and
-    including the current row, ``number`` the row number.  Keys must not be NULL.
+    including the current row, ``number`` the row number.  NULL is a key like any other.
+    Filter on a key before the call: a filter on the result does not reach the scan.
+
+    The rows are read by two branches, the windows and the chunk summary.  Both sort by all
+    columns (the ones behind ``order`` only break ties, which also makes a re-run task give
+    the same rows), so both need the same shuffle of the same columns, and Spark runs it and
+    everything below it once (ReusedExchange).  Chains of these calls therefore grow
+    linearly.
     """
     lag, lead = dict(lag or {}), dict(lead or {})
     last_seen, next_seen, running = dict(last_seen or {}), dict(next_seen or {}), dict(running or {})
-    base = df.withColumn(_CHUNK, F.coalesce(chunk.cast("bigint"), F.lit(_BEFORE_ALL)))
-
-    asc = [F.col(c).asc_nulls_first() for c in order]
-    desc = [F.col(c).desc_nulls_last() for c in order]
-    part = Window.partitionBy(*keys, _CHUNK).orderBy(*asc)
-    upto = part.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    down_to = Window.partitionBy(*keys, _CHUNK).orderBy(*desc).rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
     def pack(cols: Mapping[str, Column]) -> Column:
         return F.struct(*[c.alias(n) for n, c in cols.items()])
 
-    rank = F.struct(*[F.col(c) for c in order])
+    # every window argument becomes a plain column below the shuffle
+    safe = _never_null(df, keys)
+    args = {**safe, _CHUNK: F.coalesce(chunk.cast("bigint"), F.lit(_BEFORE_ALL))}
+    if lag:
+        args["__v_lag"] = pack(lag)
+    if lead:
+        args["__v_lead"] = pack(lead)
+    for kind, cols in (("seen", last_seen), ("next", next_seen), ("run", running)):
+        args.update({f"__v_{kind}_{n}": c for n, c in cols.items()})
+    base = df.withColumns(args)
+
+    group = [*safe, _CHUNK]
+    sort = [*order, *_sortable(base, [*group, *order])]
+    part = Window.partitionBy(*group).orderBy(*[F.col(c).asc_nulls_first() for c in sort])
+    upto = part.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    down = Window.partitionBy(*group).orderBy(*[F.col(c).desc_nulls_last() for c in sort])
+    down_to = down.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
-    # inside the chunk ----------------------------------------------------------------
-    inner: dict[str, Column] = {}
-    edge = [F.lit(1).alias("__one")]
+    # inside the chunk, and one summary row per (key, chunk) ------------------------------
+    place = F.col("__num")
+    inner: dict[str, Column] = {"__num": F.row_number().over(part)}
+    edge: list[Column] = []
     if lag:
-        inner["__lag"] = F.lag(pack(lag)).over(part)
-        edge.append(F.max_by(pack(lag), rank).alias("__e_last"))
+        inner["__lag"] = F.lag("__v_lag").over(part)
+        edge.append(F.max_by("__v_lag", place).alias("__e_last"))
     if lead:
-        inner["__lead"] = F.lead(pack(lead)).over(part)
-        edge.append(F.min_by(pack(lead), rank).alias("__e_first"))
-    for name, value in last_seen.items():
-        inner[f"__seen_{name}"] = F.last(value, ignorenulls=True).over(upto)
-        edge.append(F.max_by(value, F.when(value.isNotNull(), rank)).alias(f"__e_seen_{name}"))
-    for name, value in next_seen.items():
-        inner[f"__next_{name}"] = F.last(value, ignorenulls=True).over(down_to)
-        edge.append(F.min_by(value, F.when(value.isNotNull(), rank)).alias(f"__e_next_{name}"))
-    for name, value in running.items():
-        inner[f"__run_{name}"] = F.sum(value).over(upto)
-        edge.append(F.sum(value).alias(f"__e_run_{name}"))
-    if number:
-        inner["__num"] = F.row_number().over(part)
-        edge.append(F.count(F.lit(1)).alias("__e_num"))
+        inner["__lead"] = F.lead("__v_lead").over(part)
+        edge.append(F.min_by("__v_lead", place).alias("__e_first"))
+    for n in last_seen:
+        v = F.col(f"__v_seen_{n}")
+        inner[f"__seen_{n}"] = F.last(v, ignorenulls=True).over(upto)
+        edge.append(F.max_by(v, F.when(v.isNotNull(), place)).alias(f"__e_seen_{n}"))
+    for n in next_seen:
+        v = F.col(f"__v_next_{n}")
+        inner[f"__next_{n}"] = F.last(v, ignorenulls=True).over(down_to)
+        edge.append(F.min_by(v, F.when(v.isNotNull(), place)).alias(f"__e_next_{n}"))
+    for n in running:
+        inner[f"__run_{n}"] = F.sum(f"__v_run_{n}").over(upto)
+        edge.append(F.max_by(f"__run_{n}", place).alias(f"__e_run_{n}"))
+    edge.append(F.max(place).cast("bigint").alias("__e_num"))
 
-    # across chunks: one row per (key, chunk) ------------------------------------------
-    over = Window.partitionBy(*keys).orderBy(_CHUNK)
+    # across chunks ----------------------------------------------------------------------
+    over = Window.partitionBy(*safe).orderBy(_CHUNK)
     before = over.rowsBetween(Window.unboundedPreceding, -1)
-    after = Window.partitionBy(*keys).orderBy(F.col(_CHUNK).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    carried = []
+    after = Window.partitionBy(*safe).orderBy(F.col(_CHUNK).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    carried: list[Column] = []
     if lag:
         carried.append(F.lag("__e_last").over(over).alias("__c_lag"))
     if lead:
         carried.append(F.lead("__e_first").over(over).alias("__c_lead"))
-    for name in last_seen:
-        carried.append(F.last(f"__e_seen_{name}", ignorenulls=True).over(before).alias(f"__c_seen_{name}"))
-    for name in next_seen:
-        carried.append(F.last(f"__e_next_{name}", ignorenulls=True).over(after).alias(f"__c_next_{name}"))
-    for name in running:
-        carried.append(F.sum(f"__e_run_{name}").over(before).alias(f"__c_run_{name}"))
+    for n in last_seen:
+        carried.append(F.last(f"__e_seen_{n}", ignorenulls=True).over(before).alias(f"__c_seen_{n}"))
+    for n in next_seen:
+        carried.append(F.last(f"__e_next_{n}", ignorenulls=True).over(after).alias(f"__c_next_{n}"))
+    for n in running:
+        carried.append(F.sum(f"__e_run_{n}").over(before).alias(f"__c_run_{n}"))
     if number:
         carried.append(F.sum("__e_num").over(before).alias("__c_num"))
 
-    group = [*keys, _CHUNK]
-    summary = base.groupBy(*group).agg(*edge[1:]).select(*group, *carried)
+    ends = {n: c for n, c in inner.items() if n == "__num" or n.startswith("__run_")}
+    summary = base.withColumns(ends).groupBy(*group).agg(*edge).select(*group, *carried)
     joined = base.withColumns(inner).join(summary, group, "left")
 
     # both levels together ---------------------------------------------------------------
@@ -114,15 +158,15 @@ def ordered(
     for kind, cols in (("lag", lag), ("lead", lead)):
         if cols:
             near, far = F.col(f"__{kind}"), F.col(f"__c_{kind}")
-            for name in cols:
-                out[name] = F.when(near.isNotNull(), near[name]).otherwise(far[name])
-    for name in last_seen:
-        out[name] = F.coalesce(f"__seen_{name}", f"__c_seen_{name}")
-    for name in next_seen:
-        out[name] = F.coalesce(f"__next_{name}", f"__c_next_{name}")
-    for name in running:
-        here, carry = F.col(f"__run_{name}"), F.col(f"__c_run_{name}")
-        out[name] = F.when(here.isNotNull() & carry.isNotNull(), here + carry).otherwise(F.coalesce(here, carry))
+            for n in cols:
+                out[n] = F.when(near.isNotNull(), near[n]).otherwise(far[n])
+    for n in last_seen:
+        out[n] = F.coalesce(f"__seen_{n}", f"__c_seen_{n}")
+    for n in next_seen:
+        out[n] = F.coalesce(f"__next_{n}", f"__c_next_{n}")
+    for n in running:
+        here, carry = F.col(f"__run_{n}"), F.col(f"__c_run_{n}")
+        out[n] = F.when(here.isNotNull() & carry.isNotNull(), here + carry).otherwise(F.coalesce(here, carry))
     if number:
         out[number] = F.col("__num") + F.coalesce(F.col("__c_num"), F.lit(0))
     return joined.select(*[F.col(c) for c in df.columns if c not in out], *[c.alias(n) for n, c in out.items()])
@@ -185,7 +229,7 @@ def asof_lookup(
         *[F.col(t).alias(c) for t, c in zip(tie, tie_cols)],
         hit.alias("__hit"),
     )
-    stacked = lefts.filter(usable).unionByName(rights)
+    stacked = lefts.unionByName(rights)
     step = _STEP[chunk] * 1_000_000
     seen = {"__hit": F.col("__hit")}
     filled = ordered(
@@ -195,12 +239,11 @@ def asof_lookup(
         F.floor(F.col("__at") / step),
         **({"last_seen": seen} if backward else {"next_seen": seen}),
     ).filter(F.col("__rank") == 1)
-    filled = filled.unionByName(lefts.filter(~F.coalesce(usable, F.lit(False))), allowMissingColumns=True)
-    found = F.col("__hit")
+    found = F.when(usable, F.col("__hit"))
     if within_seconds is not None:
-        gap = epoch_micros(found["__ts"]) - F.col("__at")
+        gap = epoch_micros(F.col("__hit")["__ts"]) - F.col("__at")
         gap = -gap if backward else gap
-        found = F.when(gap <= F.lit(within_seconds * 1_000_000), found)
+        found = F.when(usable & (gap <= F.lit(within_seconds * 1_000_000)), F.col("__hit"))
     return filled.select(*left.columns, *[found[out].alias(out) for out in cols])
 
 

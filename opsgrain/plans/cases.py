@@ -150,11 +150,13 @@ def case_queue_transfers(
             "user_name": F.when(F.col("user_name") == bot_name, bot_display).otherwise(F.col("user_name")),
         }
     )
-    q = with_totals(q, ["case_id", "queue_name"], {"__first_visit": F.min("queue_number")})
-    q = q.withColumn("first_time_in_queue", (F.col("queue_number") == F.col("__first_visit")).cast("int"))
+    q = ordered(
+        q, ["case_id", "queue_name"], ["queue_start_time", "queue_number"], time_chunk("queue_start_time", "month"), number="__visit"
+    )
+    q = q.withColumn("first_time_in_queue", (F.col("__visit") == 1).cast("int"))
     cols = [f.name for f in CASE_TRANSFERS.fields]
     if paths:
-        q = path_columns(q, "case_id", "queue_number", "queue_name").withColumnsRenamed(
+        q = path_columns(q, "case_id", "queue_number", "queue_name", steps=queues).withColumnsRenamed(
             {"all_path": "all_queues", "prior_path": "prior_queues", "later_path": "later_queues"}
         )
     else:

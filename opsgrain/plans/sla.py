@@ -18,7 +18,7 @@ from ..functions.dialect import (
     safe_ratio,
     trunc,
 )
-from ..operators.calendar import calendar_spine
+from ..operators.calendar import calendar_spine, on_spine
 from ..operators.classify import case, union_distinct
 from ..operators.joins import asof_dim, exclude, fold_join
 from ..operators.metrics import backlog_flag, concurrency, distinct_counts, entering_handled, threshold_alerts
@@ -60,8 +60,12 @@ def _within(df: DataFrame, ts: Column, start, stop, unit: str) -> DataFrame:
     return df.withColumn("ts", trunc(unit, ts)).filter((F.col("ts") >= lo) & (F.col("ts") < hi))
 
 
-def _with_queue(touches: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Add the queue attributes and keep the counted business units."""
+def _counted() -> Column:
+    return null_as_other("business_unit_name").isin(*UNITS)
+
+
+def _with_queue(touches: DataFrame, catalog: DataFrame, keep_all: bool = False) -> DataFrame:
+    """Add the queue attributes and keep the counted business units (or leave that for later)."""
     cat = catalog.select(
         F.col("queue_name").alias("__qn"),
         F.col("queue_id").cast("string").alias("queue_id"),
@@ -71,18 +75,17 @@ def _with_queue(touches: DataFrame, catalog: DataFrame) -> DataFrame:
     )
     slim = touches.drop("queue_id", "channel", "business_unit_name", "team_name")
     joined = fold_join(slim, cat, "queue_name", "__qn")
-    return joined.filter(null_as_other("business_unit_name").isin(*UNITS))
+    return joined if keep_all else joined.filter(_counted())
 
 
-def _empty_hours(spine: DataFrame, seen: DataFrame, like: DataFrame, zeros: Sequence[str]) -> DataFrame:
-    """Calendar rows without any source row, counts 0 and the rest NULL."""
-    gaps = spine.select(F.col("interval_start").alias("ts")).join(seen.select("ts").distinct(), "ts", "left_anti")
-    return gaps.select(
-        *[
-            F.col("ts") if f.name == "ts" else (F.lit(0) if f.name in zeros else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in like.schema.fields
-        ]
-    )
+def _on_calendar(spine: DataFrame, facts: DataFrame, zeros: Sequence[str]) -> DataFrame:
+    """Calendar LEFT JOIN aggregate, then the business-unit filter.
+
+    An interval without any touch keeps one row of NULLs with zero counts; an interval that
+    only holds touches of other units disappears.
+    """
+    joined = on_spine(spine.select("interval_start"), facts, "ts", list(zeros)).filter(_counted())
+    return joined.withColumnRenamed("interval_start", "ts")
 
 
 def _chats(t: Tables, types: Sequence[ChatType]) -> DataFrame:
@@ -170,11 +173,9 @@ def hourly_queue_sla(
     came = _within(t["messaging_touches"], convert_tz("touch_start_time", tz, UTC), start, stop, "hour")
     done = _within(t["messaging_touches"], convert_tz("touch_assignment_time", tz, UTC), start, stop, "hour")
     entering = distinct_counts(
-        _with_queue(came, t["queue_catalog"]), ["ts", *_QUEUE], "touch_start_id", {"entering_touches": None}
+        _with_queue(came, t["queue_catalog"], keep_all=True), ["ts", *_QUEUE], "touch_start_id", {"entering_touches": None}
     )
-    entering = entering.unionByName(_empty_hours(spine, came, entering, ["entering_touches"]))
-    # an hour can be empty and also hold touches of an unknown queue only once: both give the
-    # all-NULL queue, and the anti join above keeps them apart
+    entering = _on_calendar(spine, entering, ["entering_touches"])
     handled = _messaging_handled(_with_queue(done, t["queue_catalog"]), ["ts", "queue_id"])
     messaging = entering_handled(entering, handled, ["ts", "queue_id"])
 
@@ -216,10 +217,9 @@ def hourly_advocate_sla(
     at = convert_tz("touch_assignment_time", tz, UTC)
     done = _within(t["messaging_touches"], at, start, stop, "hour")
     keys = ["ts", *_PERSON, *_QUEUE]
-    people = _person(_with_queue(done, t["queue_catalog"]), t["employees"], "employee_id", at, by_date)
-    messaging = _messaging_handled(people, keys)
+    people = _person(_with_queue(done, t["queue_catalog"], keep_all=True), t["employees"], "employee_id", at, by_date)
     zeros = ["handled_touches", "handled_backlog_touches", "touches_in_sla", "qualified_sla_touches"]
-    messaging = messaging.unionByName(_empty_hours(spine, done, messaging, zeros))
+    messaging = _on_calendar(spine, _messaging_handled(people, keys), zeros)
 
     chat_at = convert_tz("chat_start_time", tz, UTC)
     chats = _within(_chats(t, chat_types), chat_at, start, stop, "hour")
@@ -288,8 +288,10 @@ def daily_advocate_sla(
     came = _within(t["messaging_touches"], convert_tz("touch_start_time", tz, UTC), start, stop, "day")
     at = convert_tz("touch_assignment_time", tz, UTC)
     done = _within(t["messaging_touches"], at, start, stop, "day")
-    entering = distinct_counts(_with_queue(came, t["queue_catalog"]), ["ts", *team], "touch_start_id", {"entering_touches": None})
-    entering = entering.unionByName(_empty_hours(spine, came, entering, ["entering_touches"]))
+    entering = distinct_counts(
+        _with_queue(came, t["queue_catalog"], keep_all=True), ["ts", *team], "touch_start_id", {"entering_touches": None}
+    )
+    entering = _on_calendar(spine, entering, ["entering_touches"])
     who = ["employee_id", "advocate_name", "advocate_city"]
     people = _person(_with_queue(done, t["queue_catalog"]), t["employees"], "employee_id", at, True)
     handled = _messaging_handled(people, ["ts", *who, *team], avgs=True)
@@ -467,8 +469,8 @@ def voice_sla_hourly(t: Tables, start, stop, *, escalation_queues: Sequence[str]
     calls = _within(t["call_records"], convert_tz("call_start_time", tz, UTC), start, stop, "hour")
     vertical = F.when(F.col("queue_name").isin(*escalation_queues), "ERET").otherwise("CORE CS")
     rows = _voice(calls.withColumn("vertical", vertical), ["ts", "vertical"])
-    gaps = _empty_hours(spine, calls, rows, _VOICE_COUNTS).withColumn("vertical", F.lit("CORE CS"))
-    return rows.unionByName(gaps).withColumn("channel", F.lit("Voice"))
+    out = on_spine(spine.select("interval_start"), rows, "ts", _VOICE_COUNTS).fillna("CORE CS", subset=["vertical"])
+    return out.withColumnRenamed("interval_start", "ts").withColumn("channel", F.lit("Voice"))
 
 
 def voice_sla_total(t: Tables, start, stop, *, tz: str = PACIFIC) -> DataFrame:
