@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .metrics import with_totals
 from .ordered import ordered
 
 
@@ -18,8 +19,8 @@ def exact_percentiles(
     The built-in aggregate keeps all distinct values of a group in one buffer.  Here the
     values first collapse to (group, value, count), the value range of a group is cut into
     slices, counts are cumulated per slice, and only the values around the wanted ranks are
-    kept.  ``keys`` must not be NULL; NULL values are skipped.  ``points`` maps output names
-    to fractions.
+    kept.  NULL values are skipped, NULL is a group like any other.  ``points`` maps output
+    names to fractions.
     """
     group = list(keys) or ["__all"]
     base = df if keys else df.withColumn("__all", F.lit(0))
@@ -28,10 +29,9 @@ def exact_percentiles(
         .groupBy(*group, F.col(value).cast("double").alias("__v"))
         .agg(F.count(F.lit(1)).alias("__c"))
     )
-    ends = counts.groupBy(*group).agg(
-        F.min("__v").alias("__lo"), F.max("__v").alias("__hi"), F.sum("__c").alias("__n")
+    cut = with_totals(
+        counts, group, {"__lo": F.min("__v"), "__hi": F.max("__v"), "__n": F.sum("__c")}
     )
-    cut = counts.join(ends, group)
     width = F.nullif((F.col("__hi") - F.col("__lo")) / slices, F.lit(0.0))
     piece = F.coalesce(F.floor((F.col("__v") - F.col("__lo")) / width), F.lit(0))
     ranked = ordered(cut, group, ["__v"], piece, running={"__upto": F.col("__c")})

@@ -183,9 +183,13 @@ def complaints_sot(
 # -- model metrics ------------------------------------------------------------------------------
 
 
+def _reviewed(t: Tables) -> DataFrame:
+    return t["support_cases"].join(t["model_comparison"].select("case_id", "has_complaint_reviewed", "has_complaint_model"), "case_id")
+
+
 def model_metrics_monthly(t: Tables, *, min_reviewed: int = 1000, chat: str = "Chat", tz: str = PACIFIC) -> DataFrame:
     """Month rows with enough reviews: observed and model-based complaint rates."""
-    base = t["support_cases"].join(t["model_comparison"], "case_id").withColumn(
+    base = _reviewed(t).withColumn(
         "month", trunc_date("month", convert_tz("case_creation_date_time", UTC, tz))
     )
     truth, pred = F.col("has_complaint_reviewed"), F.col("has_complaint_model")
@@ -211,7 +215,7 @@ def model_metrics_monthly(t: Tables, *, min_reviewed: int = 1000, chat: str = "C
 
 
 def flag_counts(t: Tables, chat: str = "Chat") -> DataFrame:
-    base = t["support_cases"].join(t["model_comparison"], "case_id")
+    base = _reviewed(t)
     flagged = (F.col("is_flagged_by_advocate") | F.col("is_flagged_by_model")) & (F.col("origin") == chat)
     return base.agg(
         F.count(F.when(flagged, F.col("case_id"))).alias("flagged_by_advocate"),
