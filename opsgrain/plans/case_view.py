@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -89,13 +91,15 @@ ORIGIN_ORDER = {
 }
 
 
-def origin_label() -> Column:
-    return case([(c("origin").isin(*names), label) for label, names in ORIGIN_ORDER.items()])
+def origin_label(more: Mapping[str, Sequence[str]] | None = None) -> Column:
+    """Label of the origin; ``more`` adds labels behind the fixed ones."""
+    return case([(c("origin").isin(*names), label) for label, names in {**ORIGIN_ORDER, **(more or {})}.items()])
 
 
-def origin_rank() -> Column:
+def origin_rank(more: Mapping[str, Sequence[str]] | None = None) -> Column:
     """Sort key beside the label: reports order by it."""
-    return case([(c("origin").isin(*names), F.lit(i + 1)) for i, names in enumerate(ORIGIN_ORDER.values())])
+    order = {**ORIGIN_ORDER, **(more or {})}
+    return case([(c("origin").isin(*names), F.lit(i + 1)) for i, names in enumerate(order.values())])
 
 
 def handled_by() -> Column:
@@ -121,8 +125,8 @@ DIMENSIONS = {
     "created_date_parameter": lambda params: by_granularity("case_creation_date_time", params.get("date_granularity")),
     "last_resolved_parameter": lambda params: by_granularity("last_resolved_date", params.get("date_granularity")),
     "origin": lambda params: c("origin"),
-    "origin_custom_sort": lambda params: origin_label(),
-    "origin_sort_key": lambda params: origin_rank(),
+    "origin_custom_sort": lambda params: origin_label(params.get("more_origins")),
+    "origin_sort_key": lambda params: origin_rank(params.get("more_origins")),
     "problem_tag": lambda params: c("problem_tag"),
     "problem_type": lambda params: c("problem_type"),
     "status": lambda params: c("status"),

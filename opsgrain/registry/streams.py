@@ -1 +1,74 @@
-"""Queries."""
+"""Streaming queries, run to the end of their input."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..session import configure
+from ..streaming import sla as s
+from .base import register
+
+_FLAGS = {
+    "in_sla": lambda: (F.col("value") <= 120) & F.hour("ts").between(8, 17),
+    "qualified": lambda: F.hour("ts").between(8, 17),
+}
+
+
+def _events(spark, sf_dir):
+    return s.file_stream(configure(spark), sf_dir, "events.parquet")
+
+
+def _flags():
+    return {n: f() for n, f in _FLAGS.items()}
+
+
+_CLOSED = """
+WITH h AS (
+  SELECT date_trunc('hour', ts) AS h{key}, count(DISTINCT event_id) AS handled,
+    count(DISTINCT CASE WHEN value <= 120 AND extract(hour FROM ts) BETWEEN 8 AND 17 THEN event_id END) AS in_sla,
+    count(DISTINCT CASE WHEN extract(hour FROM ts) BETWEEN 8 AND 17 THEN event_id END) AS qualified
+  FROM events GROUP BY ALL),
+c AS (SELECT * FROM h WHERE h + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 7 DAY FROM events))
+"""
+
+
+@register(
+    "stream_sla",
+    _CLOSED.format(key=", event_type") + "SELECT strftime(h, '%Y-%m-%d %H:%M:%S') AS ts, event_type, handled, in_sla, qualified FROM c",
+)
+def stream_sla(spark, sf_dir):
+    events = _events(spark, sf_dir)
+    hourly = s.stream_sla(events, "ts", "event_id", ["event_type"], _flags())
+    root = s.scratch_dir(spark, "stream_sla")
+    s.run_to_end(hourly, f"{root}/out", f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/out")
+
+
+@register(
+    "stream_alerts",
+    _CLOSED.format(key="")
+    + """, p AS (SELECT h AS ts, handled, in_sla, qualified, round(in_sla / nullif(qualified, 0) * 100, 2) AS sla_pct FROM c),
+l AS (SELECT *, lag(sla_pct) OVER (ORDER BY ts) AS prev_sla_pct FROM p)
+SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, strftime(ts, '%Y-%m-%d') AS day, handled, in_sla, qualified, sla_pct, prev_sla_pct,
+  coalesce(prev_sla_pct - sla_pct >= 10, false) AS alert_drop, coalesce(handled > 15, false) AS alert_volume, coalesce(sla_pct < 25, false) AS alert_floor FROM l""",
+)
+def stream_alerts(spark, sf_dir):
+    hourly = s.stream_sla(_events(spark, sf_dir), "ts", "event_id", [], _flags())
+    root = s.scratch_dir(spark, "stream_alerts")
+    s.stream_alerts(hourly, f"{root}/facts", f"{root}/alerts", f"{root}/checkpoint", ceiling=15)
+    return spark.read.parquet(f"{root}/alerts")
+
+
+@register(
+    "stream_trailing_reload",
+    """
+SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(DISTINCT event_id) AS handled,
+  count(DISTINCT CASE WHEN value <= 120 AND extract(hour FROM ts) BETWEEN 8 AND 17 THEN event_id END) AS in_sla,
+  count(DISTINCT CASE WHEN extract(hour FROM ts) BETWEEN 8 AND 17 THEN event_id END) AS qualified FROM events GROUP BY 1, 2""",
+)
+def stream_trailing_reload(spark, sf_dir):
+    root = s.scratch_dir(spark, "stream_reload")
+    s.stream_trailing_reload(
+        _events(spark, sf_dir), "ts", "event_id", ["event_type"], _flags(), f"{root}/landing", f"{root}/facts", f"{root}/checkpoint"
+    )
+    return spark.read.parquet(f"{root}/facts")

@@ -1,0 +1,3 @@
+from . import sla
+
+__all__ = ["sla"]
