@@ -161,6 +161,18 @@ def percent_of_total(df: DataFrame, measure: str, out: str, digits: int | None =
     return df.withColumn(out, safe_ratio(measure, F.sum(measure).over(Window.partitionBy()), 1, digits))
 
 
+def side_by_side(*frames: DataFrame) -> DataFrame:
+    """One-row aggregates laid into one row.
+
+    The rows are stacked with NULLs for the columns of the others and folded, so nothing is
+    joined.
+    """
+    stacked = frames[0]
+    for f in frames[1:]:
+        stacked = stacked.unionByName(f, allowMissingColumns=True)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
+
+
 def mixed_group_rows(df: DataFrame, keys: Sequence[str], kind: str, minimum: int = 2) -> DataFrame:
     """Rows of groups that hold at least ``minimum`` kinds (NULL is a kind).  One row per kind expected."""
     totals = with_totals(df, keys, {"__kinds": F.count(F.lit(1))})

@@ -19,7 +19,7 @@ from ..operators.history import (
 )
 from ..operators.joins import asof_dim, fold_join, state_at
 from ..operators.match import first_contact_resolution, nearest_related
-from ..operators.metrics import with_totals
+from ..operators.metrics import side_by_side, with_totals
 from ..operators.ordered import ordered, time_chunk
 from ..sources.tables import conform
 from .contracts import CASE_QUEUES, CASE_TRANSFERS
@@ -283,7 +283,7 @@ def fcr_summary(detail: DataFrame, days: Sequence[int] = (7, 14, 28)) -> DataFra
         *[safe_ratio(F.sum(f), F.sum("n"), 100, 2).alias(f"total_{f}") for f in flags],
     )
     medians = detail.agg(*[F.median(F.abs(f"{k}_days")).alias(f"median_abs_days_since_{k}") for k in ("any", "same")])
-    return totals.withColumn("__one", F.lit(1)).join(medians.withColumn("__one", F.lit(1)), "__one").drop("__one")
+    return side_by_side(totals, medians)
 
 
 def fcr_flag_counts(detail: DataFrame, flag: str = "fcr_7_day") -> DataFrame:

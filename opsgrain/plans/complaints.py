@@ -242,12 +242,13 @@ def model_metrics_table(
 
     scored = t["model_comparison"].filter(F.col("case_creation_date_time") >= since)
     truth, pred = F.col("has_complaint_reviewed"), F.col("has_complaint_model")
-    spine = calendar_spine(cases.sparkSession, months_from, months_to, "month").select(F.col("report_date").alias("month"))
     if all_time:
-        rates = confusion_rates(scored, [], truth, pred, "case_id").select("recall", "precision")
-        # one row laid beside a bounded calendar
-        model = spine.withColumn("__one", F.lit(1)).join(F.broadcast(rates.withColumn("__one", F.lit(1))), "__one").drop("__one")
+        # the one row of rates is repeated for every month of the calendar
+        first, stop = F.lit(months_from).cast("date"), F.lit(months_to).cast("date")
+        every = F.sequence(first, F.date_sub(stop, 1), F.expr("interval 1 month"))
+        model = confusion_rates(scored, [], truth, pred, "case_id").select("recall", "precision", F.explode(every).alias("month"))
     else:
+        spine = calendar_spine(cases.sparkSession, months_from, months_to, "month").select(F.col("report_date").alias("month"))
         monthly = scored.withColumn("month", trunc_date("month", "case_creation_date_time"))
         model = spine.join(confusion_rates(monthly, ["month"], truth, pred, "case_id").select("month", "recall", "precision"), "month", "left")
 

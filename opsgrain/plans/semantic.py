@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dialect import PACIFIC, add, col, datediff_boundary, ntz, safe_ratio, time_of_day, time_slice, trunc, trunc_date
 from ..operators.classify import case
+from ..operators.metrics import side_by_side
 from ..operators.percentiles import exact_percentiles
 
 # -- timeframes -------------------------------------------------------------------------------
@@ -232,10 +233,9 @@ def _two_step(base: DataFrame, keys: Sequence[str], row_id: str | None, measures
 
 def _join_same(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Join two aggregates of the same rows; a NULL dimension value joins itself."""
-    renamed = b.withColumnsRenamed({k: f"{k}__r" for k in keys})
     if not keys:
-        one = F.lit(1)
-        return a.withColumn("__one", one).join(renamed.withColumn("__one", one), "__one", "left").drop("__one")
+        return side_by_side(a, b)
+    renamed = b.withColumnsRenamed({k: f"{k}__r" for k in keys})
     cond = F.lit(True)
     for k in keys:
         cond = cond & F.col(k).eqNullSafe(F.col(f"{k}__r"))

@@ -21,7 +21,7 @@ from ..functions.dialect import (
 from ..operators.calendar import calendar_spine, on_spine
 from ..operators.classify import case, union_distinct
 from ..operators.joins import asof_dim, exclude, fold_join
-from ..operators.metrics import backlog_flag, concurrency, distinct_counts, entering_handled, threshold_alerts
+from ..operators.metrics import backlog_flag, concurrency, distinct_counts, entering_handled, side_by_side, threshold_alerts
 from ..sources.tables import conform, trailing_filter
 from .contracts import HOURLY_ADVOCATE, HOURLY_ALERTS, HOURLY_QUEUE
 
@@ -368,11 +368,6 @@ def email_sla_total(t: Tables, start, stop, *, response: str = "response_time_mi
     return side_by_side(entering, handled)
 
 
-def side_by_side(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Two one-row aggregates in one row."""
-    return a.withColumn("__one", F.lit(1)).join(b.withColumn("__one", F.lit(1)), "__one").drop("__one")
-
-
 # E-mail touch types per counter.
 EMAIL_TYPES = {
     "email_handled": ("EML", "EML/STS"),

@@ -63,7 +63,7 @@ BASE_CASES = view(
 PHONE_CASES = view(
     "events",
     lambda d: ["user_id + 100000 as case_id", "'Phone' as origin", "ts as created_at_utc"],
-    "event_id % 7 = 0",
+    "event_type = 'error'",
 )
 _PHONE = {"queue_id": "9", "queue_name": "Phone Internal", "queue_type": "CS", "user_id": "7"}
 
@@ -186,9 +186,9 @@ CASE_EVENTS = view(
 )
 TOKEN_CASES = view(
     "customer",
-    lambda d: [f"cast(c_custkey as {d.text}) as token", "c_nationkey as queue_label_id", f"concat('T', cast(c_custkey % 70 as {d.text})) as target_token"],
+    lambda d: [f"cast(c_custkey as {d.text}) as token", "c_nationkey as queue_label_id", f"concat('T', cast(c_custkey as {d.text})) as target_token"],
 )
-LABELS = view("nation", lambda d: ["n_nationkey as id", "n_name as name"], "n_nationkey < 20")
+LABELS = view("nation", lambda d: ["n_nationkey as id", "n_name as name"], "n_regionkey <> 4")
 
 
 @register(
@@ -440,7 +440,7 @@ JOB_ITEMS = view(
         f"concat('out.mart.', l_linestatus, cast(l_partkey % 5 as {d.text})) as target_table",
     ],
 )
-JOB_USERS = view("customer", lambda d: ["c_custkey as id", "c_name as user_name"], "c_custkey < 120")
+JOB_USERS = view("customer", lambda d: ["c_custkey as id", "c_name as user_name"], "c_mktsegment <> 'BUILDING'")
 _TOP = """top AS (SELECT i.*, max(job_version) OVER (PARTITION BY job_id) AS mx FROM i)"""
 
 
@@ -564,3 +564,51 @@ def first_message(spark, sf_dir):
     talk = load(spark, sf_dir, "conversations")["conversations"].filter("role = 'user'")
     slim = talk.select("conv_id", "turn", F.length("text").cast("bigint").alias("chars"))
     return h.first_event(slim, ["conv_id"], "turn")
+
+
+@register(
+    "elapsed_before",
+    """
+SELECT event_id, CAST(coalesce(sum(CAST(floor(value) AS bigint)) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS bigint) AS elapsed_before FROM events""",
+)
+def elapsed_before(spark, sf_dir):
+    events = load(spark, sf_dir, "events")["events"].withColumn("spent", F.floor("value"))
+    return h.elapsed_until(events, "user_id", "ts", "spent", tie=["event_id"]).select("event_id", "elapsed_before")
+
+
+@register(
+    "path_steps",
+    """
+SELECT conv_id, turn AS step, role AS value, turn = max(turn) OVER (PARTITION BY conv_id) AS is_last FROM conversations""",
+)
+def path_steps(spark, sf_dir):
+    return h.path_steps(load(spark, sf_dir, "conversations")["conversations"], "conv_id", "turn", "role")
+
+
+@register(
+    "path_text",
+    """
+WITH n AS (SELECT conv_id, role, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS seq FROM conversations)
+SELECT conv_id, seq, string_agg(role, ', ' ORDER BY seq) OVER (PARTITION BY conv_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS all_path,
+  string_agg(role, ', ') OVER (PARTITION BY conv_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prior_path,
+  string_agg(role, ', ') OVER (PARTITION BY conv_id ORDER BY seq ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS later_path FROM n""",
+)
+def path_text(spark, sf_dir):
+    from ..operators.ordered import ordered
+
+    talk = load(spark, sf_dir, "conversations")["conversations"].select("conv_id", "turn", "role")
+    numbered = ordered(talk, ["conv_id"], ["turn"], F.floor(F.col("turn") / 100), number="seq")
+    return h.path_columns(numbered, "conv_id", "seq", "role").select("conv_id", "seq", "all_path", "prior_path", "later_path")
+
+
+@register(
+    "filled_state",
+    """
+SELECT event_id, last_value(CASE WHEN event_type = 'signup' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS last_signup FROM events""",
+)
+def filled_state(spark, sf_dir):
+    from ..operators.ordered import fill_forward, time_chunk
+
+    events = load(spark, sf_dir, "events")["events"]
+    rows = events.select("event_id", "user_id", "ts", F.when(F.col("event_type") == "signup", F.col("event_id")).alias("last_signup"))
+    return fill_forward(rows, ["user_id"], ["ts", "event_id"], time_chunk("ts"), ["last_signup"]).select("event_id", "last_signup")

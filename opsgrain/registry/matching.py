@@ -120,7 +120,7 @@ AUDITS = View(
             lambda d: [
                 "event_id as id", "user_id as entity_token", f"{d.plus('ts', f'{d.k} * 4000 - 200000')} as created_at",
                 "case when event_type in ('view', 'click') then 'pay::View' else 'pay::Reimburse now' end as action_name",
-                f"case when {d.k} % 4 = 0 then null when {d.k} % 4 = 1 then 'no number' else concat('see case ', cast(10000000 + event_id % 400 as {d.text}), ' CCN-', cast({d.k} as {d.text})) end as comment",
+                f"case when {d.k} % 4 = 0 then null when {d.k} % 4 = 1 then 'no number' else concat('see case ', cast(10000000 + event_id as {d.text}), ' CCN-', cast({d.k} as {d.text})) end as comment",
                 "concat('u', cast(user_id as " + d.text + ")) as actor_uid",
             ],
         ),
@@ -137,20 +137,18 @@ AUDITS = View(
 PAY_CASES = view(
     "orders",
     lambda d: [
-        "o_orderkey as case_id", f"cast(10000000 + o_orderkey as {d.text}) as case_number", "o_custkey % 150 as customer_token",
+        "o_orderkey as case_id", f"cast(10000000 + o_orderkey as {d.text}) as case_number", "o_custkey as customer_token",
         f"{d.plus(d.stamp('2024-01-01'), 'o_orderkey % 40 * 60000')} as created_at_utc", "o_orderstatus as origin",
         f"case when o_orderkey % 2 = 0 then concat('B', cast(o_orderkey as {d.text})) else null end as banking_token",
-        "case when o_orderkey % 3 = 0 then o_orderkey % 5000 else null end as payment_id",
+        "case when o_orderstatus = 'F' then o_orderkey else null end as payment_id",
     ],
-    "o_orderkey % 20 < 5",
 )
 CASE_PAYMENTS = view(
-    "orders",
+    "lineitem",
     lambda d: [
-        "o_orderkey % 600 as case_id", "o_orderkey as payment_id",
-        f"case when o_orderkey % 3 = 0 then concat('T', cast(o_orderkey as {d.text})) else null end as banking_token",
+        "l_orderkey as case_id", "l_partkey as payment_id",
+        f"case when l_returnflag = 'A' then concat('T', cast(l_partkey as {d.text})) else null end as banking_token",
     ],
-    "o_orderkey < 1000 or o_orderkey % 11 = 0",
 )
 DUTIES = view(
     "events",
@@ -158,7 +156,7 @@ DUTIES = view(
         "event_id as assignment_id", "user_id as customer_token", f"{d.plus('ts', '5 * 3600')} as occurred_at",
         f"case when {d.k} % 3 = 0 then null else {d.plus('ts', '6 * 3600')} end as submitted_at", "event_type as queue",
     ],
-    "event_id % 5 = 0",
+    "event_type = 'signup'",
 )
 _PAY_VIEWS = dict(p=PAYMENTS, al=AUDITS, e=EMPLOYEES, sc=PAY_CASES, ff=CASE_PAYMENTS, n=DUTIES)
 
@@ -244,15 +242,16 @@ def reimburse_refund_union(spark, sf_dir):
     "regex_key_join",
     """
 WITH d AS (SELECT doc_id, nullif(regexp_extract(text, '[0-9]{8}([0-9]{1})?'), '') AS num, nullif(regexp_extract(text, 'CCN-[0-9]+'), '') AS ccn FROM documents),
-k AS (SELECT o_orderkey, CAST(o_orderkey % 1000 AS varchar) AS tail FROM orders WHERE o_orderkey < 1000)
-SELECT doc_id, num AS case_number, ccn AS complaint_number, o_orderkey FROM d LEFT JOIN k ON ltrim(right(num, 3), '0') = k.tail""",
+k AS (SELECT o_orderkey, lpad(CAST(o_orderkey AS varchar), 8, '0') AS number FROM orders),
+n AS (SELECT right(num, 3) AS tail, * FROM d)
+SELECT doc_id, num AS case_number, ccn AS complaint_number, o_orderkey FROM n LEFT JOIN k ON concat('00000', tail) = k.number""",
 )
 def regex_key_join(spark, sf_dir):
     t = load(spark, sf_dir, "documents", "orders")
     found = payments.comment_references(t["documents"].select("doc_id", "text"), "text").drop("text")
-    keys = t["orders"].filter("o_orderkey < 1000").select("o_orderkey", F.col("o_orderkey").cast("string").alias("tail"))
-    found = found.withColumn("tail", F.ltrim(F.right("case_number", F.lit(3)), F.lit("0")))
-    return found.join(keys, "tail", "left").drop("tail")
+    keys = t["orders"].select("o_orderkey", F.lpad(F.col("o_orderkey").cast("string"), 8, "0").alias("number"))
+    found = found.withColumn("number", F.concat(F.lit("00000"), F.right("case_number", F.lit(3))))
+    return found.join(keys, "number", "left").drop("number")
 
 
 @register(
@@ -347,7 +346,6 @@ REM_MAILS = view(
         "event_id as email_id", "user_id as case_id", "event_id % 300 as created_by_id", "ts as email_created_at",
         "case when event_type = 'click' then 'outgoing' else 'incoming' end as direction",
     ],
-    "user_id % 3 <> 0",
 )
 
 

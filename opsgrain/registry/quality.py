@@ -63,16 +63,18 @@ def duplicate_rows(spark, sf_dir):
 @register(
     "reconcile_sources",
     """
-WITH a AS (SELECT o_orderkey, o_totalprice, o_custkey % 7 AS kind FROM orders WHERE o_orderkey % 10 <> 0),
-b AS (SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, o_custkey % 7 AS kind FROM orders WHERE o_orderkey % 9 <> 0)
+WITH a AS (SELECT o_orderkey, o_totalprice, o_custkey % 7 AS kind FROM orders WHERE o_orderstatus <> 'P'),
+b AS (SELECT o_orderkey, CASE WHEN o_totalprice > 200000 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, o_custkey % 7 AS kind FROM orders WHERE o_orderpriority <> '5-LOW')
 SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey, CASE WHEN b.o_orderkey IS NULL THEN 'only_a' WHEN a.o_orderkey IS NULL THEN 'only_b' ELSE 'both' END AS found_in,
   a.kind AS kind_a, b.kind AS kind_b, a.kind - b.kind AS kind_diff, a.o_totalprice AS o_totalprice_a, b.o_totalprice AS o_totalprice_b,
   round(a.o_totalprice - b.o_totalprice, 4) AS o_totalprice_diff FROM a FULL JOIN b ON a.o_orderkey = b.o_orderkey""",
 )
 def reconcile_sources(spark, sf_dir):
-    orders = src.load(spark, sf_dir, "orders")["orders"].select("o_orderkey", "o_totalprice", (F.col("o_custkey") % 7).alias("kind"))
-    a = orders.filter("o_orderkey % 10 <> 0")
-    b = src.update_where(orders.filter("o_orderkey % 9 <> 0"), F.col("o_orderkey") % 4 == 0, {"o_totalprice": F.col("o_totalprice") + 1})
+    orders = src.load(spark, sf_dir, "orders")["orders"].withColumn("kind", F.col("o_custkey") % 7)
+    a = orders.filter("o_orderstatus <> 'P'")
+    b = src.update_where(
+        orders.filter("o_orderpriority <> '5-LOW'"), F.col("o_totalprice") > 200000, {"o_totalprice": F.col("o_totalprice") + 1}
+    )
     out = q.reconcile(a, b, ["o_orderkey"], ["o_totalprice", "kind"])
     return out.withColumn("o_totalprice_diff", F.round("o_totalprice_diff", 4))
 

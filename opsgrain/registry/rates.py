@@ -183,8 +183,8 @@ V_DUTIES = view(
     ],
 )
 V_BANK = view("orders", lambda d: ["o_orderkey as case_id", "case when o_orderkey % 4 = 0 then 'BANKING RDC RR' else 'ACH' end as case_type", f"{d.plus(d.stamp('2024-01-01'), 'o_orderkey % 1000 * 3000')} as created_at"])
-V_TAGS = view("events", lambda d: ["event_id as primary_key", f"concat('T', cast(event_id % 90 as {d.text})) as target_token", "cast(ts as date) as hashtag_at"])
-V_CARDS = view("events", lambda d: ["user_id as customer_token", f"concat('T', cast(event_id % 80 as {d.text})) as token", "ts as created_at"])
+V_TAGS = view("events", lambda d: ["event_id as primary_key", f"concat('T', cast(user_id as {d.text})) as target_token", "cast(ts as date) as hashtag_at"])
+V_CARDS = view("events", lambda d: ["user_id as customer_token", f"concat('T', cast(user_id + 1 as {d.text})) as token", "ts as created_at"])
 V_SOCIAL = view("conversations", lambda d: ["conv_id as case_id", "role as channel_type", f"{d.plus(d.stamp('2024-01-05'), 'turn * 100000')} as created_at"])
 V_CALLS = view(
     "events",
@@ -289,7 +289,7 @@ M_MODEL = View(
         ),
     )
 )
-M_COMPLAINTS = view("documents", lambda d: ["doc_id as case_id", "case when n_chars % 2 = 0 then 'Internal' else 'Global' end as workflow"], "doc_id % 3 = 0")
+M_COMPLAINTS = view("documents", lambda d: ["doc_id as case_id", "case when n_chars % 2 = 0 then 'Internal' else 'Global' end as workflow"], "lang <> 'de'")
 # noon timestamps: the Pacific shift of seven or eight hours never changes the day
 _MONTH = "CAST(date_trunc('month', {} - INTERVAL 8 HOUR) AS date)"
 
@@ -390,7 +390,7 @@ MESSAGES = view("events", lambda d: ["event_id as message_token", "ts as message
 PROSPECTS = view(
     "events",
     lambda d: ["event_id as chat_message_token", "user_id as conversation_token", f"{d.plus('ts', f'{d.k} * 60')} as detected_at"],
-    "event_id % 4 <> 0",
+    "event_type <> 'click'",
 )
 
 
@@ -644,12 +644,12 @@ S_HISTORY = View(
         ("orders", lambda d: ["o_orderkey as parent_id", "'date_responded_in_bbb' as field", "'1999-05-06 10:00:00' as new_value", "o_orderdate as created_at_utc"]),
         ("orders", lambda d: ["o_orderkey as parent_id", "'date_responded_in_bbb' as field", "'2000-01-02 00:00:00' as new_value", f"{d.plus('o_orderdate', 'o_orderkey % 3 * 100')} as created_at_utc"]),
     ),
-    "o_orderkey % 5 <> 0",
+    "o_orderstatus <> 'P'",
 )
-S_SPONSORED = view("customer", lambda d: ["c_custkey as dependent_customer_token"], "c_custkey % 4 = 0")
+S_SPONSORED = view("customer", lambda d: ["c_custkey as dependent_customer_token"], "c_mktsegment = 'BUILDING'")
 S_CARDS = view("events", lambda d: ["user_id as customer_token", "event_type as sponsoring_bank", "ts as created_at"])
 S_QUEUES = view("region", lambda d: ["cast(r_regionkey as bigint) as queue_id", "r_name as queue_name"])
-S_USERS = view("customer", lambda d: ["c_custkey as id", "concat('user ', c_name) as name"], "c_custkey % 6 <> 0")
+S_USERS = view("customer", lambda d: ["c_custkey as id", "concat('user ', c_name) as name"], "c_mktsegment <> 'MACHINERY'")
 
 
 def _bdays(a: str, b: str) -> str:

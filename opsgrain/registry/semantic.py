@@ -156,7 +156,7 @@ _OUTCOME = f"""CASE WHEN {_IN} AND is_handled THEN 'Handled Inbound' WHEN {_IN}
         f"""
 SELECT {_OUTCOME} AS call_outcome, strftime(date_trunc('week', call_start_time), '%Y-%m-%d') AS call_date_parameter, {_SQL['count_contact_id']} AS count_contact_id,
   {_SQL['calls_abandoned']} AS calls_abandoned, {_SQL['unique_callers']} AS unique_callers, {_SQL['median_handle_time']} AS median_handle_time
-FROM m WHERE customer_endpoint < 100 GROUP BY 1, 2""",
+FROM m WHERE NOT out_of_hours GROUP BY 1, 2""",
         m=CALLS_WIDE,
     ),
 )
@@ -164,7 +164,7 @@ def call_outcome_measures(spark, sf_dir):
     out = call_view.CALLS_VIEW.query(
         CALLS_WIDE.spark(spark, sf_dir), ["call_outcome", "call_date_parameter"],
         ["count_contact_id", "calls_abandoned", "unique_callers", "median_handle_time"],
-        filters=[F.col("customer_endpoint") < 100], params={"date_granularity": "Week"},
+        filters=[~F.col("out_of_hours")], params={"date_granularity": "Week"},
     )
     return even(out)
 
