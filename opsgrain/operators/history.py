@@ -147,14 +147,12 @@ def pivot_max(df: DataFrame, keys: Sequence[str], field: str, value: str, values
 def event_duration(
     df: DataFrame, keys: Sequence[str], event: str, ts: str, start_event: str, end_event: str, out: str = "duration_seconds"
 ) -> DataFrame:
-    """Latest start and end event per key and the seconds between."""
-    pivoted = pivot_max(df, keys, event, ts, [start_event, end_event])
-    return pivoted.select(
-        *keys,
-        F.col(f"`{start_event}`").alias("start_ts"),
-        F.col(f"`{end_event}`").alias("end_ts"),
-        datediff_boundary("second", F.col(f"`{start_event}`"), F.col(f"`{end_event}`")).alias(out),
-    )
+    """Latest start and end event per key and the seconds between; keys without either stay."""
+    def latest(name: str) -> Column:
+        return F.max(F.when(F.col(event) == name, F.col(ts)))
+
+    both = df.groupBy(*keys).agg(latest(start_event).alias("start_ts"), latest(end_event).alias("end_ts"))
+    return both.withColumn(out, datediff_boundary("second", "start_ts", "end_ts"))
 
 
 def pair_events(

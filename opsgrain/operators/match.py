@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dialect import datediff_boundary
-from .ordered import asof_lookup, ordered, time_chunk
+from .ordered import STEP_SECONDS as SECONDS
+from .ordered import epoch_micros, ordered, time_chunk
 
 
 def nearest_related(
@@ -66,7 +67,7 @@ def first_contact_resolution(days: str | Column, limits: Sequence[int] = (7, 14,
     return {f"fcr_{n}_day": gap > n for n in limits}
 
 
-def match_with_tolerance(
+def tolerance_scan(
     left: DataFrame,
     right: DataFrame,
     key: str,
@@ -74,35 +75,66 @@ def match_with_tolerance(
     right_ts: str,
     cols: Mapping[str, str],
     *,
+    row_id: str,
     before_seconds: int,
     after_seconds: int,
     prefer: Column | None = None,
     tie: Sequence[str] = (),
+    count: str | None = None,
     chunk: str = "day",
 ) -> DataFrame:
-    """Best right row with ts in [left - before, left + after]: preferred ones first, then the earliest.
+    """Best right row with ts in [left - before, left + after] per left row, without making pairs.
 
-    Per preference class the answer is the first right row at or after ``left - before``, so
-    one forward as-of scan per class replaces the range join and its pairs.
+    Preferred rows come first, then the earliest.  Per preference class the answer is the
+    first right row at or after ``left - before``; ``count`` adds the number of right rows in
+    the span, read off a running total at both of its ends.  Both sides are stacked and
+    scanned once.  Returns ``row_id``, ``cols`` and ``count``; left rows with NULL key or time
+    are absent.
     """
-    extra = {**cols, "__m_ts": right_ts}
-    window = before_seconds + after_seconds
-
-    def scan(lefts: DataFrame, rights: DataFrame, names: Mapping[str, str]) -> DataFrame:
-        return asof_lookup(
-            lefts, rights, [key], left_ts, right_ts, names,
-            tie=tie, direction="forward", offset_seconds=-before_seconds, within_seconds=window, chunk=chunk,
+    known = F.col(key).isNotNull()
+    at = epoch_micros(F.col(left_ts))
+    low = F.struct((at - before_seconds * 1_000_000).alias("at"), F.lit(0).alias("rank"), F.lit(-1).alias("sign"))
+    high = F.struct((at + after_seconds * 1_000_000).alias("at"), F.lit(2).alias("rank"), F.lit(1).alias("sign"))
+    ends = F.explode(F.array(low, high) if count else F.array(low))
+    probes = left.filter(known & F.col(left_ts).isNotNull()).select(key, F.col(row_id).alias("__id"), ends.alias("p"))
+    probes = probes.select(key, "__id", F.col("p.at").alias("__at"), F.col("p.rank").alias("__rank"), F.col("p.sign").alias("__sign"))
+
+    good = F.lit(True) if prefer is None else F.coalesce(prefer, F.lit(False))
+    hit = F.struct(epoch_micros(F.col(right_ts)).alias("__us"), *[F.col(src).alias(out) for out, src in cols.items()])
+    ties = [f"__tie{i}" for i in range(len(tie))]
+    rights = right.filter(known & F.col(right_ts).isNotNull()).select(
+        key, epoch_micros(F.col(right_ts)).alias("__at"), F.lit(1).alias("__rank"), F.lit(0).alias("__sign"),
+        *[F.col(t).alias(c) for t, c in zip(tie, ties)],
+        F.when(good, hit).alias("__good"), F.when(~good, hit).alias("__other"), F.lit(1).cast("bigint").alias("__w"),
+    )
+    stacked = rights.unionByName(probes, allowMissingColumns=True)
+    seen = {"__g": F.col("__good")}
+    if prefer is not None:
+        seen["__o"] = F.col("__other")
+    scanned = ordered(
+        stacked, [key], ["__at", "__rank", *ties], F.floor(F.col("__at") / (SECONDS[chunk] * 1_000_000)),
+        next_seen=seen, running={"__t": F.col("__w")} if count else None,
+    ).filter(F.col("__sign") != 0)
+
+    last = F.col("__at") + (before_seconds + after_seconds) * 1_000_000
+    pick = F.when(F.col("__g")["__us"] <= last, F.col("__g"))
+    if prefer is not None:
+        pick = pick.when(F.col("__o")["__us"] <= last, F.col("__o"))
+    if count:
+        found = scanned.groupBy("__id").agg(
+            F.max(F.when(F.col("__sign") == -1, pick)).alias("__pick"),
+            F.sum(F.coalesce(F.col("__t"), F.lit(0)) * F.col("__sign")).alias(count),
         )
+    else:
+        found = scanned.select("__id", pick.alias("__pick"))
+    return found.select(F.col("__id").alias(row_id), *[F.col("__pick")[c].alias(c) for c in cols], *([count] if count else []))
 
-    if prefer is None:
-        return scan(left, right, extra).drop("__m_ts")
-    good = F.coalesce(prefer, F.lit(False))
-    first = scan(left, right.filter(good), {f"__a_{n}": s for n, s in extra.items()})
-    both = scan(first, right.filter(~good), {f"__b_{n}": s for n, s in extra.items()})
-    use_first = F.col("__a___m_ts").isNotNull()
-    return both.select(
-        *left.columns, *[F.when(use_first, F.col(f"__a_{n}")).otherwise(F.col(f"__b_{n}")).alias(n) for n in cols]
-    )
+
+def match_with_tolerance(
+    left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str, cols: Mapping[str, str], *, row_id: str, **options
+) -> DataFrame:
+    """Left rows with the columns of their best match (see ``tolerance_scan``); all left rows stay."""
+    return left.join(tolerance_scan(left, right, key, left_ts, right_ts, cols, row_id=row_id, **options), row_id, "left")
 
 
 def evidence_flags(df: DataFrame, flags: Mapping[str, str]) -> DataFrame:

@@ -23,12 +23,12 @@ from ..functions.dialect import epoch
 _CHUNK = "__chunk"
 _BEFORE_ALL = -(2**62)
 
-_STEP = {"minute": 60, "hour": 3600, "day": 86400, "week": 604800, "month": 2592000, "year": 31536000}
+STEP_SECONDS = {"minute": 60, "hour": 3600, "day": 86400, "week": 604800, "month": 2592000, "year": 31536000}
 
 
 def time_chunk(ts: str | Column, step: str = "day") -> Column:
     """Chunk number of a date or timestamp; grows with the time."""
-    return F.floor(epoch(ts) / _STEP[step])
+    return F.floor(epoch(ts) / STEP_SECONDS[step])
 
 
 def _sortable(df: DataFrame, taken: Sequence[str]) -> list[str]:
@@ -230,7 +230,7 @@ def asof_lookup(
         hit.alias("__hit"),
     )
     stacked = lefts.unionByName(rights)
-    step = _STEP[chunk] * 1_000_000
+    step = STEP_SECONDS[chunk] * 1_000_000
     seen = {"__hit": F.col("__hit")}
     filled = ordered(
         stacked,
@@ -249,60 +249,3 @@ def asof_lookup(
 
 def epoch_micros(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp"))
-
-
-def count_between(
-    left: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    left_ts: str,
-    right_ts: str,
-    out: str,
-    *,
-    row_id: Sequence[str],
-    before_seconds: int,
-    after_seconds: int,
-    weight: Column | None = None,
-    chunk: str = "day",
-) -> DataFrame:
-    """Per left row: number (or weight) of right rows with ts in [left-before, left+after].
-
-    Two probes per left row read a running total; again no pairs are made.  Returns
-    ``row_id`` + ``out``; left rows with NULL key or time are absent.
-    """
-    weight = F.lit(1).cast("bigint") if weight is None else weight
-    at = epoch_micros(F.col(left_ts))
-    key_cols = [F.col(k) for k in keys]
-    ids = [F.col(c) for c in row_id]
-    ok = F.lit(True)
-    for k in keys:
-        ok = ok & F.col(k).isNotNull()
-    probes = left.filter(ok & F.col(left_ts).isNotNull()).select(
-        *key_cols,
-        F.struct(*ids).alias("__id"),
-        F.explode(
-            F.array(
-                # lower probe sorts before the right rows of its instant, the upper one after
-                F.struct((at - before_seconds * 1_000_000).alias("at"), F.lit(0).alias("rank"), F.lit(-1).alias("sign")),
-                F.struct((at + after_seconds * 1_000_000).alias("at"), F.lit(2).alias("rank"), F.lit(1).alias("sign")),
-            )
-        ).alias("p"),
-    ).select(*keys, "__id", F.col("p.at").alias("__at"), F.col("p.rank").alias("__rank"), F.col("p.sign").alias("__sign"))
-    probe_id = probes.schema["__id"].dataType
-    rights = (
-        right.filter(ok & F.col(right_ts).isNotNull())
-        .select(*key_cols, epoch_micros(F.col(right_ts)).alias("__at"), weight.alias("__w"))
-        .groupBy(*keys, "__at")
-        .agg(F.sum("__w").alias("__w"))
-    )
-    stacked = probes.withColumn("__w", F.lit(None).cast(rights.schema["__w"].dataType)).unionByName(
-        rights.select(*keys, F.lit(None).cast(probe_id).alias("__id"), "__at", F.lit(1).alias("__rank"), F.lit(0).alias("__sign"), "__w")
-    )
-    total = ordered(
-        stacked, keys, ["__at", "__rank"], F.floor(F.col("__at") / (_STEP[chunk] * 1_000_000)), running={"__total": F.col("__w")}
-    ).filter(F.col("__sign") != 0)
-    return (
-        total.groupBy("__id")
-        .agg(F.sum(F.coalesce(F.col("__total"), F.lit(0)) * F.col("__sign")).alias(out))
-        .select("__id.*", out)
-    )

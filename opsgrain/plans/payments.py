@@ -11,9 +11,8 @@ from ..functions.dialect import PACIFIC, UTC, convert_tz, like_plain, regexp_fir
 from ..operators.classify import union_distinct
 from ..operators.history import first_event, pick_row
 from ..operators.joins import asof_dim
-from ..operators.match import evidence_flags, match_with_tolerance
+from ..operators.match import evidence_flags, tolerance_scan
 from ..operators.metrics import with_totals
-from ..operators.ordered import count_between
 
 Tables = Mapping[str, DataFrame]
 
@@ -89,10 +88,20 @@ def match_reimbursements(
     audits = _audits(t, action, {"case_id": "case_id", "case_origin": "origin"})
     audits = audits.join(flow, F.col("case_id") == F.col("__fc"), "left").drop("__fc")
     cols = [*_AUDIT_COLS, "case_id", "case_origin", "case_payment_id", "case_banking_token"]
-    out = match_with_tolerance(
-        pay, audits, "customer_token", "created_at", "audit_at", {c: c for c in cols},
+    best = tolerance_scan(
+        pay, audits, "customer_token", "created_at", "audit_at", {c: c for c in cols}, row_id="payment_id", count="__n_audit",
         before_seconds=DAY, after_seconds=DAY, prefer=F.col("case_banking_token").isNull(), tie=["audit_id", "case_payment_id"],
     )
+    # cases of the three days before
+    recent = t["support_cases"].select(
+        "customer_token", F.col("created_at_utc").alias("recent_case_at"), F.col("case_id").alias("recent_case_id"),
+        F.col("case_number").alias("recent_case_number"),
+    )
+    before = tolerance_scan(
+        pay, recent, "customer_token", "created_at", "recent_case_at", {c: c for c in recent.columns if c != "customer_token"},
+        row_id="payment_id", count="__n_recent", before_seconds=3 * DAY, after_seconds=0, tie=["recent_case_id"],
+    )
+    out = pay.join(best, "payment_id", "left").join(before, "payment_id", "left")
     out = _employee(out, t["employees"])
 
     # assignments of the same customer and calendar day
@@ -105,34 +114,13 @@ def match_reimbursements(
     out = out.withColumn("__day", F.col("created_at").cast("date"))
     out = out.join(first_duty.join(duty_rows, ["customer_token", "__day"]), ["customer_token", "__day"], "left").drop("__day")
 
-    # cases of the three days before
-    recent = t["support_cases"].select(
-        "customer_token", F.col("created_at_utc").alias("recent_case_at"), F.col("case_id").alias("recent_case_id"),
-        F.col("case_number").alias("recent_case_number"),
-    )
-    out = match_with_tolerance(
-        out, recent, "customer_token", "created_at", "recent_case_at",
-        {c: c for c in ("recent_case_at", "recent_case_id", "recent_case_number")},
-        before_seconds=3 * DAY, after_seconds=0, tie=["recent_case_id"],
-    )
     # cases that carry the payment itself
     linked = t["case_payments"].filter(F.col("payment_id").isNotNull()).groupBy("payment_id").agg(
         F.min("case_id").alias("linked_case_id"), F.count(F.lit(1)).alias("__n_link")
     )
     out = out.join(linked, "payment_id", "left")
 
-    if count_before_dedupe:
-        ids = ["payment_id"]
-        n_audit = count_between(
-            pay, audits, ["customer_token"], "created_at", "audit_at", "__n_audit", row_id=ids, before_seconds=DAY, after_seconds=DAY
-        )
-        n_recent = count_between(
-            pay, recent, ["customer_token"], "created_at", "recent_case_at", "__n_recent", row_id=ids, before_seconds=3 * DAY, after_seconds=0
-        )
-        out = out.join(n_audit, ids, "left").join(n_recent, ids, "left")
-        rows = _rows("__n_audit", "__n_duty", "__n_recent", "__n_link")
-    else:
-        rows = F.lit(1).cast("bigint")
+    rows = _rows("__n_audit", "__n_duty", "__n_recent", "__n_link") if count_before_dedupe else F.lit(1).cast("bigint")
     out = with_totals(out.withColumn("__rows", rows), ["recipient_token"], {"payments_per_customer": F.sum("__rows")})
     out = evidence_flags(
         out,

@@ -168,12 +168,15 @@ class View:
         out = parts[0] if parts else base.select(*keys).distinct()
         for p in parts[1:]:
             out = _join_same(out, p, keys)
-        for n in _order_numbers(needed):
-            m = needed[n]
-            if m.kind == "number":
-                out = out.withColumn(n, m.combine(*[F.col(x) for x in m.needs]))
-            else:
-                out = out.withColumn(n, safe_ratio(m.needs[0], F.sum(m.needs[0]).over(Window.partitionBy())))
+        for level in _levels(needed):
+            out = out.withColumns(
+                {
+                    n: m.combine(*[F.col(x) for x in m.needs])
+                    if m.kind == "number"
+                    else safe_ratio(m.needs[0], F.sum(m.needs[0]).over(Window.partitionBy()))
+                    for n, m in level.items()
+                }
+            )
         return out.select(*[F.col(f"__d_{d}").alias(d) for d in dims], *measures)
 
     def detail(self, df: DataFrame, name: str, *, filters: Sequence[Column] = (), params: Mapping | None = None) -> DataFrame:
@@ -204,9 +207,14 @@ class View:
         return found
 
 
-def _order_numbers(needed: Mapping[str, Measure]) -> list[str]:
-    # ``_needed`` lists what a measure refers to before the measure
-    return [n for n, m in needed.items() if m.kind in ("number", "share")]
+def _levels(needed: Mapping[str, Measure]) -> list[dict[str, Measure]]:
+    """Measures over measures, in steps: each step needs only what earlier steps made."""
+    depth: dict[str, int] = {}
+    # ``needed`` lists what a measure refers to before the measure
+    for n, m in needed.items():
+        depth[n] = 1 + max(depth[x] for x in m.needs) if m.needs else 0
+    deepest = max(depth.values(), default=0)
+    return [{n: m for n, m in needed.items() if depth[n] == d} for d in range(1, deepest + 1)]
 
 
 def _two_step(base: DataFrame, keys: Sequence[str], row_id: str | None, measures: Mapping[str, Measure]) -> DataFrame:

@@ -612,3 +612,14 @@ def filled_state(spark, sf_dir):
     events = load(spark, sf_dir, "events")["events"]
     rows = events.select("event_id", "user_id", "ts", F.when(F.col("event_type") == "signup", F.col("event_id")).alias("last_signup"))
     return fill_forward(rows, ["user_id"], ["ts", "event_id"], time_chunk("ts"), ["last_signup"]).select("event_id", "last_signup")
+
+
+@register(
+    "pivot_events",
+    """
+SELECT user_id, max(CASE WHEN event_type = 'signup' THEN value END) AS signup, max(CASE WHEN event_type = 'purchase' THEN value END) AS purchase,
+  max(CASE WHEN event_type = 'refund' THEN value END) AS refund FROM events GROUP BY 1""",
+)
+def pivot_events(spark, sf_dir):
+    events = load(spark, sf_dir, "events")["events"]
+    return h.pivot_max(events, ["user_id"], "event_type", "value", ["signup", "purchase", "refund"])

@@ -389,3 +389,25 @@ def remediation_buckets(spark, sf_dir):
     return complaints.remediation_list(
         t, specialist=["%met%", "%eret%"], escalation_queue="Escalations", business_unit="Main", link_prefix="https://desk.example/"
     )
+
+
+@register(
+    "nearest_in_window",
+    """
+WITH v AS (SELECT event_id, user_id, ts, value FROM events WHERE event_type = 'view'), b AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase'),
+j AS (SELECT b.event_id, v.event_id AS view_id, v.value, count(v.event_id) OVER (PARTITION BY b.event_id) AS views,
+  row_number() OVER (PARTITION BY b.event_id ORDER BY CASE WHEN v.value > 100 THEN 0 ELSE 1 END, v.ts, v.event_id) AS rn
+  FROM b LEFT JOIN v ON b.user_id = v.user_id AND v.ts BETWEEN b.ts - INTERVAL 36 HOUR AND b.ts + INTERVAL 12 HOUR)
+SELECT event_id, view_id, value, views FROM j WHERE rn = 1""",
+)
+def nearest_in_window(spark, sf_dir):
+    from ..operators.match import match_with_tolerance
+
+    events = load(spark, sf_dir, "events")["events"]
+    views = events.filter("event_type = 'view'").select("user_id", F.col("event_id").alias("view_id"), F.col("ts").alias("view_ts"), "value")
+    buys = events.filter("event_type = 'purchase'").select("event_id", "user_id", "ts")
+    out = match_with_tolerance(
+        buys, views, "user_id", "ts", "view_ts", {"view_id": "view_id", "value": "value"}, row_id="event_id",
+        before_seconds=36 * 3600, after_seconds=12 * 3600, prefer=F.col("value") > 100, tie=["view_id"], count="views",
+    )
+    return out.select("event_id", "view_id", "value", "views")
