@@ -12,7 +12,7 @@ from .metrics import with_totals
 from .ordered import asof_lookup, ordered, time_chunk
 
 
-def compact_changes(df: DataFrame, key: str, ts: str, value: str, tie: Sequence[str] = (), chunk: str = "month") -> DataFrame:
+def compact_changes(df: DataFrame, key: str, ts: str, value: str, tie: Sequence[str] = (), chunk: str = "day") -> DataFrame:
     """Drop rows whose value equals that of the row before (change points stay).
 
     A NULL value never equals anything, so NULL rows stay, as a plain comparison does.
@@ -33,7 +33,7 @@ def to_intervals(
     number: str = "seq",
     end: str = "end_time",
     gap_seconds: int = 1,
-    chunk: str = "month",
+    chunk: str = "day",
     carry: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Number the rows of a key and close each at the next start minus ``gap_seconds``.
@@ -123,7 +123,7 @@ def transition_type(
 
 
 def elapsed_until(
-    df: DataFrame, key: str, ts: str, duration: str, out: str = "elapsed_before", tie: Sequence[str] = (), chunk: str = "month"
+    df: DataFrame, key: str, ts: str, duration: str, out: str = "elapsed_before", tie: Sequence[str] = (), chunk: str = "day"
 ) -> DataFrame:
     """Sum of the durations of all earlier rows of the key (0 on the first)."""
     total = ordered(df, [key], [ts, *tie], time_chunk(ts, chunk), running={"__run": F.coalesce(F.col(duration), F.lit(0))})

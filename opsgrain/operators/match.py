@@ -13,7 +13,7 @@ from .ordered import epoch_micros, ordered, time_chunk
 
 
 def nearest_related(
-    df: DataFrame, key: str, row_id: str, ts: str, tag: str, relation: str = "any", chunk: str = "month"
+    df: DataFrame, key: str, row_id: str, ts: str, tag: str, relation: str = "any", chunk: str = "day"
 ) -> DataFrame:
     """Nearest other row of the same key: ``any``, with the ``same`` or a ``different`` tag.
 

@@ -128,7 +128,7 @@ def case_queue_transfers(
         }
     )
     q = ordered(
-        q, ["case_id"], ["queue_start_time", "queue_number"], time_chunk("queue_start_time", "month"),
+        q, ["case_id"], ["queue_start_time", "queue_number"], time_chunk("queue_start_time", "day"),
         lag={
             "previous_trans_from_name": F.col("user_name"),
             "previous_trans_from_user_id": F.col("user_id"),
@@ -151,7 +151,7 @@ def case_queue_transfers(
         }
     )
     q = ordered(
-        q, ["case_id", "queue_name"], ["queue_start_time", "queue_number"], time_chunk("queue_start_time", "month"), number="__visit"
+        q, ["case_id", "queue_name"], ["queue_start_time", "queue_number"], time_chunk("queue_start_time", "day"), number="__visit"
     )
     q = q.withColumn("first_time_in_queue", (F.col("__visit") == 1).cast("int"))
     cols = [f.name for f in CASE_TRANSFERS.fields]

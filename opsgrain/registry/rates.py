@@ -86,7 +86,15 @@ def interval_productivity(spark, sf_dir):
     return rounded(workforce.interval_productivity(_fix(WORK.spark(spark, sf_dir))), ["total_minutes"])
 
 
-@register("interval_conservation", "SELECT CAST(0 AS bigint) AS broken_cases FROM (SELECT count(*) FROM events)")
+@register(
+    "interval_conservation",
+    with_views(
+        f"""WITH {_PARTS}, p AS (SELECT case_id, sum(date_diff('second', greatest(s, a), least(e, b))) AS v FROM parts GROUP BY 1),
+w AS (SELECT case_id, date_diff('second', touch_start_time, touch_end_time) AS v FROM m)
+SELECT count(*) AS broken_cases FROM w LEFT JOIN p ON w.case_id = p.case_id WHERE p.v IS DISTINCT FROM w.v""",
+        m=WORK,
+    ),
+)
 def interval_conservation(spark, sf_dir):
     """Parts of every span add up to the span."""
     work = _fix(WORK.spark(spark, sf_dir))

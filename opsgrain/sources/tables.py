@@ -87,14 +87,14 @@ def write(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Seque
     """Create-or-replace (``overwrite``) or insert (``append``) as a file table.
 
     With ``partition_by`` only the partitions present in ``df`` are replaced (dynamic
-    overwrite), and rows are first brought together per partition value so that one
-    partition does not end in one small file per task.
+    overwrite).  Rows of a partition value are brought together first, so that it does not
+    end in one small file per task; the rebalance splits a value that is too large for one.
     """
-    out = df
-    writer = out.write.mode(mode).format(fmt)
-    if partition_by:
-        writer = out.repartition(*partition_by).write.mode(mode).format(fmt).partitionBy(*partition_by)
-    writer.save(path)
+    if not partition_by:
+        df.write.mode(mode).format(fmt).save(path)
+        return
+    together = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    together.write.mode(mode).format(fmt).option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).save(path)
 
 
 def save_table(df: DataFrame, name: str, mode: str = "overwrite") -> None:

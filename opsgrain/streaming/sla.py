@@ -119,10 +119,14 @@ def stream_trailing_reload(
         rows = rows.withColumn("day", F.col(ts).cast("date")).withColumn("batch", F.lit(batch_id))
         write(rows, landing, partition_by=["day", "batch"])
         landed = spark.read.parquet(landing)
-        newest = landed.agg(F.max("day")).first()[0]
+        newest = landed.filter(F.col("batch") == batch_id).agg(F.max("day")).first()[0]
         if newest is None:
             return
-        span = landed if batch_id == 0 else landed.filter(F.col("day") >= F.date_sub(F.lit(newest), days))
+        span = landed
+        if batch_id > 0:
+            # the facts are small, one partition per day
+            newest = max(newest, spark.read.parquet(facts_path).agg(F.max("day")).first()[0])
+            span = landed.filter(F.col("day") >= F.date_sub(F.lit(newest), days))
         touched = span.filter(F.col("batch") == batch_id).select("day").distinct()
         again = span.join(touched, "day", "left_semi")
         facts = distinct_counts(again, ["day", *keys], row_id, {"handled": None, **flags})
