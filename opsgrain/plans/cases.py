@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dialect import PACIFIC, UTC, convert_tz, datediff_boundary, ntz, safe_ratio, time_slice
+from ..functions.dialect import PACIFIC, UTC, convert_tz, datediff_boundary, safe_ratio, time_slice
 from ..operators.history import (
     compact_changes,
     event_duration,
@@ -289,5 +289,3 @@ def fcr_summary(detail: DataFrame, days: Sequence[int] = (7, 14, 28)) -> DataFra
 def fcr_flag_counts(detail: DataFrame, flag: str = "fcr_7_day") -> DataFrame:
     return detail.groupBy(flag).agg(F.count(F.lit(1)).alias("cases"))
 
-
-__all__ = [n for n in dir() if not n.startswith("_") and n not in {"annotations", "ntz"}]

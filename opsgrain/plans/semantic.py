@@ -158,13 +158,14 @@ class View:
             }
             if mine:
                 parts.append(_two_step(base, keys, row_id, mine))
-        exprs: dict[str, dict[str, float]] = {}
+        # percentiles of the same expression share one scan
+        by_expr: dict[Callable, dict[str, float]] = {}
         for n, m in needed.items():
             if m.kind == "percentile":
-                exprs.setdefault(n, {})[n] = m.point
-        for n, points in exprs.items():
-            rows_ = base.select(*keys, needed[n].expr().alias("__value"))
-            parts.append(exact_percentiles(rows_, keys, "__value", points))
+                by_expr.setdefault(m.expr, {})[n] = m.point
+        for expr, points in by_expr.items():
+            values = base.select(*keys, expr().alias("__value"))
+            parts.append(exact_percentiles(values, keys, "__value", points))
         out = parts[0] if parts else base.select(*keys).distinct()
         for p in parts[1:]:
             out = _join_same(out, p, keys)

@@ -11,6 +11,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.tables import load, text_times
 
@@ -37,7 +38,7 @@ def register(name: str, sql: str | None = None):
 
 class _Spark:
     text = "string"
-    k = "cast(get_json_object(props, '$.k') as int)"
+    k = "k"
 
     @staticmethod
     def stamp(day: str) -> str:
@@ -50,7 +51,7 @@ class _Spark:
 
 class _Duck:
     text = "varchar"
-    k = "cast(json_extract(props, '$.k') as int)"
+    k = "k"
 
     @staticmethod
     def stamp(day: str) -> str:
@@ -72,6 +73,9 @@ class View:
         out = None
         for table, cols in self.parts:
             df = load(spark, sf_dir, table)[table]
+            if table == "events":
+                # the attribute is used many times below, so it is read from the text once
+                df = df.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
             if self.where:
                 df = df.where(self.where)
             df = df.selectExpr(*cols(_Spark))
@@ -80,7 +84,8 @@ class View:
 
     def sql(self) -> str:
         cond = f" WHERE {self.where}" if self.where else ""
-        return " UNION ALL ".join(f"SELECT {', '.join(cols(_Duck))} FROM {table}{cond}" for table, cols in self.parts)
+        source = {"events": "(SELECT *, CAST(json_extract(props, '$.k') AS int) AS k FROM events)"}
+        return " UNION ALL ".join(f"SELECT {', '.join(cols(_Duck))} FROM {source.get(table, table)}{cond}" for table, cols in self.parts)
 
 
 def view(table: str, cols: Callable, where: str | None = None) -> View:

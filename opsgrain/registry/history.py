@@ -9,7 +9,7 @@ from ..operators import history as h
 from ..operators.joins import asof_dim, state_at
 from ..operators.metrics import concurrency, distinct_counts, with_totals
 from ..plans import cases, complaints, jobs
-from ..sources.tables import load
+from ..sources.tables import load, stage
 from .base import CALLS, CATALOG, EMPLOYEES, View, frames, register, view, with_views
 
 # a customer's events read as the moves of a case between queues
@@ -148,7 +148,8 @@ SELECT cq_hash_key, source, case_id, case_number, strftime(made, '%Y-%m-%d') AS
 )
 def queue_transfers(spark, sf_dir):
     stays, t = _stays(spark, sf_dir)
-    return cases.case_queue_transfers(stays, t["base_cases"])
+    # the stays are a table of their own; the transfers read it
+    return cases.case_queue_transfers(stage(stays, "case_queues"), t["base_cases"])
 
 
 @register(

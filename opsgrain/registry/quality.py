@@ -205,11 +205,9 @@ SELECT strftime(CAST(ts AS date), '%Y-%m-%d') AS ds, count(*) * CASE WHEN CAST(t
 )
 def reload_partitions(spark, sf_dir):
     """The reload as a file table: the whole history is written, then only the trailing days again."""
-    from ..streaming.sla import scratch_dir
-
     events = src.load(spark, sf_dir, "events")["events"]
     daily = events.groupBy(F.col("ts").cast("date").cast("timestamp_ntz").alias("ts")).agg(F.count(F.lit(1)).alias("n"))
-    path = scratch_dir(spark, "reload")
+    path = src.scratch_dir(spark, "reload")
     src.write(daily.withColumn("n", F.col("n") * 10).withColumn("ds", F.col("ts").cast("date")), path, "overwrite", ["ds"])
     src.reload_partitions(daily, path, "ts", date(2024, 1, 20))
     published = f"{path}-prod"

@@ -185,9 +185,9 @@ V_DUTIES = view(
     "events",
     lambda d: [
         "event_id % 4000 as assignment_id", f"{d.plus('ts', '0')} as occurred_at", f"{d.plus('ts', '90000')} as claimed_at",
-        f"case {d.k} % 9 when 0 then 'scam_payment_1' when 1 then 'risk_ATO_q' when 2 then 'x_idv' when 3 then 'rdc_returns_rars' when 4 then 'TRANSACTION_MONITORING'"
+        f"case event_id % 9 when 0 then 'scam_payment_1' when 1 then 'risk_ATO_q' when 2 then 'x_idv' when 3 then 'rdc_returns_rars' when 4 then 'TRANSACTION_MONITORING'"
         " when 5 then 'RDC_RETURNS_RARS' when 6 then 'threat_of_harm' when 7 then 'check_deposit_manual_review_x' else 'unknown' end as queue",
-        f"case when {d.k} % 4 = 0 then null else {d.k} end as handled_minutes",
+        f"case when event_id % 4 = 0 then null else cast(floor(value) as int) end as handled_minutes",
     ],
 )
 V_BANK = view("orders", lambda d: ["o_orderkey as case_id", "case when o_orderkey % 4 = 0 then 'BANKING RDC RR' else 'ACH' end as case_type", f"{d.plus(d.stamp('2024-01-01'), 'o_orderkey % 1000 * 3000')} as created_at"])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Mapping, Sequence
 from datetime import date, timedelta
 
@@ -9,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.dialect import ntz, whole_number
+from ..functions.dialect import whole_number
 from ..session import configure
 
 
@@ -137,6 +139,30 @@ def publish(spark: SparkSession, staging: str, production: str, fmt: str = "parq
     spark.read.format(fmt).load(staging).write.mode("overwrite").format(fmt).save(production)
 
 
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared checkpoint folder of the cluster.
+
+    Only a local session without that setting gets a temporary folder; elsewhere the
+    executors could not share it.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+        root = tempfile.mkdtemp(prefix="opsgrain-")
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate table below the shared checkpoint folder and read it back.
+
+    For a result that several later steps read: it is computed once and the plan starts anew.
+    """
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def update_where(df: DataFrame, pred: Column, values: Mapping[str, Column]) -> DataFrame:
     """UPDATE ... SET ... WHERE: rows where the predicate is not true keep their values."""
     return df.withColumns({c: F.when(pred, v).otherwise(F.col(c)) for c, v in values.items()})
@@ -160,6 +186,3 @@ def text_times(df: DataFrame) -> DataFrame:
         elif kind in ("timestamp", "timestamp_ntz"):
             out[f.name] = F.date_format(F.col(f.name), "yyyy-MM-dd HH:mm:ss")
     return df.withColumns(out) if out else df
-
-
-__all__ = [n for n in dir() if not n.startswith("_") and n not in {"annotations", "ntz"}]

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,25 +10,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.dialect import ntz, safe_ratio
 from ..operators.metrics import distinct_counts, threshold_alerts
-from ..sources.tables import write
+from ..sources.tables import scratch_dir, write
 
 LATENESS = "7 days"
 
 
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new folder below the shared checkpoint folder of the cluster.
-
-    Only a local session without that setting gets a temporary folder; elsewhere the
-    executors could not share it.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        root = tempfile.mkdtemp(prefix="opsgrain-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def file_stream(spark: SparkSession, directory: str, name: str, files_per_batch: int | None = None) -> DataFrame:
     """Parquet files of a folder as a stream; the schema comes from a batch read."""
     schema = spark.read.parquet(f"{directory}/{name}").schema
