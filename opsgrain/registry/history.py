@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.dialect import time_slice
 from ..operators import history as h
 from ..operators.joins import asof_dim, state_at
 from ..operators.metrics import concurrency, distinct_counts, with_totals
 from ..plans import cases, complaints, jobs
 from ..sources.tables import load, stage
-from .base import CALLS, CATALOG, EMPLOYEES, View, frames, register, view, with_views
+from .base import EMPLOYEES, View, frames, register, view, with_views
 
 # a customer's events read as the moves of a case between queues
 CASE_HISTORY = View(

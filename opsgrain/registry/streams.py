@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import configure
+from ..sources.tables import scratch_dir
 from ..streaming import sla as s
 from .base import register
 
@@ -39,7 +40,7 @@ c AS (SELECT * FROM h WHERE h + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 7
 def stream_sla(spark, sf_dir):
     events = _events(spark, sf_dir)
     hourly = s.stream_sla(events, "ts", "event_id", ["event_type"], _flags())
-    root = s.scratch_dir(spark, "stream_sla")
+    root = scratch_dir(spark, "stream_sla")
     s.run_to_end(hourly, f"{root}/out", f"{root}/checkpoint")
     return spark.read.parquet(f"{root}/out")
 
@@ -54,7 +55,7 @@ SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, strftime(ts, '%Y-%m-%d') AS day,
 )
 def stream_alerts(spark, sf_dir):
     hourly = s.stream_sla(_events(spark, sf_dir), "ts", "event_id", [], _flags())
-    root = s.scratch_dir(spark, "stream_alerts")
+    root = scratch_dir(spark, "stream_alerts")
     s.stream_alerts(hourly, f"{root}/facts", f"{root}/alerts", f"{root}/checkpoint", ceiling=15)
     return spark.read.parquet(f"{root}/alerts")
 
@@ -67,7 +68,7 @@ SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(DISTINCT event_id) AS
   count(DISTINCT CASE WHEN extract(hour FROM ts) BETWEEN 8 AND 17 THEN event_id END) AS qualified FROM events GROUP BY 1, 2""",
 )
 def stream_trailing_reload(spark, sf_dir):
-    root = s.scratch_dir(spark, "stream_reload")
+    root = scratch_dir(spark, "stream_reload")
     s.stream_trailing_reload(
         _events(spark, sf_dir), "ts", "event_id", ["event_type"], _flags(), f"{root}/landing", f"{root}/facts", f"{root}/checkpoint"
     )

@@ -4,6 +4,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
+from opsgrain.sources.tables import scratch_dir
 from opsgrain.streaming import sla as s
 
 T0 = datetime(2024, 1, 1)
@@ -46,5 +47,5 @@ def test_reload_rebuilds_touched_days_only(spark, tmp_path):
 
 def test_scratch_follows_the_cluster_setting(spark):
     old = spark.conf.get("spark.checkpoint.dir", None)
-    root = s.scratch_dir(spark, "x")
+    root = scratch_dir(spark, "x")
     assert root.startswith(old.rstrip("/") + "/x-") if old else "opsgrain-" in root
