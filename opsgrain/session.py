@@ -16,7 +16,6 @@ RUNTIME_CONF = {
     # split costs one more shuffle above the join
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 

@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 from datetime import date, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -85,18 +86,32 @@ def empty(spark: SparkSession, contract: T.StructType) -> DataFrame:
     return spark.createDataFrame([], contract)
 
 
-def write(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = (), fmt: str = "parquet") -> None:
+def create_if_absent(spark: SparkSession, path: str, contract: T.StructType, fmt: str = "parquet") -> DataFrame:
+    """The table at ``path``; an empty one with the columns of the contract if there is none."""
+    try:
+        return spark.read.format(fmt).schema(contract).load(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    empty(spark, contract).write.format(fmt).save(path)
+    return spark.read.format(fmt).schema(contract).load(path)
+
+
+def write(
+    df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = (), fmt: str = "parquet", full_refresh: bool = False
+) -> None:
     """Create-or-replace (``overwrite``) or insert (``append``) as a file table.
 
     With ``partition_by`` only the partitions present in ``df`` are replaced (dynamic
-    overwrite).  Rows of a partition value are brought together first, so that it does not
+    overwrite), or the whole table with ``full_refresh``.  Rows of a partition value are brought together first, so that it does not
     end in one small file per task; the rebalance splits a value that is too large for one.
     """
     if not partition_by:
         df.write.mode(mode).format(fmt).save(path)
         return
     together = df.hint("rebalance", *[F.col(c) for c in partition_by])
-    together.write.mode(mode).format(fmt).option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).save(path)
+    extent = "static" if full_refresh else "dynamic"
+    together.write.mode(mode).format(fmt).option("partitionOverwriteMode", extent).partitionBy(*partition_by).save(path)
 
 
 def save_table(df: DataFrame, name: str, mode: str = "overwrite") -> None:

@@ -174,6 +174,23 @@ def test_partition_reload_is_idempotent(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "prod")).count() == 22
 
 
+def test_create_append_and_full_refresh(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    assert src.create_if_absent(spark, path, HOURLY_QUEUE).count() == 0
+    row = spark.createDataFrame([(at("2024-01-01 00:00:00"), *["x"] * 4, *[2.5] * 8)])
+    src.write(src.conform(row, HOURLY_QUEUE, positional=True), path, "append")
+    again = src.create_if_absent(spark, path, HOURLY_QUEUE)
+    assert [int(r["entering_touches"]) for r in again.collect()] == [3]
+
+    parts = str(tmp_path / "parts")
+    days = spark.createDataFrame([(1, "a"), (2, "b")], "v int, day string")
+    src.write(days, parts, partition_by=["day"])
+    src.write(days.filter("v = 2").withColumn("v", F.lit(5)), parts, partition_by=["day"])
+    assert sorted(r["v"] for r in spark.read.parquet(parts).collect()) == [1, 5]
+    src.write(days.filter("v = 2"), parts, partition_by=["day"], full_refresh=True)
+    assert [r["v"] for r in spark.read.parquet(parts).collect()] == [2]
+
+
 def test_trailing_reload_and_contract(spark):
     old = spark.createDataFrame([(at("2024-01-01 00:00:00"), 1), (at("2024-01-19 00:00:00"), 1)], "ts timestamp_ntz, v int")
     new = old.withColumn("v", F.lit(2))
