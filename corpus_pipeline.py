@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from opsgrain.llm import exact_dedup, simhash
+from opsgrain.llm import exact_dedup, language_id, mixing, packing, simhash
 from opsgrain.llm.shared import store
 
 
+def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter go: no language can be told."""
+    return language_id.known_language(docs)
+
+
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(docs)
 
@@ -16,9 +23,22 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return simhash.simhash_dedup(docs, shingle=4, max_bits=4)
 
 
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
+    return mixing.mixed(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 STAGES = [
+    ("language_id", keep_known_languages),
     ("exact_dedup", drop_exact_copies),
     ("simhash_dedup", drop_near_copies),
+    ("mix_sources", mix_sources),
+    ("best_fit_packing", pack_sequences),
 ]
 
 #: The language model, the fingerprints, the sample and the packing have no SQL form; tests/llm compares them with brute force.

@@ -16,6 +16,7 @@ def _split(rows: DataFrame, body: Column, width: int, carried: list[str]) -> Dat
     on = ["gid", "digit", "ended"]
     cut = rows.withColumns({"digit": F.substring(body, 1, width), "ended": F.octet_length(body) <= width})
     groups = cut.groupBy(on).agg(F.count("*").alias("n"), F.min("rid").alias("new")).filter("n > 1").drop("n")
+    groups = store(groups, "groups")  # read from a table, so that run-time skew splitting can cut the rows of a hot group
     rest = F.when(F.col("new").isNotNull() & ~F.col("ended"), F.substring(body, width + 1, 2**31 - 1))
     return cut.join(groups, on, "left").select(*carried, F.col("new").alias("gid"), "ended", rest.alias("rest"))
 
@@ -53,6 +54,7 @@ def mark_copies(docs: DataFrame, with_rows: bool = True, first_digit: int = FIRS
         every = every.unionByName(part)
     last = F.max(F.struct("id", "rid")).alias("last")
     groups = every.groupBy("gid").agg(F.count("*").alias("size"), last).filter("size > 1")
+    groups = store(groups, "groups")
     whole = [F.struct(*[F.col("text") if c == "text" else F.col(f"other.`{c}`") for c in docs.columns]).alias("row")] if with_rows else []
     return every.join(groups, "gid", "left").select(
         F.col("id").alias("doc_id"),

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, simhash
+from . import exact_dedup, language_id, mixing, packing, pii, simhash, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -26,11 +28,44 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query("op3_language_id")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), with_rows=False)
+
+
 @_query("op4_simhash_dedup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.mark_near_copies(_table(spark, sf_dir, "documents").select("doc_id", "text"), 4, 4, with_rows=False)
 
 
+@_query("op5_mix_sources")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"), with_rows=False)
+
+
+@_query("op6_best_fit_packing")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+@_query("op7_warc_archives")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read_archives(warc.write_archives(_table(spark, sf_dir, "pages"))).drop("url")
+
+
+@_query("op8_personal_data")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(_table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    counts = [count(k) for k in ("email", "ip", "card", "phone")]
+    return found.select("doc_id", *counts, F.sha2(pii.joined(base), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"))
+
+
 @_query(
     "op9_exact_dedup",
     """
@@ -45,3 +80,41 @@ WINDOW w AS (PARTITION BY coalesce(text, ''))
 )
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_copies(_table(spark, sf_dir, "documents").select("doc_id", "text"), with_rows=False)
+
+
+#: The rules of the query on pages.
+URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
+
+
+def _sql_list(terms) -> str:
+    return "[" + ", ".join(f"'{t}'" for t in terms) + "]"
+
+
+@_query(
+    "op10_url_filter",
+    f"""
+WITH parts AS (
+  SELECT page_id,
+         translate(coalesce(url, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
+         translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+rules(rule, host_end, start, action) AS (
+  VALUES ('net/', 'net', '/', 'block'), ('example.net/en/', 'example.net', '/en/', 'allow'),
+         ('example.com/de/', 'example.com', '/de/', 'block'), ('org/fr/', 'org', '/fr/', 'allow')),
+judged AS (
+  SELECT p.*,
+         (SELECT max_by(struct_pack(rule := r.rule, action := r.action), length(r.rule)) FROM rules r
+          WHERE (p.host = r.host_end OR ends_with(p.host, '.' || r.host_end)) AND starts_with(p.path, r.start)) AS best,
+         list_filter({_sql_list(url_filter.STRICT)}, lambda t: regexp_matches(low, '(^|[^a-z0-9])' || t || '([^a-z0-9]|$)')) AS strict_terms,
+         list_filter({_sql_list(url_filter.SOFT)}, lambda t: regexp_matches(low, '(^|[^a-z0-9])' || t || '([^a-z0-9]|$)')) AS soft_terms
+  FROM parts p)
+SELECT page_id, host, path, best.rule AS rule,
+       array_to_string(strict_terms, ',') AS strict_terms, array_to_string(soft_terms, ',') AS soft_terms,
+       coalesce(best.action, CASE WHEN len(strict_terms) > 0 OR len(soft_terms) >= {url_filter.SOFT_NEEDED} THEN 'block' ELSE 'allow' END) AS verdict
+FROM judged
+""",
+)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = url_filter.filter_urls(_table(spark, sf_dir, "pages"), URL_RULES)
+    return out.withColumns({c: F.array_join(c, ",") for c in ("strict_terms", "soft_terms")})

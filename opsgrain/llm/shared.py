@@ -75,13 +75,15 @@ def components(edges: DataFrame) -> DataFrame:
     before = state(now)
     while before[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        new = store(small.unionByName(least.withColumnRenamed("m", "v")).distinct(), "edges")
+        # the minima are written, so that run-time skew splitting can cut the edges of a hub in the join
+        least = store(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+        large = store(both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
+        lower = store(large.groupBy("u").agg(F.min("v").alias("m")), "least")
+        small = large.join(lower, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        new = store(small.unionByName(lower.withColumnRenamed("m", "v")).distinct(), "edges")
         after = state(new)
-        discard(spark, now)
+        for old in (now, least, large, lower):
+            discard(spark, old)
         now = new
         if after == before:
             break

@@ -182,8 +182,9 @@ def mark_near_copies(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MA
     classes = store(prints.groupBy("fp").agg(first), "classes")
     found = components(links(classes.select("fp"), max_bits))
     roots = classes.join(found, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("root", "fp").alias("root"), "first")
-    best = roots.groupBy("root").agg(F.min("first").alias("best"))
-    roots = roots.join(best, "root").select("fp", "best")
+    roots = store(roots, "roots")
+    best = store(roots.groupBy("root").agg(F.min("first").alias("best")), "best")
+    roots = store(roots.join(best, "root").select("fp", "best"), "roots")  # tables, so that a hot fingerprint is split in the join
     return prints.join(roots, "fp").select(
         F.col("id").alias("doc_id"),
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
