@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language_id, mixing, packing, pii, simhash, url_filter, warc
+from . import exact_dedup, language_id, mixing, near_vectors, packing, pii, simhash, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -28,6 +28,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query("op2_near_vectors")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.mark_near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 @_query("op3_language_id")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), with_rows=False)
