@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language_id, mixing, near_vectors, packing, pii, simhash, url_filter, warc
+from . import exact_dedup, language_id, mixing, near_vectors, packing, pii, quotes, simhash, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -28,6 +28,74 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_BLANKS, _UPPER = "[ \\t-\\r]+", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _norm(text: str) -> str:
+    return f"trim(regexp_replace(translate({text}, '{_UPPER}', '{_UPPER.lower()}'), '{_BLANKS}', ' ', 'g'))"
+
+
+@_query(
+    "op1_quote_links",
+    rf"""
+WITH RECURSIVE messages AS (
+  SELECT row_number() OVER () AS mid, conv_id, turn, role, text, string_split_regex(coalesce(text, ''), '\r\n|\r|\n') AS parts
+  FROM conversations),
+lines AS (
+  SELECT mid, unnest(parts) AS line, generate_subscripts(parts, 1) AS place FROM messages),
+marked AS (
+  SELECT *, length(regexp_replace(regexp_extract(line, '^(?:[ \t]*>)+'), '[^>]', '', 'g')) AS marks,
+         regexp_replace(line, '^(?:[ \t]*>)+ ?', '') AS body
+  FROM lines),
+told AS (
+  SELECT * REPLACE (CASE WHEN marks = 0 AND coalesce(lead(marks) OVER (PARTITION BY mid ORDER BY place), 0) > 0
+      AND regexp_matches(line, '(?i)^[ \t]*(?:on|le|am|el) .{{1,200}}(?:wrote|écrit|schrieb|escribió)[^:]{{0,80}}:[ \t]*$') THEN -1 ELSE marks END AS marks)
+  FROM marked),
+turned AS (
+  SELECT *, CASE WHEN marks IS DISTINCT FROM lag(marks) OVER (PARTITION BY mid ORDER BY place) THEN 1 ELSE 0 END AS begins FROM told),
+numbered AS (
+  SELECT *, sum(begins) OVER (PARTITION BY mid ORDER BY place) AS run FROM turned),
+runs AS (
+  SELECT mid, run, any_value(marks) AS depth, string_agg(body, chr(10) ORDER BY place) AS whole FROM numbered GROUP BY mid, run),
+texts AS (
+  SELECT mid, run, depth, 0 AS level, whole AS t FROM runs
+  UNION ALL SELECT mid, run, depth, 1, unnest(string_split_regex(whole, '\n[ \t]*\n')) FROM runs
+  UNION ALL SELECT mid, run, marks, 2, body FROM numbered),
+units AS (
+  SELECT DISTINCT m.conv_id, m.turn, x.mid, x.run, x.depth, x.level, {_norm("x.t")} AS norm
+  FROM texts x JOIN messages m USING (mid) WHERE m.conv_id IS NOT NULL AND m.turn IS NOT NULL),
+found AS (
+  SELECT q.mid, q.run, q.depth, q.level, q.norm, max({{'turn': o.turn, 'mid': o.mid}}) AS source
+  FROM units q JOIN units o ON o.conv_id = q.conv_id AND o.norm = q.norm AND o.depth = 0 AND o.turn < q.turn
+  WHERE q.depth > 0 AND q.norm <> '' GROUP BY ALL),
+scored AS (
+  SELECT mid, run, depth, level, source, sum(length(norm)) AS chars FROM found GROUP BY ALL),
+linked AS (
+  SELECT mid, run, depth, max({{'l': -level, 'chars': chars, 'source': source}}) AS best FROM scored GROUP BY mid, run, depth),
+replies AS (
+  SELECT mid, count(*) AS n_linked, max({{'d': -depth, 'chars': best.chars, 'source': best.source}}).source AS reply FROM linked GROUP BY mid),
+chain(mid, turn, source) AS (
+  SELECT mid, reply.turn, reply.mid FROM replies
+  UNION ALL SELECT c.mid, r.reply.turn, r.reply.mid FROM chain c JOIN replies r ON r.mid = c.source),
+roots AS (SELECT mid, min(turn) AS turn, arg_min(source, turn) AS source FROM chain GROUP BY mid),
+placed AS (
+  SELECT m.mid, coalesce(r.turn, m.turn) AS thread,
+         row_number() OVER (PARTITION BY m.conv_id ORDER BY coalesce(r.turn, m.turn), coalesce(r.source, m.mid), m.turn, m.mid) AS position
+  FROM messages m LEFT JOIN roots r USING (mid) WHERE m.conv_id IS NOT NULL AND m.turn IS NOT NULL),
+own AS (
+  SELECT mid, coalesce(string_agg(CASE WHEN marks = 0 THEN body END, chr(10) ORDER BY place), '') AS kept, bool_or(marks <> 0) AS quotes FROM told GROUP BY mid),
+counts AS (
+  SELECT mid, count(*) FILTER (depth > 0) AS n_quotes, greatest(max(depth), 0) AS max_depth FROM runs GROUP BY mid)
+SELECT m.conv_id, m.turn, m.role,
+       CASE WHEN o.quotes THEN regexp_replace(regexp_replace(o.kept, '^{_BLANKS}', ''), '{_BLANKS}$', '') ELSE m.text END AS text,
+       c.n_quotes, c.max_depth, coalesce(r.n_linked, 0) AS n_linked, r.reply.turn AS reply_to, p.thread, p.position
+FROM messages m JOIN own o USING (mid) JOIN counts c USING (mid) LEFT JOIN replies r USING (mid) LEFT JOIN placed p USING (mid)
+""",
+)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.link_quotes(_table(spark, sf_dir, "conversations"))
+
+
 @_query("op2_near_vectors")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.mark_near_vectors(_table(spark, sf_dir, "embeddings"))
