@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.dialect import add, array_slice0, datediff_boundary
+from ..functions.dialect import add, datediff_boundary
 from .metrics import with_totals
 from .ordered import asof_lookup, ordered, time_chunk
 
@@ -52,41 +52,17 @@ def to_intervals(
     return out.withColumn(end, add("second", -gap_seconds, "__next")).drop("__next")
 
 
-def path_columns(
-    df: DataFrame, key: str, seq: str, value: str, sep: str = ", ", max_steps: int = 20_000, steps: DataFrame | None = None
-) -> DataFrame:
-    """all_path, prior_path and later_path as text; NULL where prior or later is empty.
+def path_steps(df: DataFrame, key: str, seq: str, value: str) -> DataFrame:
+    """The path of a key as rows (key, step, value, prior_steps, later_steps, is_last).
 
-    The path is part of every result row, so it must fit into a row.  A key with more than
-    ``max_steps`` steps fails loudly instead of being cut; use ``path_steps`` for those.
-    ``steps`` may name a cheaper frame with the same key, seq and value (1, 2, ... per key).
+    The prior and the later path of a step are the rows of the key with a smaller and a larger step, so the size of the result is
+    that of the input; as text in every row it would grow with the square of a key's rows.  Steps count 1, 2, ... per key.
     """
-    # the position itself tells an overlong path before anything is collected
-    too_long = F.raise_error(F.lit("path longer than max_steps; use path_steps")).cast(df.schema[seq].dataType)
-    step = F.struct(F.when(F.col(seq) > max_steps, too_long).otherwise(F.col(seq)).alias("s"), F.col(value).alias("v"))
-    fitting = (
-        (steps if steps is not None else df)
-        .groupBy(F.col(key).alias("__k"))
-        .agg(F.sort_array(F.collect_list(step)).alias("__all"))
-        .select("__k", F.transform("__all", lambda x: x["v"]).alias("__all"))
-    )
-    joined = df.join(fitting, F.col(key) == F.col("__k"), "left").drop("__k")
-    size = F.size("__all")
-    prior = array_slice0("__all", 0, F.col(seq) - 1)
-    later = array_slice0("__all", F.col(seq), size)
-    return joined.withColumns(
-        {
-            "all_path": F.array_join("__all", sep),
-            "prior_path": F.when(F.size(prior) > 0, F.array_join(prior, sep)),
-            "later_path": F.when(F.size(later) > 0, F.array_join(later, sep)),
-        }
-    ).drop("__all")
-
-
-def path_steps(df: DataFrame, key: str, seq: str, value: str) -> DataFrame:
-    """The path as rows (key, step, value, is_last): no limit on its length."""
     last = with_totals(df.select(key, seq, value), [key], {"__last": F.max(seq)})
-    return last.select(key, F.col(seq).alias("step"), F.col(value).alias("value"), (F.col(seq) == F.col("__last")).alias("is_last"))
+    return last.select(
+        key, F.col(seq).alias("step"), F.col(value).alias("value"), (F.col(seq) - 1).cast("bigint").alias("prior_steps"),
+        (F.col("__last") - F.col(seq)).cast("bigint").alias("later_steps"), (F.col(seq) == F.col("__last")).alias("is_last"),
+    )
 
 
 def transition_type(

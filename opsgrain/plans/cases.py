@@ -13,7 +13,6 @@ from ..operators.history import (
     event_duration,
     field_to_columns,
     pair_events,
-    path_columns,
     to_intervals,
     transition_type,
 )
@@ -108,13 +107,12 @@ def case_queue_transfers(
     auto_response_queue: str = "EMAIL AUTO RESPONSE",
     bot_name: str = "Bot",
     bot_display: str = "Support Robot",
-    paths: bool = True,
     contract: bool = False,
 ) -> DataFrame:
-    """The stays with the move that led to each, elapsed queue time and the queue path.
+    """The stays with the move that led to each and elapsed queue time; ``history.path_steps`` has the queue path.
 
     Earlier queue time adds up row by row; two stays that start in the same second do not
-    count each other twice.  ``paths=False`` leaves the path text out.
+    count each other twice.
     """
     base = base_cases.filter(F.col("case_created_at") >= F.lit(since).cast("timestamp_ntz")).select(
         F.col("case_id").alias("__b"), F.col("case_created_at").cast("date").alias("case_creation_date")
@@ -154,15 +152,8 @@ def case_queue_transfers(
         q, ["case_id", "queue_name"], ["queue_start_time", "queue_number"], time_chunk("queue_start_time", "day"), number="__visit"
     )
     q = q.withColumn("first_time_in_queue", (F.col("__visit") == 1).cast("int"))
-    cols = [f.name for f in CASE_TRANSFERS.fields]
-    if paths:
-        q = path_columns(q, "case_id", "queue_number", "queue_name", steps=queues).withColumnsRenamed(
-            {"all_path": "all_queues", "prior_path": "prior_queues", "later_path": "later_queues"}
-        )
-    else:
-        cols = cols[:-3]
-    out = q.select(*cols)
-    return conform(out, CASE_TRANSFERS) if contract and paths else out
+    out = q.select(*[f.name for f in CASE_TRANSFERS.fields])
+    return conform(out, CASE_TRANSFERS) if contract else out
 
 
 def handle_time_detail(t: Tables, *, case_since: str, touch_since: str, ended_since: str, link_prefix: str = "") -> DataFrame:

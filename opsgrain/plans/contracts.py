@@ -105,7 +105,4 @@ CASE_TRANSFERS = schema(
     ("queue_end_time", _TS, "left the queue"),
     ("time_in_queue_minutes", _WHOLE, "minutes in the queue"),
     ("case_life_till_queue", _WHOLE, "minutes in queues before this one"),
-    ("all_queues", "string", "all queues of the case"),
-    ("prior_queues", "string", "queues before"),
-    ("later_queues", "string", "queues after"),
 )

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.dialect import array_slice0
 from ..operators import history as h
 from ..operators.joins import asof_dim, state_at
 from ..operators.metrics import concurrency, distinct_counts, with_totals
+from ..operators.ordered import ordered
 from ..plans import cases, complaints, jobs
 from ..sources.tables import load, stage
 from .base import EMPLOYEES, View, frames, register, view, with_views
@@ -126,10 +128,7 @@ def queue_history(spark, sf_dir):
 y AS (
   SELECT *, lag(queue_name) OVER w AS pqn, lag(queue_type) OVER w AS pqt, lag(user_name) OVER w AS pun, lag(user_id) OVER w AS pui, lag(queue_id) OVER w AS pqi,
     coalesce(sum(mins) OVER (PARTITION BY case_id ORDER BY queue_number ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS life,
-    row_number() OVER (PARTITION BY case_id, queue_name ORDER BY queue_number) AS visit,
-    string_agg(queue_name, ', ' ORDER BY queue_number) OVER (PARTITION BY case_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS all_queues,
-    string_agg(queue_name, ', ') OVER (PARTITION BY case_id ORDER BY queue_number ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prior_queues,
-    string_agg(queue_name, ', ') OVER (PARTITION BY case_id ORDER BY queue_number ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS later_queues
+    row_number() OVER (PARTITION BY case_id, queue_name ORDER BY queue_number) AS visit
   FROM x WINDOW w AS (PARTITION BY case_id ORDER BY queue_number)),
 z AS (SELECT *, CASE WHEN pqn = 'EMAIL AUTO RESPONSE' THEN 'OMNI' WHEN queue_number = 1 THEN 'FIRST QUEUE' ELSE pqt END AS frm FROM y)
 SELECT cq_hash_key, source, case_id, case_number, strftime(made, '%Y-%m-%d') AS case_creation_date, employee_id, user_id, user_name, user_is_bot, queue_id,
@@ -140,8 +139,7 @@ SELECT cq_hash_key, source, case_id, case_number, strftime(made, '%Y-%m-%d') AS
     ELSE 'EXTERNAL TRANSFER' END AS trans_team_type,
   pun AS previous_trans_from_name, pui AS previous_trans_from_user_id, pqn AS previous_trans_from_queue_name, pqi AS previous_trans_from_queue_id,
   transfer_reason, transfer_comment, strftime(queue_start_time, '%Y-%m-%d %H:%M:%S') AS queue_start_time,
-  strftime(queue_end_time, '%Y-%m-%d %H:%M:%S') AS queue_end_time, mins AS time_in_queue_minutes, CAST(life AS bigint) AS case_life_till_queue,
-  all_queues, prior_queues, later_queues FROM z""",
+  strftime(queue_end_time, '%Y-%m-%d %H:%M:%S') AS queue_end_time, mins AS time_in_queue_minutes, CAST(life AS bigint) AS case_life_till_queue FROM z""",
         **_STAY_VIEWS,
     ),
 )
@@ -188,7 +186,7 @@ TOKEN_CASES = view(
     "customer",
     lambda d: [f"cast(c_custkey as {d.text}) as token", "c_nationkey as queue_label_id", f"concat('T', cast(c_custkey as {d.text})) as target_token"],
 )
-LABELS = view("nation", lambda d: ["n_nationkey as id", "n_name as name"], "n_regionkey <> 4")
+LABELS = view("nation", lambda d: ["case when n_regionkey = 4 then -1 - n_nationkey else n_nationkey end as id", "n_name as name"])
 
 
 @register(
@@ -277,8 +275,7 @@ def handle_time_totals(spark, sf_dir):
 
 CHANNEL_HISTORY = view(
     "events",
-    lambda d: ["user_id as case_id", "event_type as new_value", "ts as created_at_utc"],
-    "event_type <> 'error'",
+    lambda d: ["case when event_type = 'error' then -1 - user_id else user_id end as case_id", "event_type as new_value", "ts as created_at_utc"],
 )
 SURVEYS = view(
     "customer",
@@ -440,7 +437,7 @@ JOB_ITEMS = view(
         f"concat('out.mart.', l_linestatus, cast(l_partkey % 5 as {d.text})) as target_table",
     ],
 )
-JOB_USERS = view("customer", lambda d: ["c_custkey as id", "c_name as user_name"], "c_mktsegment <> 'BUILDING'")
+JOB_USERS = view("customer", lambda d: ["case when c_mktsegment = 'BUILDING' then -1 - c_custkey else c_custkey end as id", "c_name as user_name"])
 _TOP = """top AS (SELECT i.*, max(job_version) OVER (PARTITION BY job_id) AS mx FROM i)"""
 
 
@@ -579,26 +576,41 @@ def elapsed_before(spark, sf_dir):
 @register(
     "path_steps",
     """
-SELECT conv_id, turn AS step, role AS value, turn = max(turn) OVER (PARTITION BY conv_id) AS is_last FROM conversations""",
+WITH n AS (SELECT conv_id, role, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS step FROM conversations)
+SELECT conv_id, step, role AS value, step - 1 AS prior_steps, count(*) OVER (PARTITION BY conv_id) - step AS later_steps,
+  step = count(*) OVER (PARTITION BY conv_id) AS is_last FROM n""",
 )
 def path_steps(spark, sf_dir):
-    return h.path_steps(load(spark, sf_dir, "conversations")["conversations"], "conv_id", "turn", "role")
+    talk = load(spark, sf_dir, "conversations")["conversations"].select("conv_id", "turn", "role")
+    numbered = ordered(talk, ["conv_id"], ["turn"], F.floor(F.col("turn") / 100), number="seq")
+    return h.path_steps(numbered, "conv_id", "seq", "role")
 
 
 @register(
-    "path_text",
-    """
-WITH n AS (SELECT conv_id, role, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS seq FROM conversations)
-SELECT conv_id, seq, string_agg(role, ', ' ORDER BY seq) OVER (PARTITION BY conv_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS all_path,
-  string_agg(role, ', ') OVER (PARTITION BY conv_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prior_path,
-  string_agg(role, ', ') OVER (PARTITION BY conv_id ORDER BY seq ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS later_path FROM n""",
+    "queue_paths",
+    with_views(
+        _STAYS
+        + """SELECT case_id, queue_number AS step, queue_name AS value, queue_number - 1 AS prior_steps,
+  count(*) OVER (PARTITION BY case_id) - queue_number AS later_steps, lead(queue_number) OVER (PARTITION BY case_id ORDER BY queue_number) IS NULL AS is_last FROM stays""",
+        **_STAY_VIEWS,
+    ),
 )
-def path_text(spark, sf_dir):
-    from ..operators.ordered import ordered
+def queue_paths(spark, sf_dir):
+    return h.path_steps(_stays(spark, sf_dir)[0], "case_id", "queue_number", "queue_name")
 
-    talk = load(spark, sf_dir, "conversations")["conversations"].select("conv_id", "turn", "role")
-    numbered = ordered(talk, ["conv_id"], ["turn"], F.floor(F.col("turn") / 100), number="seq")
-    return h.path_columns(numbered, "conv_id", "seq", "role").select("conv_id", "seq", "all_path", "prior_path", "later_path")
+
+@register(
+    "array_slices",
+    """
+WITH a AS (SELECT p_partkey, string_split(p_type, ' ') AS words FROM part)
+SELECT p_partkey, array_to_string(words[1:1], ', ') AS head, array_to_string(words[2:], ', ') AS rest, len(words) AS words_n FROM a""",
+)
+def array_slices(spark, sf_dir):
+    words = F.split("p_type", " ", -1)
+    return load(spark, sf_dir, "part")["part"].select(
+        "p_partkey", F.array_join(array_slice0(words, 0, 1), ", ").alias("head"),
+        F.array_join(array_slice0(words, 1, F.size(words)), ", ").alias("rest"), F.size(words).cast("bigint").alias("words_n"),
+    )
 
 
 @register(

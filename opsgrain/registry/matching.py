@@ -153,10 +153,9 @@ CASE_PAYMENTS = view(
 DUTIES = view(
     "events",
     lambda d: [
-        "event_id as assignment_id", "user_id as customer_token", f"{d.plus('ts', '5 * 3600')} as occurred_at",
+        "event_id as assignment_id", "case when event_type = 'signup' then user_id else -1 - user_id end as customer_token", f"{d.plus('ts', '5 * 3600')} as occurred_at",
         f"case when {d.k} % 3 = 0 then null else {d.plus('ts', '6 * 3600')} end as submitted_at", "event_type as queue",
-    ],
-    "event_type = 'signup'",
+    ]
 )
 _PAY_VIEWS = dict(p=PAYMENTS, al=AUDITS, e=EMPLOYEES, sc=PAY_CASES, ff=CASE_PAYMENTS, n=DUTIES)
 
@@ -242,16 +241,16 @@ def reimburse_refund_union(spark, sf_dir):
     "regex_key_join",
     """
 WITH d AS (SELECT doc_id, nullif(regexp_extract(text, '[0-9]{8}([0-9]{1})?'), '') AS num, nullif(regexp_extract(text, 'CCN-[0-9]+'), '') AS ccn FROM documents),
-k AS (SELECT o_orderkey, lpad(CAST(o_orderkey AS varchar), 8, '0') AS number FROM orders),
-n AS (SELECT right(num, 3) AS tail, * FROM d)
-SELECT doc_id, num AS case_number, ccn AS complaint_number, o_orderkey FROM n LEFT JOIN k ON concat('00000', tail) = k.number""",
+k AS (SELECT regexp_extract(text, '[0-9]{8,9}') AS number, min(doc_id) AS case_id FROM documents GROUP BY 1)
+SELECT doc_id, num AS case_number, ccn AS complaint_number, case_id FROM d LEFT JOIN k ON num = k.number""",
 )
 def regex_key_join(spark, sf_dir):
-    t = load(spark, sf_dir, "documents", "orders")
-    found = payments.comment_references(t["documents"].select("doc_id", "text"), "text").drop("text")
-    keys = t["orders"].select("o_orderkey", F.lpad(F.col("o_orderkey").cast("string"), 8, "0").alias("number"))
-    found = found.withColumn("number", F.concat(F.lit("00000"), F.right("case_number", F.lit(3))))
-    return found.join(keys, "number", "left").drop("number")
+    """The first text that mentions a number is its case; every text is joined to it by the whole number."""
+    docs = load(spark, sf_dir, "documents")["documents"].select("doc_id", "text")
+    found = payments.comment_references(docs, "text").drop("text")
+    number = F.regexp_extract("text", "[0-9]{8,9}", 0).alias("case_number")
+    keys = docs.groupBy(number).agg(F.min("doc_id").alias("case_id"))
+    return found.join(keys, "case_number", "left")
 
 
 @register(
@@ -336,9 +335,8 @@ REM_CASES = view(
 REM_OWNERS = view(
     "events",
     lambda d: [
-        "user_id as case_id", f"cast({d.k} as bigint) as new_value", f"case when {d.k} % 10 = 4 then 'Escalations' else 'Team' end as new_name", "ts as created_at_utc",
+        "case when event_type in ('view', 'error') then user_id else -1 - user_id end as case_id", f"cast({d.k} as bigint) as new_value", f"case when {d.k} % 10 = 4 then 'Escalations' else 'Team' end as new_name", "ts as created_at_utc",
     ],
-    "event_type in ('view', 'error')",
 )
 REM_MAILS = view(
     "events",

@@ -297,7 +297,10 @@ M_MODEL = View(
         ),
     )
 )
-M_COMPLAINTS = view("documents", lambda d: ["doc_id as case_id", "case when n_chars % 2 = 0 then 'Internal' else 'Global' end as workflow"], "lang <> 'de'")
+M_COMPLAINTS = view(
+    "documents",
+    lambda d: ["case when lang = 'de' then -1 - doc_id else doc_id end as case_id", "case when n_chars % 2 = 0 then 'Internal' else 'Global' end as workflow"],
+)
 # noon timestamps: the Pacific shift of seven or eight hours never changes the day
 _MONTH = "CAST(date_trunc('month', {} - INTERVAL 8 HOUR) AS date)"
 
@@ -397,8 +400,10 @@ def trailing3_rate(spark, sf_dir):
 MESSAGES = view("events", lambda d: ["event_id as message_token", "ts as message_at_utc", "case when event_type = 'error' then 'BOT' else 'CUSTOMER' end as sender"])
 PROSPECTS = view(
     "events",
-    lambda d: ["event_id as chat_message_token", "user_id as conversation_token", f"{d.plus('ts', f'{d.k} * 60')} as detected_at"],
-    "event_type <> 'click'",
+    lambda d: [
+        "case when event_type = 'click' then -1 - event_id else event_id end as chat_message_token", "user_id as conversation_token",
+        f"{d.plus('ts', f'{d.k} * 60')} as detected_at",
+    ],
 )
 
 
@@ -598,7 +603,7 @@ def voice_revalidation(spark, sf_dir):
 
 
 V_PHONE = view("orders", lambda d: ["o_orderkey as case_id", "case o_orderstatus when 'F' then 'Phone' else 'Chat' end as origin", "o_orderdate as case_creation_date_time"])
-V_LINES = view("lineitem", lambda d: ["l_orderkey as case_id"], "l_quantity > 20")
+V_LINES = view("lineitem", lambda d: ["case when l_quantity > 20 then l_orderkey else -1 - l_orderkey end as case_id"])
 
 
 @register(
@@ -647,17 +652,17 @@ S_COMPLAINTS = view(
         "o_orderkey % 2 = 0 as pushback", "o_orderkey % 3 = 0 as rejected_response",
     ],
 )
+_ANSWERED = "case when o_orderstatus = 'P' then -1 - o_orderkey else o_orderkey end as parent_id"
 S_HISTORY = View(
     (
-        ("orders", lambda d: ["o_orderkey as parent_id", "'date_responded_in_bbb' as field", "'1999-05-06 10:00:00' as new_value", "o_orderdate as created_at_utc"]),
-        ("orders", lambda d: ["o_orderkey as parent_id", "'date_responded_in_bbb' as field", "'2000-01-02 00:00:00' as new_value", f"{d.plus('o_orderdate', 'o_orderkey % 3 * 100')} as created_at_utc"]),
-    ),
-    "o_orderstatus <> 'P'",
+        ("orders", lambda d: [_ANSWERED, "'date_responded_in_bbb' as field", "'1999-05-06 10:00:00' as new_value", "o_orderdate as created_at_utc"]),
+        ("orders", lambda d: [_ANSWERED, "'date_responded_in_bbb' as field", "'2000-01-02 00:00:00' as new_value", f"{d.plus('o_orderdate', 'o_orderkey % 3 * 100')} as created_at_utc"]),
+    )
 )
-S_SPONSORED = view("customer", lambda d: ["c_custkey as dependent_customer_token"], "c_mktsegment = 'BUILDING'")
+S_SPONSORED = view("customer", lambda d: ["case when c_mktsegment = 'BUILDING' then c_custkey else -1 - c_custkey end as dependent_customer_token"])
 S_CARDS = view("events", lambda d: ["user_id as customer_token", "event_type as sponsoring_bank", "ts as created_at"])
 S_QUEUES = view("region", lambda d: ["cast(r_regionkey as bigint) as queue_id", "r_name as queue_name"])
-S_USERS = view("customer", lambda d: ["c_custkey as id", "concat('user ', c_name) as name"], "c_mktsegment <> 'MACHINERY'")
+S_USERS = view("customer", lambda d: ["case when c_mktsegment = 'MACHINERY' then -1 - c_custkey else c_custkey end as id", "concat('user ', c_name) as name"])
 
 
 def _bdays(a: str, b: str) -> str:
@@ -722,17 +727,14 @@ def business_day_sla(spark, sf_dir):
 
 @register(
     "business_days",
-    """SELECT o_orderkey, (SELECT count(*) FROM generate_series(CAST(o_orderdate AS date) + 1, CAST(l_shipdate AS date), INTERVAL 1 DAY) g(x) WHERE isodow(x) < 6) AS days
-FROM orders JOIN (SELECT l_orderkey, min(l_shipdate) AS l_shipdate FROM lineitem GROUP BY 1) ON o_orderkey = l_orderkey
-WHERE l_shipdate >= o_orderdate AND date_diff('day', o_orderdate, l_shipdate) < 200""",
+    f"""SELECT o_orderkey, CAST(CASE WHEN l_shipdate >= o_orderdate THEN {_bdays('o_orderdate', 'l_shipdate')} ELSE -{_bdays('l_shipdate', 'o_orderdate')} END AS bigint) AS days
+FROM orders JOIN (SELECT l_orderkey, min(l_shipdate) AS l_shipdate FROM lineitem GROUP BY 1) ON o_orderkey = l_orderkey""",
 )
 def business_days(spark, sf_dir):
     t = load(spark, sf_dir, "orders", "lineitem")
     first = t["lineitem"].groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.min("l_shipdate").alias("l_shipdate"))
-    rows = t["orders"].join(first, "o_orderkey").filter(
-        (F.col("l_shipdate") >= F.col("o_orderdate")) & (F.datediff(F.col("l_shipdate").cast("date"), F.col("o_orderdate").cast("date")) < 200)
-    )
-    return rows.select("o_orderkey", business_days_between("o_orderdate", "l_shipdate").alias("days"))
+    """Also for ranges of years and for reversed ones, whose count is negative."""
+    return t["orders"].join(first, "o_orderkey").select("o_orderkey", business_days_between("o_orderdate", "l_shipdate").alias("days"))
 
 
 # -- percentiles, buckets, shares -----------------------------------------------------------------

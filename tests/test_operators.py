@@ -149,12 +149,8 @@ def test_queue_stays(spark):
     rows = [(r["case"], r["q"], r["seq"], r["end_time"]) for r in stays.orderBy("case", "seq").collect()]
     assert [r[:3] for r in rows] == [("c", "A", 1), ("c", "B", 2), ("c", "A", 3), ("d", "B", 1)]
     assert rows[0][3] == at("2024-01-01 00:09:59") and rows[2][3] is None
-    paths = {r["seq"]: (r["all_path"], r["prior_path"], r["later_path"]) for r in h.path_columns(stays.filter("case = 'c'"), "case", "seq", "q").collect()}
-    assert paths == {1: ("A, B, A", None, "B, A"), 2: ("A, B, A", "A", "A"), 3: ("A, B, A", "A, B", None)}
-    alone = h.path_columns(stays.filter("case = 'd'"), "case", "seq", "q").first()
-    assert (alone["all_path"], alone["prior_path"], alone["later_path"]) == ("B", None, None)
-    with pytest.raises(Exception, match="max_steps"):
-        h.path_columns(stays, "case", "seq", "q", max_steps=2).collect()
+    paths = sorted(tuple(r) for r in h.path_steps(stays, "case", "seq", "q").collect())
+    assert paths == [("c", 1, "A", 0, 2, False), ("c", 2, "B", 1, 1, False), ("c", 3, "A", 2, 0, True), ("d", 1, "B", 0, 0, True)]
     total = h.elapsed_until(stays.withColumn("d", F.col("seq") * 10), "case", "t", "d").orderBy("case", "seq").collect()
     assert [r["elapsed_before"] for r in total] == [0, 10, 30, 0]
 
