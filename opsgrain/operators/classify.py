@@ -108,45 +108,6 @@ def classify(text: str | Column, rules: Sequence[TextRule], default: Column | No
     return case([(r.condition(t), r.label) for r in rules], default)
 
 
-def queue_rules(card: str = "Card", pay: str = "Pay", coin: str = "Coin") -> list[TextRule]:
-    """Queue-name rules, in order.  The arguments are the product names used in the queue names."""
-    # Label and ILIKE patterns, first match wins.
-    return [
-        TextRule("AR", (f"%{coin} IDV%", "%IDV Florida Limits%", "%IDV Manual Verification%", "%Compliance Review%")),
-        TextRule("AR", ("%Risk EV Manual Verification%",)),
-        TextRule("ATO", ("Risk ATO", "Risk ATO Voice", "ATO Brokerage and Lending", "%Messaging Risk ATO Specialty%")),
-        TextRule("Disputes", (f"%{pay} Disputes%",)),
-        TextRule("Disputes", (f"%Disputes {card}%",)),
-        TextRule("Disputes", ("%Disputes P2P%",)),
-        TextRule("Disputes", ("%Disputes Service Claim%",)),
-        TextRule("Disputes", ("%Priority Disputes%",)),
-        TextRule("Disputes", ("%Disputes Specialty%",)),
-        TextRule("Disputes", ("%Claim Docs%",)),
-        TextRule("Remote Deposit Capture", ("%Mobile Check Deposits%",)),
-        TextRule("Banking", ("%Banking%",)),
-        TextRule("Banking", ("%Risk: Paper Money%",)),
-        TextRule("Remote Deposit Capture", ("%Missing Deposits%",)),
-        TextRule("Banking", (f"%{card} Suspension%",)),
-        TextRule("Remote Deposit Capture", ("%Standard Deposit R06 and Reversal%",)),
-    ]
-
-
-def assignment_rules(check_queue: str = "%check_deposit_manual_review%", monitoring_label: str = "Banking Fraud") -> list[TextRule]:
-    """Rules for the assignment queue, in order; no match means the row is not counted."""
-    # Label and patterns, first match wins.
-    return [
-        TextRule("AR", ("%scam_payment%",)),
-        TextRule("AR", ("%instrument_verification%",)),
-        TextRule("AR", ("%enhanced_verification%",)),
-        TextRule("AR", ("%risk_elder_abuse%", "%threat_of_harm%", "%brokerage_elder_abuse%")),
-        TextRule("ATO", ("%ato%",)),
-        TextRule("Remote Deposit Capture", (check_queue,)),
-        TextRule("AR", ("%idv%",)),
-        TextRule("Remote Deposit Capture", ("rdc_returns_rars",), exact=True),
-        TextRule(monitoring_label, ("TRANSACTION_MONITORING",), exact=True),
-    ]
-
-
 def origin_default(origin: str | Column) -> Column:
     """Class of a case no queue rule matched."""
     o = col(origin)

@@ -293,29 +293,16 @@ def incident_prospects(
     )
 
 
-# Result texts, in the order of the rules.
-BUCKETS = {
-    "central": "No Action Required: Handled by the central team",
-    "mail_action": "Bulk Update Status to Closed: Resolved case with specialist email response & Resulting Action",
-    "mail": "Bulk Update Status to Closed: Resolved case with specialist email response",
-    "mail_open": "TBD: Unresolved case with specialist email response",
-    "any_mail": "TBD: Resolved case with email response",
-    "owned": "TBD: Resolved case with specialist ownership",
-    "closed": "Requires Review: Complaint has closed date and case is resolved",
-    "before_queue": "Requires Review: Case Resolved Before Escalation Queue",
-    "none": "Requires Review: No Bucket",
-}
-
-
 def remediation_list(
-    t: Tables, *, specialist: Sequence[str], escalation_queue: str, business_unit: str, link_prefix: str = "",
+    t: Tables, *, specialist: Sequence[str], escalation_queue: str, business_unit: str, texts: Mapping[str, str], link_prefix: str = "",
     skip_workflows: Sequence[str] = ("Lending", "Investing", "Global"),
     skip_statuses: Sequence[str] = ("Inquiry (Not a Complaint)", "Withdrawn"),
     countries: Sequence[str] = ("United States", "Unknown"),
 ) -> DataFrame:
     """Open tier-2 complaints with the next step each needs.
 
-    Tables: ``complaints``, ``cases``, ``owner_history``, ``emails``, ``employees``.
+    Tables: ``complaints``, ``cases``, ``owner_history``, ``emails``, ``employees``.  ``texts``: the result of each rule, in their
+    order central, mail_action, mail, mail_open, any_mail, owned, closed, before_queue, and none.
     """
     cases = t["cases"]
     resolved = cases.select("case_id", F.coalesce("first_resolved_at", "last_resolved_at").alias("__resolved"))
@@ -359,16 +346,16 @@ def remediation_list(
     special = F.coalesce(is_specialist("__mail_team"), F.lit(False))
     bucket = case(
         [
-            (F.col("is_central_team"), BUCKETS["central"]),
-            (special & done & F.col("resulting_action").isNotNull(), BUCKETS["mail_action"]),
-            (special & done, BUCKETS["mail"]),
-            (special & ~done, BUCKETS["mail_open"]),
-            (F.col("__mail_team").isNotNull() & done, BUCKETS["any_mail"]),
-            (F.col("__owned").isNotNull() & done, BUCKETS["owned"]),
-            (done & F.col("closed_ts_utc").isNotNull(), BUCKETS["closed"]),
-            (F.col("__before_queue"), BUCKETS["before_queue"]),
+            (F.col("is_central_team"), texts["central"]),
+            (special & done & F.col("resulting_action").isNotNull(), texts["mail_action"]),
+            (special & done, texts["mail"]),
+            (special & ~done, texts["mail_open"]),
+            (F.col("__mail_team").isNotNull() & done, texts["any_mail"]),
+            (F.col("__owned").isNotNull() & done, texts["owned"]),
+            (done & F.col("closed_ts_utc").isNotNull(), texts["closed"]),
+            (F.col("__before_queue"), texts["before_queue"]),
         ],
-        F.lit(BUCKETS["none"]),
+        F.lit(texts["none"]),
     )
     return c.select(
         bucket.alias("remediation_bucket"), "case_number", "case_id", "case_creation_date_time_utc",

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, datetime, timedelta
+from types import MappingProxyType
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,16 +23,11 @@ from ..operators.calendar import calendar_spine, on_spine
 from ..operators.classify import case, union_distinct
 from ..operators.joins import asof_dim, exclude, fold_join
 from ..operators.metrics import backlog_flag, concurrency, distinct_counts, entering_handled, side_by_side, threshold_alerts
-from ..sources.tables import conform, trailing_filter
+from ..sources.tables import conform, reload_start, trailing_filter
 from .contracts import HOURLY_ADVOCATE, HOURLY_ALERTS, HOURLY_QUEUE
 
 Tables = Mapping[str, DataFrame]
 
-# Business units counted, folded; queues without a unit count as other.
-UNITS = ("customer success - specialty", "customer success - core", "other")
-CORE_UNIT = "CUSTOMER SUCCESS - CORE"
-
-
 @dataclass(frozen=True)
 class ChatType:
     """A live-chat record type, its team and queue, and the longest wait within target."""
@@ -42,11 +38,23 @@ class ChatType:
     queue_id: str
 
 
-# Record type, team, wait limit in seconds, queue.
-CHAT_TYPES = (
-    ChatType("RD Chat", "RD", 60, "RD"),
-    ChatType("Internal Advocate Success", "AST", 180, "AST"),
-)
+@dataclass(frozen=True)
+class SlaRules:
+    """Names of the organisation whose facts are built.
+
+    ``units``: business units counted, in lower case; a queue without a unit counts as "other".  ``chat_unit``: the unit of
+    live chats.  ``chat_types``: their record types.
+    """
+
+    units: Sequence[str]
+    chat_unit: str
+    chat_types: Sequence[ChatType]
+
+    @property
+    def record_types(self) -> list[str]:
+        return [c.record_type for c in self.chat_types]
+
+
 MESSAGING_TARGET_MIN = 7
 EMAIL_TARGET = 24
 VOICE_WAIT_SECONDS = 120
@@ -54,17 +62,43 @@ VOICE_CALLBACK_SECONDS = 1800
 SHORT_ABANDON_SECONDS = 10
 
 
-def _within(df: DataFrame, ts: Column, start, stop, unit: str) -> DataFrame:
-    """Rows of the calendar span with their truncated time as ``ts``."""
-    lo, hi = F.lit(str(start)).cast("timestamp_ntz"), F.lit(str(stop)).cast("timestamp_ntz")
-    return df.withColumn("ts", trunc(unit, ts)).filter((F.col("ts") >= lo) & (F.col("ts") < hi))
+@dataclass(frozen=True)
+class Span:
+    """Calendar span [start, stop) of a run; a reload of day ``ds`` only reads what it rebuilds."""
+
+    start: datetime
+    stop: datetime
 
+    @staticmethod
+    def of(start, stop, ds: date | None = None, full: bool = False) -> Span:
+        lo, hi = datetime.fromisoformat(str(start)), datetime.fromisoformat(str(stop))
+        if ds is not None and full:
+            hi = min(hi, datetime.combine(ds, datetime.min.time()) + timedelta(days=1))
+        elif ds is not None:
+            lo = max(lo, datetime.combine(reload_start(ds), datetime.min.time()))
+        return Span(lo, max(lo, hi))
 
-def _counted() -> Column:
-    return null_as_other("business_unit_name").isin(*UNITS)
 
+def _within(df: DataFrame, column: str, span: Span, unit: str, tz: str = UTC) -> DataFrame:
+    """Rows of the calendar span with their truncated UTC time as ``ts``.
 
-def _with_queue(touches: DataFrame, catalog: DataFrame, keep_all: bool = False) -> DataFrame:
+    The range on the raw column, a day wider on both sides for the zone, is the one that reaches the scan.
+    """
+    day = timedelta(days=1)
+
+    def between(at: Column, lo: datetime, hi: datetime) -> Column:
+        return (at >= F.lit(str(lo)).cast("timestamp_ntz")) & (at < F.lit(str(hi)).cast("timestamp_ntz"))
+
+    near = df.filter(between(F.col(column), span.start - day, span.stop + day))
+    out = near.withColumn("ts", trunc(unit, convert_tz(column, tz, UTC)))
+    return out.filter(between(F.col("ts"), span.start, span.stop))
+
+
+def _counted(rules: SlaRules) -> Column:
+    return null_as_other("business_unit_name").isin(*rules.units)
+
+
+def _with_queue(touches: DataFrame, catalog: DataFrame, rules: SlaRules, keep_all: bool = False) -> DataFrame:
     """Add the queue attributes and keep the counted business units (or leave that for later)."""
     cat = catalog.select(
         F.col("queue_name").alias("__qn"),
@@ -75,23 +109,23 @@ def _with_queue(touches: DataFrame, catalog: DataFrame, keep_all: bool = False)
     )
     slim = touches.drop("queue_id", "channel", "business_unit_name", "team_name")
     joined = fold_join(slim, cat, "queue_name", "__qn")
-    return joined if keep_all else joined.filter(_counted())
+    return joined if keep_all else joined.filter(_counted(rules))
 
 
-def _on_calendar(spine: DataFrame, facts: DataFrame, zeros: Sequence[str]) -> DataFrame:
+def _on_calendar(spine: DataFrame, facts: DataFrame, zeros: Sequence[str], rules: SlaRules) -> DataFrame:
     """Calendar LEFT JOIN aggregate, then the business-unit filter.
 
     An interval without any touch keeps one row of NULLs with zero counts; an interval that
     only holds touches of other units disappears.
     """
-    joined = on_spine(spine.select("interval_start"), facts, "ts", list(zeros)).filter(_counted())
+    joined = on_spine(spine.select("interval_start"), facts, "ts", list(zeros)).filter(_counted(rules))
     return joined.withColumnRenamed("interval_start", "ts")
 
 
-def _chats(t: Tables, types: Sequence[ChatType]) -> DataFrame:
+def _chats(t: Tables, rules: SlaRules) -> DataFrame:
     """Chats of the given types with team, queue and the two target flags."""
-    kind = F.col("chat_record_type")
-    chats = t["chat_escalations"].filter(kind.isin(*[c.record_type for c in types]))
+    kind, types = F.col("chat_record_type"), rules.chat_types
+    chats = t["chat_escalations"].filter(kind.isin(*rules.record_types))
     limit = case([(kind == c.record_type, F.lit(c.max_wait)) for c in types])
     on_time = F.col("chat_wait_time") <= limit
     return chats.withColumns(
@@ -99,7 +133,7 @@ def _chats(t: Tables, types: Sequence[ChatType]) -> DataFrame:
             "team_name": case([(kind == c.record_type, c.team) for c in types]),
             "queue_id": case([(kind == c.record_type, c.queue_id) for c in types]),
             "channel": F.lit("CHAT"),
-            "business_unit_name": F.lit(CORE_UNIT),
+            "business_unit_name": F.lit(rules.chat_unit),
             "__in": on_time & (F.col("chat_handle_time") > 0),
             "__lost": on_time & (F.col("chat_handle_time") == 0),
         }
@@ -160,7 +194,7 @@ _WORK = [
 
 
 def hourly_queue_sla(
-    t: Tables, start, stop, *, ds: date | None = None, full: bool = False, chat_types: Sequence[ChatType] = CHAT_TYPES,
+    t: Tables, start, stop, rules: SlaRules, *, ds: date | None = None, full: bool = False,
     tz: str = PACIFIC, round_like_fact: bool = False,
 ) -> DataFrame:
     """Hour x queue: arrivals by start time, handled work by assignment time.
@@ -169,23 +203,24 @@ def hourly_queue_sla(
     touch falls into.  With ``ds`` only the trailing seven days are returned, ready for the
     reload of the fact table.
     """
-    spine = calendar_spine(t["messaging_touches"].sparkSession, start, stop, "hour")
-    came = _within(t["messaging_touches"], convert_tz("touch_start_time", tz, UTC), start, stop, "hour")
-    done = _within(t["messaging_touches"], convert_tz("touch_assignment_time", tz, UTC), start, stop, "hour")
+    span = Span.of(start, stop, ds, full)
+    spine = calendar_spine(t["messaging_touches"].sparkSession, span.start, span.stop, "hour")
+    came = _within(t["messaging_touches"], "touch_start_time", span, "hour", tz)
+    done = _within(t["messaging_touches"], "touch_assignment_time", span, "hour", tz)
     entering = distinct_counts(
-        _with_queue(came, t["queue_catalog"], keep_all=True), ["ts", *_QUEUE], "touch_start_id", {"entering_touches": None}
+        _with_queue(came, t["queue_catalog"], rules, keep_all=True), ["ts", *_QUEUE], "touch_start_id", {"entering_touches": None}
     )
-    entering = _on_calendar(spine, entering, ["entering_touches"])
-    handled = _messaging_handled(_with_queue(done, t["queue_catalog"]), ["ts", "queue_id"])
+    entering = _on_calendar(spine, entering, ["entering_touches"], rules)
+    handled = _messaging_handled(_with_queue(done, t["queue_catalog"], rules), ["ts", "queue_id"])
     messaging = entering_handled(entering, handled, ["ts", "queue_id"])
 
-    chats = _chats(t, chat_types)
+    chats = _chats(t, rules)
     chat_in = distinct_counts(
-        _within(chats, convert_tz("chat_created_at", tz, UTC), start, stop, "hour"),
+        _within(chats, "chat_created_at", span, "hour", tz),
         ["ts", *_QUEUE], "chat_transcript_id", {"entering_touches": None},
     )
     chat_done = _chat_handled(
-        _within(chats, convert_tz("chat_start_time", tz, UTC), start, stop, "hour"), ["ts", "queue_id"]
+        _within(chats, "chat_start_time", span, "hour", tz), ["ts", "queue_id"]
     )
     cols = ["ts", *_QUEUE, "entering_touches", *_WORK]
     fact = messaging.select(*cols).unionByName(entering_handled(chat_in, chat_done, ["ts", "queue_id"]).select(*cols))
@@ -209,20 +244,21 @@ def _person(df: DataFrame, employees: DataFrame, key: str, at: Column, by_date:
 
 
 def hourly_advocate_sla(
-    t: Tables, start, stop, *, ds: date | None = None, full: bool = False, chat_types: Sequence[ChatType] = CHAT_TYPES,
+    t: Tables, start, stop, rules: SlaRules, *, ds: date | None = None, full: bool = False,
     tz: str = PACIFIC, by_date: bool = False, round_like_fact: bool = False, distinct: bool = False,
 ) -> DataFrame:
     """Hour x queue x employee.  ``by_date=False`` compares the employee range with the timestamp."""
-    spine = calendar_spine(t["messaging_touches"].sparkSession, start, stop, "hour")
+    span = Span.of(start, stop, ds, full)
+    spine = calendar_spine(t["messaging_touches"].sparkSession, span.start, span.stop, "hour")
     at = convert_tz("touch_assignment_time", tz, UTC)
-    done = _within(t["messaging_touches"], at, start, stop, "hour")
+    done = _within(t["messaging_touches"], "touch_assignment_time", span, "hour", tz)
     keys = ["ts", *_PERSON, *_QUEUE]
-    people = _person(_with_queue(done, t["queue_catalog"], keep_all=True), t["employees"], "employee_id", at, by_date)
+    people = _person(_with_queue(done, t["queue_catalog"], rules, keep_all=True), t["employees"], "employee_id", at, by_date)
     zeros = ["handled_touches", "handled_backlog_touches", "touches_in_sla", "qualified_sla_touches"]
-    messaging = _on_calendar(spine, _messaging_handled(people, keys), zeros)
+    messaging = _on_calendar(spine, _messaging_handled(people, keys), zeros, rules)
 
     chat_at = convert_tz("chat_start_time", tz, UTC)
-    chats = _within(_chats(t, chat_types), chat_at, start, stop, "hour")
+    chats = _within(_chats(t, rules), "chat_start_time", span, "hour", tz)
     chat = _chat_handled(_person(chats, t["employees"], "chat_advocate_employee_id", chat_at, True), keys)
     fact = messaging.unionByName(chat.select(*messaging.columns))
     fact = fact.withColumn("concurrency", concurrency("touch_lifetime_min", "handle_time_min")).select(
@@ -232,19 +268,19 @@ def hourly_advocate_sla(
     return _finish(fact.distinct() if distinct else fact, HOURLY_ADVOCATE, ds, full, round_like_fact)
 
 
-def messaging_sla_hourly(t: Tables, start, stop, **options) -> DataFrame:
+def messaging_sla_hourly(t: Tables, start, stop, rules: SlaRules, **options) -> DataFrame:
     """Ad-hoc form of the hour x queue x employee fact with the SLA in percent, rows distinct."""
-    fact = hourly_advocate_sla(t, start, stop, distinct=True, **options)
+    fact = hourly_advocate_sla(t, start, stop, rules, distinct=True, **options)
     return fact.withColumn("sl_percent", safe_ratio("touches_in_sla", "qualified_sla_touches", 100))
 
 
-def cases_created(t: Tables, *, since_year: int = 2018, chat_types: Sequence[ChatType] = CHAT_TYPES, tz: str = PACIFIC) -> DataFrame:
+def cases_created(t: Tables, rules: SlaRules, *, since_year: int = 2018, tz: str = PACIFIC) -> DataFrame:
     """Cases created per hour from two systems: counted apart, then added."""
     first_day = F.lit(f"{since_year}-01-01").cast("timestamp_ntz")
     cases = t["cases"].filter((F.col("channel") == "Chat") & (F.col("created_at_utc") >= first_day))
     a = distinct_counts(cases.withColumn("ts", trunc("hour", "created_at_utc")), ["ts"], "case_id", {"n": None})
     chats = t["chat_escalations"].filter(
-        F.col("chat_record_type").isin(*[c.record_type for c in chat_types]) & (F.col("parent_case_created_at") >= first_day)
+        F.col("chat_record_type").isin(*rules.record_types) & (F.col("parent_case_created_at") >= first_day)
     )
     hour = trunc("hour", convert_tz("parent_case_created_at", tz, UTC))
     b = distinct_counts(chats.withColumn("ts", hour), ["ts"], "parent_case_id", {"n": None})
@@ -279,26 +315,25 @@ def hourly_alerts(
     return _finish(out, HOURLY_ALERTS, ds, full, round_like_fact)
 
 
-def daily_advocate_sla(
-    t: Tables, start, stop, *, chat_types: Sequence[ChatType] = CHAT_TYPES, tz: str = PACIFIC
-) -> DataFrame:
+def daily_advocate_sla(t: Tables, start, stop, rules: SlaRules, *, tz: str = PACIFIC) -> DataFrame:
     """Day x team arrivals beside day x advocate work of the same team, rows distinct."""
-    spine = calendar_spine(t["messaging_touches"].sparkSession, start, stop, "day")
+    span = Span.of(start, stop)
+    spine = calendar_spine(t["messaging_touches"].sparkSession, span.start, span.stop, "day")
     team = ["team_name", "channel", "business_unit_name"]
-    came = _within(t["messaging_touches"], convert_tz("touch_start_time", tz, UTC), start, stop, "day")
+    came = _within(t["messaging_touches"], "touch_start_time", span, "day", tz)
     at = convert_tz("touch_assignment_time", tz, UTC)
-    done = _within(t["messaging_touches"], at, start, stop, "day")
+    done = _within(t["messaging_touches"], "touch_assignment_time", span, "day", tz)
     entering = distinct_counts(
-        _with_queue(came, t["queue_catalog"], keep_all=True), ["ts", *team], "touch_start_id", {"entering_touches": None}
+        _with_queue(came, t["queue_catalog"], rules, keep_all=True), ["ts", *team], "touch_start_id", {"entering_touches": None}
     )
-    entering = _on_calendar(spine, entering, ["entering_touches"])
+    entering = _on_calendar(spine, entering, ["entering_touches"], rules)
     who = ["employee_id", "advocate_name", "advocate_city"]
-    people = _person(_with_queue(done, t["queue_catalog"]), t["employees"], "employee_id", at, True)
+    people = _person(_with_queue(done, t["queue_catalog"], rules), t["employees"], "employee_id", at, True)
     handled = _messaging_handled(people, ["ts", *who, *team], avgs=True)
 
-    chats = _chats(t, chat_types)
+    chats = _chats(t, rules)
     chat_in = distinct_counts(
-        _within(chats, convert_tz("chat_created_at", tz, UTC), start, stop, "day"),
+        _within(chats, "chat_created_at", span, "day", tz),
         ["ts", *team], "chat_transcript_id", {"entering_touches": None},
     )
     named = chats.withColumns(
@@ -309,7 +344,7 @@ def daily_advocate_sla(
         }
     )
     chat_done = _chat_handled(
-        _within(named, convert_tz("chat_start_time", tz, UTC), start, stop, "day"), ["ts", *who, *team], avgs=True
+        _within(named, "chat_start_time", span, "day", tz), ["ts", *who, *team], avgs=True
     )
 
     def side(arrivals: DataFrame, work: DataFrame) -> DataFrame:
@@ -344,16 +379,16 @@ def _email_handled(touches: DataFrame, keys: Sequence[str], response: Column, ta
     ).withColumn("sl_percent", safe_ratio("touches_in_sl", "handled_touches"))
 
 
-def _emails(t: Tables, ts: str, start, stop) -> DataFrame:
-    rows = _within(t["email_touches"], F.col(ts), start, stop, "hour")
-    return _with_queue(rows, t["queue_catalog"]).filter(F.col("channel") == "EMAIL")
+def _emails(t: Tables, ts: str, span: Span, rules: SlaRules) -> DataFrame:
+    rows = _within(t["email_touches"], ts, span, "hour")
+    return _with_queue(rows, t["queue_catalog"], rules).filter(F.col("channel") == "EMAIL")
 
 
-def email_sla_hourly(t: Tables, start, stop, *, response: str = "response_time_minutes", target: float = EMAIL_TARGET) -> DataFrame:
+def email_sla_hourly(t: Tables, start, stop, rules: SlaRules, *, response: str = "response_time_minutes", target: float = EMAIL_TARGET) -> DataFrame:
     """Hour x team.  The target is in the unit of the ``response`` column, which is a choice."""
-    team = ["team_name", "channel", "business_unit_name"]
-    entering = distinct_counts(_emails(t, "touch_start_time", start, stop), ["ts", *team], "touch_id", {"entering_touches": None})
-    handled = _email_handled(_emails(t, "touch_time", start, stop), ["ts", "advocate_id", *team], F.col(response), target)
+    team, span = ["team_name", "channel", "business_unit_name"], Span.of(start, stop)
+    entering = distinct_counts(_emails(t, "touch_start_time", span, rules), ["ts", *team], "touch_id", {"entering_touches": None})
+    handled = _email_handled(_emails(t, "touch_time", span, rules), ["ts", "advocate_id", *team], F.col(response), target)
     out = entering_handled(entering, handled.drop("channel", "business_unit_name"), ["ts", "team_name"])
     return out.select(
         "ts", "advocate_id", *team, "entering_touches", "handled_touches", "touches_in_sl", "sl_percent",
@@ -361,10 +396,11 @@ def email_sla_hourly(t: Tables, start, stop, *, response: str = "response_time_m
     )
 
 
-def email_sla_total(t: Tables, start, stop, *, response: str = "response_time_minutes", target: float = EMAIL_TARGET) -> DataFrame:
+def email_sla_total(t: Tables, start, stop, rules: SlaRules, *, response: str = "response_time_minutes", target: float = EMAIL_TARGET) -> DataFrame:
     """The same measures without grouping, one row."""
-    entering = distinct_counts(_emails(t, "touch_start_time", start, stop), [], "touch_id", {"entering_touches": None})
-    handled = _email_handled(_emails(t, "touch_time", start, stop), [], F.col(response), target)
+    span = Span.of(start, stop)
+    entering = distinct_counts(_emails(t, "touch_start_time", span, rules), [], "touch_id", {"entering_touches": None})
+    handled = _email_handled(_emails(t, "touch_time", span, rules), [], F.col(response), target)
     return side_by_side(entering, handled)
 
 
@@ -458,18 +494,25 @@ _VOICE_COUNTS = [
 ]
 
 
-def voice_sla_hourly(t: Tables, start, stop, *, escalation_queues: Sequence[str] = (), tz: str = PACIFIC) -> DataFrame:
-    """Hour x vertical; hours without a call keep a row with zero counts."""
-    spine = calendar_spine(t["call_records"].sparkSession, start, stop, "hour")
-    calls = _within(t["call_records"], convert_tz("call_start_time", tz, UTC), start, stop, "hour")
-    vertical = F.when(F.col("queue_name").isin(*escalation_queues), "ERET").otherwise("CORE CS")
+def voice_sla_hourly(
+    t: Tables, start, stop, *, core_vertical: str, verticals: Mapping[str, Sequence[str]] = MappingProxyType({}), tz: str = PACIFIC
+) -> DataFrame:
+    """Hour x vertical; hours without a call keep a row with zero counts.
+
+    ``verticals`` names the queues of each vertical; all others, and hours without a call, belong to ``core_vertical``.
+    """
+    span = Span.of(start, stop)
+    spine = calendar_spine(t["call_records"].sparkSession, span.start, span.stop, "hour")
+    calls = _within(t["call_records"], "call_start_time", span, "hour", tz)
+    named = [(F.col("queue_name").isin(*queues), name) for name, queues in verticals.items()]
+    vertical = case(named, F.lit(core_vertical)) if named else F.lit(core_vertical)
     rows = _voice(calls.withColumn("vertical", vertical), ["ts", "vertical"])
-    out = on_spine(spine.select("interval_start"), rows, "ts", _VOICE_COUNTS).fillna("CORE CS", subset=["vertical"])
+    out = on_spine(spine.select("interval_start"), rows, "ts", _VOICE_COUNTS).fillna(core_vertical, subset=["vertical"])
     return out.withColumnRenamed("interval_start", "ts").withColumn("channel", F.lit("Voice"))
 
 
 def voice_sla_total(t: Tables, start, stop, *, tz: str = PACIFIC) -> DataFrame:
-    return _voice(_within(t["call_records"], convert_tz("call_start_time", tz, UTC), start, stop, "hour"), [])
+    return _voice(_within(t["call_records"], "call_start_time", Span.of(start, stop), "hour", tz), [])
 
 
 # -- unified touches ----------------------------------------------------------------------
@@ -478,12 +521,12 @@ def voice_sla_total(t: Tables, start, stop, *, tz: str = PACIFIC) -> DataFrame:
 _UNI_KEYS = ["employee_id", "full_name", "city", "team_name", "channel", "business_unit_name"]
 
 
-def _unified(t: Tables, channel: str, without_chats: Sequence[ChatType] = ()) -> DataFrame:
+def _unified(t: Tables, channel: str, rules: SlaRules, without_chats: bool = False) -> DataFrame:
     rows = t["unified_touches"].filter(F.col("channel") == channel)
     if without_chats:
-        escalated = t["chat_escalations"].filter(F.col("chat_record_type").isin(*[c.record_type for c in without_chats]))
+        escalated = t["chat_escalations"].filter(F.col("chat_record_type").isin(*rules.record_types))
         rows = exclude(rows, escalated.select(F.col("parent_case_id").alias("case_id")), ["case_id"])
-    return _with_queue(rows, t["queue_catalog"])
+    return _with_queue(rows, t["queue_catalog"], rules)
 
 
 def _uni_person(df: DataFrame, employees: DataFrame, at: str) -> DataFrame:
@@ -524,27 +567,25 @@ def _unified_sla(rows: DataFrame, employees: DataFrame, flags: Mapping[str, Colu
     return entering_handled(entering, slim, ["ts", "employee_id", "team_name"])
 
 
-def email_sla_unified(t: Tables, *, target: float = EMAIL_TARGET, since_year: int = 2022) -> DataFrame:
+def email_sla_unified(t: Tables, rules: SlaRules, *, target: float = EMAIL_TARGET, since_year: int = 2022) -> DataFrame:
     flags = {
         "touches_in_sla": (F.col("response_time") / 60 <= target) & (F.lower("inbound_type") != "transfer"),
         "response_handled": F.col("inbound_type").isin("EML", "EML/TRN", "TR"),
     }
-    return _unified_sla(_unified(t, "Email"), t["employees"], flags, "response_handled", since_year)
+    return _unified_sla(_unified(t, "Email", rules), t["employees"], flags, "response_handled", since_year)
 
 
-def messaging_sla_unified(
-    t: Tables, *, chat_types: Sequence[ChatType] = CHAT_TYPES, since_year: int = 2022, tz: str = PACIFIC
-) -> DataFrame:
+def messaging_sla_unified(t: Tables, rules: SlaRules, *, since_year: int = 2022, tz: str = PACIFIC) -> DataFrame:
     """Hour x advocate from unified touches, cases with a live-chat escalation counted from the chats."""
     in_hours = F.col("in_business_hours")
     flags = {
         "touches_in_sla": (F.col("response_time") / 60 <= MESSAGING_TARGET_MIN) & in_hours,
         "qualified_sla_touches": in_hours,
     }
-    rows = _unified(t, "Chat", chat_types)
+    rows = _unified(t, "Chat", rules, without_chats=True)
     messaging = _unified_sla(rows, t["employees"], flags, "qualified_sla_touches", since_year)
 
-    chats = _chats(t, chat_types).filter(F.col("chat_created_at") >= F.lit(f"{since_year}-01-01").cast("timestamp_ntz"))
+    chats = _chats(t, rules).filter(F.col("chat_created_at") >= F.lit(f"{since_year}-01-01").cast("timestamp_ntz"))
     named = chats.withColumns(
         {
             "employee_id": F.col("chat_advocate_employee_id"),
@@ -566,17 +607,18 @@ def messaging_sla_unified(
     return union_distinct([messaging, chat], schema)
 
 
-def messaging_sla_total(t: Tables, start, stop, *, chat_types: Sequence[ChatType] = CHAT_TYPES, tz: str = PACIFIC) -> DataFrame:
+def messaging_sla_total(t: Tables, start, stop, rules: SlaRules, *, tz: str = PACIFIC) -> DataFrame:
     """Ungrouped messaging and chat totals, two rows."""
-    came = _within(t["messaging_touches"], convert_tz("touch_start_time", tz, UTC), start, stop, "hour")
-    done = _within(t["messaging_touches"], convert_tz("touch_assignment_time", tz, UTC), start, stop, "hour")
-    entering = distinct_counts(_with_queue(came, t["queue_catalog"]), [], "touch_start_id", {"entering_touches": None})
-    handled = _messaging_handled(_with_queue(done, t["queue_catalog"]), [], avgs=True)
-    chats = _chats(t, chat_types)
+    span = Span.of(start, stop)
+    came = _within(t["messaging_touches"], "touch_start_time", span, "hour", tz)
+    done = _within(t["messaging_touches"], "touch_assignment_time", span, "hour", tz)
+    entering = distinct_counts(_with_queue(came, t["queue_catalog"], rules), [], "touch_start_id", {"entering_touches": None})
+    handled = _messaging_handled(_with_queue(done, t["queue_catalog"], rules), [], avgs=True)
+    chats = _chats(t, rules)
     chat_in = distinct_counts(
-        _within(chats, convert_tz("chat_created_at", tz, UTC), start, stop, "hour"), [], "chat_transcript_id", {"entering_touches": None}
+        _within(chats, "chat_created_at", span, "hour", tz), [], "chat_transcript_id", {"entering_touches": None}
     )
-    chat_done = _chat_handled(_within(chats, convert_tz("chat_start_time", tz, UTC), start, stop, "hour"), [], avgs=True)
+    chat_done = _chat_handled(_within(chats, "chat_start_time", span, "hour", tz), [], avgs=True)
     parts = []
     for name, a, b in (("messaging", entering, handled), ("chat", chat_in, chat_done)):
         row = side_by_side(a, b).withColumns(
@@ -590,6 +632,8 @@ def messaging_sla_total(t: Tables, start, stop, *, chat_types: Sequence[ChatType
     return parts[0].unionByName(parts[1])
 
 
-def sla_grand_totals(t: Tables, channel: str, start, stop) -> DataFrame:
+def sla_grand_totals(t: Tables, channel: str, start, stop, rules: SlaRules) -> DataFrame:
     """Ungrouped reconciliation of one channel."""
-    return {"email": email_sla_total, "voice": voice_sla_total, "messaging": messaging_sla_total}[channel](t, start, stop)
+    if channel == "voice":
+        return voice_sla_total(t, start, stop)
+    return {"email": email_sla_total, "messaging": messaging_sla_total}[channel](t, start, stop, rules)

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dialect import PACIFIC, UTC, convert_tz, trunc_date
-from ..operators.classify import TextRule, assignment_rules, classify, conformed_union, origin_default, queue_rules
+from ..operators.classify import TextRule, classify, conformed_union, origin_default
 from ..operators.metrics import distinct_counts
 
 Tables = Mapping[str, DataFrame]
@@ -27,11 +28,16 @@ SCHEMA = {
 
 @dataclass(frozen=True)
 class VolumeRules:
-    """What differs between counting arrivals and counting touches."""
+    """The rules of an organisation, and what differs between counting arrivals and counting touches.
 
+    ``days``: first and last day that count, or None; each source is cut by a range on its raw time column, a day wider on both
+    sides for the zone, so that it reaches the scan.
+    """
+
+    queue_rules: Sequence[TextRule]
+    assignment_rules: Sequence[TextRule]
     by_touch: bool = False
-    queue_rules: Sequence[TextRule] = tuple(queue_rules())
-    assignment_rules: Sequence[TextRule] = tuple(assignment_rules())
+    days: tuple[str, str] | None = None
     touch_system: str = "desk"
     skipped_channels: Sequence[str] = ("Twitter", "Phone")
     review_method: str = "ADVOCATE"
@@ -39,13 +45,22 @@ class VolumeRules:
     tz: str = PACIFIC
 
 
+def _near(df: DataFrame, column: str, r: VolumeRules) -> DataFrame:
+    if r.days is None:
+        return df
+    first, last = (date.fromisoformat(str(d)) for d in r.days)
+    lo, hi = F.lit(str(first - timedelta(days=1))).cast("timestamp_ntz"), F.lit(str(last + timedelta(days=2))).cast("timestamp_ntz")
+    return df.filter((F.col(column) >= lo) & (F.col(column) < hi))
+
+
 def _touches(t: Tables, r: VolumeRules) -> DataFrame:
+    at = "touch_start_time" if r.by_touch else "created_at"
     cases = t["support_cases"].select("case_id", F.col("origin").alias("case_origin"), "first_assigned_queue")
-    rows = t["unified_touches"].filter(F.col("source") == r.touch_system).join(cases, "case_id", "left")
+    rows = _near(t["unified_touches"], at, r).filter(F.col("source") == r.touch_system).join(cases, "case_id", "left")
     rows = rows.filter(~F.coalesce("channel", "case_origin").isin(*r.skipped_channels))
     queue = F.col("queue_name" if r.by_touch else "first_assigned_queue")
     return rows.select(
-        F.col("touch_start_time" if r.by_touch else "created_at").cast("date").alias("day"),
+        F.col(at).cast("date").alias("day"),
         F.col("touch_id" if r.by_touch else "case_id").alias("item_id"), F.col("case_origin").alias("origin"), "source",
         classify(queue, r.queue_rules, origin_default("case_origin")).alias("classification"),
         F.col("handle_time").alias("handle_seconds"),
@@ -53,16 +68,16 @@ def _touches(t: Tables, r: VolumeRules) -> DataFrame:
 
 
 def _reviews(t: Tables, r: VolumeRules) -> DataFrame:
-    rows = t["identity_reviews"].filter(F.col("method_of_review") == r.review_method)
+    rows = _near(t["identity_reviews"], "created_at", r).filter(F.col("method_of_review") == r.review_method)
     return rows.select(
         F.col("created_at").cast("date").alias("day"), F.col("token").alias("item_id"), F.lit("idv").alias("source"), F.lit("AR").alias("classification")
     )
 
 
 def _assignments(t: Tables, r: VolumeRules) -> DataFrame:
-    at = convert_tz("claimed_at" if r.by_touch else "occurred_at", r.tz, UTC)
-    rows = t["assignments"].select(
-        at.cast("date").alias("day"), F.col("assignment_id").alias("item_id"), F.lit("assignment").alias("source"),
+    at = "claimed_at" if r.by_touch else "occurred_at"
+    rows = _near(t["assignments"], at, r).select(
+        convert_tz(at, r.tz, UTC).cast("date").alias("day"), F.col("assignment_id").alias("item_id"), F.lit("assignment").alias("source"),
         classify("queue", r.assignment_rules).alias("classification"), (F.col("handled_minutes") * 60).alias("handle_seconds"),
     )
     return rows.filter(F.col("classification").isNotNull()).distinct()
@@ -70,7 +85,7 @@ def _assignments(t: Tables, r: VolumeRules) -> DataFrame:
 
 def _bank_risk(t: Tables, r: VolumeRules) -> DataFrame:
     kind = F.when(F.col("case_type") == r.deposit_case_type, "Remote Deposit Capture").otherwise("Banking")
-    return t["bank_risk_cases"].select(
+    return _near(t["bank_risk_cases"], "created_at", r).select(
         convert_tz("created_at", r.tz, UTC).cast("date").alias("day"), F.col("case_id").alias("item_id"),
         F.lit("internal transfer").alias("origin"), F.lit("bank_risk").alias("source"), kind.alias("classification"),
     )
@@ -82,28 +97,28 @@ def _with_regulated(df: DataFrame, regulated: DataFrame, token: str) -> DataFram
 
 
 def _hashtags(t: Tables, r: VolumeRules) -> DataFrame:
-    return _with_regulated(t["bank_hashtags"], t["regulated"], "target_token").select(
+    return _with_regulated(_near(t["bank_hashtags"], "hashtag_at", r), t["regulated"], "target_token").select(
         F.col("hashtag_at").cast("date").alias("day"), F.col("primary_key").alias("item_id"), F.lit("internal transfer").alias("origin"),
         F.lit("hashtag").alias("source"), F.lit("Remote Deposit Capture").alias("classification"), F.col("handled_seconds").alias("handle_seconds"),
     )
 
 
 def _card_designs(t: Tables, r: VolumeRules) -> DataFrame:
-    return _with_regulated(t["card_designs"], t["regulated"], "token").select(
+    return _with_regulated(_near(t["card_designs"], "created_at", r), t["regulated"], "token").select(
         convert_tz("created_at", r.tz, UTC).cast("date").alias("day"), F.col("customer_token").alias("item_id"), F.lit("card_design").alias("source"),
         F.lit("AR").alias("classification"), F.col("handled_seconds").alias("handle_seconds"),
     )
 
 
 def _social(t: Tables, r: VolumeRules) -> DataFrame:
-    return t["social_cases"].select(
+    return _near(t["social_cases"], "created_at", r).select(
         convert_tz("created_at", r.tz, UTC).cast("date").alias("day"), F.col("case_id").alias("item_id"), F.col("channel_type").alias("origin"),
         F.lit("Social").alias("source"), F.lit("Social").alias("classification"),
     )
 
 
 def _voice(t: Tables, r: VolumeRules) -> DataFrame:
-    rows = t["call_records"].filter(~F.col("out_of_hours") & F.col("is_handled"))
+    rows = _near(t["call_records"], "case_created_date", r).filter(~F.col("out_of_hours") & F.col("is_handled"))
     return rows.select(
         convert_tz("case_created_date", r.tz, UTC).cast("date").alias("day"), F.col("contact_id").alias("item_id"), F.lit("Voice").alias("source"),
         F.lit("Voice").alias("classification"), F.col("handle_time").alias("handle_seconds"),
@@ -115,20 +130,19 @@ SOURCES: Sequence[Callable[[Tables, VolumeRules], DataFrame]] = (
 )
 
 
-def volume_rows(t: Tables, rules: VolumeRules = VolumeRules()) -> DataFrame:
+def volume_rows(t: Tables, rules: VolumeRules) -> DataFrame:
     """The eight sources as one conformed table."""
     return conformed_union([s(t, rules) for s in SOURCES], SCHEMA)
 
 
-def monthly_volume(t: Tables, first_day: str, last_day: str, rules: VolumeRules = VolumeRules()) -> DataFrame:
+def monthly_volume(t: Tables, first_day: str, last_day: str, rules: VolumeRules) -> DataFrame:
     """Month x class: distinct items with and without handle time, minutes handled.
 
-    The calendar only limits the days, so it is a range filter; it reaches the scans through
-    the union.  Handle times count in seconds whatever the unit of their source.  Items
+    The calendar only limits the days, so it is a range filter on every source.  Handle times count in seconds whatever the unit of their source.  Items
     without handle time are told by a NULL instead of a text prefix.
     """
     lo, hi = F.lit(first_day).cast("date"), F.lit(last_day).cast("date")
-    rows = volume_rows(t, rules).filter(F.col("day").between(lo, hi)).withColumn("month", trunc_date("month", "day"))
+    rows = volume_rows(t, replace(rules, days=(first_day, last_day))).filter(F.col("day").between(lo, hi)).withColumn("month", trunc_date("month", "day"))
     timed: Column = F.col("handle_seconds").isNotNull()
     # touches of the desk and calls always count as timed, as their class carries no prefix
     always = F.col("source").isin(rules.touch_system, "Voice")
@@ -139,7 +153,6 @@ def monthly_volume(t: Tables, first_day: str, last_day: str, rules: VolumeRules
     return out.withColumn("handle_time_minutes", F.round(F.col("__s") / 60, 2)).drop("__s")
 
 
-def monthly_touches(t: Tables, first_day: str, last_day: str, **rules) -> DataFrame:
+def monthly_touches(t: Tables, first_day: str, last_day: str, rules: VolumeRules) -> DataFrame:
     """The same by touch: touch ids, touch days, rules on the queue of the touch."""
-    options = {"assignment_rules": tuple(assignment_rules(monitoring_label="Banking Frauds")), **rules}
-    return monthly_volume(t, first_day, last_day, VolumeRules(by_touch=True, **options))
+    return monthly_volume(t, first_day, last_day, replace(rules, by_touch=True))

@@ -10,6 +10,7 @@ from ..operators.match import nearest_related
 from ..plans import cases, complaints, payments, voice
 from ..sources.tables import load
 from .base import CALLS, EMPLOYEES, SUPPORT_CASES, View, frames, register, view, with_views
+from .rules import REMEDIATION
 
 # every order is a case with a call, so that the repeat logic runs over the whole table
 _NEAR = """
@@ -385,7 +386,7 @@ SELECT CASE WHEN is_central_team THEN 'No Action Required: Handled by the centra
 def remediation_buckets(spark, sf_dir):
     t = frames(spark, sf_dir, complaints=REM_COMPLAINTS, cases=REM_CASES, owner_history=REM_OWNERS, emails=REM_MAILS, employees=EMPLOYEES)
     return complaints.remediation_list(
-        t, specialist=["%met%", "%eret%"], escalation_queue="Escalations", business_unit="Main", link_prefix="https://desk.example/"
+        t, specialist=["%met%", "%eret%"], escalation_queue="Escalations", business_unit="Main", texts=REMEDIATION, link_prefix="https://desk.example/"
     )
 
 

@@ -15,6 +15,7 @@ from ..plans import cases, complaints, volume, voice, workforce
 from ..sources.tables import load
 from .base import CALLS, EMPLOYEES, View, frames, register, view, with_views
 from .history import CASE_EVENTS, LABELS, TOKEN_CASES
+from .rules import ARRIVALS, TOUCHES
 from .sla import rounded
 
 # -- intervals -------------------------------------------------------------------------------
@@ -255,12 +256,12 @@ def _volume_frames(spark, sf_dir):
 
 @register("conformed_volume", with_views(_volume_sql("first_assigned_queue", "ut.case_id", "created_at", "occurred_at", "Banking Fraud"), **_VOL))
 def conformed_volume(spark, sf_dir):
-    return volume.monthly_volume(_volume_frames(spark, sf_dir), "2024-01-02", "2024-02-10")
+    return volume.monthly_volume(_volume_frames(spark, sf_dir), "2024-01-02", "2024-02-10", ARRIVALS)
 
 
 @register("conformed_touches", with_views(_volume_sql("queue_name", "touch_id", "touch_start_time", "claimed_at", "Banking Frauds"), **_VOL))
 def conformed_touches(spark, sf_dir):
-    return volume.monthly_touches(_volume_frames(spark, sf_dir), "2024-01-02", "2024-02-10")
+    return volume.monthly_touches(_volume_frames(spark, sf_dir), "2024-01-02", "2024-02-10", TOUCHES)
 
 
 @register(

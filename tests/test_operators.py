@@ -15,6 +15,7 @@ from opsgrain.operators.metrics import (
     backlog_flag, confusion_rates, coverage_gap, distinct_counts, mixed_group_rows, share_of_total, side_by_side, threshold_alerts,
     trailing_ratio, with_totals,
 )
+from opsgrain.registry import rules
 
 
 def at(text):
@@ -206,10 +207,10 @@ def test_available_minutes(spark):
 
 def test_rules(spark):
     df = spark.createDataFrame([("US Banking", "Chat"), ("risk ato", "x"), ("none", "Chat"), ("none", None), (None, "Apparel"), ("none", "Email")], "q string, o string")
-    got = [r[0] for r in df.select(c.classify("q", c.queue_rules(), c.origin_default("o"))).collect()]
+    got = [r[0] for r in df.select(c.classify("q", rules.QUEUES, c.origin_default("o"))).collect()]
     assert got == ["Banking", "ATO", "Messaging", "Messaging", "Apparel", "Email"]
     queues = spark.createDataFrame([("RDC_RETURNS_RARS",), ("rdc_returns_rars",), ("my_ATO_q",), ("x_idv",)], "q string")
-    assert [r[0] for r in queues.select(c.classify("q", c.assignment_rules())).collect()] == [None, "Remote Deposit Capture", "ATO", "AR"]
+    assert [r[0] for r in queues.select(c.classify("q", rules.assignments("Fraud"))).collect()] == [None, "Remote Deposit Capture", "ATO", "AR"]
     waits = spark.createDataFrame([(0,), (5,), (60,), (61,), (-1,), (None,)], "w int")
     assert [r[0] for r in waits.select(c.bucketize("w", c.WAIT_RANGES)).collect()] == ["00-5 secs", "00-5 secs", "56-60 secs", "60+ secs", None, None]
 

@@ -1,13 +1,17 @@
 """Data products on tiny support-desk tables."""
 
+import os
+import re
 from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from opsgrain.plans import cases, complaints, sla
+from opsgrain.plans import cases, complaints, sla, volume
 from opsgrain.plans.contracts import HOURLY_QUEUE
 from opsgrain.plans.semantic import Period, View, by_granularity, distinct, number, pick, rows, share, timeframe
+from opsgrain.registry import rules
+from opsgrain.registry.rules import SLA
 from opsgrain.sources import tables as src
 
 
@@ -45,7 +49,7 @@ def desk(spark):
 
 
 def test_hourly_queue_fact(desk):
-    fact = sla.hourly_queue_sla(desk, "2024-03-10", "2024-03-11")
+    fact = sla.hourly_queue_sla(desk, "2024-03-10", "2024-03-11", SLA)
     got = {(r["ts"].hour, r["queue_id"]): r for r in fact.collect()}
     # 01:30 Pacific is 09:30 UTC before the clock change, 03:30 is 10:30 after it
     assert got[(9, "1")]["entering_touches"] == 2 and got[(9, "1")]["handled_touches"] == 1
@@ -56,18 +60,18 @@ def test_hourly_queue_fact(desk):
     chat = got[(10, "RD")]
     assert (chat["entering_touches"], chat["touches_in_sla"], chat["qualified_sla_touches"]) == (2, 1, 1)
     assert len([k for k in got if k[1] is None]) == 22
-    stored = sla.hourly_queue_sla(desk, "2024-03-10", "2024-03-11", ds=date(2024, 3, 12), round_like_fact=True)
+    stored = sla.hourly_queue_sla(desk, "2024-03-10", "2024-03-11", SLA, ds=date(2024, 3, 12), round_like_fact=True)
     assert stored.schema == HOURLY_QUEUE and stored.schema["ts"].metadata["comment"] == "hour in UTC"
 
 
 def test_hourly_advocate_fact(desk):
-    rows_ = sla.hourly_advocate_sla(desk, "2024-03-10", "2024-03-12").filter("queue_id is not null").collect()
+    rows_ = sla.hourly_advocate_sla(desk, "2024-03-10", "2024-03-12", SLA).filter("queue_id is not null").collect()
     got = {(r["ts"].day, r["ts"].hour, r["queue_id"]): r for r in rows_}
     # the range ends on the 10th at midnight for a timestamp, at the end of the day for a date
     assert got[(10, 9, "1")]["employee_id"] is None
     assert got[(10, 10, "RD")]["employee_id"] == 7
     assert got[(11, 8, "1")]["concurrency"] is None and got[(11, 8, "1")]["handled_backlog_touches"] == 1
-    by_day = sla.hourly_advocate_sla(desk, "2024-03-10", "2024-03-12", by_date=True).filter("queue_id = '1'").collect()
+    by_day = sla.hourly_advocate_sla(desk, "2024-03-10", "2024-03-12", SLA, by_date=True).filter("queue_id = '1'").collect()
     assert {r["ts"].day: r["employee_id"] for r in by_day} == {10: 7, 11: None}
 
 
@@ -208,3 +212,63 @@ def test_year_filter_reaches_the_scan(spark, tmp_path):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(t), GreaterThanOrEqual(t,2024-01-01T00:00), LessThan(t,2025-01-01T00:00)]" in plan
     assert df.count() == 1
+
+
+# -- ranges at the scans --------------------------------------------------------------------------
+
+
+def scans_without_range(df, folder):
+    """Fact scans of a plan whose pushed filters hold no range."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    scans = [x for x in plan.splitlines() if "FileScan" in x and str(folder) in x and not re.search(r"/(queue_catalog|employees|support_cases|events|cases|labels)\b", x)]
+    assert scans
+    return [x for x in scans if "GreaterThanOrEqual" not in x.split("PushedFilters")[1] or "LessThan" not in x.split("PushedFilters")[1]]
+
+
+@pytest.fixture(scope="module")
+def fact_files(spark, tmp_path_factory):
+    """The views of the registry as files, so that time columns are stored columns."""
+    from opsgrain.registry import base, rates
+
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")  # plans name all filters of a scan
+    folder = tmp_path_factory.mktemp("facts")
+    sf = "/root/testdata/sf0.001"
+    views = dict(
+        messaging_touches=base.MESSAGING, queue_catalog=base.CATALOG, chat_escalations=base.CHATS, employees=base.EMPLOYEES,
+        email_touches=base.EMAILS, call_records=base.CALLS,
+    )
+    out = {}
+    for name, v in views.items():
+        v.spark(spark, sf).write.parquet(f"{folder}/{name}")
+        out[name] = spark.read.parquet(f"{folder}/{name}")
+    volume = {}
+    for name, df in rates._volume_frames(spark, sf).items():
+        if name == "regulated":
+            volume[name] = df
+            continue
+        df.write.parquet(f"{folder}/v/{name}")
+        volume[name] = spark.read.parquet(f"{folder}/v/{name}")
+    return out, volume, folder
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="test tables not there")
+def test_every_fact_scan_has_a_range(fact_files):
+    t, v, folder = fact_files
+    span = ("2024-01-05", "2024-02-01", SLA)
+    plans = [
+        sla.hourly_queue_sla(t, *span), sla.hourly_queue_sla(t, *span, ds=date(2024, 1, 20)), sla.hourly_advocate_sla(t, *span),
+        sla.messaging_sla_hourly(t, *span), sla.daily_advocate_sla(t, *span), sla.email_sla_hourly(t, *span), sla.email_sla_total(t, *span),
+        sla.messaging_sla_total(t, *span), sla.voice_sla_hourly(t, *span[:2], core_vertical="core"), sla.voice_sla_total(t, *span[:2]),
+        volume.monthly_volume(v, "2024-01-05", "2024-01-20", rules.ARRIVALS), volume.monthly_touches(v, "2024-01-05", "2024-01-20", rules.TOUCHES),
+    ]
+    for df in plans:
+        assert scans_without_range(df, folder) == []
+
+
+def test_a_reload_reads_its_trailing_days_only(fact_files):
+    t, _, _ = fact_files
+    df = sla.hourly_queue_sla(t, "2024-01-01", "2024-02-01", SLA, ds=date(2024, 1, 20))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(touch_assignment_time,2024-01-12T00:00)" in plan
+    whole = sla.hourly_queue_sla(t, "2024-01-01", "2024-02-01", SLA).filter("ts >= timestamp_ntz '2024-01-13'")
+    assert df.exceptAll(whole).count() == 0 and whole.exceptAll(df).count() == 0
