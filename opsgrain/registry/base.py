@@ -7,8 +7,11 @@ written independently.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -265,6 +268,18 @@ CLASSIFIED = view(
 )
 
 
+@lru_cache(maxsize=1)
+def _own_folder() -> tempfile.TemporaryDirectory:
+    """Removed when the process ends."""
+    return tempfile.TemporaryDirectory(prefix="opsgrain-")
+
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for the files of one query: below ``spark.checkpoint.dir``, one of its own only where that is unset."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or _own_folder().name
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def frames(spark: SparkSession, sf_dir: str, **views: View) -> dict[str, DataFrame]:
     return {name: v.spark(spark, sf_dir) for name, v in views.items()}
 

@@ -10,7 +10,7 @@ from ..functions.dialect import compare, datediff_boundary, full_match, like_pla
 from ..operators import quality as q
 from ..plans import qa
 from ..sources import tables as src
-from .base import MESSAGING, frames, register, view, with_views
+from .base import MESSAGING, frames, register, view, with_views, work_folder
 
 # -- checks ----------------------------------------------------------------------------------
 
@@ -183,17 +183,18 @@ def touch_sources_stacked(spark, sf_dir):
 @register(
     "trailing_reload",
     """
-WITH old AS (SELECT date_trunc('hour', ts) AS h, event_type, count(*) - 1 AS n FROM events GROUP BY 1, 2),
-fresh AS (SELECT date_trunc('hour', ts) AS h, event_type, count(*) AS n FROM events GROUP BY 1, 2)
+WITH fresh AS (SELECT CASE WHEN extract(hour FROM ts) = 3 THEN NULL ELSE date_trunc('hour', ts) END AS h, event_type, count(*) AS n FROM events GROUP BY 1, 2),
+old AS (SELECT h, event_type, n - 1 AS n FROM fresh)
 SELECT strftime(h, '%Y-%m-%d %H:%M:%S') AS ts, event_type, n FROM (
-  SELECT * FROM old WHERE CAST(h AS date) < DATE '2024-01-20' - INTERVAL 7 DAY
+  SELECT * FROM old WHERE h IS NULL OR CAST(h AS date) < DATE '2024-01-20' - INTERVAL 7 DAY
   UNION ALL SELECT * FROM fresh WHERE CAST(h AS date) >= DATE '2024-01-20' - INTERVAL 7 DAY)""",
 )
 def trailing_reload(spark, sf_dir):
     from ..functions.dialect import trunc
 
     events = src.load(spark, sf_dir, "events")["events"]
-    fresh = events.groupBy(trunc("hour", "ts").alias("ts"), "event_type").agg(F.count(F.lit(1)).alias("n"))
+    hour = F.when(F.hour("ts") != 3, trunc("hour", "ts"))  # rows without a time stay in the table
+    fresh = events.groupBy(hour.alias("ts"), "event_type").agg(F.count(F.lit(1)).alias("n"))
     old = fresh.withColumn("n", F.col("n") - 1)
     return src.trailing_reload(old, fresh, "ts", date(2024, 1, 20))
 
@@ -207,12 +208,12 @@ def reload_partitions(spark, sf_dir):
     """The reload as a file table: the whole history is written, then only the trailing days again."""
     events = src.load(spark, sf_dir, "events")["events"]
     daily = events.groupBy(F.col("ts").cast("date").cast("timestamp_ntz").alias("ts")).agg(F.count(F.lit(1)).alias("n"))
-    path = src.scratch_dir(spark, "reload")
+    root = work_folder(spark, "reload")
+    path = f"{root}/staging"
     src.write(daily.withColumn("n", F.col("n") * 10).withColumn("ds", F.col("ts").cast("date")), path, "overwrite", ["ds"])
     src.reload_partitions(daily, path, "ts", date(2024, 1, 20))
-    published = f"{path}-prod"
-    src.publish(spark, path, published)
-    return spark.read.parquet(published).select("ds", "n")
+    src.publish(spark.read.parquet(path), f"{root}/production", ["ds"])
+    return src.published(spark, f"{root}/production").select("ds", "n")
 
 
 @register(

@@ -2,74 +2,119 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
-from ..session import configure
-from ..sources.tables import scratch_dir
 from ..streaming import sla as s
-from .base import register
+from .base import View, register, with_views, work_folder
+
+# every id in two hours, days 10 to 14 of the month left out by moving them behind the others
+def _moved(d, more: str) -> str:
+    return d.plus("ts", f"{more} + case when extract(day from ts) between 10 and 14 then 30 * 86400 else 0 end")
+
 
+STREAMED = View(
+    (
+        ("events", lambda d: ["event_id", "event_type", "value", f"{_moved(d, '0')} as ts"]),
+        ("events", lambda d: ["event_id", "event_type", "value + 40 as value", f"{_moved(d, '3600')} as ts"]),
+    )
+)
 _FLAGS = {
     "in_sla": lambda: (F.col("value") <= 120) & F.hour("ts").between(8, 17),
     "qualified": lambda: F.hour("ts").between(8, 17),
 }
-
-
-def _events(spark, sf_dir):
-    return s.file_stream(configure(spark), sf_dir, "events.parquet")
+FILES = 4
+_END = "2025-06-01"
 
 
 def _flags():
     return {n: f() for n, f in _FLAGS.items()}
 
 
-_CLOSED = """
+def _replay(spark, sf_dir, folder, end: bool = True):
+    """The rows as a stream of several files, a tenth of them one file late; the last file holds one row without id that ends the time."""
+    rows = STREAMED.spark(spark, sf_dir)
+    at = F.floor(F.datediff("ts", F.lit("2024-01-01").cast("date")) / 8) + F.when(F.col("event_id") % 10 == 0, 1).otherwise(0)
+    rows = rows.withColumn("part", F.least(at, F.lit(FILES - 1)))
+    for i in range(FILES):
+        rows.filter(F.col("part") == i).drop("part").coalesce(1).write.parquet(f"{folder}/in/{i}")
+    if end:
+        last = rows.drop("part").limit(1).select(
+            F.lit(None).cast("bigint").alias("event_id"), F.lit(None).cast("string").alias("event_type"), "value", F.lit(_END).cast("timestamp_ntz").alias("ts")
+        )
+        last.coalesce(1).write.parquet(f"{folder}/in/{FILES}")
+    return s.file_stream(spark, f"{folder}/in", files_per_batch=1)
+
+
+_HOURS = """
 WITH h AS (
   SELECT date_trunc('hour', ts) AS h{key}, count(DISTINCT event_id) AS handled,
     count(DISTINCT CASE WHEN value <= 120 AND extract(hour FROM ts) BETWEEN 8 AND 17 THEN event_id END) AS in_sla,
     count(DISTINCT CASE WHEN extract(hour FROM ts) BETWEEN 8 AND 17 THEN event_id END) AS qualified
-  FROM events GROUP BY ALL),
-c AS (SELECT * FROM h WHERE h + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 7 DAY FROM events))
+  FROM e GROUP BY ALL)
 """
 
 
 @register(
     "stream_sla",
-    _CLOSED.format(key=", event_type") + "SELECT strftime(h, '%Y-%m-%d %H:%M:%S') AS ts, event_type, handled, in_sla, qualified FROM c",
+    with_views(
+        _HOURS.format(key=", event_type") + "SELECT strftime(h, '%Y-%m-%d %H:%M:%S') AS ts, event_type, handled, in_sla, qualified FROM h", e=STREAMED
+    ),
 )
 def stream_sla(spark, sf_dir):
-    events = _events(spark, sf_dir)
-    hourly = s.stream_sla(events, "ts", "event_id", ["event_type"], _flags())
-    root = scratch_dir(spark, "stream_sla")
+    root = work_folder(spark, "stream_sla")
+    hourly = s.stream_sla(_replay(spark, sf_dir, root), "ts", "event_id", ["event_type"], _flags())
     s.run_to_end(hourly, f"{root}/out", f"{root}/checkpoint")
     return spark.read.parquet(f"{root}/out")
 
 
 @register(
     "stream_alerts",
-    _CLOSED.format(key="")
-    + """, p AS (SELECT h AS ts, handled, in_sla, qualified, round(in_sla / nullif(qualified, 0) * 100, 2) AS sla_pct FROM c),
+    with_views(
+        _HOURS.format(key="")
+        + """, p AS (SELECT h AS ts, handled, in_sla, qualified, round(in_sla / nullif(qualified, 0) * 100, 2) AS sla_pct FROM h),
 l AS (SELECT *, lag(sla_pct) OVER (ORDER BY ts) AS prev_sla_pct FROM p)
 SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, strftime(ts, '%Y-%m-%d') AS day, handled, in_sla, qualified, sla_pct, prev_sla_pct,
   coalesce(prev_sla_pct - sla_pct >= 10, false) AS alert_drop, coalesce(handled > 15, false) AS alert_volume, coalesce(sla_pct < 25, false) AS alert_floor FROM l""",
+        e=STREAMED,
+    ),
 )
 def stream_alerts(spark, sf_dir):
-    hourly = s.stream_sla(_events(spark, sf_dir), "ts", "event_id", [], _flags())
-    root = scratch_dir(spark, "stream_alerts")
-    s.stream_alerts(hourly, f"{root}/facts", f"{root}/alerts", f"{root}/checkpoint", ceiling=15)
-    return spark.read.parquet(f"{root}/alerts")
+    root = work_folder(spark, "stream_alerts")
+    hourly = s.stream_sla(_replay(spark, sf_dir, root), "ts", "event_id", [], _flags())
+    s.stream_alerts(hourly, f"{root}/facts", f"{root}/alerts", f"{root}/state", f"{root}/checkpoint", ceiling=15)
+    return spark.read.parquet(f"{root}/alerts").drop("batch")
 
 
-@register(
-    "stream_trailing_reload",
-    """
+_DAYS = """
 SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(DISTINCT event_id) AS handled,
   count(DISTINCT CASE WHEN value <= 120 AND extract(hour FROM ts) BETWEEN 8 AND 17 THEN event_id END) AS in_sla,
-  count(DISTINCT CASE WHEN extract(hour FROM ts) BETWEEN 8 AND 17 THEN event_id END) AS qualified FROM events GROUP BY 1, 2""",
-)
+  count(DISTINCT CASE WHEN extract(hour FROM ts) BETWEEN 8 AND 17 THEN event_id END) AS qualified FROM e {where} GROUP BY 1, 2"""
+
+
+def _reload(spark, sf_dir, name, ds):
+    root = work_folder(spark, name)
+    events = _replay(spark, sf_dir, root, end=False)
+    s.stream_trailing_reload(events, "ts", "event_id", ["event_type"], _flags(), f"{root}/landing", f"{root}/facts", f"{root}/checkpoint", ds=ds)
+    return root
+
+
+@register("stream_trailing_reload", with_views(_DAYS.format(where=""), e=STREAMED))
 def stream_trailing_reload(spark, sf_dir):
-    root = scratch_dir(spark, "stream_reload")
-    s.stream_trailing_reload(
-        _events(spark, sf_dir), "ts", "event_id", ["event_type"], _flags(), f"{root}/landing", f"{root}/facts", f"{root}/checkpoint"
-    )
-    return spark.read.parquet(f"{root}/facts")
+    """Every day, whatever the batches."""
+    return spark.read.parquet(f"{_reload(spark, sf_dir, 'stream_reload', None)}/facts")
+
+
+@register("stream_reload_run", with_views(_DAYS.format(where="WHERE CAST(ts AS date) >= DATE '2024-01-13'"), e=STREAMED))
+def stream_reload_run(spark, sf_dir):
+    """The run of a day: the seven days before it and later ones."""
+    return spark.read.parquet(f"{_reload(spark, sf_dir, 'stream_run', date(2024, 1, 20))}/facts")
+
+
+@register(
+    "stream_late_rows",
+    with_views("SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS rows FROM e WHERE CAST(ts AS date) < DATE '2024-01-13' GROUP BY 1", e=STREAMED),
+)
+def stream_late_rows(spark, sf_dir):
+    return s.late_rows(spark, f"{_reload(spark, sf_dir, 'stream_late', date(2024, 1, 20))}/landing", date(2024, 1, 20))

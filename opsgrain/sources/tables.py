@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Mapping, Sequence
-from datetime import date, timedelta
+from datetime import UTC, date, datetime, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -134,8 +133,11 @@ def trailing_filter(ts: str | Column, ds: date, days: int = 7, full: bool = Fals
 def trailing_reload(
     existing: DataFrame, fresh: DataFrame, ts: str, ds: date, days: int = 7, full: bool = False, as_of: date | None = None
 ) -> DataFrame:
-    """Delete the trailing days from ``existing`` and put the fresh rows of that span in."""
-    stale = trailing_filter(ts, ds, days, full, as_of)
+    """Delete the trailing days from ``existing`` and put the fresh rows of that span in.
+
+    Rows without a time are in no span: existing ones stay, as a DELETE leaves them, and fresh ones are not inserted.
+    """
+    stale = F.coalesce(trailing_filter(ts, ds, days, full, as_of), F.lit(False))
     return existing.filter(~stale).unionByName(fresh.filter(stale))
 
 
@@ -149,33 +151,61 @@ def reload_partitions(fresh: DataFrame, path: str, ts: str, ds: date, days: int
     write(span, path, "overwrite", [day_col])
 
 
-def publish(spark: SparkSession, staging: str, production: str, fmt: str = "parquet") -> None:
-    """Replace production by what staging holds; production stays intact until this step."""
-    spark.read.format(fmt).load(staging).write.mode("overwrite").format(fmt).save(production)
+_CURRENT = "CURRENT"
 
 
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new folder below the shared checkpoint folder of the cluster.
+def _files(spark: SparkSession, path: str):
+    """(FileContext, org.apache.hadoop.fs package) of the store that holds ``path``."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    return hadoop.FileContext.getFileContext(hadoop.Path(path).getFileSystem(conf).getUri(), conf), hadoop
 
-    Only a local session without that setting gets a temporary folder; elsewhere the
-    executors could not share it.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        root = tempfile.mkdtemp(prefix="opsgrain-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+def current_version(spark: SparkSession, production: str) -> str | None:
+    """Name of the published version, or None."""
+    files, hadoop = _files(spark, production)
+    pointer = hadoop.Path(f"{production}/{_CURRENT}")
+    if not files.util().exists(pointer):
+        return None
+    stream = files.open(pointer)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write an intermediate table below the shared checkpoint folder and read it back.
+def publish(df: DataFrame, production: str, partition_by: Sequence[str] = (), fmt: str = "parquet", keep: int = 2) -> str:
+    """Publish ``df`` as the new version of the production table; returns the version.
 
-    For a result that several later steps read: it is computed once and the plan starts anew.
+    The files are written to a version folder first, with the partitions; then the pointer file is replaced by a rename, which readers see
+    all at once or not at all.  A failure before that leaves the published version as it was.  ``keep`` versions stay, for readers
+    that opened the one before.
     """
-    path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    name = f"v-{datetime.now(UTC):%Y%m%d%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+    write(df, f"{production}/{name}", "overwrite", partition_by, fmt, full_refresh=True)
+    files, hadoop = _files(spark, production)
+    jvm = spark.sparkContext._jvm
+    draft = hadoop.Path(f"{production}/.{_CURRENT}-{name}")
+    out = hadoop.Path(draft.toString()).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(draft, True)
+    out.write(bytearray(name.encode()))
+    out.close()
+    options = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    files.rename(draft, hadoop.Path(f"{production}/{_CURRENT}"), options)
+    listed = files.util().listStatus(hadoop.Path(production))
+    versions = sorted(s.getPath().getName() for s in listed if s.isDirectory() and s.getPath().getName().startswith("v-"))
+    for old in [v for v in versions if v != name][: max(0, len(versions) - keep)]:
+        files.delete(hadoop.Path(f"{production}/{old}"), True)
+    return name
+
+
+def published(spark: SparkSession, production: str, fmt: str = "parquet") -> DataFrame:
+    """The published version of a table."""
+    version = current_version(spark, production)
+    if version is None:
+        raise FileNotFoundError(f"nothing is published at {production}")
+    return spark.read.format(fmt).load(f"{production}/{version}")
 
 
 def update_where(df: DataFrame, pred: Column, values: Mapping[str, Column]) -> DataFrame:

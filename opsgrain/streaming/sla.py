@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,34 +11,38 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.dialect import ntz, safe_ratio
 from ..operators.metrics import distinct_counts, threshold_alerts
-from ..sources.tables import write
+from ..sources.tables import reload_start, write
 
 LATENESS = "7 days"
 
 
-def file_stream(spark: SparkSession, directory: str, name: str, files_per_batch: int | None = None) -> DataFrame:
-    """Parquet files of a folder as a stream; the schema comes from a batch read."""
-    schema = spark.read.parquet(f"{directory}/{name}").schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", name)
+def file_stream(spark: SparkSession, directory: str, name: str = "*.parquet", files_per_batch: int | None = None) -> DataFrame:
+    """Parquet files below a folder as a stream; the schema comes from a batch read."""
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", name)
+    schema = reader.parquet(directory).schema
+    stream = spark.readStream.schema(schema).option("recursiveFileLookup", True).option("pathGlobFilter", name)
     if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(directory)
+        stream = stream.option("maxFilesPerTrigger", files_per_batch)
+    return stream.parquet(directory)
 
 
 def stream_sla(
-    events: DataFrame, ts: str, row_id: str, keys: list[str], flags: Mapping[str, Column], *, window: str = "1 hour", lateness: str = LATENESS
+    events: DataFrame, ts: str, row_id: str, keys: Sequence[str], flags: Mapping[str, Column], *, window: str = "1 hour", lateness: str = LATENESS
 ) -> DataFrame:
     """Distinct ids per window and key with flag counts; late rows count for ``lateness``.
 
-    Distinct aggregates do not exist on streams: the first row of an id within the lateness
-    is kept, then rows are counted.  The state is one row per open id and per open window.
+    Distinct aggregates do not exist on streams, so the flags of an id are or-ed per window first and the ids counted then: two
+    aggregations over the same windows, like ``distinct_counts`` on tables.  The state is one row per id of an open window and
+    one per open window.  Windows come out when the watermark passes them; a row without an id only moves the watermark.
     """
     timed = events.withColumn("__at", F.col(ts).cast("timestamp")).withWatermark("__at", lateness)
-    first = timed.dropDuplicatesWithinWatermark([row_id])
-    out = first.groupBy(F.window("__at", window), *keys).agg(
-        F.count(F.lit(1)).alias("handled"), *[F.count_if(c).alias(n) for n, c in flags.items()]
+    marks = [F.max(F.when(c, 1).otherwise(0)).alias(n) for n, c in flags.items()]
+    ids = timed.groupBy(F.window("__at", window), *keys, row_id).agg(F.count(row_id).alias("__seen"), *marks)
+    out = ids.groupBy(F.window("window", window).alias("span"), *keys).agg(
+        F.sum(F.when(F.col("__seen") > 0, 1).otherwise(0)).alias("handled"),
+        *[F.sum(F.when(F.col("__seen") > 0, F.col(n)).otherwise(0)).alias(n) for n in flags],
     )
-    return out.select(ntz(F.col("window.start")).alias("ts"), *keys, "handled", *flags)
+    return out.select(ntz(F.col("span.start")).alias("ts"), *keys, "handled", *flags)
 
 
 def run_to_end(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
@@ -55,31 +60,30 @@ def run_to_end(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
 
 
 def stream_alerts(
-    hourly: DataFrame, facts_path: str, alerts_path: str, checkpoint: str, *, drop: float = 10, floor: float = 25, ceiling: float = 12000
+    hourly: DataFrame, facts_path: str, alerts_path: str, state_path: str, checkpoint: str, *, keys: Sequence[str] = (), drop: float = 10,
+    floor: float = 25, ceiling: float = 12000,
 ) -> StreamingQuery:
-    """Keep the hourly facts and their alerts as tables partitioned by day.
+    """Keep the hourly facts and their alerts as tables partitioned by day and batch.
 
-    ``hourly`` is a closed-window stream with ts, handled, in_sla and qualified.  Lag does not
-    exist on streams, so each batch writes its hours and computes the alerts again from the
-    day before its first hour on.  Both writes replace whole partitions: a repeated batch
-    gives the same tables.
+    ``hourly`` is a closed-window stream with ts, handled, in_sla and qualified.  Windows close in order, so the hour before the first
+    one of a batch is the last one of the batches before, however long ago: a state table holds that row of each key, one version
+    per batch.  A batch reads the version before its own and writes its own, so a repeated batch gives the same tables.
     """
+    cols = ["ts", *keys, "handled", "in_sla", "qualified"]
+
     def batch(rows: DataFrame, batch_id: int) -> None:
         spark = rows.sparkSession
-        # read twice below: the hours of one batch are few
-        rows = rows.withColumn("day", F.col("ts").cast("date")).withColumn("batch", F.lit(batch_id)).persist()
-        try:
-            first = rows.agg(F.min("day")).first()[0]
-            if first is None:
-                return
-            write(rows, facts_path, partition_by=["day", "batch"])
-            span = F.lit(first).cast("date")
-            facts = spark.read.parquet(facts_path).filter(F.col("day") >= F.date_sub(span, 1))
-            facts = facts.withColumn("sla_pct", safe_ratio("in_sla", "qualified", 100, 2)).drop("batch")
-            alerts = threshold_alerts(facts, "ts", "sla_pct", "handled", drop=drop, floor=floor, ceiling=ceiling)
-            write(alerts.filter(F.col("day") >= span), alerts_path, partition_by=["day"])
-        finally:
-            rows.unpersist()
+        rows = rows.withColumns({"day": F.col("ts").cast("date"), "batch": F.lit(batch_id)})
+        write(rows, facts_path, partition_by=["day", "batch"])
+        fresh = spark.read.schema(rows.schema).parquet(facts_path).filter(F.col("batch") == batch_id).select(*cols)
+        known = spark.read.parquet(f"{state_path}/{batch_id - 1}") if batch_id else fresh.limit(0)
+        both = known.select(*cols, F.lit(False).alias("fresh")).unionByName(fresh.withColumn("fresh", F.lit(True)))
+        last = both.groupBy(*keys).agg(F.max_by(F.struct(*cols), "ts").alias("last")).filter("last is not null")
+        last.select("last.*").write.mode("overwrite").parquet(f"{state_path}/{batch_id}")
+        rated = both.withColumn("sla_pct", safe_ratio("in_sla", "qualified", 100, 2))
+        alerts = threshold_alerts(rated, "ts", "sla_pct", "handled", drop=drop, floor=floor, ceiling=ceiling, keys=keys).filter("fresh").drop("fresh")
+        alerts = alerts.withColumns({"day": F.col("ts").cast("date"), "batch": F.lit(batch_id)})
+        write(alerts, alerts_path, partition_by=["day", "batch"])
 
     query = (
         hourly.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
@@ -89,28 +93,22 @@ def stream_alerts(
 
 
 def stream_trailing_reload(
-    events: DataFrame, ts: str, row_id: str, keys: list[str], flags: Mapping[str, Column], landing: str, facts_path: str, checkpoint: str, *, days: int = 7
+    events: DataFrame, ts: str, row_id: str, keys: Sequence[str], flags: Mapping[str, Column], landing: str, facts_path: str, checkpoint: str, *,
+    ds: date | None = None, days: int = 7,
 ) -> StreamingQuery:
-    """Daily facts rebuilt for the days of a batch that lie in the trailing span.
+    """Daily facts rebuilt for the days that a batch touches.
 
-    Rows land partitioned by (day, batch); the facts of the touched days are computed again
-    from all their landed rows and replace those partitions only.  Rows older than ``days``
-    before the newest day seen are kept in the landing table and left out of the facts,
-    except on the first batch, which loads everything.
+    Rows land partitioned by (day, batch); the facts of the touched days are computed again from all their landed rows and replace those
+    partitions only.  With a run date ``ds`` days older than ``days`` before it are not rebuilt (``late_rows`` counts what came for
+    them); without one every day is.  The cut follows from the run date alone, so the tables do not depend on how the rows are
+    dealt over batches.  Rows without a time land and belong to no day.
     """
     def batch(rows: DataFrame, batch_id: int) -> None:
         spark = rows.sparkSession
-        rows = rows.withColumn("day", F.col(ts).cast("date")).withColumn("batch", F.lit(batch_id))
+        rows = rows.withColumns({"day": F.col(ts).cast("date"), "batch": F.lit(batch_id)})
         write(rows, landing, partition_by=["day", "batch"])
-        landed = spark.read.parquet(landing)
-        newest = landed.filter(F.col("batch") == batch_id).agg(F.max("day")).first()[0]
-        if newest is None:
-            return
-        span = landed
-        if batch_id > 0:
-            # the facts are small, one partition per day
-            newest = max(newest, spark.read.parquet(facts_path).agg(F.max("day")).first()[0])
-            span = landed.filter(F.col("day") >= F.date_sub(F.lit(newest), days))
+        landed = spark.read.schema(rows.schema).parquet(landing)
+        span = landed if ds is None else landed.filter(F.col("day") >= F.lit(str(reload_start(ds, days))).cast("date"))
         touched = span.filter(F.col("batch") == batch_id).select("day").distinct()
         again = span.join(touched, "day", "left_semi")
         facts = distinct_counts(again, ["day", *keys], row_id, {"handled": None, **flags})
@@ -119,3 +117,9 @@ def stream_trailing_reload(
     query = events.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return query
+
+
+def late_rows(spark: SparkSession, landing: str, ds: date, days: int = 7) -> DataFrame:
+    """Landed rows per day that a run of ``ds`` leaves out of the facts."""
+    late = spark.read.parquet(landing).filter(F.col("day") < F.lit(str(reload_start(ds, days))).cast("date"))
+    return late.groupBy("day").agg(F.count(F.lit(1)).alias("rows"))

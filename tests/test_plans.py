@@ -174,8 +174,32 @@ def test_partition_reload_is_idempotent(spark, tmp_path):
         src.reload_partitions(fact(range(1, 23), 2), path, "ts", date(2024, 1, 20))
     rows_ = spark.read.parquet(path).collect()
     assert len(rows_) == 22 and {r["ds"].day for r in rows_ if r["v"] == 2} == set(range(13, 23))
-    src.publish(spark, path, str(tmp_path / "prod"))
-    assert spark.read.parquet(str(tmp_path / "prod")).count() == 22
+
+
+def test_publish_switches_whole_versions(spark, tmp_path):
+    prod = str(tmp_path / "prod")
+    with pytest.raises(FileNotFoundError):
+        src.published(spark, prod)
+    days = spark.createDataFrame([(i, f"d{i % 3}") for i in range(9)], "v int, ds string")
+    first = src.publish(days, prod, ["ds"])
+    before = src.published(spark, prod)
+    assert sorted(os.listdir(f"{prod}/{first}")) == ["._SUCCESS.crc", "_SUCCESS", "ds=d0", "ds=d1", "ds=d2"]
+    # a failing write leaves the published version as it is
+    with pytest.raises(Exception, match="boom"):
+        src.publish(days.withColumn("v", F.when(F.col("v") == 8, F.raise_error(F.lit("boom")).cast("int")).otherwise(F.col("v"))), prod, ["ds"])
+    assert src.current_version(spark, prod) == first and src.published(spark, prod).count() == 9
+    second = src.publish(days.filter("v < 3"), prod, ["ds"])
+    assert src.current_version(spark, prod) == second != first
+    assert before.count() == 9 and src.published(spark, prod).count() == 3  # an open reader keeps its version
+    src.publish(days.filter("v < 2"), prod, ["ds"])
+    assert len([x for x in os.listdir(prod) if x.startswith("v-")]) == 2 and src.published(spark, prod).count() == 2
+
+
+def test_rows_without_time_stay_in_a_reload(spark):
+    old = spark.createDataFrame([(None, 1), (at("2024-01-19 00:00:00"), 1)], "ts timestamp_ntz, v int")
+    fresh = spark.createDataFrame([(None, 2), (at("2024-01-19 00:00:00"), 2)], "ts timestamp_ntz, v int")
+    for full in (False, True):
+        assert sorted(r["v"] for r in src.trailing_reload(old, fresh, "ts", date(2024, 1, 20), full=full).collect()) == [1, 2]
 
 
 def test_create_append_and_full_refresh(spark, tmp_path):

@@ -1,10 +1,11 @@
 """Late rows, repeated rows and restarts of the streaming jobs."""
 
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
-from opsgrain.sources.tables import scratch_dir
+from opsgrain.registry.base import work_folder
 from opsgrain.streaming import sla as s
 
 T0 = datetime(2024, 1, 1)
@@ -20,32 +21,78 @@ def files(spark, folder, batches):
     return spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).option("pathGlobFilter", "part-*").parquet(folder)
 
 
-def test_late_rows_count_within_the_lateness(spark, tmp_path):
-    first = [(1, T0, "a", 1.0), (2, T0 + timedelta(days=3), "a", 500.0)]
-    second = [(1, T0, "a", 1.0), (3, T0 + timedelta(minutes=5), "a", 500.0), (4, T0 + timedelta(days=12), "a", 1.0)]
-    third = [(6, T0 + timedelta(days=30), "a", 1.0)]
-    # Spark only promises to keep rows within the lateness; a later batch surely drops row 5
-    fourth = [(5, T0 + timedelta(minutes=9), "a", 1.0), (7, T0 + timedelta(days=31), "a", 1.0)]
-    stream = files(spark, str(tmp_path / "in"), [first, second, third, fourth])
+END = (None, T0 + timedelta(days=400), "a", 0.0)
+
+
+def rows(df, *cols):
+    return sorted(tuple(r[c] for c in cols) for r in df.collect())
+
+
+def plain(spark, data):
+    """The batch form of the counts."""
+    from opsgrain.functions.dialect import trunc
+    from opsgrain.operators.metrics import distinct_counts
+
+    df = spark.createDataFrame(data, SCHEMA).withColumn("t", trunc("hour", "ts"))
+    return distinct_counts(df, ["t", "kind"], "event_id", {"handled": None, "in_sla": F.col("value") <= 120})
+
+
+# an id in two hours and twice in one (flag on the second row only), a late row, a gap of six days
+DATA = [
+    [(1, T0, "a", 500.0), (1, T0 + timedelta(minutes=9), "a", 1.0), (2, T0 + timedelta(hours=1), "b", 1.0)],
+    [(1, T0 + timedelta(hours=1), "a", 500.0), (3, T0 + timedelta(days=6), "a", 500.0)],
+    [(4, T0 + timedelta(days=2), "a", 1.0), (5, T0 + timedelta(days=6, hours=3), "a", 1.0)],
+]
+
+
+@pytest.mark.parametrize("batches", [DATA, [sum(DATA, [])], [[r] for r in sum(DATA, [])]])
+def test_stream_equals_batch_however_files_are_dealt(spark, tmp_path, batches):
+    stream = files(spark, str(tmp_path / "in"), [*batches, [END]])
     hourly = s.stream_sla(stream, "ts", "event_id", ["kind"], {"in_sla": F.col("value") <= 120})
     s.run_to_end(hourly, str(tmp_path / "out"), str(tmp_path / "cp"))
-    got = {r["ts"]: (r["handled"], r["in_sla"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
-    # row 3 is 3 days late and counts, row 1 came twice, row 5 is beyond seven days
-    assert got == {T0: (2, 1), T0 + timedelta(days=3): (1, 0), T0 + timedelta(days=12): (1, 1)}
+    got = rows(spark.read.parquet(str(tmp_path / "out")), "ts", "kind", "handled", "in_sla")
+    assert got == rows(plain(spark, sum(DATA, [])), "t", "kind", "handled", "in_sla")
+
+
+def test_rows_beyond_the_lateness_do_not_count(spark, tmp_path):
+    batches = [[(1, T0 + timedelta(days=30), "a", 1.0)], [(2, T0 + timedelta(days=31), "a", 1.0)], [(3, T0, "a", 1.0)], [END]]
+    hourly = s.stream_sla(files(spark, str(tmp_path / "in"), batches), "ts", "event_id", ["kind"], {"in_sla": F.col("value") <= 120})
+    s.run_to_end(hourly, str(tmp_path / "out"), str(tmp_path / "cp"))
+    assert rows(spark.read.parquet(str(tmp_path / "out")), "ts") == [(T0 + timedelta(days=30),), (T0 + timedelta(days=31),)]
+
+
+@pytest.mark.parametrize("split", [True, False])
+def test_alerts_see_the_hour_before_a_gap(spark, tmp_path, split):
+    parts = [[(1, T0, "a", 1.0), (9, T0, "b", 1.0)], [(2, T0 + timedelta(days=20), "a", 500.0)], [(3, T0 + timedelta(days=21), "a", 1.0)]]
+    stream = files(spark, str(tmp_path / "in"), [*(parts if split else [sum(parts, [])]), [END]])
+    hourly = s.stream_sla(stream, "ts", "event_id", ["kind"], {"in_sla": F.col("value") <= 120, "qualified": F.lit(True)})
+    paths = [str(tmp_path / x) for x in ("facts", "alerts", "state", "cp")]
+    s.stream_alerts(hourly, *paths, keys=["kind"])
+    got = rows(spark.read.parquet(paths[1]), "kind", "ts", "sla_pct", "alert_drop")
+    assert got == [("a", T0, 100.0, False), ("a", T0 + timedelta(days=20), 0.0, True), ("a", T0 + timedelta(days=21), 100.0, False), ("b", T0, 100.0, False)]
+    prev = {(r["kind"], r["ts"]): r["prev_sla_pct"] for r in spark.read.parquet(paths[1]).collect()}
+    assert prev[("a", T0 + timedelta(days=20))] == 100.0 and prev[("b", T0)] is None
 
 
-def test_reload_rebuilds_touched_days_only(spark, tmp_path):
-    first = [(1, T0, "a", 1.0), (2, T0 + timedelta(days=9), "a", 1.0)]
-    second = [(3, T0 + timedelta(days=8), "a", 1.0), (2, T0 + timedelta(days=9), "a", 1.0), (4, T0, "a", 1.0)]
-    stream = files(spark, str(tmp_path / "in"), [first, second])
+@pytest.mark.parametrize("ds", [None, date(2024, 1, 12)])
+@pytest.mark.parametrize("split", [True, False])
+def test_reload_does_not_depend_on_the_batches(spark, tmp_path, split, ds):
+    parts = [
+        [(1, T0, "a", 1.0), (2, T0 + timedelta(days=9), "a", 1.0)],
+        [(3, T0 + timedelta(days=8), "a", 1.0), (2, T0 + timedelta(days=9), "a", 1.0), (4, T0, "a", 1.0), (7, None, "a", 1.0)],
+        [(5, T0 + timedelta(days=1), "a", 1.0)],
+    ]
+    stream = files(spark, str(tmp_path / "in"), parts if split else [sum(parts, [])])
     land, facts = str(tmp_path / "land"), str(tmp_path / "facts")
-    s.stream_trailing_reload(stream, "ts", "event_id", ["kind"], {"ok": F.col("value") < 5}, land, facts, str(tmp_path / "cp"))
+    s.stream_trailing_reload(stream, "ts", "event_id", ["kind"], {"ok": F.col("value") < 5}, land, facts, str(tmp_path / "cp"), ds=ds)
     got = {r["day"].day: r["handled"] for r in spark.read.parquet(facts).collect()}
-    assert got == {1: 1, 9: 1, 10: 1}  # row 4 is too late for the facts but is landed
-    assert spark.read.parquet(land).count() == 5
+    assert got == ({9: 1, 10: 1} if ds else {1: 2, 2: 1, 9: 1, 10: 1})
+    assert spark.read.parquet(land).count() == 7
+    late = {r["day"].day: r["rows"] for r in s.late_rows(spark, land, date(2024, 1, 12)).collect()}
+    assert late == {1: 2, 2: 1}
 
 
-def test_scratch_follows_the_cluster_setting(spark):
+def test_work_folder_follows_the_cluster_setting(spark):
+    root = work_folder(spark, "x")
     old = spark.conf.get("spark.checkpoint.dir", None)
-    root = scratch_dir(spark, "x")
     assert root.startswith(old.rstrip("/") + "/x-") if old else "opsgrain-" in root
