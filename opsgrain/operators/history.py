@@ -58,7 +58,7 @@ def path_steps(df: DataFrame, key: str, seq: str, value: str) -> DataFrame:
     The prior and the later path of a step are the rows of the key with a smaller and a larger step, so the size of the result is
     that of the input; as text in every row it would grow with the square of a key's rows.  Steps count 1, 2, ... per key.
     """
-    last = with_totals(df.select(key, seq, value), [key], {"__last": F.max(seq)})
+    last = with_totals(df.select(key, seq, value), [key], {"__last": ("max", F.col(seq))})
     return last.select(
         key, F.col(seq).alias("step"), F.col(value).alias("value"), (F.col(seq) - 1).cast("bigint").alias("prior_steps"),
         (F.col("__last") - F.col(seq)).cast("bigint").alias("later_steps"), (F.col(seq) == F.col("__last")).alias("is_last"),

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dialect import col, safe_ratio
+from .ordered import spread_totals
 
 
 def distinct_counts(
@@ -130,20 +131,13 @@ def threshold_alerts(
     )
 
 
-def with_totals(df: DataFrame, keys: Sequence[str], totals: Mapping[str, Column]) -> DataFrame:
-    """Add aggregates of the row's group, as ``agg() OVER (PARTITION BY keys)`` does.
+def with_totals(df: DataFrame, keys: Sequence[str], totals: Mapping[str, tuple[str, Column]]) -> DataFrame:
+    """Add aggregates ("sum", "max", "min" or "count", column) of the row's group, as ``agg() OVER (PARTITION BY keys)`` does.
 
-    Aggregated on the map side and joined back, so a hot group is never gathered in one
-    task; run-time skew splitting applies to the join.  NULL keys form a group.
+    The rows of a group are spread over salts that are summed up, so a hot group is never gathered in one task, and rows
+    and sums come out of one shuffle, so the input is built once.  NULL keys form a group.
     """
-    if not keys:
-        raise ValueError("use share_of_all for a total over everything")
-    sums = df.groupBy(*keys).agg(*[c.alias(n) for n, c in totals.items()])
-    sums = sums.select(*[F.col(k).alias(f"__g_{k}") for k in keys], *totals)
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"__g_{k}"))
-    return df.join(sums, cond, "left").drop(*[f"__g_{k}" for k in keys])
+    return spread_totals(df, keys, totals)
 
 
 def share_of_total(df: DataFrame, part_keys: Sequence[str], total_keys: Sequence[str], value: str, digits: int = 2) -> DataFrame:
@@ -152,13 +146,14 @@ def share_of_total(df: DataFrame, part_keys: Sequence[str], total_keys: Sequence
     The wider sums are built from the part sums, so the base rows are shuffled once.
     """
     parts = df.groupBy(*part_keys).agg(F.sum(value).alias("part_sum"))
-    out = with_totals(parts, total_keys, {"total_sum": F.sum("part_sum")})
+    out = with_totals(parts, total_keys, {"total_sum": ("sum", F.col("part_sum"))})
     return out.withColumn("share_pct", safe_ratio("part_sum", "total_sum", 100, digits))
 
 
 def percent_of_total(df: DataFrame, measure: str, out: str, digits: int | None = None) -> DataFrame:
-    """Share of each result row in the sum over all result rows (``df`` is a small report)."""
-    return df.withColumn(out, safe_ratio(measure, F.sum(measure).over(Window.partitionBy()), 1, digits))
+    """Share of each result row in the sum over all result rows."""
+    total = with_totals(df, [], {"__total": ("sum", F.col(measure))})
+    return total.withColumn(out, safe_ratio(measure, "__total", 1, digits)).drop("__total")
 
 
 def side_by_side(*frames: DataFrame) -> DataFrame:
@@ -175,7 +170,7 @@ def side_by_side(*frames: DataFrame) -> DataFrame:
 
 def mixed_group_rows(df: DataFrame, keys: Sequence[str], kind: str, minimum: int = 2) -> DataFrame:
     """Rows of groups that hold at least ``minimum`` kinds (NULL is a kind).  One row per kind expected."""
-    totals = with_totals(df, keys, {"__kinds": F.count(F.lit(1))})
+    totals = with_totals(df, keys, {"__kinds": ("count", F.lit(1))})
     return totals.filter(F.col("__kinds") >= minimum).drop("__kinds")
 
 

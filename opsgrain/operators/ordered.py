@@ -68,6 +68,7 @@ def ordered(
     last_seen: Mapping[str, Column] | None = None,
     next_seen: Mapping[str, Column] | None = None,
     running: Mapping[str, Column] | None = None,
+    totals: Mapping[str, tuple[str, Column]] | None = None,
     number: str | None = None,
 ) -> DataFrame:
     """Add window columns over (keys, order ascending, NULLs first).
@@ -75,7 +76,8 @@ def ordered(
     ``chunk`` must not fall when the order rises; ``order`` should be total.
     ``lag``/``lead`` take the value of the neighbouring row, ``last_seen``/``next_seen`` the
     nearest non-NULL value up to / from the current row, ``running`` the sum up to and
-    including the current row, ``number`` the row number.  NULL is a key like any other.
+    including the current row, ``totals`` an aggregate ("sum", "max", "min" or "count", column) of the whole key, ``number`` the row
+    number.  NULL is a key like any other.
     Filter on a key before the call: a filter on the result does not reach the scan.
 
     The rows are read by two branches, the windows and the chunk summary.  Both sort by all
@@ -85,7 +87,7 @@ def ordered(
     linearly.
     """
     lag, lead = dict(lag or {}), dict(lead or {})
-    last_seen, next_seen, running = dict(last_seen or {}), dict(next_seen or {}), dict(running or {})
+    last_seen, next_seen, running, totals = dict(last_seen or {}), dict(next_seen or {}), dict(running or {}), dict(totals or {})
 
     def pack(cols: Mapping[str, Column]) -> Column:
         return F.struct(*[c.alias(n) for n, c in cols.items()])
@@ -97,7 +99,8 @@ def ordered(
         args["__v_lag"] = pack(lag)
     if lead:
         args["__v_lead"] = pack(lead)
-    for kind, cols in (("seen", last_seen), ("next", next_seen), ("run", running)):
+    whole = {n: c for n, (_, c) in totals.items()}
+    for kind, cols in (("seen", last_seen), ("next", next_seen), ("run", running), ("tot", whole)):
         args.update({f"__v_{kind}_{n}": c for n, c in cols.items()})
     base = df.withColumns(args)
 
@@ -129,6 +132,10 @@ def ordered(
     for n in running:
         inner[f"__run_{n}"] = F.sum(f"__v_run_{n}").over(upto)
         edge.append(F.max_by(f"__run_{n}", place).alias(f"__e_run_{n}"))
+    merge = {"sum": (F.sum, F.sum), "max": (F.max, F.max), "min": (F.min, F.min), "count": (F.count, F.sum)}
+    # every row has a number; asking for it in both branches keeps the window, and with it the shuffle that they share
+    numbered = place > 0
+    edge += [merge[kind][0](F.when(numbered, F.col(f"__v_tot_{n}"))).alias(f"__e_tot_{n}") for n, (kind, _) in totals.items()]
     edge.append(F.max(place).cast("bigint").alias("__e_num"))
 
     # across chunks ----------------------------------------------------------------------
@@ -146,6 +153,7 @@ def ordered(
         carried.append(F.last(f"__e_next_{n}", ignorenulls=True).over(after).alias(f"__c_next_{n}"))
     for n in running:
         carried.append(F.sum(f"__e_run_{n}").over(before).alias(f"__c_run_{n}"))
+    carried += [merge[kind][1](f"__e_tot_{n}").over(Window.partitionBy(*safe)).alias(f"__c_tot_{n}") for n, (kind, _) in totals.items()]
     if number:
         carried.append(F.sum("__e_num").over(before).alias("__c_num"))
 
@@ -167,11 +175,22 @@ def ordered(
     for n in running:
         here, carry = F.col(f"__run_{n}"), F.col(f"__c_run_{n}")
         out[n] = F.when(here.isNotNull() & carry.isNotNull(), here + carry).otherwise(F.coalesce(here, carry))
+    for n in totals:
+        out[n] = F.when(numbered, F.col(f"__c_tot_{n}"))
     if number:
         out[number] = F.col("__num") + F.coalesce(F.col("__c_num"), F.lit(0))
     return joined.select(*[F.col(c) for c in df.columns if c not in out], *[c.alias(n) for n, c in out.items()])
 
 
+def spread_totals(df: DataFrame, keys: Sequence[str], totals: Mapping[str, tuple[str, Column]], salts: int = 16) -> DataFrame:
+    """Add aggregates of the row's key: the chunk is a hash of the row, so a hot key is spread and the input is built once.
+
+    Without keys the aggregate is over all rows; the summary then has one row per salt.
+    """
+    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in _sortable(df, [])]), F.lit(salts if keys else 16 * salts))
+    return ordered(df, keys, [], spread, totals=totals)
+
+
 def fill_forward(df, keys, order, chunk, cols: Sequence[str]) -> DataFrame:
     """Replace NULLs by the last seen value of the key."""
     return ordered(df, keys, order, chunk, last_seen={c: F.col(c) for c in cols})

@@ -7,18 +7,40 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .metrics import with_totals
 from .ordered import ordered
 
+#: Slices of a large group (a power of two), and distinct values from which a group is cut.
+SLICES, LARGE = 256, 10_000
 
-def exact_percentiles(
-    df: DataFrame, keys: Sequence[str], value: str, points: Mapping[str, float], slices: int = 1000
-) -> DataFrame:
+
+def sliced(counts: DataFrame, group: Sequence[str], value: str, weight: str, slices: int = SLICES, large: int = LARGE) -> DataFrame:
+    """Add ``__n`` (sum of the weights of the group) and ``__piece`` (slice of the value, rising with it).
+
+    The borders are approximate quantiles of the distinct values of a group, so a slice holds about an equal share of its rows
+    whatever their distribution; a group of few values is one slice.  What follows is exact, as only the borders are approximate.
+    """
+    points = F.array(*[F.lit(i / slices) for i in range(1, slices)])
+    borders = F.when(F.count(F.lit(1)) > large, F.percentile_approx(value, points, F.lit(20 * slices)))
+    sides = counts.groupBy(*group).agg(F.sum(weight).alias("__n"), borders.alias("__borders"))
+    sides = sides.select(*[F.col(k).alias(f"__g_{k}") for k in group], "__n", "__borders")
+    same = F.lit(True)
+    for k in group:
+        same = same & F.col(k).eqNullSafe(F.col(f"__g_{k}"))
+    steps = F.array(*[F.lit(slices >> i) for i in range(1, slices.bit_length())])
+    # binary search: the number of borders below the value
+    below = F.aggregate(
+        steps, F.lit(0), lambda at, step: F.when(F.get("__borders", at + step - 1) < F.col(value), at + step).otherwise(at)
+    )
+    piece = F.when(F.col("__borders").isNotNull(), below).otherwise(F.lit(0))
+    return counts.join(sides, same).withColumn("__piece", piece).drop("__borders", *[f"__g_{k}" for k in group])
+
+
+def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, points: Mapping[str, float], slices: int = SLICES, large: int = LARGE) -> DataFrame:
     """Interpolated percentiles per group (as PERCENTILE_CONT), exact at any group size.
 
     The built-in aggregate keeps all distinct values of a group in one buffer.  Here the
-    values first collapse to (group, value, count), the value range of a group is cut into
-    slices, counts are cumulated per slice, and only the values around the wanted ranks are
+    values first collapse to (group, value, count), a large group is cut into slices of about equal
+    size, counts are cumulated per slice, and only the values around the wanted ranks are
     kept.  NULL values are skipped, NULL is a group like any other.  ``points`` maps output
     names to fractions.
     """
@@ -29,12 +51,8 @@ def exact_percentiles(
         .groupBy(*group, F.col(value).cast("double").alias("__v"))
         .agg(F.count(F.lit(1)).alias("__c"))
     )
-    cut = with_totals(
-        counts, group, {"__lo": F.min("__v"), "__hi": F.max("__v"), "__n": F.sum("__c")}
-    )
-    width = F.nullif((F.col("__hi") - F.col("__lo")) / slices, F.lit(0.0))
-    piece = F.coalesce(F.floor((F.col("__v") - F.col("__lo")) / width), F.lit(0))
-    ranked = ordered(cut, group, ["__v"], piece, running={"__upto": F.col("__c")})
+    cut = sliced(counts, group, "__v", "__c", slices, large)
+    ranked = ordered(cut, group, ["__v"], F.col("__piece"), running={"__upto": F.col("__c")})
     # rank r (0-based) belongs to the value with upto - c <= r < upto
     first = F.col("__upto") - F.col("__c")
     aggs = []

@@ -26,7 +26,7 @@ def key_uniqueness(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def duplicates(df: DataFrame, keys: Sequence[str], min_count: int = 2) -> DataFrame:
     """All rows of keys that occur at least ``min_count`` times, with the count."""
-    return with_totals(df, keys, {"key_count": F.count(F.lit(1))}).filter(F.col("key_count") >= min_count)
+    return with_totals(df, keys, {"key_count": ("count", F.lit(1))}).filter(F.col("key_count") >= min_count)
 
 
 def orphans(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

@@ -181,8 +181,8 @@ def handle_time_detail(t: Tables, *, case_since: str, touch_since: str, ended_si
         time_slice("stop_timestamp", 30, end=True).alias("touch_end_interval"),
         F.col("time_spent").alias("handle_time_seconds"), "problem_tag",
     )
-    rows = with_totals(rows, ["case_id"], {"total_case_handle_time_seconds": F.sum("handle_time_seconds")})
-    return with_totals(rows, ["user_id"], {"total_advocate_handle_time_seconds": F.sum("handle_time_seconds")})
+    rows = with_totals(rows, ["case_id"], {"total_case_handle_time_seconds": ("sum", F.col("handle_time_seconds"))})
+    return with_totals(rows, ["user_id"], {"total_advocate_handle_time_seconds": ("sum", F.col("handle_time_seconds"))})
 
 
 def case_handle_time(

@@ -121,7 +121,7 @@ def match_reimbursements(
     out = out.join(linked, "payment_id", "left")
 
     rows = _rows("__n_audit", "__n_duty", "__n_recent", "__n_link") if count_before_dedupe else F.lit(1).cast("bigint")
-    out = with_totals(out.withColumn("__rows", rows), ["recipient_token"], {"payments_per_customer": F.sum("__rows")})
+    out = with_totals(out.withColumn("__rows", rows), ["recipient_token"], {"payments_per_customer": ("sum", F.col("__rows"))})
     out = evidence_flags(
         out,
         {
@@ -162,7 +162,7 @@ def reimbursements_and_refunds(
     a = _same_second(
         new, audits, [F.col("case_banking_token").isNull().desc(), F.col("audit_at").asc_nulls_last(), F.col("audit_id")]
     )
-    a = with_totals(a.withColumn("__rows", _rows("__n_audit")), ["recipient_token"], {"payments_per_customer": F.sum("__rows")})
+    a = with_totals(a.withColumn("__rows", _rows("__n_audit")), ["recipient_token"], {"payments_per_customer": ("sum", F.col("__rows"))})
     a = a.withColumns({"type": F.lit("P2P Reimbursement"), "customer_token": F.col("recipient_token")})
 
     back = recent.filter((F.col("failure_reason") == "MANUALLY_REVERSED") & (F.col("pull_result") == "SUCCESS"))
@@ -175,7 +175,7 @@ def reimbursements_and_refunds(
     n_own = cases.groupBy("payment_id").agg(F.count(F.lit(1)).alias("__n_case"))
     b = b.join(own.join(n_own, "payment_id"), "payment_id", "left")
     b = with_totals(
-        b.withColumn("__rows", _rows("__n_audit", "__n_case")), ["sender_token"], {"payments_per_customer": F.sum("__rows")}
+        b.withColumn("__rows", _rows("__n_audit", "__n_case")), ["sender_token"], {"payments_per_customer": ("sum", F.col("__rows"))}
     )
     b = b.withColumns({"type": F.lit("Refund"), "customer_token": F.col("sender_token")})
 

@@ -7,12 +7,12 @@ from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta
 from zoneinfo import ZoneInfo
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dialect import PACIFIC, add, col, datediff_boundary, ntz, safe_ratio, time_of_day, time_slice, trunc, trunc_date
 from ..operators.classify import case
-from ..operators.metrics import side_by_side
+from ..operators.metrics import side_by_side, with_totals
 from ..operators.percentiles import exact_percentiles
 
 # -- timeframes -------------------------------------------------------------------------------
@@ -158,26 +158,20 @@ class View:
             }
             if mine:
                 parts.append(_two_step(base, keys, row_id, mine))
-        # percentiles of the same expression share one scan
-        by_expr: dict[Callable, dict[str, float]] = {}
-        for n, m in needed.items():
-            if m.kind == "percentile":
-                by_expr.setdefault(m.expr, {})[n] = m.point
-        for expr, points in by_expr.items():
-            values = base.select(*keys, expr().alias("__value"))
-            parts.append(exact_percentiles(values, keys, "__value", points))
+        wanted = {n: m for n, m in needed.items() if m.kind == "percentile"}
+        if wanted:
+            parts.append(_percentiles(base, keys, wanted))
         out = parts[0] if parts else base.select(*keys).distinct()
         for p in parts[1:]:
             out = _join_same(out, p, keys)
         for level in _levels(needed):
             out = out.withColumns(
-                {
-                    n: m.combine(*[F.col(x) for x in m.needs])
-                    if m.kind == "number"
-                    else safe_ratio(m.needs[0], F.sum(m.needs[0]).over(Window.partitionBy()))
-                    for n, m in level.items()
-                }
+                {n: m.combine(*[F.col(x) for x in m.needs]) for n, m in level.items() if m.kind == "number"}
             )
+            shares = {n: m.needs[0] for n, m in level.items() if m.kind == "share"}
+            if shares:
+                out = with_totals(out, [], {f"__t_{n}": ("sum", F.col(x)) for n, x in shares.items()})
+                out = out.withColumns({n: safe_ratio(x, f"__t_{n}") for n, x in shares.items()}).drop(*[f"__t_{n}" for n in shares])
         return out.select(*[F.col(f"__d_{d}").alias(d) for d in dims], *measures)
 
     def detail(self, df: DataFrame, name: str, *, filters: Sequence[Column] = (), params: Mapping | None = None) -> DataFrame:
@@ -240,6 +234,19 @@ def _two_step(base: DataFrame, keys: Sequence[str], row_id: str | None, measures
     return inner.agg(*first).groupBy(*keys).agg(*second)
 
 
+def _percentiles(base: DataFrame, keys: Sequence[str], wanted: Mapping[str, Measure]) -> DataFrame:
+    """Percentiles of several expressions in one pass: a row gives one value per expression."""
+    exprs = list(dict.fromkeys(m.expr for m in wanted.values()))
+    values = F.array(*[F.struct(F.lit(i).alias("e"), e().cast("double").alias("v")) for i, e in enumerate(exprs)])
+    rows = base.select(*keys, F.explode(values).alias("__x")).select(*keys, F.col("__x.e").alias("__expr"), F.col("__x.v").alias("__value"))
+    points = {f"__p{k}": p for k, p in enumerate(dict.fromkeys(m.point for m in wanted.values()))}
+    place = {p: n for n, p in points.items()}
+    found = exact_percentiles(rows, [*keys, "__expr"], "__value", points)
+    return found.groupBy(*keys).agg(
+        *[F.max(F.when(F.col("__expr") == exprs.index(m.expr), F.col(place[m.point]))).alias(n) for n, m in wanted.items()]
+    )
+
+
 def _join_same(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Join two aggregates of the same rows; a NULL dimension value joins itself."""
     if not keys:

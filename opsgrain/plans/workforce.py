@@ -32,8 +32,8 @@ def schedule_shares(schedule: DataFrame, since: str, until: str) -> DataFrame:
     day = F.col("interval_start").cast("date")
     rows = schedule.withColumn("day", day).filter(F.col("day").between(F.lit(since).cast("date"), F.lit(until).cast("date")))
     parts = rows.groupBy("employee_id", "day", "schedule_channel", "shift_name").agg(F.sum("duration_seconds").alias("__s"))
-    parts = with_totals(parts, ["employee_id", "day", "schedule_channel"], {"channel_seconds": F.sum("__s")})
-    parts = with_totals(parts, ["employee_id", "day"], {"day_seconds": F.sum("__s")}).drop("__s")
+    parts = with_totals(parts, ["employee_id", "day", "schedule_channel"], {"channel_seconds": ("sum", F.col("__s"))})
+    parts = with_totals(parts, ["employee_id", "day"], {"day_seconds": ("sum", F.col("__s"))}).drop("__s")
     # a day of one employee has a handful of rows
     w = Window.partitionBy("employee_id", "day").orderBy(
         F.col("schedule_channel").desc_nulls_last(), F.col("channel_seconds").desc_nulls_first(), F.col("shift_name").asc_nulls_last()
@@ -89,7 +89,7 @@ def available_minutes(activity: DataFrame, day_from, day_to, *, code: str = "Ava
         "available_minutes",
         F.when(F.col("end_ts").isNotNull(), available_in_interval(F.col("interval_start"), F.col("interval_end"), F.col("end_ts"))),
     ).select("report_date", "interval_start", "login", "start_ts", "end_ts", "available_minutes")
-    rows = with_totals(rows, ["report_date"], {"day_minutes": F.sum("available_minutes")})
+    rows = with_totals(rows, ["report_date"], {"day_minutes": ("sum", F.col("available_minutes"))})
     return rows.distinct()
 
 

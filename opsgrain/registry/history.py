@@ -547,7 +547,7 @@ def state_stays_on_turns(spark, sf_dir):
     seen = ordered(talk, ["conv_id"], ["turn"], span, lag={"p": F.col("role")})
     kept = seen.filter(F.col("p").isNull() | (F.col("p") != F.col("role"))).drop("p")
     numbered = ordered(kept, ["conv_id"], ["turn"], span, number="seq")
-    return with_totals(numbered, ["conv_id"], {"steps": F.max("seq")})
+    return with_totals(numbered, ["conv_id"], {"steps": ("max", F.col("seq"))})
 
 
 @register(

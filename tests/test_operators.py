@@ -127,7 +127,7 @@ def test_rates(spark):
 
 def test_totals_and_shares(spark):
     df = spark.createDataFrame([("a", None, 1), ("a", "x", 3), (None, "x", 5)], "k string, c string, v int")
-    assert sorted((r["v"], r["s"]) for r in with_totals(df, ["k"], {"s": F.sum("v")}).collect()) == [(1, 4), (3, 4), (5, 5)]
+    assert sorted((r["v"], r["s"]) for r in with_totals(df, ["k"], {"s": ("sum", F.col("v"))}).collect()) == [(1, 4), (3, 4), (5, 5)]
     assert sorted((r["part_sum"], r["share_pct"]) for r in share_of_total(df, ["k", "c"], ["k"], "v").collect()) == [(1, 25.0), (3, 75.0), (5, 100.0)]
     kinds = spark.createDataFrame([("d", "a", True), ("d", "a", None), ("d", "b", True)], "d string, a string, kind boolean")
     assert mixed_group_rows(kinds, ["d", "a"], "kind").count() == 2

@@ -1,6 +1,7 @@
 """The chunked scan against plain windows and brute force, with a hot key and NULLs."""
 
 import random
+import re
 from datetime import datetime, timedelta
 
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from opsgrain.operators.match import match_with_tolerance, nearest_related
 from opsgrain.operators.ordered import asof_lookup, ordered, time_chunk
-from opsgrain.operators.percentiles import exact_percentiles
+from opsgrain.operators.percentiles import exact_percentiles, sliced
 
 T0 = datetime(2024, 1, 1)
 
@@ -154,3 +155,39 @@ def test_percentiles_of_a_hot_group(spark):
     assert got.keys() == want.keys()
     for g in want:
         assert got[g] == pytest.approx(want[g])
+
+
+def test_slices_of_a_heavy_tail_are_even(spark):
+    """Log-normal values and one far outlier: no slice holds a large share, and the percentiles are exact."""
+    df = spark.range(60_000).select(F.exp(F.randn(3) * 3).alias("v")).unionByName(spark.range(1).select(F.lit(3e9).alias("v")))
+    df = spark.createDataFrame(df.toPandas())
+    counts = df.groupBy("v").agg(F.count(F.lit(1)).alias("c")).withColumn("g", F.lit(1))
+    sizes = [r["count"] for r in sliced(counts, ["g"], "v", "c").groupBy("__piece").count().collect()]
+    assert max(sizes) < 0.01 * sum(sizes) and len(sizes) > 200
+    got = exact_percentiles(df, [], "v", {"a": 0.5, "b": 0.999}).first()
+    want = df.agg(F.percentile("v", 0.5), F.percentile("v", 0.999)).first()
+    assert tuple(got) == pytest.approx(tuple(want))
+
+
+def test_totals_spread_a_hot_key_and_build_the_input_once(spark, tmp_path):
+    from opsgrain.operators.metrics import percent_of_total, with_totals
+
+    data = [("hot", i) for i in range(500)] + [("a", 1), ("a", None), (None, 5), (None, 6)]
+    spark.createDataFrame(data, "k string, v int").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    out = with_totals(df, ["k"], {"s": ("sum", F.col("v")), "m": ("max", F.col("v")), "n": ("count", F.col("v")), "l": ("min", F.col("v"))})
+    got = {r["k"]: (r["s"], r["m"], r["n"], r["l"]) for r in out.collect()}
+    assert got == {"hot": (sum(range(500)), 499, 500, 0), "a": (1, 1, 1, 1), None: (11, 6, 2, 5)} and out.count() == len(data)
+    twice = with_totals(with_totals(df, ["k"], {"s": ("sum", F.col("v"))}), ["v"], {"n": ("count", F.lit(1))})
+    for frame, scans in ((out, 1), (twice, 1), (percent_of_total(df, "v", "p"), 1)):
+        assert scans_after_run(frame) == scans
+    assert sum(r["p"] for r in percent_of_total(df, "v", "p").collect() if r["p"] is not None) == pytest.approx(1)
+
+
+def scans_after_run(df):
+    """Scans that ran: those below a reused exchange did not."""
+    df._jdf.queryExecution().executedPlan()
+    rows = df.collect()
+    assert rows is not None
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return len(re.findall(r"FileScan parquet", final))
