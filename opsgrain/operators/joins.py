@@ -63,15 +63,17 @@ def exclude(left: DataFrame, right: DataFrame, on: Sequence[str] | Column) -> Da
 
 
 def contains_join(
-    points: DataFrame, intervals: DataFrame, point: str, start: str, end: str, *, minutes: int, how: str = "inner",
-    keys: Sequence[str] = (),
+    left: DataFrame, right: DataFrame, point: str, start: str, end: str, *, minutes: int, how: str = "inner",
+    keys: Sequence[str] = (), intervals_first: bool = False,
 ) -> DataFrame:
     """Theta join "interval contains point" (both ends included) as an equi join on time slices.
 
     Each interval is spread over the slices it touches, each point belongs to one slice, so
-    the join hashes on the slice instead of comparing everything with everything.
+    the join hashes on the slice (and the keys) instead of comparing everything with everything.  ``left`` holds the points,
+    or the intervals with ``intervals_first``; a right side with a broadcast hint is the build side of an inner or left join.
     """
     slice_col = "__slice"
+    points, intervals = (right, left) if intervals_first else (left, right)
     p = points.withColumn(slice_col, time_slice(point, minutes))
     spread = F.sequence(
         time_slice(start, minutes).cast("timestamp"),
@@ -84,7 +86,8 @@ def contains_join(
     cond = (p[slice_col] == i[slice_col]) & p[point].between(i[start], i[end])
     for k in keys:
         cond = cond & (p[k] == i[k])
-    joined = p.join(i, cond, how).drop(p[slice_col]).drop(i[slice_col])
+    joined = i.join(p, cond, how) if intervals_first else p.join(i, cond, how)
+    joined = joined.drop(p[slice_col]).drop(i[slice_col])
     for k in keys:
         joined = joined.drop(i[k])
     return joined

@@ -22,6 +22,8 @@ from ..functions.dialect import epoch
 
 _CHUNK = "__chunk"
 _BEFORE_ALL = -(2**62)
+#: Parts over which rows of a NULL key or time are spread where they cannot match anyway.
+_SALTS = 256
 
 STEP_SECONDS = {"minute": 60, "hour": 3600, "day": 86400, "week": 604800, "month": 2592000, "year": 31536000}
 
@@ -217,7 +219,8 @@ def asof_lookup(
     a million rows on each side costs two million rows, not 10^12.  ``offset_seconds`` moves
     the probe time, ``within_seconds`` drops matches further away than that, ``tie`` orders
     right rows of the same time (the last one wins backward, the first one forward).
-    Every left row is kept; unmatched ones (and NULL keys or times) get NULLs.
+    Every left row is kept; unmatched ones (and NULL keys or times) get NULLs.  Rows that cannot match pass through spread over salts
+    below all times, so however many there are, no task gathers them.
     """
     if direction not in ("backward", "forward"):
         raise ValueError(direction)
@@ -251,11 +254,15 @@ def asof_lookup(
     stacked = lefts.unionByName(rights)
     step = STEP_SECONDS[chunk] * 1_000_000
     seen = {"__hit": F.col("__hit")}
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in _sortable(stacked, ["__hit"])]), F.lit(_SALTS))
+    at_key = F.lit(True)
+    for k in keys:
+        at_key = at_key & F.col(k).isNotNull()
     filled = ordered(
         stacked,
         keys,
         ["__at", "__rank", *tie_cols],
-        F.floor(F.col("__at") / step),
+        F.when(at_key & F.col("__at").isNotNull(), F.floor(F.col("__at") / step)).otherwise(F.lit(_BEFORE_ALL) + salt),
         **({"last_seen": seen} if backward else {"next_seen": seen}),
     ).filter(F.col("__rank") == 1)
     found = F.when(usable, F.col("__hit"))

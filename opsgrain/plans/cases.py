@@ -36,8 +36,9 @@ def case_queue_history(
     bot_last_name: str = "Bot",
     tz: str = PACIFIC,
     contract: bool = False,
+    chunk: str = "day",
 ) -> DataFrame:
-    """One row per stay of a case in a queue.
+    """One row per stay of a case in a queue.  ``chunk`` is the stretch of time that one task orders for a case.
 
     Tables: ``case_history``, ``queue_catalog``, ``users``, ``employees``, ``base_cases`` and,
     with ``phone_queue`` (queue_id, queue_name, queue_type, user_id), ``cases``, whose phone
@@ -65,9 +66,9 @@ def case_queue_history(
         moves = moves.unionByName(phone)
 
     # consecutive moves into the same queue are one stay
-    stays = compact_changes(moves, "case_id", "queue_start_time", "queue_id", tie=["queue_id", "user_id"])
+    stays = compact_changes(moves, "case_id", "queue_start_time", "queue_id", tie=["queue_id", "user_id"], chunk=chunk)
     stays = to_intervals(
-        stays, "case_id", "queue_start_time", tie=["queue_id", "user_id"], number="queue_number", end="queue_end_time"
+        stays, "case_id", "queue_start_time", tie=["queue_id", "user_id"], number="queue_number", end="queue_end_time", chunk=chunk
     )
 
     notes = field_to_columns(
@@ -108,6 +109,7 @@ def case_queue_transfers(
     bot_name: str = "Bot",
     bot_display: str = "Support Robot",
     contract: bool = False,
+    chunk: str = "day",
 ) -> DataFrame:
     """The stays with the move that led to each and elapsed queue time; ``history.path_steps`` has the queue path.
 
@@ -126,7 +128,7 @@ def case_queue_transfers(
         }
     )
     q = ordered(
-        q, ["case_id"], ["queue_start_time", "queue_number"], time_chunk("queue_start_time", "day"),
+        q, ["case_id"], ["queue_start_time", "queue_number"], time_chunk("queue_start_time", chunk),
         lag={
             "previous_trans_from_name": F.col("user_name"),
             "previous_trans_from_user_id": F.col("user_id"),
@@ -149,7 +151,7 @@ def case_queue_transfers(
         }
     )
     q = ordered(
-        q, ["case_id", "queue_name"], ["queue_start_time", "queue_number"], time_chunk("queue_start_time", "day"), number="__visit"
+        q, ["case_id", "queue_name"], ["queue_start_time", "queue_number"], time_chunk("queue_start_time", chunk), number="__visit"
     )
     q = q.withColumn("first_time_in_queue", (F.col("__visit") == 1).cast("int"))
     out = q.select(*[f.name for f in CASE_TRANSFERS.fields])

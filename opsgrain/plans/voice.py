@@ -16,15 +16,15 @@ from ..sources.tables import in_years
 Tables = Mapping[str, DataFrame]
 
 
-def abandon_relogic(calls: DataFrame, tie: str = "contact_id") -> DataFrame:
+def abandon_relogic(calls: DataFrame, tie: str = "contact_id", chunk: str = "day") -> DataFrame:
     """Recomputed ``is_abandoned_new`` and ``handle_time_new``.
 
     The neighbour of the second rule is the next call of the same initial contact (a lag over
-    descending time); no neighbour is what the rule asks for.
+    descending time); no neighbour is what the rule asks for.  ``chunk`` is the stretch of time that one task orders for a contact.
     """
     method = F.col("initiation_method")
     rows = ordered(
-        calls, ["initial_contact_id"], ["call_start_time", tie], time_chunk("call_start_time", "day"), lead={"__next_method": method}
+        calls, ["initial_contact_id"], ["call_start_time", tie], time_chunk("call_start_time", chunk), lead={"__next_method": method}
     )
     waited = F.col("wait_start_time").isNotNull()
     no_talk = F.coalesce("handle_time", F.lit(0)) < 1

@@ -84,13 +84,17 @@ def available_minutes(activity: DataFrame, day_from, day_to, *, code: str = "Ava
         email_local_part("email").alias("login"), F.col("date_time").alias("start_ts"), F.col("status_remove_time").alias("end_ts")
     )
     spine = calendar_spine(activity.sparkSession, day_from, day_to, "30 minutes")
-    hits = contains_join(spine, spans, "interval_start", "start_ts", "end_ts", minutes=30, how="left")
-    rows = hits.withColumn(
-        "available_minutes",
-        F.when(F.col("end_ts").isNotNull(), available_in_interval(F.col("interval_start"), F.col("interval_end"), F.col("end_ts"))),
-    ).select("report_date", "interval_start", "login", "start_ts", "end_ts", "available_minutes")
-    rows = with_totals(rows, ["report_date"], {"day_minutes": ("sum", F.col("available_minutes"))})
-    return rows.distinct()
+    hits = contains_join(spans, spine, "interval_start", "start_ts", "end_ts", minutes=30, intervals_first=True)
+    hits = hits.withColumn("available_minutes", available_in_interval(F.col("interval_start"), F.col("interval_end"), F.col("end_ts")))
+    # distinct rows with their number; what follows reads these only, and all its other sides have one row per slot or day at most
+    cols = ["report_date", "interval_start", "login", "start_ts", "end_ts", "available_minutes"]
+    rows = hits.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
+    slots = rows.groupBy("report_date", "interval_start").agg(F.sum(F.col("available_minutes") * F.col("__n")).alias("__minutes"))
+    slots = spine.select("report_date", "interval_start").join(slots, ["report_date", "interval_start"], "left")
+    days = slots.groupBy("report_date").agg(F.sum("__minutes").alias("day_minutes"))
+    empty = slots.filter(F.col("__minutes").isNull()).select("report_date", "interval_start")
+    out = rows.select(*cols).unionByName(empty, allowMissingColumns=True)
+    return out.join(days, "report_date").select(*cols, "day_minutes")
 
 
 def escalation_activity(chats: DataFrame, activity: DataFrame, record_type: str) -> DataFrame:

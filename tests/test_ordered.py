@@ -191,3 +191,18 @@ def scans_after_run(df):
     assert rows is not None
     final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     return len(re.findall(r"FileScan parquet", final))
+
+
+def test_rows_that_cannot_match_are_spread(spark):
+    """Nine tenths of the left rows have no key: the scan keeps them apart, and the result is that of the plain lookup."""
+    rnd = random.Random(9)
+    left = [(i, rnd.choice([None] * 9 + [1]), rnd.choice([None, rnd.randrange(90_000)])) for i in range(4000)]
+    right = [(1, s, s) for s in range(0, 90_000, 700)] + [(None, 5, 5)]
+    stamp = F.timestamp_add("SECOND", F.col("s"), F.lit("2024-01-01").cast("timestamp_ntz"))
+    a = spark.createDataFrame(left, "i int, k int, s int").withColumn("t", stamp)
+    b = spark.createDataFrame(right, "k int, s int, v int").withColumn("at", stamp).drop("s")
+    out = asof_lookup(a, b, ["k"], "t", "at", {"v": "v"})
+    got = {r["i"]: r["v"] for r in out.collect()}
+    assert got == {i: s // 700 * 700 if k is not None and s is not None else None for i, k, s in left}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "pmod(xxhash64" in plan

@@ -296,3 +296,17 @@ def test_a_reload_reads_its_trailing_days_only(fact_files):
     assert "GreaterThanOrEqual(touch_assignment_time,2024-01-12T00:00)" in plan
     whole = sla.hourly_queue_sla(t, "2024-01-01", "2024-02-01", SLA).filter("ts >= timestamp_ntz '2024-01-13'")
     assert df.exceptAll(whole).count() == 0 and whole.exceptAll(df).count() == 0
+
+
+def test_the_spine_is_the_build_side(spark):
+    from opsgrain.plans.workforce import available_minutes
+
+    spans = [("a@x", "Available", at("2024-01-01 10:10:00"), at("2024-01-01 11:10:00")), ("a@x", "Available", at("2024-01-01 10:10:00"), at("2024-01-01 11:10:00")),
+             ("b@x", "Break", at("2024-01-01 10:10:00"), at("2024-01-01 11:10:00")), ("c@x", "Available", at("2024-01-01 10:10:00"), None)]
+    activity = spark.createDataFrame(spans, "email string, code string, date_time timestamp_ntz, status_remove_time timestamp_ntz")
+    out = available_minutes(activity, "2024-01-01", "2024-01-03")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"BroadcastHashJoin \[__slice#\d+\], \[__slice#\d+\], Inner, BuildRight", plan)
+    got = out.collect()
+    assert len(got) == 96 and sorted(r["available_minutes"] for r in got if r["login"]) == [10, 30]
+    assert {(r["report_date"].day, r["day_minutes"]) for r in got} == {(1, 80), (2, None)}
