@@ -33,10 +33,6 @@ def epoch(ts: str | Column) -> Column:
     return F.unix_seconds(col(ts).cast("timestamp"))
 
 
-def to_date(ts: str | Column) -> Column:
-    return col(ts).cast("date")
-
-
 def ntz(ts: str | Column) -> Column:
     return col(ts).cast("timestamp_ntz")
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.dialect import col, safe_ratio
+from ..functions.dialect import col, percent_text, safe_ratio
 from .ordered import spread_totals
 
 
@@ -63,12 +63,13 @@ def sla_metrics(
     sums: Mapping[str, Column] | None = None,
     avgs: Mapping[str, Column] | None = None,
     scale: float = 100,
+    digits: int | None = None,
 ) -> DataFrame:
     """handled, in_sla, qualified and sla_pct per group."""
     out = distinct_counts(
         df, keys, row_id, {"handled": handled, "in_sla": in_sla, "qualified": qualified, **(extra or {})}, sums=sums, avgs=avgs
     )
-    return out.withColumn("sla_pct", safe_ratio("in_sla", "qualified", scale))
+    return out.withColumn("sla_pct", safe_ratio("in_sla", "qualified", scale, digits))
 
 
 def entering_handled(entering: DataFrame, handled: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -191,5 +192,4 @@ def null_key_gap(df: DataFrame, key: str, by: Column, by_name: str) -> DataFrame
 
 
 def with_rate(df: DataFrame) -> DataFrame:
-    pct = F.round(safe_ratio("missing", "total", 100)).cast("bigint").cast("string")
-    return df.withColumn("missing_rate", F.concat(pct, F.lit("%")))
+    return df.withColumn("missing_rate", percent_text(safe_ratio("missing", "total", 100)))

@@ -38,12 +38,66 @@ def orphans(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return only_left.union(only_right).select("side", "orphans")
 
 
-def null_rows(df: DataFrame, *cols: str) -> DataFrame:
-    """Rows where any of the columns is NULL."""
+def any_null(*cols: str) -> Column:
     cond = F.lit(False)
     for c in cols:
         cond = cond | F.col(c).isNull()
-    return df.filter(cond)
+    return cond
+
+
+def null_rows(df: DataFrame, *cols: str) -> DataFrame:
+    """Rows where any of the columns is NULL."""
+    return df.filter(any_null(*cols))
+
+
+def not_accepted(column: str, allowed: Sequence) -> Column:
+    """Is the value outside the allowed list, or NULL?"""
+    return F.coalesce(~F.col(column).isin(*allowed), F.lit(True))
+
+
+def row_report(df: DataFrame, checks: Mapping[str, Column], distinct: Mapping[str, tuple[Sequence[str], Column]] | None = None) -> DataFrame:
+    """One row: rows that fail each check, and the number of distinct combinations (columns, condition on the rows).
+
+    All of it comes out of one pass: rows shrink to one per combination of the listed columns first.
+    """
+    distinct = dict(distinct or {})
+    cols = list(dict.fromkeys(c for names, _ in distinct.values() for c in names))
+    first = [F.count_if(c).alias(n) for n, c in checks.items()] + [F.max(F.when(w, 1)).alias(n) for n, (_, w) in distinct.items()]
+    combos = df.groupBy(*cols).agg(*first)
+    second = [F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in checks]
+    for n, (names, _) in distinct.items():
+        second.append(F.count_distinct(F.when(F.col(n) == 1, F.struct(*names))).alias(n))
+    return combos.agg(*second)
+
+
+def key_report(df: DataFrame, keys: Sequence[str], parent: DataFrame, parent_key: str) -> DataFrame:
+    """One row about the key of ``df`` and its reference ``keys[0]`` to ``parent``, out of one pass over each.
+
+    rows and distinct_keys (rows with a NULL in the key left out), duplicate_rows, without_child (parent keys that no row has) and
+    without_parent (references that the parent does not have).
+    """
+    present = F.lit(True)
+    for k in keys:
+        present = present & F.col(k).isNotNull()
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).withColumn("__whole", present)
+    per_ref = per_key.groupBy(keys[0]).agg(
+        F.sum(F.when(F.col("__whole"), F.col("__n"))).alias("__rows"), F.count_if("__whole").alias("__keys"),
+        F.sum(F.when(F.col("__n") > 1, F.col("__n"))).alias("__twice"),
+    )
+    known = parent.select(F.col(parent_key).alias("__p")).filter(F.col("__p").isNotNull()).distinct()
+    both = per_ref.join(known, F.col(keys[0]) == F.col("__p"), "full")
+    zero = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    return both.agg(
+        zero("__rows").alias("rows"), zero("__keys").alias("distinct_keys"), zero("__twice").alias("duplicate_rows"),
+        F.count_if(F.col(keys[0]).isNull() & F.col("__p").isNotNull()).alias("without_child"),
+        F.count_if(F.col(keys[0]).isNotNull() & F.col("__p").isNull()).alias("without_parent"),
+    )
+
+
+def as_rows(report: DataFrame, names: Mapping[str, str] | None = None) -> DataFrame:
+    """A one-row report as (check_name, value) rows."""
+    pairs = F.array(*[F.struct(F.lit((names or {}).get(c, c)).alias("n"), F.col(c).cast("bigint").alias("v")) for c in report.columns])
+    return report.select(F.explode(pairs).alias("x")).select(F.col("x.n").alias("check_name"), F.col("x.v").alias("value"))
 
 
 def distinct_values(df: DataFrame, cols: Sequence[str], where: Column | None = None) -> DataFrame:
@@ -52,8 +106,7 @@ def distinct_values(df: DataFrame, cols: Sequence[str], where: Column | None = N
 
 def accepted_values(df: DataFrame, column: str, allowed: Sequence) -> DataFrame:
     """Values outside the allowed list with their row counts; NULL is reported too."""
-    bad = F.coalesce(~F.col(column).isin(*allowed), F.lit(True))
-    return df.filter(bad).groupBy(column).agg(F.count(F.lit(1)).alias("row_count"))
+    return df.filter(not_accepted(column, allowed)).groupBy(column).agg(F.count(F.lit(1)).alias("row_count"))
 
 
 def reconcile(a: DataFrame, b: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:

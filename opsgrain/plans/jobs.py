@@ -62,11 +62,13 @@ def target_tables(items: DataFrame, job_id: int | None = None) -> DataFrame:
 
 
 def table_usage(log: DataFrame, *, patterns: Sequence[str], year: int, skip_users: Sequence[str] = ()) -> DataFrame:
-    """Queries of a year that mention all patterns, with the day of their last run."""
+    """Queries of a year that mention all patterns, with the day of their last run; the shuffle key is a hash of the text."""
     lo, hi = F.lit(f"{year}-01-01").cast("date"), F.lit(f"{year + 1}-01-01").cast("date")
     rows = log.filter((F.col("end_date") >= lo) & (F.col("end_date") < hi))
     if skip_users:
         rows = rows.filter(~F.lower("user_name").isin(*skip_users))
     for pattern in patterns:
         rows = rows.filter(like_plain("query_text", pattern, ignore_case=True))
-    return rows.groupBy("user_name", "query_type", "query_text").agg(F.max("end_date").alias("query_last_run"))
+    return rows.groupBy("user_name", "query_type", F.md5("query_text").alias("query_hash")).agg(
+        F.max("end_date").alias("query_last_run"), F.max("query_text").alias("query_text")
+    )

@@ -518,7 +518,7 @@ QUERY_LOG = view(
     "text_usage_search",
     with_views(
         """
-SELECT user_name, query_type, md5(query_text) AS query_hash, strftime(max(end_date), '%Y-%m-%d') AS query_last_run
+SELECT user_name, query_type, md5(query_text) AS query_hash, strftime(max(end_date), '%Y-%m-%d') AS query_last_run, length(query_text) AS query_text
 FROM q WHERE end_date >= DATE '2023-01-01' AND end_date < DATE '2024-01-01' AND lower(user_name) NOT IN ('src1', 'src2')
   AND query_text ILIKE '%the%' AND query_text ILIKE '%an_%' GROUP BY user_name, query_type, query_text""",
         q=QUERY_LOG,
@@ -527,7 +527,7 @@ FROM q WHERE end_date >= DATE '2023-01-01' AND end_date < DATE '2024-01-01' AND
 def text_usage_search(spark, sf_dir):
     log = QUERY_LOG.spark(spark, sf_dir)
     out = jobs.table_usage(log, patterns=["%THE%", "%an_%"], year=2023, skip_users=["src1", "src2"])
-    return out.withColumn("query_hash", F.md5("query_text")).drop("query_text")
+    return out.withColumn("query_text", F.length("query_text").cast("bigint"))
 
 
 @register(

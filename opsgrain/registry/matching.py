@@ -390,6 +390,19 @@ def remediation_buckets(spark, sf_dir):
     )
 
 
+@register(
+    "distinct_review_notes",
+    with_views(
+        """SELECT DISTINCT review_notes FROM c WHERE complaint_status = 'In Progress' AND severity_tier = 'Tier 2' AND NOT is_duplicate
+  AND workflow NOT IN ('Lending', 'Investing', 'Global') AND business_unit = 'Main' AND coalesce(third_party_source, '') NOT ILIKE '%investigation%'
+  AND coalesce(country, 'United States') IN ('United States', 'Unknown')""",
+        c=REM_COMPLAINTS,
+    ),
+)
+def distinct_review_notes(spark, sf_dir):
+    return complaints.distinct_notes(remediation_buckets(spark, sf_dir))
+
+
 @register(
     "nearest_in_window",
     """

@@ -28,25 +28,42 @@ UNION ALL SELECT 'distinct_flags', count(*) FROM (SELECT DISTINCT l_returnflag,
 UNION ALL SELECT 'bad_flags', count(*) FROM lineitem WHERE l_returnflag NOT IN ('A', 'N')""",
 )
 def dq_report(spark, sf_dir):
+    """Row checks in one pass over the lines, key checks in another."""
     t = src.load(spark, sf_dir, "lineitem", "orders")
-    items, orders = t["lineitem"], t["orders"]
+    flags = {"distinct_flags": (["l_returnflag", "l_linestatus"], F.col("l_quantity") > 10)}
+    checks = {"null_or_missing": q.any_null("l_shipdate", "l_returnflag"), "bad_flags": q.not_accepted("l_returnflag", ["A", "N"])}
+    by_row = q.as_rows(q.row_report(t["lineitem"], checks, flags))
+    keys = q.key_report(t["lineitem"], ["l_orderkey", "l_linenumber"], t["orders"], "o_orderkey")
+    return by_row.union(q.as_rows(keys, {"without_child": "orders_without_lines", "without_parent": "lines_without_order"}))
 
-    def row(df, column, name):
-        return df.select(F.lit(name).alias("check_name"), F.col(column).cast("bigint").alias("value"))
 
-    unique = q.key_uniqueness(items, ["l_orderkey", "l_linenumber"])
-    stray = q.orphans(orders.select(F.col("o_orderkey").alias("k")), items.select(F.col("l_orderkey").alias("k")), "k")
-    named = stray.select(
-        F.when(F.col("side") == "left", "orders_without_lines").otherwise("lines_without_order").alias("check_name"), F.col("orphans").alias("value")
-    )
-    total = F.count(F.lit(1)).alias("n")
-    out = row(unique, "row_count", "rows").union(row(unique, "distinct_keys", "distinct_keys")).union(named)
-    out = out.union(row(q.duplicates(items.select("l_orderkey", "l_linenumber"), ["l_orderkey", "l_linenumber"]).agg(total), "n", "duplicate_rows"))
-    out = out.union(row(q.null_rows(items, "l_shipdate", "l_returnflag").agg(total), "n", "null_or_missing"))
-    flags = q.distinct_values(items, ["l_returnflag", "l_linestatus"], F.col("l_quantity") > 10)
-    out = out.union(row(flags.agg(total), "n", "distinct_flags"))
-    bad = q.accepted_values(items, "l_returnflag", ["A", "N"]).agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("n"))
-    return out.union(row(bad, "n", "bad_flags"))
+@register(
+    "key_checks",
+    """
+SELECT 'rows' AS check_name, count(*) AS value FROM orders WHERE o_custkey IS NOT NULL
+UNION ALL SELECT 'distinct_keys', count(DISTINCT o_custkey) FROM orders
+UNION ALL SELECT 'left', count(*) FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)
+UNION ALL SELECT 'right', count(DISTINCT o_custkey) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)
+UNION ALL SELECT 'nulls', count(*) FROM orders WHERE o_orderstatus IS NULL OR o_orderpriority IS NULL
+UNION ALL SELECT 'statuses', count(DISTINCT o_orderstatus) FROM orders WHERE o_totalprice > 1000
+UNION ALL SELECT 'outside', count(*) FROM orders WHERE o_orderstatus NOT IN ('O', 'F')""",
+)
+def key_checks(spark, sf_dir):
+    """The single checks, each on its own."""
+    t = src.load(spark, sf_dir, "orders", "customer")
+    orders, total = t["orders"], F.count(F.lit(1)).cast("bigint").alias("value")
+    unique = q.key_uniqueness(orders, ["o_custkey"])
+    out = q.as_rows(unique, {"row_count": "rows"})
+    stray = q.orphans(t["customer"].select(F.col("c_custkey").alias("k")), orders.select(F.col("o_custkey").alias("k")), "k")
+    out = out.union(stray.select(F.col("side").alias("check_name"), F.col("orphans").cast("bigint").alias("value")))
+
+    def named(df, name):
+        return df.select(F.lit(name).alias("check_name"), "value")
+
+    out = out.union(named(q.null_rows(orders, "o_orderstatus", "o_orderpriority").agg(total), "nulls"))
+    out = out.union(named(q.distinct_values(orders, ["o_orderstatus"], F.col("o_totalprice") > 1000).agg(total), "statuses"))
+    bad = q.accepted_values(orders, "o_orderstatus", ["O", "F"]).agg(F.coalesce(F.sum("row_count"), F.lit(0)).cast("bigint").alias("value"))
+    return out.union(named(bad, "outside"))
 
 
 @register(
@@ -304,6 +321,66 @@ def pattern_validation(spark, sf_dir):
     )
 
 
+@register(
+    "pattern_truth_rows",
+    """
+SELECT doc_id, lang, source, regexp_full_match(lang, 'e.+|f.') AS two_forms, regexp_full_match(lang, 'e') AS part_only, regexp_full_match(lang, '..') AS any_two FROM documents""",
+)
+def pattern_truth_rows(spark, sf_dir):
+    docs = src.load(spark, sf_dir, "documents")["documents"].select("doc_id", "lang", "source")
+    return qa.pattern_truth_table(docs, "lang", {"two_forms": "e.+|f.", "part_only": "e", "any_two": ".."})
+
+
+@register(
+    "wildcard_truth_rows",
+    """
+SELECT page_id, url, url ILIKE '%UTM_source%' AS wildcard, url ILIKE '%utm!_source%' ESCAPE '!' AS escaped, url ILIKE '%page!_2%' ESCAPE '!' AS other, url ILIKE '%page_2%' AS any_sign FROM pages""",
+)
+def wildcard_truth_rows(spark, sf_dir):
+    pages = src.load(spark, sf_dir, "pages")["pages"].select("page_id", "url")
+    tests = {"wildcard": ("%UTM_source%", None), "escaped": ("%utm!_source%", "!"), "other": ("%page!_2%", "!"), "any_sign": ("%page_2%", None)}
+    return qa.wildcard_truth_table(pages, "url", tests)
+
+
+@register(
+    "table_preview",
+    "SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_totalprice DESC NULLS LAST, o_orderkey LIMIT 100",
+)
+def table_preview(spark, sf_dir):
+    """The first rows of an ordered report: each task keeps the first ones only."""
+    orders = src.load(spark, sf_dir, "orders")["orders"].select("o_orderkey", "o_custkey", "o_totalprice")
+    return src.preview(src.ordered_output(orders, ("o_totalprice", "desc", "last"), ("o_orderkey", "asc", "first")), 100)
+
+
+_DESCRIBED = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string", "o_totalprice": "double", "o_orderdate": "timestamp_ntz", "o_orderpriority": "string"}
+
+
+@register(
+    "table_description",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, '{kind}' AS data_type, count(*) AS rows, count(*) - count({c}) AS nulls, count(DISTINCT {c}) AS distinct_values FROM orders"
+        for c, kind in _DESCRIBED.items()
+    ),
+)
+def table_description(spark, sf_dir):
+    return src.profile(src.load(spark, sf_dir, "orders")["orders"])
+
+
+@register(
+    "ordered_report",
+    """
+WITH r AS (SELECT l_returnflag, CASE WHEN l_linestatus = 'F' THEN NULL ELSE l_linestatus END AS status, count(*) AS n, sum(l_quantity) AS qty FROM lineitem GROUP BY ALL)
+SELECT *, row_number() OVER (ORDER BY status DESC NULLS LAST, n ASC NULLS FIRST, l_returnflag) AS place FROM r""",
+)
+def ordered_report(spark, sf_dir):
+    """A report in a stated order with stated places of NULL; the place is that of the output."""
+    items = src.load(spark, sf_dir, "lineitem")["lineitem"]
+    status = F.when(F.col("l_linestatus") != "F", F.col("l_linestatus")).alias("status")
+    report = items.groupBy("l_returnflag", status).agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("qty"))
+    order = (("status", "desc", "last"), ("n", "asc", "first"), ("l_returnflag", "asc", "first"))
+    return src.ordered_output(report, *order, place="place")
+
+
 @register(
     "version_compare",
     """

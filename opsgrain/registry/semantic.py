@@ -415,6 +415,32 @@ def pop_compare_hours(spark, sf_dir):
     return pop_compare(EVENT_VIEW, events, "ts", PERIOD, "Hour", ["events"], exact=True)
 
 
+_AT = datetime(2024, 1, 30, 5, 15, 0)
+MODES = {
+    "clock": Period.from_filter(date(2024, 1, 16), date(2024, 1, 23), _AT),
+    "local_date": Period.from_filter(date(2024, 1, 16), date(2024, 1, 23), _AT, mode="local_date"),
+    "rollover": Period.from_filter(date(2024, 1, 16), date(2024, 1, 23), _AT, mode="rollover"),
+    "rollover_open": Period.from_filter(date(2024, 1, 16), None, _AT, mode="rollover"),
+    "local_open": Period.from_filter(None, date(2024, 1, 23), _AT, mode="local_date"),
+}
+
+
+@register(
+    "pop_bounds",
+    """
+WITH m(mode, a, b) AS (VALUES ('clock', TIMESTAMP '2024-01-16 05:15:00', TIMESTAMP '2024-01-23 05:15:00'), ('local_date', TIMESTAMP '2024-01-15', TIMESTAMP '2024-01-22'),
+  ('rollover', TIMESTAMP '2024-01-15', TIMESTAMP '2024-01-23'), ('rollover_open', TIMESTAMP '2024-01-15', TIMESTAMP '2024-01-30'), ('local_open', TIMESTAMP '1970-01-01', TIMESTAMP '2024-01-22'))
+SELECT mode, CASE WHEN ts >= a AND ts < b THEN 'Current Period' WHEN ts >= a - (b - a) AND ts < a THEN 'Previous Period' ELSE 'Not In Range' END AS period,
+  count(*) AS n, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first_ts, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_ts FROM events, m GROUP BY 1, 2""",
+)
+def pop_bounds(spark, sf_dir):
+    """The periods of a date filter in each mode, with open ends."""
+    events = load(spark, sf_dir, "events")["events"]
+    modes = F.array(*[F.struct(F.lit(n).alias("mode"), p.bucket("ts").alias("period")) for n, p in MODES.items()])
+    rows = events.select("ts", F.explode(modes).alias("m"))
+    return rows.groupBy("m.mode", "m.period").agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
+
+
 @register(
     "pop_labels",
     _POP

@@ -7,23 +7,21 @@ from collections.abc import Mapping, Sequence
 from datetime import UTC, date, datetime, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dialect import whole_number
-from ..session import configure
 
 
 def load(spark: SparkSession, directory: str, *names: str) -> dict[str, DataFrame]:
     """Named parquet tables of a directory as DataFrames."""
-    configure(spark)
     return {n: spark.read.parquet(f"{directory}/{n}.parquet") for n in names}
 
 
 def scan(spark: SparkSession, name: str) -> DataFrame:
     """A catalog table by its one- to three-part name."""
-    return configure(spark).table(name)
+    return spark.table(name)
 
 
 def resolve_source(tables: Mapping[str, DataFrame], routes: Mapping[str, str], tenant: str, default: str) -> DataFrame:
@@ -43,9 +41,21 @@ def in_years(df: DataFrame, ts: str, first: int, last: int | None = None) -> Dat
 
 
 def preview(df: DataFrame, n: int = 100) -> DataFrame:
+    """The first rows; of an ordered output each task keeps its first ``n`` only."""
     return df.limit(n)
 
 
+def ordered_output(df: DataFrame, *order: tuple[str, str, str], place: str | None = None) -> DataFrame:
+    """The rows sorted by (column, "asc" or "desc", NULLs "first" or "last"); the sort is by ranges over all tasks.
+
+    ``place`` numbers the rows of a report; a report has one row per group, so that its numbering is a small step.
+    """
+    keys = [getattr(F.col(c), f"{way}_nulls_{nulls}")() for c, way, nulls in order]
+    if place:
+        df = df.withColumn(place, F.row_number().over(Window.orderBy(*keys)))
+    return df.orderBy(*keys)
+
+
 def lookup(df: DataFrame, key: str, values: Sequence) -> DataFrame:
     """Rows of the given keys; NULL in the list matches nothing."""
     return df.filter(F.col(key).isin(*[v for v in values if v is not None]))
@@ -56,6 +66,20 @@ def describe(df: DataFrame) -> list[tuple[str, str, str | None]]:
     return [(f.name, f.dataType.simpleString(), f.metadata.get("comment")) for f in df.schema.fields]
 
 
+def profile(df: DataFrame) -> DataFrame:
+    """(column_name, data_type, rows, nulls, distinct_values) of every column, out of one pass.
+
+    A row gives one (column, value) pair per column; pairs are counted with a map-side combine, so no column is gathered.
+    """
+    pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"`{c}`").cast("string").alias("v")) for i, (c, _, _) in enumerate(describe(df))])
+    values = df.select(F.explode(pairs).alias("x")).groupBy("x.i", "x.v").agg(F.count(F.lit(1)).alias("n"))
+    names = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(kind).alias("data_type")) for c, kind, _ in describe(df)])
+    out = values.groupBy("i").agg(
+        F.sum("n").alias("rows"), F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).alias("nulls"), F.count("v").alias("distinct_values")
+    )
+    return out.select(F.get(names, F.col("i"))["column_name"].alias("column_name"), F.get(names, F.col("i"))["data_type"].alias("data_type"), "rows", "nulls", "distinct_values")
+
+
 _KINDS = {k.typeName(): k() for k in (T.StringType, T.DateType, T.DoubleType, T.BooleanType, T.TimestampNTZType, T.LongType)}
 
 
@@ -113,10 +137,6 @@ def write(
     together.write.mode(mode).format(fmt).option("partitionOverwriteMode", extent).partitionBy(*partition_by).save(path)
 
 
-def save_table(df: DataFrame, name: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).saveAsTable(name)
-
-
 def reload_start(ds: date, days: int = 7) -> date:
     return ds - timedelta(days=days)
 
