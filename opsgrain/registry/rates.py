@@ -567,18 +567,19 @@ def in_app_calls(spark, sf_dir):
     return voice.in_app_calls(CALLS.spark(spark, sf_dir))
 
 
+# The rule of a lost call: whoever waited, was hardly talked to, and came in directly, as the last leg, or by a transfer not ended by the flow.
+_LOST = """
+legs AS (SELECT *, wait_start_time IS NOT NULL AS waited, coalesce(handle_time, 0) < 1 AS no_talk, lead(contact_id) OVER (PARTITION BY initial_contact_id ORDER BY call_start_time, contact_id) IS NULL AS last_leg,
+  lead(initiation_method) OVER (PARTITION BY initial_contact_id ORDER BY call_start_time, contact_id) AS next_method FROM {rows}),
+judged AS (SELECT *, coalesce(talk_time, 0) + coalesce(wrap_time, 0) + coalesce(hold_time, 0) AS handle_time_new, waited AND coalesce(
+    (initiation_method = 'INBOUND' AND NOT is_handled AND NOT rejected_queued AND requested_callback IS NULL)
+    OR (initiation_method IN ('TRANSFER', 'DISCONNECT', 'CALLBACK') AND (last_leg OR next_method IS NULL) AND no_talk)
+    OR (initiation_method ILIKE 'transfer' AND no_talk AND lower(disconnect_reason) <> 'contact_flow_disconnect_reason'), false) AS lost FROM legs)"""
+
+
 @register(
     "abandon_relogic",
-    with_views(
-        """
-WITH l AS (SELECT *, lag(initiation_method) OVER (PARTITION BY initial_contact_id ORDER BY call_start_time DESC, contact_id DESC) AS nx FROM m)
-SELECT contact_id, coalesce(talk_time, 0) + coalesce(wrap_time, 0) + coalesce(hold_time, 0) AS handle_time_new,
-  CASE WHEN initiation_method = 'INBOUND' AND wait_start_time IS NOT NULL AND is_handled = false AND rejected_queued = false AND requested_callback IS NULL THEN true
-    WHEN initiation_method IN ('TRANSFER', 'DISCONNECT', 'CALLBACK') AND wait_start_time IS NOT NULL AND nx IS NULL AND coalesce(handle_time, 0) < 1 THEN true
-    WHEN wait_start_time IS NOT NULL AND lower(initiation_method) = 'transfer' AND coalesce(handle_time, 0) < 1 AND lower(disconnect_reason) <> 'contact_flow_disconnect_reason' THEN true
-    ELSE false END AS is_abandoned_new FROM l""",
-        m=CALLS,
-    ),
+    with_views(f"WITH {_LOST.format(rows='m')} SELECT contact_id, handle_time_new, lost AS is_abandoned_new FROM judged", m=CALLS),
 )
 def abandon_relogic(spark, sf_dir):
     return voice.abandon_relogic(CALLS.spark(spark, sf_dir)).select("contact_id", "handle_time_new", "is_abandoned_new")
@@ -587,15 +588,11 @@ def abandon_relogic(spark, sf_dir):
 @register(
     "voice_revalidation",
     with_views(
-        """
-WITH f AS (SELECT * FROM m WHERE queue_name = 'Queue 2' AND call_end_time >= TIMESTAMP '2024-01-01'),
-l AS (SELECT *, lag(initiation_method) OVER (PARTITION BY initial_contact_id ORDER BY call_start_time DESC, contact_id DESC) AS nx FROM f)
-SELECT strftime(CAST(call_end_time AS date), '%Y-%m-%d') AS day, count_if(initiation_method = 'INBOUND' AND wait_start_time IS NOT NULL)::bigint AS contacts_incoming,
-  count_if(coalesce(talk_time, 0) + coalesce(wrap_time, 0) + coalesce(hold_time, 0) > 0)::bigint AS contacts_handled_new, count_if(is_handled)::bigint AS contacts_handled_current,
-  count_if((initiation_method = 'INBOUND' AND wait_start_time IS NOT NULL AND NOT is_handled AND NOT rejected_queued AND requested_callback IS NULL)
-    OR (initiation_method IN ('TRANSFER', 'DISCONNECT', 'CALLBACK') AND wait_start_time IS NOT NULL AND nx IS NULL AND coalesce(handle_time, 0) < 1)
-    OR (wait_start_time IS NOT NULL AND lower(initiation_method) = 'transfer' AND coalesce(handle_time, 0) < 1 AND lower(disconnect_reason) <> 'contact_flow_disconnect_reason'))::bigint AS contacts_abandoned
-FROM l GROUP BY CAST(call_end_time AS date)""",
+        f"""
+WITH f AS (SELECT * FROM m WHERE queue_name = 'Queue 2' AND call_end_time >= TIMESTAMP '2024-01-01'), {_LOST.format(rows='f')}
+SELECT strftime(CAST(call_end_time AS date), '%Y-%m-%d') AS day, count(*) FILTER (waited AND initiation_method = 'INBOUND') AS contacts_incoming,
+  count(*) FILTER (handle_time_new > 0) AS contacts_handled_new, count(*) FILTER (is_handled) AS contacts_handled_current, count(*) FILTER (lost) AS contacts_abandoned
+FROM judged GROUP BY CAST(call_end_time AS date)""",
         m=CALLS,
     ),
 )
