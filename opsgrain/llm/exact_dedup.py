@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import store
+from .shared import cut, store
 
 #: Bytes of the first digit, and how many times wider each later one is.
 FIRST_DIGIT, WIDER = 64, 8
@@ -43,7 +43,8 @@ def mark_copies(docs: DataFrame, with_rows: bool = True, first_digit: int = FIRS
 
     done, width = [], first_digit
     while True:
-        table = store(_split(rows, body, width, carried), "digits")
+        table = _split(rows, body, width, carried)
+        table = cut(table) if with_rows else store(table, "digits")
         done.append(table.filter("gid is null or ended").select(*carried, F.coalesce("gid", "rid").alias("gid")))
         rows, body = table.filter("gid is not null and not ended").select(*carried, "gid", "rest"), F.col("rest")
         if rows.select("rid").isEmpty():

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import store
+from .shared import cut, store
 
 #: Weights of the sources in order, share of all words that the mix takes, most times that a word may be taken.
 WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2.0
@@ -121,7 +121,7 @@ def mix(
     base = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), "source", word_count(F.col("text")).alias("size"), F.monotonically_increasing_id().alias("rid"), *whole
     )
-    base = store(base, "sizes")
+    base = cut(base) if with_rows else store(base, "sizes")
     sums = base.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("docs"))
     sums = store(targets(sums, weights, share, most), "targets")
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))

@@ -31,6 +31,18 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """Checkpoint whole rows: computed once, kept in the shared folder as long as a plan refers to them.
+
+    Spark itself drops the files with the last reference (``spark.cleaner.referenceTracking.cleanCheckpoints``), so the texts of one
+    stage do not stay on disk while the next one runs; ``store`` is for narrow tables, of which single columns are read.
+    """
+    context = df.sparkSession.sparkContext
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        context.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint()
+
+
 def discard(spark: SparkSession, table: DataFrame) -> None:
     """Delete a table of ``store`` that no later plan reads."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()

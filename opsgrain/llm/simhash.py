@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-from .shared import components, forest, store
+from .shared import components, cut, forest, store
 
 BITS, SEED = 64, 42
 #: Words of a shingle and largest bit distance of a link.
@@ -176,7 +176,7 @@ def mark_near_copies(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MA
     """
     whole = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if with_rows else []
     prints = docs.select(F.col("doc_id").cast("bigint").alias("id"), fingerprints(F.col("text"), shingle).alias("fp"), F.monotonically_increasing_id().alias("rid"), *whole)
-    prints = store(prints, "fingerprints")
+    prints = cut(prints) if with_rows else store(prints, "fingerprints")
     # of a fingerprint: its first row, smallest doc_id first and null last
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "rid")).alias("first")
     classes = store(prints.groupBy("fp").agg(first), "classes")
