@@ -14,11 +14,12 @@ FIRST_DIGIT, WIDER = 64, 8
 def _split(rows: DataFrame, body: Column, width: int, carried: list[str]) -> DataFrame:
     """Rows with the group that shares their next ``width`` bytes (null: alone), whether the text ended, and the bytes behind."""
     on = ["gid", "digit", "ended"]
-    cut = rows.withColumns({"digit": F.substring(body, 1, width), "ended": F.octet_length(body) <= width})
-    groups = cut.groupBy(on).agg(F.count("*").alias("n"), F.min("rid").alias("new")).filter("n > 1").drop("n")
-    groups = store(groups, "groups")  # read from a table, so that run-time skew splitting can cut the rows of a hot group
+    parts = rows.withColumns({"digit": F.substring(body, 1, width), "ended": F.octet_length(body) <= width})
+    groups = parts.groupBy(on).agg(F.count("*").alias("n"), F.min("rid").alias("new")).filter("n > 1").drop("n")
+    # read from a table and merged, so that run-time skew splitting can cut the rows of a hot group; never broadcast, as it grows
+    groups = store(groups, "groups")
     rest = F.when(F.col("new").isNotNull() & ~F.col("ended"), F.substring(body, width + 1, 2**31 - 1))
-    return cut.join(groups, on, "left").select(*carried, F.col("new").alias("gid"), "ended", rest.alias("rest"))
+    return parts.join(groups.hint("merge"), on, "left").select(*carried, F.col("new").alias("gid"), "ended", rest.alias("rest"))
 
 
 def mark_copies(docs: DataFrame, with_rows: bool = True, first_digit: int = FIRST_DIGIT, wider: int = WIDER) -> DataFrame:
@@ -57,7 +58,7 @@ def mark_copies(docs: DataFrame, with_rows: bool = True, first_digit: int = FIRS
     groups = every.groupBy("gid").agg(F.count("*").alias("size"), last).filter("size > 1")
     groups = store(groups, "groups")
     whole = [F.struct(*[F.col("text") if c == "text" else F.col(f"other.`{c}`") for c in docs.columns]).alias("row")] if with_rows else []
-    return every.join(groups, "gid", "left").select(
+    return every.join(groups.hint("merge"), "gid", "left").select(
         F.col("id").alias("doc_id"),
         F.when(F.col("last").isNull(), F.col("id")).otherwise(F.col("last.id")).alias("keep_id"),
         F.coalesce("size", F.lit(1)).cast("bigint").alias("group_size"),

@@ -140,7 +140,7 @@ def mix(
     landed = flown.filter(still).groupBy("source").applyInPandas(lambda key, part: _moved(part, f"{key[0]}", True), chances.schema)
     out = flown.filter(~still).unionByName(landed).withColumn("copies", F.col("whole") + F.round("chance").cast("bigint"))
     if with_rows:
-        out = out.join(base.select("rid", "row"), "rid")
+        out = base.select("rid", "row").join(out.hint("merge"), "rid")
     taken = (F.col("copies") * F.col("size")).alias("taken")
     return out.select(F.col("doc_id").cast("bigint").alias("doc_id"), "size", "source_size", "target", "copies", taken, *(["row"] if with_rows else []))
 

@@ -185,7 +185,7 @@ def mark_near_copies(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MA
     roots = store(roots, "roots")
     best = store(roots.groupBy("root").agg(F.min("first").alias("best")), "best")
     roots = store(roots.join(best, "root").select("fp", "best"), "roots")  # tables, so that a hot fingerprint is split in the join
-    return prints.join(roots, "fp").select(
+    return prints.join(roots.hint("merge"), "fp").select(
         F.col("id").alias("doc_id"),
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         F.col("best.id").alias("component_id"),
