@@ -154,6 +154,18 @@ def pick_row(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Dat
     return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")
 
 
+def nulls_last(*columns: str) -> list[Column]:
+    """Ranks that put NULL behind every value in an ascending comparison."""
+    return [c for name in columns for c in (F.col(name).isNull(), F.col(name))]
+
+
+def first_and_count(df: DataFrame, keys: Sequence[str], rank: Sequence[Column], count: str) -> DataFrame:
+    """First row per key by ascending ranks, and the number of rows of the key, out of one aggregate with a map-side combine."""
+    rest = [F.col(c) for c in df.columns if c not in keys]
+    best = F.min_by(F.struct(*rest), F.struct(*[r.alias(f"r{i}") for i, r in enumerate(rank)]))
+    return df.groupBy(*keys).agg(best.alias("__first"), F.count(F.lit(1)).alias(count)).select(*keys, "__first.*", count)
+
+
 def first_event(df: DataFrame, keys: Sequence[str], ts: str, tie: Sequence[str] = ()) -> DataFrame:
     return pick_row(df, keys, [F.col(ts).asc_nulls_last(), *[F.col(t).asc_nulls_last() for t in tie]])
 

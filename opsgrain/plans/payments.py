@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dialect import PACIFIC, UTC, convert_tz, like_plain, regexp_first, trunc
 from ..operators.classify import union_distinct
-from ..operators.history import first_event, pick_row
+from ..operators.history import first_and_count, nulls_last
 from ..operators.joins import asof_dim
 from ..operators.match import evidence_flags, tolerance_scan
 from ..operators.metrics import with_totals
@@ -107,12 +107,12 @@ def match_reimbursements(
     # assignments of the same customer and calendar day
     day = convert_tz("occurred_at", UTC, tz).cast("date")
     duties = t["assignments"].filter(F.col("customer_token").isNotNull()).withColumn("__day", day)
-    first_duty = first_event(duties, ["customer_token", "__day"], "occurred_at", ["assignment_id"]).select(
-        "customer_token", "__day", "assignment_id", F.col("queue").alias("assignment_queue"), F.col("submitted_at").alias("assignment_submitted_at")
+    first_duty = first_and_count(duties, ["customer_token", "__day"], nulls_last("occurred_at", "assignment_id"), "__n_duty").select(
+        "customer_token", "__day", "assignment_id", F.col("queue").alias("assignment_queue"), F.col("submitted_at").alias("assignment_submitted_at"),
+        "__n_duty",
     )
-    duty_rows = duties.groupBy("customer_token", "__day").agg(F.count(F.lit(1)).alias("__n_duty"))
     out = out.withColumn("__day", F.col("created_at").cast("date"))
-    out = out.join(first_duty.join(duty_rows, ["customer_token", "__day"]), ["customer_token", "__day"], "left").drop("__day")
+    out = out.join(first_duty, ["customer_token", "__day"], "left").drop("__day")
 
     # cases that carry the payment itself
     linked = t["case_payments"].filter(F.col("payment_id").isNotNull()).groupBy("payment_id").agg(
@@ -135,12 +135,10 @@ def match_reimbursements(
     return out.withColumn("type", F.lit("P2P Reimbursement")).drop(*[c for c in out.columns if c.startswith("__")])
 
 
-def _same_second(pay: DataFrame, audits: DataFrame, order: Sequence[Column]) -> DataFrame:
+def _same_second(pay: DataFrame, audits: DataFrame, rank: Sequence[Column]) -> DataFrame:
     """Best audit row of the same customer and second; the audits shrink to one row per second first."""
     keyed = audits.withColumn("__second", trunc("second", "audit_at"))
-    best = pick_row(keyed, ["customer_token", "__second"], order)
-    rows = keyed.groupBy("customer_token", "__second").agg(F.count(F.lit(1)).alias("__n_audit"))
-    side = best.join(rows, ["customer_token", "__second"]).withColumnRenamed("customer_token", "__token")
+    side = first_and_count(keyed, ["customer_token", "__second"], rank, "__n_audit").withColumnRenamed("customer_token", "__token")
     joined = pay.withColumn("__s", trunc("second", "created_at"))
     return joined.join(
         side, (F.col("recipient_token") == F.col("__token")) & (F.col("__s") == F.col("__second")), "left"
@@ -158,22 +156,19 @@ def reimbursements_and_refunds(
     new = recent.filter(
         (F.col("creation_mechanism") == mechanism) & (F.col("sender_token") == sender_token) & (F.col("state") == state)
     )
-    # DESC on "is null": audits without a bank token on the case win, then the earliest
-    a = _same_second(
-        new, audits, [F.col("case_banking_token").isNull().desc(), F.col("audit_at").asc_nulls_last(), F.col("audit_id")]
-    )
+    # audits without a bank token on the case win, then the earliest
+    a = _same_second(new, audits, [F.col("case_banking_token").isNotNull(), *nulls_last("audit_at"), F.col("audit_id")])
     a = with_totals(a.withColumn("__rows", _rows("__n_audit")), ["recipient_token"], {"payments_per_customer": ("sum", F.col("__rows"))})
     a = a.withColumns({"type": F.lit("P2P Reimbursement"), "customer_token": F.col("recipient_token")})
 
     back = recent.filter((F.col("failure_reason") == "MANUALLY_REVERSED") & (F.col("pull_result") == "SUCCESS"))
     plain = audits.drop("case_number", *case_cols)
-    b = _same_second(back, plain, [F.col("audit_at").asc_nulls_last(), F.col("audit_id")])
+    b = _same_second(back, plain, [*nulls_last("audit_at"), F.col("audit_id")])
     cases = t["support_cases"].filter(F.col("payment_id").isNotNull())
-    own = first_event(cases, ["payment_id"], "created_at_utc", ["case_id"]).select(
-        "payment_id", "case_number", *[F.col(s).alias(n) for n, s in case_cols.items()]
+    own = first_and_count(cases, ["payment_id"], nulls_last("created_at_utc", "case_id"), "__n_case").select(
+        "payment_id", "case_number", *[F.col(s).alias(n) for n, s in case_cols.items()], "__n_case"
     )
-    n_own = cases.groupBy("payment_id").agg(F.count(F.lit(1)).alias("__n_case"))
-    b = b.join(own.join(n_own, "payment_id"), "payment_id", "left")
+    b = b.join(own, "payment_id", "left")
     b = with_totals(
         b.withColumn("__rows", _rows("__n_audit", "__n_case")), ["sender_token"], {"payments_per_customer": ("sum", F.col("__rows"))}
     )

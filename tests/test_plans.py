@@ -310,3 +310,15 @@ def test_the_spine_is_the_build_side(spark):
     got = out.collect()
     assert len(got) == 96 and sorted(r["available_minutes"] for r in got if r["login"]) == [10, 30]
     assert {(r["report_date"].day, r["day_minutes"]) for r in got} == {(1, 80), (2, None)}
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="test tables not there")
+@pytest.mark.parametrize(("name", "most"), [("handle_time_totals", 4), ("share_by_channel", 1), ("payment_audit_match", 12), ("reimburse_refund_union", 11)])
+def test_inputs_are_built_once(spark, name, most):
+    """Scans that ran: one per table and use of it, not one more for each total over the rows."""
+    from opsgrain.registry import QUERIES
+
+    df = QUERIES[name](spark, "/root/testdata/sf0.001")
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert len(re.findall("FileScan parquet", final)) <= most
