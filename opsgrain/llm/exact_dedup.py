@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import cut, store
+from .shared import rows_of, store, with_row_keys
 
 #: Bytes of the first digit, and how many times wider each later one is.
 FIRST_DIGIT, WIDER = 64, 8
@@ -22,8 +22,8 @@ def _split(rows: DataFrame, body: Column, width: int, carried: list[str]) -> Dat
     return parts.join(groups.hint("merge"), on, "left").select(*carried, F.col("new").alias("gid"), "ended", rest.alias("rest"))
 
 
-def mark_copies(docs: DataFrame, with_rows: bool = True, first_digit: int = FIRST_DIGIT, wider: int = WIDER) -> DataFrame:
-    """doc_id, keep_id, group_size, kept and text_sha256 of each row of ``docs`` (doc_id, text and any others).
+def mark_copies(docs: DataFrame, first_digit: int = FIRST_DIGIT, wider: int = WIDER, rid: str | None = None) -> DataFrame:
+    """doc_id, keep_id, group_size, kept and text_sha256 of each row of ``docs`` (doc_id, text; ``rid`` names a text column that tells its rows, to be carried).
 
     Texts are equal when their bytes are.  Round by round the documents of a group are split by their next bytes (a digit of 64
     bytes, then 512, 4096 and so on, so the rounds grow with the logarithm of the longest text) until a group is a single row or
@@ -33,19 +33,17 @@ def mark_copies(docs: DataFrame, with_rows: bool = True, first_digit: int = FIRS
     their text.
 
     A null text counts as empty.  Of equal texts the row with the largest doc_id stays (null is smaller than any number); of rows
-    that repeat both text and doc_id exactly one stays.  An empty table gives an empty result.  ``with_rows`` adds the whole input
-    row as the struct ``row``; its columns cannot clash with those of the result.
+    that repeat both text and doc_id exactly one stays.  An empty table gives an empty result; other columns are not read.
     """
-    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("text",)] if with_rows else []
-    rows = docs.select(F.struct(F.lit(0).alias("_"), *others).alias("other"), F.col("doc_id").cast("bigint").alias("id"), "text")
+    key = F.col(rid) if rid else F.monotonically_increasing_id().cast("string")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text", key.alias("rid"))
     body = F.coalesce("text", F.lit("")).cast("binary")
-    rows = rows.withColumns({"rid": F.monotonically_increasing_id(), "sha": F.sha2(body, 256), "gid": F.lit(0).cast("bigint")})
-    carried = ["id", "rid", "sha", *(["other", "text"] if with_rows else [])]
+    rows = rows.withColumns({"sha": F.sha2(body, 256), "gid": F.lit("")})
+    carried = ["id", "rid", "sha"]
 
     done, width = [], first_digit
     while True:
-        table = _split(rows, body, width, carried)
-        table = cut(table) if with_rows else store(table, "digits")
+        table = store(_split(rows, body, width, carried), "digits")
         done.append(table.filter("gid is null or ended").select(*carried, F.coalesce("gid", "rid").alias("gid")))
         rows, body = table.filter("gid is not null and not ended").select(*carried, "gid", "rest"), F.col("rest")
         if rows.select("rid").isEmpty():
@@ -57,17 +55,18 @@ def mark_copies(docs: DataFrame, with_rows: bool = True, first_digit: int = FIRS
     last = F.max(F.struct("id", "rid")).alias("last")
     groups = every.groupBy("gid").agg(F.count("*").alias("size"), last).filter("size > 1")
     groups = store(groups, "groups")
-    whole = [F.struct(*[F.col("text") if c == "text" else F.col(f"other.`{c}`") for c in docs.columns]).alias("row")] if with_rows else []
     return every.join(groups.hint("merge"), "gid", "left").select(
         F.col("id").alias("doc_id"),
         F.when(F.col("last").isNull(), F.col("id")).otherwise(F.col("last.id")).alias("keep_id"),
         F.coalesce("size", F.lit(1)).cast("bigint").alias("group_size"),
         (F.col("last").isNull() | (F.col("rid") == F.col("last.rid"))).alias("kept"),
         F.col("sha").alias("text_sha256"),
-        *whole,
+        *([F.col("rid").alias(rid)] if rid else []),
     )
 
 
 def exact_dedup(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with their columns; cases as in ``mark_copies``."""
-    return mark_copies(docs).filter("kept").select("row.*")
+    """The rows of ``docs`` that stay, with all their columns, whatever their names; cases as in ``mark_copies``."""
+    keyed = with_row_keys(docs)
+    marks = mark_copies(keyed.select("row.doc_id", "row.text", "rid"), rid="rid")
+    return rows_of(keyed, marks.filter("kept")).select("row.*")

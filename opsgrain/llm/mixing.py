@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import cut, store
+from .shared import rows_of, store, with_row_keys
 
 #: Weights of the sources in order, share of all words that the mix takes, most times that a word may be taken.
 WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2.0
@@ -103,10 +103,9 @@ def _moved(part: pd.DataFrame, seed: str, last: bool) -> pd.DataFrame:
     return part.assign(chance=now)
 
 
-def mix(
-    docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST, shard_rows: int = SHARD_ROWS, with_rows: bool = True
-) -> DataFrame:
-    """doc_id, size, source_size, target, copies and taken (copies * size) of each row of ``docs`` (doc_id, text, source).
+def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST, shard_rows: int = SHARD_ROWS, rid: str | None = None) -> DataFrame:
+    """doc_id, source, size, source_size, target, copies and taken (copies * size) of each row of ``docs`` (doc_id, text, source; ``rid`` names a
+    text column that tells its rows, to be carried).
 
     A document of a source is expected target / source_size times.  The whole part of that is taken of all of them; of the rest, the cube
     method decides: within shards of a source the flight phase moves the chances along directions that keep the numbers of words and
@@ -115,21 +114,19 @@ def mix(
 
     The shard of a document follows from its id and the random numbers from the shard, so that reruns agree.  A null text has size 0; a
     null source is a source, the last one; null ids are spread by their place.  Repeated rows are decided each on its own.  An empty
-    table gives an empty result.  ``with_rows`` adds the whole input row as the struct ``row``.
+    table gives an empty result; other columns are not read.
     """
-    whole = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if with_rows else []
-    base = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), "source", word_count(F.col("text")).alias("size"), F.monotonically_increasing_id().alias("rid"), *whole
-    )
-    base = cut(base) if with_rows else store(base, "sizes")
+    key = F.col(rid) if rid else F.monotonically_increasing_id().cast("string")
+    # ids as text: pandas would turn a column of numbers with nulls into floats
+    base = docs.select(F.col("doc_id").cast("bigint").cast("string").alias("doc_id"), "source", word_count(F.col("text")).alias("size"), key.alias("rid"))
+    base = store(base, "sizes")
     sums = base.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("docs"))
     sums = store(targets(sums, weights, share, most), "targets")
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     sums = sums.select(F.col("source").alias("of"), "source_size", "target", "docs", expected.alias("expected"))
     shards = F.greatest(F.lit(1), F.ceil(F.col("docs") / shard_rows))
-    # as text: pandas would turn a column of numbers with nulls into floats
-    chances = base.select("doc_id", "source", "size", "rid").join(sums, F.col("source").eqNullSafe(F.col("of"))).select(
-        F.col("doc_id").cast("string").alias("doc_id"), "source", "size", "rid", "source_size", "target",
+    chances = base.join(sums, F.col("source").eqNullSafe(F.col("of"))).select(
+        "doc_id", "source", "size", "rid", "source_size", "target",
         F.floor("expected").cast("bigint").alias("whole"),
         (F.col("expected") - F.floor("expected")).alias("chance"),
         F.pmod(F.xxhash64(F.coalesce("doc_id", "rid"), "size"), shards).alias("shard"),
@@ -139,13 +136,14 @@ def mix(
     still = (F.col("chance") > 0) & (F.col("chance") < 1)
     landed = flown.filter(still).groupBy("source").applyInPandas(lambda key, part: _moved(part, f"{key[0]}", True), chances.schema)
     out = flown.filter(~still).unionByName(landed).withColumn("copies", F.col("whole") + F.round("chance").cast("bigint"))
-    if with_rows:
-        out = base.select("rid", "row").join(out.hint("merge"), "rid")
-    taken = (F.col("copies") * F.col("size")).alias("taken")
-    return out.select(F.col("doc_id").cast("bigint").alias("doc_id"), "size", "source_size", "target", "copies", taken, *(["row"] if with_rows else []))
+    return out.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"),
+        *([F.col("rid").alias(rid)] if rid else []),
+    )
 
 
 def mixed(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
-    """The rows of ``docs`` that the mix takes, each as often as it is taken; cases as in ``mix``."""
-    out = mix(docs, weights, share, most).filter("copies > 0")
-    return out.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")
+    """The rows of ``docs`` that the mix takes, each as often as it is taken, with all their columns, whatever their names; cases as in ``mix``."""
+    keyed = with_row_keys(docs)
+    out = mix(keyed.select("row.doc_id", "row.text", "row.source", "rid"), weights, share, most, rid="rid").filter("copies > 0")
+    return rows_of(keyed, out, "copies").select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")

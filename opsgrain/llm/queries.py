@@ -108,12 +108,12 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("op4_simhash_dedup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.mark_near_copies(_table(spark, sf_dir, "documents").select("doc_id", "text"), 4, 4, with_rows=False)
+    return simhash.mark_near_copies(_table(spark, sf_dir, "documents").select("doc_id", "text"), 4, 4)
 
 
 @_query("op5_mix_sources")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"), with_rows=False)
+    return mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "text", "source")).drop("source")
 
 
 @_query("op6_best_fit_packing")
@@ -152,7 +152,7 @@ WINDOW w AS (PARTITION BY coalesce(text, ''))
 """,
 )
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.mark_copies(_table(spark, sf_dir, "documents").select("doc_id", "text"), with_rows=False)
+    return exact_dedup.mark_copies(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 #: The rules of the query on pages.

@@ -32,17 +32,31 @@ def store(df: DataFrame, name: str) -> DataFrame:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Checkpoint whole rows: computed once, kept in the shared folder as long as a plan refers to them.
-
-    Spark itself drops the files with the last reference (``spark.cleaner.referenceTracking.cleanCheckpoints``), so the texts of one
-    stage do not stay on disk while the next one runs; ``store`` is for narrow tables, of which single columns are read.
-    """
+    """Checkpoint whole rows: computed once, and kept in the shared folder as long as a plan refers to them."""
     context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
+def with_row_keys(docs: DataFrame) -> DataFrame:
+    """``row`` (the whole row) and ``rid``, a text that tells each row from every other one whenever the plan runs.
+
+    Rows read straight from Parquet files are told by file and place, so nothing is written and the files can be read again for
+    the rows that an operator keeps.  Rows of any other plan are checkpointed with a number.
+    """
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    plan = docs._jdf.queryExecution().analyzed()
+    if plan.getClass().getSimpleName() == "LogicalRelation" and "parquet" in plan.toString().lower() and "_metadata" not in docs.columns:
+        return docs.select(whole, F.concat_ws("#", "_metadata.file_path", F.col("_metadata.row_index").cast("string")).alias("rid"))
+    return cut(docs.select(whole, F.monotonically_increasing_id().cast("string").alias("rid")))
+
+
+def rows_of(keyed: DataFrame, marks: DataFrame, *more: str) -> DataFrame:
+    """The rows of ``keyed`` whose rid is in ``marks``, as ``row``, with further columns of ``marks``."""
+    return keyed.join(marks.select("rid", *more).hint("merge"), "rid").select("row", *more)
+
+
 def discard(spark: SparkSession, table: DataFrame) -> None:
     """Delete a table of ``store`` that no later plan reads."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()

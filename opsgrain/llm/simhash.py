@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-from .shared import components, cut, forest, store
+from .shared import components, forest, rows_of, store, with_row_keys
 
 BITS, SEED = 64, 42
 #: Words of a shingle and largest bit distance of a link.
@@ -164,19 +164,19 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return _routes(distinct, radius).groupBy("prefix", "sub", "bits").applyInPandas(bucket, "u bigint, v bigint").distinct()
 
 
-def mark_near_copies(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, with_rows: bool = True) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id and kept of each row of ``docs`` (doc_id, text and any others).
+def mark_near_copies(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, rid: str | None = None) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits), component_id and kept of each row of ``docs`` (doc_id, text; ``rid`` names a text column that tells its rows, to be carried).
 
     Texts are lower-cased (A-Z), cut into words at \\x20 and \\x09-\\x0D and hashed as word shingles, repeats included; a text with
     fewer words is one shingle.  Fingerprints at ``max_bits`` or fewer differing bits are linked; component_id is the smallest doc_id
     reachable.  Null, empty and blank texts have fingerprint 0 and link like any other.  Equal fingerprints are collapsed before
     the search, so copies cost nothing there.  A null doc_id is a document like any other and never names a component unless all
-    its members are null.  One row of each component is kept: that of the smallest doc_id, the first one read if it repeats.
-    ``with_rows`` adds the whole input row as the struct ``row``.  An empty table gives an empty result.
+    its members are null.  One row of each component is kept: that of the smallest doc_id, any one if it repeats.
+    An empty table gives an empty result; other columns are not read.
     """
-    whole = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if with_rows else []
-    prints = docs.select(F.col("doc_id").cast("bigint").alias("id"), fingerprints(F.col("text"), shingle).alias("fp"), F.monotonically_increasing_id().alias("rid"), *whole)
-    prints = cut(prints) if with_rows else store(prints, "fingerprints")
+    key = F.col(rid) if rid else F.monotonically_increasing_id().cast("string")
+    prints = docs.select(F.col("doc_id").cast("bigint").alias("id"), fingerprints(F.col("text"), shingle).alias("fp"), key.alias("rid"))
+    prints = store(prints, "fingerprints")
     # of a fingerprint: its first row, smallest doc_id first and null last
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "rid")).alias("first")
     classes = store(prints.groupBy("fp").agg(first), "classes")
@@ -190,10 +190,12 @@ def mark_near_copies(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MA
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         F.col("best.id").alias("component_id"),
         (F.col("rid") == F.col("best.rid")).alias("kept"),
-        *(["row"] if with_rows else []),
+        *([F.col("rid").alias(rid)] if rid else []),
     )
 
 
 def simhash_dedup(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of ``docs`` that stay, one of each component, with their columns; cases as in ``mark_near_copies``."""
-    return mark_near_copies(docs, shingle, max_bits).filter("kept").select("row.*")
+    """The rows of ``docs`` that stay, one of each component, with all their columns, whatever their names; cases as in ``mark_near_copies``."""
+    keyed = with_row_keys(docs)
+    marks = mark_near_copies(keyed.select("row.doc_id", "row.text", "rid"), shingle, max_bits, rid="rid")
+    return rows_of(keyed, marks.filter("kept")).select("row.*")

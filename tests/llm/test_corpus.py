@@ -136,17 +136,17 @@ def test_mix_meets_its_targets(spark):
     assert sorted(r.size for r in got) == sorted(size(t) for _, t, _, _ in rows)
     sums, taken = {}, {}
     for r in got:
-        s = r.row.source
+        s = r.source
         sums[s] = sums.get(s, 0) + r.size
         taken[s] = taken.get(s, 0) + r.taken
         assert 0 <= r.taken <= 2 * r.size and r.taken == r.copies * r.size
     want = brute_targets(sums, (3, 1, 2), 1.5, 2.0)
     for r in got:
-        assert r.target == pytest.approx(want[r.row.source]) and r.source_size == sums[r.row.source]
+        assert r.target == pytest.approx(want[r.source]) and r.source_size == sums[r.source]
     for s in sums:
         assert abs(taken[s] - want[s]) <= 300
         assert s is None or s == "empty" or abs(taken[s] - want[s]) <= 0.005 * want[s] + 150
-    again = {(r.doc_id, r.size, r.copies) for r in mixing.mix(docs, shard_rows=200, with_rows=False).collect()}
+    again = {(r.doc_id, r.size, r.copies) for r in mixing.mix(docs, shard_rows=200).collect()}
     assert again == {(r.doc_id, r.size, r.copies) for r in got}
     out = mixing.mixed(docs)
     assert out.columns == docs.columns and out.agg(F.max("target")).first()[0] == "clash"
