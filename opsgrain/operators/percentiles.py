@@ -20,7 +20,7 @@ def sliced(counts: DataFrame, group: Sequence[str], value: str, weight: str, sli
     whatever their distribution; a group of few values is one slice.  What follows is exact, as only the borders are approximate.
     """
     points = F.array(*[F.lit(i / slices) for i in range(1, slices)])
-    borders = F.when(F.count(F.lit(1)) > large, F.percentile_approx(value, points, F.lit(20 * slices)))
+    borders = F.when(F.count(F.lit(1)) > large, F.percentile_approx(value, points, F.lit(4 * slices)))
     sides = counts.groupBy(*group).agg(F.sum(weight).alias("__n"), borders.alias("__borders"))
     sides = sides.select(*[F.col(k).alias(f"__g_{k}") for k in group], "__n", "__borders")
     same = F.lit(True)
