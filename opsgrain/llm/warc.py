@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import json
 import struct
@@ -21,7 +22,7 @@ from .shared import shared_folder, store
 
 #: Payloads shorter than this are never revisits.
 REVISIT_BYTES = 100
-ARCHIVE, INDEX = "archive/data.warc", "indexes/index.cdxj"
+ARCHIVE, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 DATE = "2024-01-01T00:00:00Z"
 _REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -205,7 +206,7 @@ def write_archives(pages: DataFrame, folder: str | None = None, revisit_bytes: i
     and if all are null, all are responses.  Payloads are compared by digest with a map-side minimum, and joined back to the rows,
     whose side may be split where one payload is very common.
 
-    Each task streams one package with a WARC member and an index member to ``folder`` (by default a new one in the shared
+    Each task streams one package with a stored WARC member, whose records are gzip members each, and an index member to ``folder`` (by default a new one in the shared
     folder), so memory is that of one record and the index.  A repeated task writes a package of its own, and only the one of the attempt that
     succeeded is in the result, which is stored.  An empty table writes no package; other columns are not read.
     """
@@ -235,7 +236,8 @@ def write_archives(pages: DataFrame, folder: str | None = None, revisit_bytes: i
                     out = system.open_output_stream(path)
                     package = PackageWriter(out)
                     package.begin(ARCHIVE)
-                raw = record(page_id, url, payload, digest, first, revisit)
+                # a gzip member of its own per record: small on disk, and still read alone
+                raw = gzip.compress(record(page_id, url, payload, digest, first, revisit), mtime=0)
                 at = package.add(raw)
                 lines.append(json.dumps({"page_id": page_id, "filename": ARCHIVE, "offset": at, "length": len(raw)}))
         if out is not None:
@@ -304,7 +306,7 @@ def read_records(entries: DataFrame) -> DataFrame:
                     raw = read(start, run[-1][0] + run[-1][1] - start)
                 rows = []
                 for offset, length in run:
-                    headers, payload = parse(raw[offset - start : offset - start + length])
+                    headers, payload = parse(gzip.decompress(raw[offset - start : offset - start + length]))
                     digest = headers["warc-payload-digest"].removeprefix("sha256:")
                     revisit = headers["warc-type"] == "revisit"
                     if not revisit and hashlib.sha256(payload).hexdigest() != digest:
