@@ -2,7 +2,6 @@
 
 from datetime import date, datetime
 
-import pytest
 from pyspark.sql import functions as F
 
 from opsgrain.operators import classify as c
