@@ -31,18 +31,22 @@ def sample(docs: DataFrame, docs_most: int = SAMPLE_DOCS, windows: int = SAMPLE_
 
     Of each language the documents with the smallest hash of the id, so many of each that all languages together stay within
     ``docs_most``; a document gives up to ``windows`` windows, at places that follow from the hash.  Only the cut windows are moved, and
-    each task sends at most the wanted number of a language.
+    only of documents whose hash is below a bound that about twice the wanted number of a language reach, so what is moved
+    depends on the sample and not on the table.  The counts that the bounds follow from have one row per language.
     """
     labelled = docs.filter(F.col("lang").isNotNull() & ~held_out() & has_letter(F.col("text")))
-    kinds = labelled.select("lang").distinct().count()
-    if not kinds:
+    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    if not counts:
         return []
+    most = max(1, docs_most // len(counts))
+    share = {x: min(1.0, (2 * most + 100) / n) for x, n in counts.items()}
+    bounds = F.create_map(*[F.lit(v) for x in sorted(share) for v in (x, min(2**63 - 1, int(share[x] * 2**64) - 2**63))])
     raw, size = F.col("text").cast("binary"), F.octet_length("text")
     places = [F.pmod(F.xxhash64("doc_id", F.lit(k)), F.greatest(F.lit(1), size - gru.WINDOW + 1)) for k in range(windows)]
     cuts = F.array_distinct(F.array(*[F.substring(raw, (p + 1).cast("int"), F.lit(gru.WINDOW)) for p in places]))
-    cut = labelled.select("lang", F.xxhash64("doc_id", "text").alias("order"), cuts.alias("cuts"))
+    order = F.xxhash64("doc_id", "text")
+    cut = labelled.filter(order <= F.element_at(bounds, F.col("lang"))).select("lang", order.alias("order"), cuts.alias("cuts"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("order"))
-    most = max(1, docs_most // kinds)
     rows = cut.withColumn("rank", rank).filter(F.col("rank") <= most).select("lang", "order", "cuts").collect()
     return [(bytes(c), r.lang) for r in sorted(rows, key=lambda r: (r.lang, r.order)) for c in r.cuts]
 

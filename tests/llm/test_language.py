@@ -76,3 +76,12 @@ def test_odd_rows(spark):
     assert language_id.identify(docs.limit(0)).count() == 0
     unlabelled = docs.selectExpr("doc_id", "text", "cast(null as string) lang")
     assert {r.lang_pred for r in language_id.identify(unlabelled).collect()} == {"und"}
+
+
+def test_sample_is_the_smallest_hashes_and_moves_little(spark):
+    docs = spark.range(3000).selectExpr("id as doc_id", "concat('text number ', id) as text", "if(id % 10 = 0, 'rare', 'common') as lang")
+    got = language_id.sample(docs, docs_most=40, windows=1)
+    labelled = docs.filter(~language_id.held_out()).selectExpr("lang", "text", "xxhash64(doc_id, text) as h").collect()
+    for kind in ("rare", "common"):
+        want = [r.text.encode() for r in sorted(labelled, key=lambda r: r.h) if r.lang == kind][:20]
+        assert [t for t, x in got if x == kind] == want
