@@ -80,6 +80,26 @@ def test_context_moves_the_score(spark):
     assert got[0] == 1.0 and got[1] == 0.4 and got[2] == 0.7
 
 
+def iban(country, rest):
+    """With its check digits."""
+    number = "".join(str(int(c, 36)) for c in f"{rest}{country}00")
+    return f"{country}{98 - int(number) % 97:02d}{rest}"
+
+
+def test_iban_ends_where_its_country_says(spark):
+    numbers = ["ES9121000418450200051332", "BE68539007547034", "AT611904300234573201", "PL61109010140000071219812874", "SE4550000000058398257466", "NO9386011117947"]
+    numbers += [iban("MT", "MALT011000012345MTLCAST001S"), iban("CH", "00762011623852957")]
+    grouped = [" ".join(re.findall(".{1,4}", n)) for n in numbers]
+    behind = ["", " Please", " BIC CAIXESBB", " 100 EUR", " FROM", " 12", " 2024", ", thanks", " please", " ES91 2100 0418 4502 0005 1332"]
+    texts = [(n, b) for n in numbers + grouped for b in behind]
+    texts += [("ES9121000418450200051333", " Please"), ("ES912100041845020005133", ""), ("ES91210004184502000513321", "")]
+    docs = spark.createDataFrame([(i, f"IBAN {n}{b}") for i, (n, b) in enumerate(texts)], "doc_id int, text string")
+    got = {r.doc_id: [(s.start, s.end) for s in r.spans if s.kind == "iban"] for r in pii.find_personal_data(docs).collect()}
+    for i, (n, b) in enumerate(texts):
+        want = [] if i >= len(texts) - 3 else [(5, 5 + len(n))] + [(6 + len(n), 5 + len(n) + len(b))] * b.startswith(" ES91")
+        assert got[i] == want, texts[i]
+
+
 def test_no_python_in_the_plan(spark):
     docs = spark.createDataFrame([(1, "a@b.c")], "doc_id int, text string")
     plan = pii.find_personal_data(docs).select(F.size("spans"))._jdf.queryExecution().toString()
