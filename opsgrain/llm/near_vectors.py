@@ -12,8 +12,9 @@ from .shared import components, forest, store
 
 #: Cosine of a link; least number of shards and most vectors of one; queries of a block.
 COSINE, SHARDS, SHARD_ROWS, BLOCK_ROWS = 0.9, 8, 65536, 8192
-#: First beam, and how much wider the next one is; queries of a block that are audited, and the recall they must reach.
-BEAM, WIDER, AUDITED, RECALL = 32, 4, 256, 0.99
+#: First beam, and how much wider the next one is; queries drawn at a time for the audit, how many of them must tell something, and the
+#: mean recall that they must reach.
+BEAM, WIDER, AUDITED, ENOUGH, RECALL = 32, 4, 256, 64, 0.99
 #: Single precision finds candidates this far below the threshold; double precision decides.
 SLACK = 1e-5
 #: Queries that are answered at a time.
@@ -36,30 +37,48 @@ def _exact(unit: np.ndarray, queries: np.ndarray, least: float) -> tuple[np.ndar
     return both[:, 0], both[:, 1]
 
 
-def search_links(graph: hnsw.Graph, queries: np.ndarray, least: float, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """(query, node) of what the graph finds at similarity ``least``; ``queries`` are unit vectors.
+def search_links(graph: hnsw.Graph, queries: np.ndarray, least: float, seed: int = 0, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(query, node) of what the graph finds at similarity ``least``; ``queries`` are unit vectors, ``own`` the node that a query is itself (-1: none).
 
-    The beam is widened for all queries until an audit by full comparison of a bounded sample of them reaches RECALL, and further
-    for each query of which more than half the beam are links.  A beam as wide as the graph is a full comparison.
+    The beam is widened for all queries until the mean recall of audited queries reaches RECALL, and further for each query of which
+    more than half the beam are links.  Queries are drawn for the audit until ENOUGH of them have links to others and do not end in a
+    full comparison anyway, or until all are drawn; a drawn query is compared with all vectors, which is its answer too.  Every query
+    counts alike, however many links it has.  A beam as wide as the graph is a full comparison.
     """
-    size, beam = len(graph.vectors), BEAM
-    rng = np.random.default_rng(seed)
-    audited = np.sort(rng.choice(len(queries), min(AUDITED, len(queries)), replace=False))
-    there = len(_exact(graph.vectors, queries[audited], least)[0])
-    while True:
-        q, v = _widened(graph, queries[audited], least, beam)
-        if len(q) >= RECALL * there or beam >= size:
+    beam, drawn, answers = BEAM, 0, []
+    own = np.full(len(queries), -1) if own is None else own
+    order, links = np.random.default_rng(seed).permutation(len(queries)), np.zeros(len(queries), np.int64)
+    while 2 * beam < len(graph.vectors):
+        recalls: list[float] = []
+        at = 0  # a wider beam is tried on all that are drawn already
+        while len(recalls) < ENOUGH and at < len(queries):
+            some = order[at : at + AUDITED]
+            if at >= drawn:
+                q, v = _exact(graph.vectors, queries[some], least)
+                answers.append((some[q], v))
+                links[some] = np.bincount(q[v != own[some[q]]], minlength=len(some))
+                drawn += len(some)
+            at += len(some)
+            some = some[links[some] > 0]
+            q, v, full = _widened(graph, queries[some], least, beam)
+            found = np.bincount(q[v != own[some[q]]], minlength=len(some))
+            recalls += (found / links[some])[~full].tolist()
+        if not recalls or np.mean(recalls) >= RECALL:
             break
         beam *= WIDER
-    return _widened(graph, queries, least, beam)
+    rest = order[drawn:]
+    q, v, _ = _widened(graph, queries[rest], least, beam)
+    return tuple(np.concatenate(x) for x in zip(*answers, (rest[q], v)))
 
 
-def _widened(graph: hnsw.Graph, queries: np.ndarray, least: float, beam: int) -> tuple[np.ndarray, np.ndarray]:
-    out, asked = [], np.arange(len(queries))
+def _widened(graph: hnsw.Graph, queries: np.ndarray, least: float, beam: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, node) of the links found, and for each query whether it was compared with all vectors."""
+    out, asked, compared = [(np.empty(0, np.int64), np.empty(0, np.int64))], np.arange(len(queries)), np.zeros(len(queries), bool)
     while len(asked):
         if 2 * beam >= len(graph.vectors):
             q, v = _exact(graph.vectors, queries[asked], least)
             out.append((asked[q], v))
+            compared[asked] = True
             break
         again = []
         for at in range(0, len(asked), ASKED):
@@ -71,7 +90,7 @@ def _widened(graph: hnsw.Graph, queries: np.ndarray, least: float, beam: int) ->
             q, k = np.nonzero(hit & ~full[:, None])
             out.append((some[q], nodes[q, k]))
         asked, beam = np.concatenate(again), beam * WIDER
-    return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.empty(0, np.int64), np.empty(0, np.int64))
+    return *(np.concatenate(x) for x in zip(*out)), compared
 
 
 def _pack(part: pd.DataFrame) -> dict:
@@ -122,7 +141,10 @@ def links(classes: DataFrame, cosine: float = COSINE, shards: int = SHARDS, shar
         ids, copies, vectors = _unpack(index.iloc[0])
         asked, _, wanted = _unpack(block.iloc[0])
         graph = hnsw.Graph.unpack(_unit(vectors), index.iloc[0]["graph"])
-        q, v = search_links(graph, _unit(wanted), cosine - SLACK, int(key[1]) * 1_000_003 + int(key[2]))
+        order = np.argsort(ids)
+        place = order[np.minimum(np.searchsorted(ids, asked, sorter=order), len(ids) - 1)]
+        own = np.where(ids[place] == asked, place, -1)
+        q, v = search_links(graph, _unit(wanted), cosine - SLACK, int(key[1]) * 1_000_003 + int(key[2]), own)
         sure = asked[q] != ids[v]
         q, v = q[sure], v[sure]
         sure = np.concatenate([_cosines(wanted[q[i : i + 65536]], vectors[v[i : i + 65536]]) >= cosine for i in range(0, len(q), 65536)] or [np.empty(0, bool)])

@@ -81,3 +81,43 @@ def test_beam_is_widened_until_the_audit_passes(monkeypatch):
     q, v = near_vectors.search_links(graph, vectors[:300], 0.8)
     want = int((vectors[:300] @ vectors.T >= 0.8).sum())
     assert len(q) >= 0.97 * want and len(set(zip(q.tolist(), v.tolist()))) == len(q)
+
+
+def unit(vectors):
+    return (vectors / np.linalg.norm(vectors, axis=1, keepdims=True)).astype(np.float32)
+
+
+def pairs(rng, count, dim):
+    """Pairs of near vectors, far from all others."""
+    base = rng.normal(size=(count, dim))
+    return np.concatenate([base, base + 0.1 * rng.normal(size=(count, dim))])
+
+
+def missed(graph, vectors, least):
+    q, v = near_vectors.search_links(graph, vectors, least, own=np.arange(len(vectors)))
+    return len(set(map(tuple, np.argwhere(vectors @ vectors.T >= least).tolist())) - set(zip(q.tolist(), v.tolist())))
+
+
+def test_audit_sees_sparse_links_beside_a_dense_group():
+    rng = np.random.default_rng(5)
+    dense = rng.normal(size=24) + 0.05 * rng.normal(size=(1000, 24))
+    vectors = unit(np.concatenate([dense, pairs(rng, 1000, 24)])[rng.permutation(3000)])
+    graph = hnsw.build(vectors)
+    alone = (vectors @ vectors.T >= 0.9).sum(axis=1) == 2
+    for layer in graph.layers:  # no way leads to half of the vectors in pairs
+        lost = alone[layer.nodes] & (layer.nodes % 2 == 0)
+        layer.links[(layer.links >= 0) & lost[layer.links]] = -1
+    assert missed(graph, vectors, 0.9) <= 0.02 * 2000
+
+
+def test_audit_of_rare_links_draws_the_whole_block():
+    rng = np.random.default_rng(6)
+    vectors = unit(rng.normal(size=(3000, 24)))
+    queries = unit(rng.normal(size=(2000, 24)))
+    queries[:5] = unit(vectors[1001:1006] + 0.01 * rng.normal(size=(5, 24)))
+    graph = hnsw.build(vectors)
+    for layer in graph.layers:  # no way leads to what the only links are with
+        lost = (layer.nodes > 1000) & (layer.nodes < 1006)
+        layer.links[(layer.links >= 0) & lost[layer.links]] = -1
+    q, v = near_vectors.search_links(graph, queries, 0.9, seed=1)
+    assert sorted(zip(q.tolist(), v.tolist())) == [(i, 1001 + i) for i in range(5)]
