@@ -64,13 +64,16 @@ def _bytes_of_chars() -> dict[str, int]:
 
 
 class Encoder:
-    """Ids of a byte-level BPE file of ``tokenizers``, special tokens not added and not recognised in a text.
+    """Ids of a byte-level BPE file of ``tokenizers``, special tokens not added.  With ``added`` the ids are those of
+    ``Tokenizer.from_file(path).encode(text, add_special_tokens=False)``, which recognises the added tokens of the file in a text;
+    without it such a token is text like any other.
 
     The vocabulary is read from that file; ordinary text is encoded with ``tiktoken`` from the same vocabulary (four times as fast,
-    the same ids: a test compares both), text with very long words or white space with ``tokenizers`` itself.
+    the same ids: a test compares both), text with very long words or white space, or with an added token, with
+    ``tokenizers`` itself.
     """
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, added: bool = False):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         if spec["normalizer"] or spec["pre_tokenizer"]["type"] != "ByteLevel" or spec["pre_tokenizer"]["add_prefix_space"]:
@@ -80,19 +83,20 @@ class Encoder:
         ranks = {bytes(chars[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
         self.fast = tiktoken.Encoding("vocabulary", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.slow = Tokenizer.from_file(path)
-        self.slow.encode_special_tokens = True
+        self.slow.encode_special_tokens = not added
+        self.added = [t["content"] for t in spec["added_tokens"]] if added else []
 
     def ids(self, text: str) -> np.ndarray:
         words = text.split()
         longest = max(map(len, words), default=0)
-        if longest > LONG_RUN or len(text) - sum(map(len, words)) > 2 * len(words) + LONG_RUN:
+        if any(t in text for t in self.added) or longest > LONG_RUN or len(text) - sum(map(len, words)) > 2 * len(words) + LONG_RUN:
             return np.array(self.slow.encode(text, add_special_tokens=False).ids, dtype="<u4")
         return np.array(self.fast.encode_ordinary(text), dtype="<u4")
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str, pattern: str) -> Encoder:
-    return Encoder(path, pattern)
+def encoder(path: str, pattern: str, added: bool = False) -> Encoder:
+    return Encoder(path, pattern, added)
 
 
 def cut(length: int, size: int = SEQUENCE) -> list[tuple[int, int]]:
@@ -105,8 +109,8 @@ def pack(docs: DataFrame, tokenizer: str, pattern: str, size: int = SEQUENCE, bi
     """Pieces of the rows of ``docs`` (doc_id, text) in sequences of at most ``size`` tokens.
 
     Columns: doc_id, piece (from 0), start, length, ids (little-endian unsigned 32-bit), sequence_id, offset.  ``tokenizer`` is a
-    byte-level file of the library tokenizers and ``pattern`` the expression that splits text before its merges.  Each document is
-    followed by the id ``end``.
+    byte-level file of the library tokenizers and ``pattern`` the expression that splits text before its merges.  An added token
+    of the file that a text holds has the id of that token, as in ``tokenizers``.  Each document is followed by the id ``end``.
 
     Every task packs its documents as they come with best fit over ``bins`` open bins, in bounded memory and without a shuffle; a
     repeated task gives the same sequences, as it reads the same rows.  What stays open at the end of a task is one partly filled set
@@ -116,7 +120,7 @@ def pack(docs: DataFrame, tokenizer: str, pattern: str, size: int = SEQUENCE, bi
     schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, packer = encoder(tokenizer, pattern), BestFit(size, bins)
+        encode, packer = encoder(tokenizer, pattern, added=True), BestFit(size, bins)
         first_id = TaskContext.get().partitionId() << 40
         rows, held = [], 0
         for batch in batches:

@@ -59,6 +59,15 @@ def test_both_libraries_give_the_same_ids(spark):
         assert encode.ids(t).tolist() == own.encode(t, add_special_tokens=False).ids
 
 
+def test_added_tokens_have_the_ids_of_an_untouched_tokenizer(spark):
+    own = Tokenizer.from_file(PATH)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n\n y", "<|endoftext", "it's <|endoftext|>" + "a" * 5000, "é 😀 plain", " " * 5000 + "x"]
+    want = {i: [*own.encode(t, add_special_tokens=False).ids, packing.END] for i, t in enumerate(texts)}
+    assert any(50256 in ids for ids in want.values())
+    got = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").coalesce(1), PATH, PATTERN, size=100_000).collect()
+    assert {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in got} == want
+
+
 def test_packing_is_whole(spark, tmp_path):
     rng = random.Random(1)
     texts = [None, "", "x"] + [" ".join(rng.choice(["tree", "é", "Haus9"]) for _ in range(rng.choice([3, 200, 4000]))) for _ in range(150)]
