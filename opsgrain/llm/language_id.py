@@ -81,6 +81,12 @@ def predict(text: Column, net: gru.Network | None) -> Column:
     return labels(F.when(has_letter(text), text))
 
 
+def _identified(docs: DataFrame, net: gru.Network | None, with_rows: bool) -> DataFrame:
+    whole = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if with_rows else []
+    out = docs.select(F.col("doc_id").alias("doc_id"), held_out().alias("held_out"), predict(F.col("text"), net).alias("found"), *whole)
+    return out.select("doc_id", "held_out", "found.lang_pred", "found.score", *(["row"] if with_rows else []))
+
+
 def identify(docs: DataFrame, docs_most: int = SAMPLE_DOCS, windows: int = SAMPLE_WINDOWS, with_rows: bool = True) -> DataFrame:
     """doc_id, held_out, lang_pred and score of each row of ``docs`` (doc_id, text, lang and any others).
 
@@ -89,11 +95,13 @@ def identify(docs: DataFrame, docs_most: int = SAMPLE_DOCS, windows: int = SAMPL
     empty table gives an empty result.  ``with_rows`` adds the whole input row as the struct ``row``.
     """
     net = fit(docs.select("doc_id", "text", "lang"), docs_most, windows)
-    whole = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if with_rows else []
-    out = docs.select(F.col("doc_id").alias("doc_id"), held_out().alias("held_out"), predict(F.col("text"), net).alias("found"), *whole)
-    return out.select("doc_id", "held_out", "found.lang_pred", "found.score", *(["row"] if with_rows else []))
+    return _identified(docs, net, with_rows)
 
 
 def known_language(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose language is found, with their columns; those with ``und`` go."""
-    return identify(docs).filter(F.col("lang_pred") != UNKNOWN).select("row.*")
+    """The rows of ``docs`` in which a language can be told, with their columns; those with ``und`` go.  Where no row has a label to learn
+    from, there is no network, and all rows with a letter stay."""
+    net = fit(docs.select("doc_id", "text", "lang"))
+    if net is None:
+        return docs.filter(has_letter(F.col("text")))
+    return _identified(docs, net, True).filter(F.col("lang_pred") != UNKNOWN).select("row.*")

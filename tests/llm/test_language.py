@@ -78,6 +78,16 @@ def test_odd_rows(spark):
     assert {r.lang_pred for r in language_id.identify(unlabelled).collect()} == {"und"}
 
 
+def test_without_labels_documents_with_a_letter_stay(spark):
+    rows = [(1, None, None, "x"), (2, "", None, "x"), (3, "12 !? \n", None, "x"), (None, "Text", None, "x"), (5, "日本", None, "x"), (5, "日本", None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, score string")
+    kept = language_id.known_language(docs)
+    assert kept.columns == docs.columns and sorted(map(str, kept.collect())) == sorted(str(r) for r in docs.collect() if r.text in ("Text", "日本"))
+    out = [i for i in range(1, 50) if zlib.crc32(str(i).encode()) % 3 == 1]  # labels in the held-out third only
+    docs = spark.createDataFrame([(i, "a text", "en") for i in out], "doc_id bigint, text string, lang string")
+    assert language_id.known_language(docs).count() == len(out)
+
+
 def test_sample_is_the_smallest_hashes_and_moves_little(spark):
     docs = spark.range(3000).selectExpr("id as doc_id", "concat('text number ', id) as text", "if(id % 10 = 0, 'rare', 'common') as lang")
     got = language_id.sample(docs, docs_most=40, windows=1)
