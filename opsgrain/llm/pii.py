@@ -121,15 +121,18 @@ _SPAN = "struct<start:bigint,place:int,kind:string,end:bigint,score:double,base:
 
 
 def _spans(text: Column, kind: Kind, place: int) -> Column:
-    """Confirmed spans of a kind: the text between the matches gives their places and their context."""
+    """Confirmed spans of a kind: the text between the matches gives their places, the whole text their context."""
     gaps, hits = F.split(text, kind.pattern, -1), F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
     none = F.array().cast(f"array<{_SPAN}>")
     start = F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("found"))
 
     def step(so_far: Column, i: Column) -> Column:
-        hit, before, behind = F.get(hits, i), F.get(gaps, i), F.get(gaps, i + 1)
-        begin = so_far["at"] + F.length(before)
-        near = F.lower(F.concat(F.right(before, F.lit(CONTEXT)), F.lit(" "), F.left(behind, F.lit(CONTEXT))))
+        hit = F.get(hits, i)
+        begin = so_far["at"] + F.length(F.get(gaps, i))
+        place_of = begin.cast("int")
+        before = F.substring(text, F.greatest(place_of - CONTEXT, F.lit(0)) + 1, F.least(place_of, F.lit(CONTEXT)))
+        behind = F.substring(text, place_of + F.length(hit) + 1, F.lit(CONTEXT))
+        near = F.lower(F.concat(before, F.lit(" "), behind))
         score = F.lit(kind.score)
         if kind.raising:
             score = score + F.when(near.rlike(kind.raising), RAISE).otherwise(0.0)
@@ -153,7 +156,7 @@ def find_personal_data(docs: DataFrame, kinds: Sequence[Kind] = KINDS) -> DataFr
 
     Starts and ends are code points, the end exclusive; spans are sorted by start, then by the place of their kind.  Every text is
     read whole, matches of a kind do not overlap, and a proposed match that its check refuses is dropped without a retry.  The score
-    of a kind is raised or lowered by words within ``CONTEXT`` code points between its matches.
+    of a kind is raised or lowered by words within ``CONTEXT`` code points before and behind it, other matches included.
 
     A null or empty text has no spans.  Repeated rows are judged alike; an empty table gives an empty result; other columns
     are not read.  One pass over each row, no shuffle.

@@ -100,6 +100,13 @@ def test_iban_ends_where_its_country_says(spark):
         assert got[i] == want, texts[i]
 
 
+def test_context_reaches_over_other_matches(spark):
+    texts = ["SSN 123-45-6789, 234-56-7890", "é😀 123-45-6789 234-56-7890 is an SSN", "SSN 123-45-6789" + " " * 25 + ".234-56-7890", "SSN 123-45-6789" + " " * 24 + ".234-56-7890"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {r.doc_id: [(s.start, s.end) for s in r.spans if s.kind == "ssn"] for r in pii.find_personal_data(docs).collect()}
+    assert got == {0: [(4, 15), (17, 28)], 1: [(3, 14), (15, 26)], 2: [(4, 15)], 3: [(4, 15), (40, 51)]}
+
+
 def test_no_python_in_the_plan(spark):
     docs = spark.createDataFrame([(1, "a@b.c")], "doc_id int, text string")
     plan = pii.find_personal_data(docs).select(F.size("spans"))._jdf.queryExecution().toString()
