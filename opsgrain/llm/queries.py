@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language_id, mixing, near_vectors, packing, pii, quotes, simhash, url_filter, warc
+from . import exact_dedup, language_id, licenses, mixing, near_vectors, packing, pii, quotes, simhash, url_filter, vector_codes, warc, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -191,3 +191,120 @@ FROM judged
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = url_filter.filter_urls(_table(spark, sf_dir, "pages"), URL_RULES)
     return out.withColumns({c: F.array_join(c, ",") for c in ("strict_terms", "soft_terms")})
+
+
+def _wording(items: list) -> str:
+    """A parsed template as an expression over `` word  word `` (two blanks between words)."""
+    out = ""
+    for x in items:
+        if isinstance(x, bytes):
+            out += f" {x.decode()} "
+        elif x[0] == "words":
+            out += f"(?: [^ ]+ ){{{x[1]},{x[2]}}}"
+        else:
+            out += "(?:" + "|".join(map(_wording, x[1])) + ")"
+    return out
+
+
+def _sql_license_labels() -> str:
+    each = (f"CASE WHEN regexp_matches(joined, '{_wording(licenses.parse(t.markup))}') THEN {{'label': '{t.label}', 'score': {t.score}::DOUBLE}} END" for t in licenses.TEMPLATES)
+    return "[" + ",\n    ".join(each) + "]"
+
+
+def _sql_base_places() -> str:
+    each = []
+    for t in licenses.TEMPLATES:
+        if t.base:
+            words = [w.decode() for w in licenses.words_of(t.markup.encode())]
+            same = " AND ".join(f"w[i + {k + 1}] = '{x}'" for k, x in enumerate(words))
+            each.append(f"list_transform(list_filter(range(len(w)), lambda i: {same}), lambda i: {{'start': i, 'label': '{t.label}'}})")
+    return "list_concat(" + ", ".join(each) + ")"
+
+
+@_query(
+    "op11_license_scan",
+    rf"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+joined AS (SELECT doc_id, w, ' ' || array_to_string(w, '  ') || ' ' AS joined FROM texts),
+told AS (
+  SELECT doc_id, len(w) AS n_words, {_sql_base_places()} AS base,
+         list_filter({_sql_license_labels()}, lambda x: x IS NOT NULL) AS found
+  FROM joined)
+SELECT doc_id, n_words, len(base) AS n_base,
+       list_min(list_transform(base, lambda b: b.start)) AS first_word, list_max(list_transform(base, lambda b: b.start)) AS last_word,
+       array_to_string(list_sort(list_distinct(list_transform(base, lambda b: b.label))), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(list_transform(found, lambda f: f.label))), ',') AS labels,
+       coalesce(list_max(list_transform(found, lambda f: f.score)), 0.0::DOUBLE) AS score
+FROM told
+""",
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.summary(licenses.find_licenses(_table(spark, sf_dir, "documents")))
+
+
+def _sql_rounds() -> str:
+    """Assignment and refinement, once per round, and the last assignment."""
+    out = ""
+    for k in range(vector_codes.ROUNDS + 1):
+        out += f""",
+assigned{k} AS (
+  SELECT rid, part, any_value(x) AS x,
+         min({{'away': list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i])))::BIGINT, 'entry': entry}}) AS best
+  FROM parts JOIN book{k} USING (part) GROUP BY rid, part)"""
+        if k < vector_codes.ROUNDS:
+            out += f""",
+sums{k} AS (
+  SELECT part, entry, place, floor(sum(value)::DOUBLE / count(*))::BIGINT AS c
+  FROM (SELECT part, best.entry AS entry, unnest(x) AS value, generate_subscripts(x, 1) AS place FROM assigned{k}) GROUP BY ALL),
+book{k + 1} AS (
+  SELECT b.part, b.entry, coalesce(s.c, b.c) AS c
+  FROM book{k} b LEFT JOIN (SELECT part, entry, list(c ORDER BY place) AS c FROM sums{k} GROUP BY ALL) s USING (part, entry))"""
+    return out
+
+
+_PARTS, _LAST = vector_codes.PARTS, vector_codes.ROUNDS
+
+
+@_query(
+    "op12_vector_codes",
+    f"""
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id) AS rid, vec_id, label,
+         list_transform(embedding, lambda e: floor({vector_codes.SCALE} * e::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+parts AS (
+  SELECT rid, vec_id, label, part, v[part * len(v) // {_PARTS} + 1 : (part + 1) * len(v) // {_PARTS}] AS x
+  FROM kept, (SELECT unnest(range({_PARTS})) AS part)),
+book0 AS (SELECT part, rid - 1 AS entry, x AS c FROM parts WHERE rid <= {vector_codes.ENTRIES}){_sql_rounds()},
+codes AS (
+  SELECT rid, string_agg(printf('%02x', best.entry), '' ORDER BY part) AS code, sum(best.away)::BIGINT AS error FROM assigned{_LAST} GROUP BY rid),
+digest AS (
+  SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM book{_LAST})
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM kept JOIN codes USING (rid), digest
+""",
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = vector_codes.compress(_table(spark, sf_dir, "embeddings"))
+    out = vector_codes.with_label_error(codes)
+    return out.select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(vector_codes.digest(books)).alias("codebooks_sha256"))
+
+
+@_query("op13_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, model = whitening.whiten(_table(spark, sf_dir, "embeddings"))
+    error = whitening.identity_error(rows, model) if model else None
+    n, explained = (model.rows, model.explained.tolist()) if model else (0, [])
+    each = rows.select("vec_id", "deviation", F.posexplode("whitened").alias("place", "whitened"))
+    return each.select(
+        "vec_id",
+        (F.col("place") + 1).alias("component"),
+        F.lit(n).cast("bigint").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(F.array(*map(F.lit, explained)).cast("array<double>"), "place").alias("explained"),
+        F.lit(error).cast("double").alias("identity_error"),
+    )
