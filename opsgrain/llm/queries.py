@@ -296,8 +296,7 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op13_whitening")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, model = whitening.whiten(_table(spark, sf_dir, "embeddings"))
-    error = whitening.identity_error(rows, model) if model else None
-    n, explained = (model.rows, model.explained.tolist()) if model else (0, [])
+    n, explained, error = (model.rows, model.explained.tolist(), model.error) if model else (0, [], None)
     each = rows.select("vec_id", "deviation", F.posexplode("whitened").alias("place", "whitened"))
     return each.select(
         "vec_id",

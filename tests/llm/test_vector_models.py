@@ -125,8 +125,9 @@ def test_whitening_equals_numpy(spark, tmp_path):
     assert np.abs(wide.T @ wide / 700 - np.eye(32)).max() < 1e-9
 
 
-def test_blocks_and_split_products(spark):
-    """Many small blocks, dealt over several tasks, give what one block gives."""
+def test_blocks_and_split_products(spark, monkeypatch):
+    """Many small blocks, dealt over several tasks and matrices, give what one block gives."""
+    monkeypatch.setattr(whitening, "CHUNK_BLOCKS", 20)
     rng = np.random.default_rng(8)
     rows = [(i, rng.normal(size=8).tolist(), 1, "x", 1) for i in range(333)]
     small, model = whitening.whiten(table(spark, rows).repartition(7), block_rows=10)
@@ -142,9 +143,9 @@ def test_whitening_without_variance_and_without_rows(spark):
     out, model = whitening.whiten(table(spark, rows))
     got = [r["whitened"] for r in out.collect()]
     assert all(None not in g[:2] and g[2:] == [None, None] for g in got) and len(got) == 3
-    assert whitening.identity_error(out, model) < 1e-9
+    assert model.error < 1e-9
     out, model = whitening.whiten(table(spark, rows[:1] * 2))
-    assert [(r["deviation"], r["whitened"]) for r in out.collect()] == [(0, [None] * 4)] * 2 and whitening.identity_error(out, model) is None
+    assert [(r["deviation"], r["whitened"]) for r in out.collect()] == [(0, [None] * 4)] * 2 and model.error is None
     out, model = whitening.whiten(table(spark, rows).limit(0))
     assert out.count() == 0 and model is None
 
