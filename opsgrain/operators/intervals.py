@@ -27,6 +27,22 @@ def spread(df: DataFrame, start: str, end: str, minutes: int = 30, closed: bool
     return out.withColumn("interval_end", add("minute", minutes, "interval_start"))
 
 
+def slots_inside(df: DataFrame, start: str, end: str, day_from, day_to, minutes: int = 30) -> DataFrame:
+    """One row per slot of the days from ``day_from`` to before ``day_to`` that begins inside a span, both ends included.
+
+    Equals the join with a calendar of slots on "the span contains the slot's start".  Spans are clipped to the days first, so an
+    open end costs as many rows as the result has.  Columns ``interval_start``, ``interval_end``, ``report_date``.
+    """
+    low, high = (F.lit(str(d)).cast("date").cast("timestamp_ntz") for d in (day_from, day_to))
+    first = time_slice(start, minutes)
+    first = F.greatest(F.when(F.col(start) == first, first).otherwise(add("minute", minutes, first)), low)
+    last = F.least(time_slice(end, minutes), add("minute", -minutes, high))
+    inside = df.filter((F.col(end) >= F.col(start)) & (F.col(end) >= low) & (F.col(start) < high)).withColumns({"__first": first, "__last": last}).filter("__first <= __last")
+    steps = F.sequence(F.col("__first").cast("timestamp"), F.col("__last").cast("timestamp"), F.expr(f"interval {minutes} minutes"))
+    out = inside.withColumn("interval_start", F.explode(steps)).withColumn("interval_start", ntz("interval_start")).drop("__first", "__last")
+    return out.withColumns({"interval_end": add("minute", minutes, "interval_start"), "report_date": F.col("interval_start").cast("date")})
+
+
 def prorate_to_intervals(
     df: DataFrame, start: str, end: str, minutes: int = 30, out: str = "interval_seconds", compat: bool = False
 ) -> DataFrame:

@@ -7,10 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dialect import ntz, time_slice
+from ..functions.dialect import ntz
+from .cover import HALF_DAYS_TOP, covering, date_tick, half_tick, slice_tick, with_cover
 from .ordered import asof_lookup
 
 
+def broadcast_size(df: DataFrame) -> bool:
+    """Does Spark's estimate of the size allow a broadcast?"""
+    most = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= most
+
+
 def asof_dim(
     fact: DataFrame,
     dim: DataFrame,
@@ -27,26 +34,36 @@ def asof_dim(
 
     ``by_date=True`` compares calendar days.  ``by_date=False`` compares the timestamp with
     the DATE bounds, which loses the last day after midnight.  Overlapping versions give one
-    row each, as the relational join does.  The join is an equi join on the key with the
-    range as residual; Spark broadcasts the dimension when its measured size allows and
-    otherwise splits hot keys of the fact side at run time.
+    row each, as the relational join does.
+
+    A dimension whose estimated size Spark would broadcast is joined on the key, with the range as residual: the facts stay where
+    they are, and a key cannot have more versions than fit into the broadcast.  Beyond that size versions and facts of a key are
+    never compared.  Time is cut into days (or midnights and what lies between them); the distinct pairs of key and day of the
+    facts meet the covers of the versions (``operators.cover``) by equality, and the facts join what was found for their own pair.  So the
+    cost grows with the facts, the pairs and the versions, not with their product, and a key with very many
+    facts or versions is split at run time like any other equal key.
     """
     fact_key, dim_key = (key, key) if isinstance(key, str) else key
     at = F.col(ts) if isinstance(ts, str) else ts
-    at = at.cast("date") if by_date else ntz(at)
-    bound = "date" if by_date else "timestamp_ntz"
     slim = dim.select(
         F.col(dim_key).alias("__dk"),
-        F.col(start).cast(bound).alias("__from"),
-        F.col(end).cast(bound).alias("__to"),
+        F.col(start).cast("date").alias("__from"),
+        F.col(end).cast("date").alias("__to"),
         *[F.col(src).alias(f"__d_{out}") for out, src in cols.items()],
     ).filter(F.col("__dk").isNotNull())
-    facts = fact.withColumn("__at", at)
-    joined = facts.join(
-        slim, (facts[fact_key] == slim["__dk"]) & facts["__at"].between(slim["__from"], slim["__to"]), how
-    )
-    keep = [c for c in fact.columns if c not in cols]
-    return joined.select(*keep, *[F.col(f"__d_{out}").alias(out) for out in cols])
+    keep, attributes = [c for c in fact.columns if c not in cols], [F.col(f"__d_{out}").alias(out) for out in cols]
+    if broadcast_size(slim):
+        bound = "date" if by_date else "timestamp_ntz"
+        facts = fact.withColumn("__at", at.cast("date") if by_date else ntz(at))
+        valid = facts["__at"].between(slim["__from"].cast(bound), slim["__to"].cast(bound))
+        return facts.join(slim, (facts[fact_key] == slim["__dk"]) & valid, how).select(*keep, *attributes)
+    tick, first, last = (date_tick(at), date_tick("__from"), date_tick("__to")) if by_date else (half_tick(at), half_tick("__from"), half_tick("__to"))
+    held = with_cover(slim, first, last).drop("__from", "__to")
+    pairs = fact.select(F.col(fact_key).alias("__fk"), tick.alias("__tick")).filter("__fk is not null and __tick is not null").distinct()
+    valid = covering(pairs, F.col("__tick"), held, ["__fk"], ["__dk"], top=HALF_DAYS_TOP).drop("__dk")
+    facts = fact.withColumn("__at", tick)
+    joined = facts.join(valid, (facts[fact_key] == valid["__fk"]) & (facts["__at"] == valid["__tick"]), how)
+    return joined.select(*keep, *attributes)
 
 
 def fold_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "left") -> DataFrame:
@@ -63,34 +80,25 @@ def exclude(left: DataFrame, right: DataFrame, on: Sequence[str] | Column) -> Da
 
 
 def contains_join(
-    left: DataFrame, right: DataFrame, point: str, start: str, end: str, *, minutes: int, how: str = "inner",
-    keys: Sequence[str] = (), intervals_first: bool = False,
+    points: DataFrame, intervals: DataFrame, point: str, start: str, end: str, *, minutes: int, how: str = "inner", keys: Sequence[str] = (),
 ) -> DataFrame:
-    """Theta join "interval contains point" (both ends included) as an equi join on time slices.
+    """Theta join "interval contains point" (both ends included) as an equality of nodes; see ``operators.cover``.
 
-    Each interval is spread over the slices it touches, each point belongs to one slice, so
-    the join hashes on the slice (and the keys) instead of comparing everything with everything.  ``left`` holds the points,
-    or the intervals with ``intervals_first``; a right side with a broadcast hint is the build side of an inner or left join.
+    Slices of ``minutes`` are the ticks, and the ends, which need not be ends of slices, are compared afterwards.  An interval is a
+    few rows whatever its length, so an open end written as a far date costs no more than another.  NULL keys, points
+    and ends match nothing.  ``how="left"`` keeps points without interval; it finds the intervals of distinct points first.
     """
-    slice_col = "__slice"
-    points, intervals = (right, left) if intervals_first else (left, right)
-    p = points.withColumn(slice_col, time_slice(point, minutes))
-    spread = F.sequence(
-        time_slice(start, minutes).cast("timestamp"),
-        time_slice(end, minutes).cast("timestamp"),
-        F.expr(f"interval {minutes} minutes"),
-    )
-    i = intervals.filter(F.col(end) >= F.col(start)).withColumn(slice_col, F.explode(spread)).withColumn(
-        slice_col, ntz(slice_col)
-    )
-    cond = (p[slice_col] == i[slice_col]) & p[point].between(i[start], i[end])
-    for k in keys:
-        cond = cond & (p[k] == i[k])
-    joined = i.join(p, cond, how) if intervals_first else p.join(i, cond, how)
-    joined = joined.drop(p[slice_col]).drop(i[slice_col])
-    for k in keys:
-        joined = joined.drop(i[k])
-    return joined
+    slim = intervals.filter(F.col(end) >= F.col(start)).withColumnsRenamed({k: f"__i_{k}" for k in keys})
+    held = with_cover(slim, slice_tick(start, minutes), slice_tick(end, minutes))
+    inside = F.col(point).between(F.col(start), F.col(end))
+    theirs = [f"__i_{k}" for k in keys]
+    if how == "inner":
+        return covering(points, slice_tick(point, minutes), held, keys, theirs).filter(inside).drop(*theirs)
+    once = points.select(point, *keys).distinct()
+    hits = covering(once, slice_tick(point, minutes), held, keys, theirs).filter(inside).drop(*theirs)
+    hits = hits.withColumnsRenamed({c: f"__p_{c}" for c in (point, *keys)})
+    same = [points[c] == hits[f"__p_{c}"] for c in (point, *keys)]
+    return points.join(hits, same, how).drop(*[f"__p_{c}" for c in (point, *keys)])
 
 
 def state_at(facts: DataFrame, history: DataFrame, key: str, ts: str, changed_at: str, cols: dict[str, str], tie=(), how="inner", chunk: str = "day") -> DataFrame:

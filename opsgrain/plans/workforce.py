@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dialect import UTC, email_local_part, ilike_any, safe_ratio
 from ..operators.calendar import calendar_spine
-from ..operators.intervals import available_in_interval, prorate_to_intervals
+from ..operators.intervals import available_in_interval, prorate_to_intervals, slots_inside
 from ..operators.joins import asof_dim, contains_join
 from ..operators.metrics import distinct_counts, with_totals
 from ..operators.quality import key_uniqueness
@@ -84,7 +84,7 @@ def available_minutes(activity: DataFrame, day_from, day_to, *, code: str = "Ava
         email_local_part("email").alias("login"), F.col("date_time").alias("start_ts"), F.col("status_remove_time").alias("end_ts")
     )
     spine = calendar_spine(activity.sparkSession, day_from, day_to, "30 minutes")
-    hits = contains_join(spans, spine, "interval_start", "start_ts", "end_ts", minutes=30, intervals_first=True)
+    hits = slots_inside(spans, "start_ts", "end_ts", day_from, day_to, 30)
     hits = hits.withColumn("available_minutes", available_in_interval(F.col("interval_start"), F.col("interval_end"), F.col("end_ts")))
     # distinct rows with their number; what follows reads these only, and all its other sides have one row per slot or day at most
     cols = ["report_date", "interval_start", "login", "start_ts", "end_ts", "available_minutes"]

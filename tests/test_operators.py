@@ -1,14 +1,17 @@
 """Operators on tiny hand-made tables."""
 
-from datetime import date, datetime
+import random
+from datetime import date, datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from opsgrain.operators import classify as c
+from opsgrain.operators import cover, joins
 from opsgrain.operators import history as h
 from opsgrain.operators import quality as q
 from opsgrain.operators.calendar import calendar_spine, on_spine, relative_intervals
-from opsgrain.operators.intervals import available_in_interval, prorate_to_intervals
+from opsgrain.operators.intervals import available_in_interval, prorate_to_intervals, slots_inside
 from opsgrain.operators.joins import asof_dim, contains_join, exclude, fold_join, role_join, seen_before, state_at
 from opsgrain.operators.metrics import (
     backlog_flag, confusion_rates, coverage_gap, distinct_counts, mixed_group_rows, share_of_total, side_by_side, threshold_alerts,
@@ -78,6 +81,65 @@ def test_contains_join_is_closed_and_hashes(spark):
     assert "NestedLoop" not in joined._jdf.queryExecution().executedPlan().toString()
 
 
+def test_contains_join_of_long_and_open_intervals(spark):
+    points = spark.createDataFrame([("a", at("2024-01-01 00:10:00")), ("a", at("2023-06-01 00:00:00")), ("b", at("2024-01-01 00:10:00")), (None, at("2024-01-01 00:10:00"))], "k string, p timestamp_ntz")
+    spans = spark.createDataFrame(
+        [("a", 1, at("2014-01-01 00:00:00"), at("2024-01-01 00:10:00")), ("a", 2, at("2024-01-01 00:10:01"), at("2024-01-01 00:20:00")),
+         ("a", 3, at("2020-01-01 00:00:00"), at("9999-12-31 00:00:00")), ("b", 4, at("1960-01-01 00:00:00"), at("2024-01-01 00:10:00"))],
+        "k string, id int, s timestamp_ntz, e timestamp_ntz",
+    )
+    for how, more in (("inner", []), ("left", [(None, at("2024-01-01 00:10:00"), None)])):
+        joined = contains_join(points, spans, "p", "s", "e", minutes=30, keys=["k"], how=how)
+        got = {(r["k"], r["p"], r["id"]) for r in joined.collect()}
+        assert got == {("a", at("2024-01-01 00:10:00"), 1), ("a", at("2024-01-01 00:10:00"), 3), ("a", at("2023-06-01 00:00:00"), 1),
+                       ("a", at("2023-06-01 00:00:00"), 3), ("b", at("2024-01-01 00:10:00"), 4), *more}
+    rows = cover.with_cover(spans.withColumn("years", F.col("e") < at("2025-01-01 00:00:00")), cover.slice_tick("s", 30), cover.slice_tick("e", 30))
+    assert {r["id"]: r["count"] for r in rows.groupBy("id").count().collect()}[1] < 50
+
+
+def test_cover_is_the_interval(spark):
+    rng = random.Random(1)
+    rows = [(i, a, a + rng.choice([0, 1, 3, 17, 300, 175_320, 10**9])) for i in range(500) for a in [rng.randint(-(10**6), 10**6)]]
+    held = cover.with_cover(spark.createDataFrame([*rows, (900, 5, 4), (901, None, 4)], "id int, a bigint, b bigint"), F.col("a"), F.col("b"))
+    found = held.groupBy("id").agg(F.collect_list(F.struct("__rung", "__node")).alias("nodes")).collect()
+    assert len(found) == 500
+    for r in found:
+        spans = sorted((node * 4**rung, (node + 1) * 4**rung) for rung, node in r["nodes"])
+        assert all(x[1] == y[0] for x, y in zip(spans, spans[1:])) and (r["id"], spans[0][0], spans[-1][1] - 1) in rows
+        if spans[-1][1] - spans[0][0] == 175_321:  # ten years of half hours
+            assert len(spans) < 50
+
+
+@pytest.mark.parametrize("by_date", [True, False])
+def test_valid_version_beyond_the_broadcast(spark, by_date, monkeypatch):
+    """Equal to the join on the key, without one in the plan; overlapping, open, reversed and null versions included."""
+    rng = random.Random(3)
+    day = lambda: date(2020, 1, 1) + timedelta(days=rng.randint(0, 2000))
+    dim = [(rng.choice([1, 2, 3, None]), day(), rng.choice([day(), date(9999, 12, 31), None]), f"v{i}") for i in range(60)]
+    midnight = lambda d: datetime(d.year, d.month, d.day, rng.choice([0, 0, 7]))
+    fact = [(i, rng.choice([1, 2, 3, 4, None]), rng.choice([midnight(day()), None])) for i in range(300)]
+    fact, dim = spark.createDataFrame(fact, "id int, k int, t timestamp_ntz"), spark.createDataFrame(dim, "k int, start_date date, end_date date, city string")
+    for how in ("left", "inner"):
+        small = asof_dim(fact, dim, "k", "t", {"city": "city"}, by_date=by_date, how=how)
+        monkeypatch.setattr(joins, "broadcast_size", lambda df: False)
+        large = asof_dim(fact, dim, "k", "t", {"city": "city"}, by_date=by_date, how=how)
+        monkeypatch.undo()
+        assert sorted(map(tuple, small.collect()), key=lambda r: (r[0], r[3] or "")) == sorted(map(tuple, large.collect()), key=lambda r: (r[0], r[3] or ""))
+        plan = large._jdf.queryExecution().optimizedPlan().toString()
+        assert all("<=" not in line and ">=" not in line for line in plan.splitlines() if "Join" in line)
+
+
+def test_slots_inside_spans(spark):
+    spans = spark.createDataFrame(
+        [(1, at("2024-01-01 23:30:00"), at("2024-01-02 00:30:00")), (2, at("2024-01-02 00:01:00"), at("2024-01-02 00:29:00")), (3, at("2024-01-02 23:10:00"), at("9999-12-31 00:00:00")),
+         (4, at("2024-01-03 00:00:00"), at("2024-01-03 09:00:00")), (5, at("2024-01-02 05:00:00"), at("2024-01-02 04:00:00")), (6, None, at("2024-01-02 04:00:00"))],
+        "id int, s timestamp_ntz, e timestamp_ntz",
+    )
+    out = slots_inside(spans, "s", "e", "2024-01-02", "2024-01-03")
+    assert sorted((r["id"], f"{r['interval_start']:%d %H:%M}", f"{r['interval_end']:%d %H:%M}") for r in out.collect()) == [
+        (1, "02 00:00", "02 00:30"), (1, "02 00:30", "02 01:00"), (3, "02 23:30", "03 00:00")]
+
+
 def test_state_and_first_seen(spark):
     sent = spark.createDataFrame([("c1", at("2024-01-02 00:00:00")), ("c2", at("2024-01-02 00:00:00"))], "case_id string, sent timestamp_ntz")
     log = spark.createDataFrame(
