@@ -10,6 +10,7 @@ from ..functions.dialect import compare, datediff_boundary, full_match, like_pla
 from ..operators import quality as q
 from ..plans import qa
 from ..sources import tables as src
+from ..sources import versions
 from .base import MESSAGING, frames, register, view, with_views, work_folder
 
 # -- checks ----------------------------------------------------------------------------------
@@ -228,9 +229,11 @@ def reload_partitions(spark, sf_dir):
     root = work_folder(spark, "reload")
     path = f"{root}/staging"
     src.write(daily.withColumn("n", F.col("n") * 10).withColumn("ds", F.col("ts").cast("date")), path, "overwrite", ["ds"])
+    versions.publish(spark.read.parquet(path), f"{root}/production", ["ds"])
     src.reload_partitions(daily, path, "ts", date(2024, 1, 20))
-    src.publish(spark.read.parquet(path), f"{root}/production", ["ds"])
-    return src.published(spark, f"{root}/production").select("ds", "n")
+    trailing = spark.read.parquet(path).filter(F.col("ds") >= F.lit("2024-01-13").cast("date"))
+    versions.reload_published(trailing, f"{root}/production", "ts", date(2024, 1, 20))
+    return versions.published(spark, f"{root}/production").select("ds", "n")
 
 
 @register(

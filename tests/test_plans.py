@@ -2,7 +2,7 @@
 
 import os
 import re
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,6 +13,7 @@ from opsgrain.plans.semantic import Period, View, by_granularity, distinct, numb
 from opsgrain.registry import rules
 from opsgrain.registry.rules import SLA
 from opsgrain.sources import tables as src
+from opsgrain.sources import versions
 
 
 def at(text):
@@ -179,20 +180,71 @@ def test_partition_reload_is_idempotent(spark, tmp_path):
 def test_publish_switches_whole_versions(spark, tmp_path):
     prod = str(tmp_path / "prod")
     with pytest.raises(FileNotFoundError):
-        src.published(spark, prod)
+        versions.published(spark, prod)
     days = spark.createDataFrame([(i, f"d{i % 3}") for i in range(9)], "v int, ds string")
-    first = src.publish(days, prod, ["ds"])
-    before = src.published(spark, prod)
-    assert sorted(os.listdir(f"{prod}/{first}")) == ["._SUCCESS.crc", "_SUCCESS", "ds=d0", "ds=d1", "ds=d2"]
+    first = versions.publish(days, prod, ["ds"])
+    before = versions.published(spark, prod)
+    assert before.columns == ["v", "ds"]
+    assert sorted(os.listdir(f"{prod}/data/__v={first}")) == ["._SUCCESS.crc", "_SUCCESS", "ds=d0", "ds=d1", "ds=d2"]
     # a failing write leaves the published version as it is
     with pytest.raises(Exception, match="boom"):
-        src.publish(days.withColumn("v", F.when(F.col("v") == 8, F.raise_error(F.lit("boom")).cast("int")).otherwise(F.col("v"))), prod, ["ds"])
-    assert src.current_version(spark, prod) == first and src.published(spark, prod).count() == 9
-    second = src.publish(days.filter("v < 3"), prod, ["ds"])
-    assert src.current_version(spark, prod) == second != first
-    assert before.count() == 9 and src.published(spark, prod).count() == 3  # an open reader keeps its version
-    src.publish(days.filter("v < 2"), prod, ["ds"])
-    assert len([x for x in os.listdir(prod) if x.startswith("v-")]) == 2 and src.published(spark, prod).count() == 2
+        versions.publish(days.withColumn("v", F.when(F.col("v") == 8, F.raise_error(F.lit("boom")).cast("int")).otherwise(F.col("v"))), prod, ["ds"])
+    assert versions.current_version(spark, prod) == first and versions.published(spark, prod).count() == 9
+    second = versions.publish(days.filter("v < 3"), prod, ["ds"])
+    assert versions.current_version(spark, prod) == second != first
+    assert before.count() == 9 and versions.published(spark, prod).count() == 3  # an open reader keeps its version
+    versions.publish(days.filter("v < 2"), prod, ["ds"])
+    assert [x for x in os.listdir(f"{prod}/data") if first in x] == [] and versions.published(spark, prod).count() == 2
+    # what a driver that was lost while it wrote has left is deleted when it is old enough
+    os.makedirs(f"{prod}/data/__v=v-20200101000000000000-lost/ds=d0")
+    versions.expire(spark, prod)
+    assert len(os.listdir(f"{prod}/data")) == 3
+    versions.expire(spark, prod, leftovers=timedelta(0))
+    assert len(os.listdir(f"{prod}/data")) == 2 and versions.published(spark, prod, second).count() == 3
+
+
+def test_a_run_writes_its_partitions_only(spark, tmp_path):
+    prod = str(tmp_path / "prod")
+
+    def fact(days, value):
+        rows = [(at(f"2024-01-{d:02d} 05:00:00"), value) for d in days] + [(None, value)]
+        return spark.createDataFrame(rows, "ts timestamp_ntz, v int")
+
+    first = versions.publish(fact(range(1, 21), 1).withColumn("ds", F.col("ts").cast("date")), prod, ["ds"])
+    before = versions.published(spark, prod)
+    run = versions.reload_published(fact([13, 14, 15, 16, 17, 18, 20], 2), prod, "ts", date(2024, 1, 20))
+    wrote = [x for x in os.listdir(f"{prod}/data/__v={run}") if x.startswith("ds=")]
+    assert len(wrote) == 7
+    held = {r["ds"] and r["ds"].day: r["v"] for r in versions.published(spark, prod).collect()}
+    # days 1 to 12 and the row without a day stay, day 19 is gone
+    assert held == {None: 1, **dict.fromkeys(range(1, 13), 1), **dict.fromkeys([13, 14, 15, 16, 17, 18, 20], 2)}
+    assert before.count() == 21
+    assert set(versions.version(spark, prod).folders.values()) == {first, run}
+    # the first version is forgotten, its partitions that are still in use stay
+    again = versions.reload_published(fact([20], 3), prod, "ts", date(2024, 1, 20))
+    assert not os.path.exists(f"{prod}/data/__v={first}/ds=2024-01-14") and os.path.exists(f"{prod}/data/__v={first}/ds=2024-01-05")
+    assert versions.published(spark, prod).count() == 14 and versions.published(spark, prod, run).count() == 20
+    assert versions.current_version(spark, prod) == again
+    with pytest.raises(ValueError):
+        versions.reload_published(fact([20], 3).withColumn("more", F.lit(1)), prod, "ts", date(2024, 1, 20))
+
+
+def test_the_second_of_two_runs_fails(spark, tmp_path, monkeypatch):
+    prod = str(tmp_path / "prod")
+    rows = spark.createDataFrame([(1, "a")], "v int, ds string")
+    first = versions.publish(rows, prod, ["ds"])
+    plain = versions.write
+
+    def slow(*args, **options):
+        monkeypatch.setattr(versions, "write", plain)
+        versions.publish(rows.withColumn("v", F.lit(2)), prod, ["ds"])
+        plain(*args, **options)
+
+    monkeypatch.setattr(versions, "write", slow)
+    with pytest.raises(versions.ChangedMeanwhile):
+        versions.publish(rows.withColumn("v", F.lit(3)), prod, ["ds"], replaces=lambda p: True)
+    assert versions.current_version(spark, prod) != first and [r["v"] for r in versions.published(spark, prod).collect()] == [2]
+    assert versions.publish(rows.filter("v > 9"), prod, ["ds"]) and versions.published(spark, prod).count() == 0
 
 
 def test_rows_without_time_stay_in_a_reload(spark):
