@@ -117,15 +117,19 @@ def threshold_alerts(
 
     ``df`` holds one row per interval (and key), so the window is over a bounded calendar.
     """
-    prev = f"prev_{pct}"
-    df = df.withColumn(prev, F.lag(pct).over(Window.partitionBy(*keys).orderBy(ts)))
+    df = df.withColumn(f"prev_{pct}", F.lag(pct).over(Window.partitionBy(*keys).orderBy(ts)))
+    return alert_flags(df, pct, volume, drop=drop, floor=floor, ceiling=ceiling)
+
+
+def alert_flags(df: DataFrame, pct: str, volume: str, *, drop: float = 10, floor: float = 25, ceiling: float = 12000) -> DataFrame:
+    """The three alerts of rows that know the previous value of ``pct``; a NULL comparison raises none."""
 
     def sure(cond: Column) -> Column:
         return F.coalesce(cond, F.lit(False))
 
     return df.withColumns(
         {
-            "alert_drop": sure(F.col(prev) - F.col(pct) >= drop),
+            "alert_drop": sure(F.col(f"prev_{pct}") - F.col(pct) >= drop),
             "alert_volume": sure(F.col(volume) > ceiling),
             "alert_floor": sure(F.col(pct) < floor),
         }

@@ -26,33 +26,23 @@ from .contracts import CASE_QUEUES, CASE_TRANSFERS
 Tables = Mapping[str, DataFrame]
 
 
-def case_queue_history(
-    t: Tables,
-    *,
-    source: str,
-    phone_queue: Mapping[str, str] | None = None,
-    comment_field: str = "transfer_comment",
-    reason_field: str = "transfer_reason",
-    bot_last_name: str = "Bot",
-    tz: str = PACIFIC,
-    contract: bool = False,
-    chunk: str = "day",
-) -> DataFrame:
-    """One row per stay of a case in a queue.  ``chunk`` is the stretch of time that one task orders for a case.
+#: Order of moves of the same time.
+MOVE_TIES = ["queue_id", "user_id"]
+
 
-    Tables: ``case_history``, ``queue_catalog``, ``users``, ``employees``, ``base_cases`` and,
-    with ``phone_queue`` (queue_id, queue_name, queue_type, user_id), ``cases``, whose phone
-    cases enter that queue when they are created.
+def case_moves(t: Tables, *, source: str, phone_queue: Mapping[str, str] | None = None, tz: str = PACIFIC) -> DataFrame:
+    """Moves of cases into queues; ``case_history`` and ``cases`` may be streams.
+
+    With ``phone_queue`` (queue_id, queue_name, queue_type, user_id) phone cases of ``cases`` enter that queue when they are created.
     """
     history = t["case_history"].filter(F.col("source") == source)
-    local = convert_tz("created_date", UTC, tz)
     cat = t["queue_catalog"].select(
         F.col("queue_id").alias("__q"), "queue_name", F.col("business_unit_name").alias("queue_type")
     )
     moves = (
         history.join(cat, F.col("new_value") == F.col("__q"))
         .select("source", "case_id", F.col("__q").alias("queue_id"), "queue_name", "queue_type",
-                F.col("created_by_id").alias("user_id"), local.alias("queue_start_time"))
+                F.col("created_by_id").alias("user_id"), convert_tz("created_date", UTC, tz).alias("queue_start_time"))
     )
     if phone_queue:
         fixed = {
@@ -64,12 +54,34 @@ def case_queue_history(
             convert_tz("created_at_utc", UTC, tz).alias("queue_start_time"),
         )
         moves = moves.unionByName(phone)
+    return moves
 
-    # consecutive moves into the same queue are one stay
-    stays = compact_changes(moves, "case_id", "queue_start_time", "queue_id", tie=["queue_id", "user_id"], chunk=chunk)
-    stays = to_intervals(
-        stays, "case_id", "queue_start_time", tie=["queue_id", "user_id"], number="queue_number", end="queue_end_time", chunk=chunk
-    )
+
+def case_queue_history(
+    t: Tables,
+    *,
+    source: str,
+    phone_queue: Mapping[str, str] | None = None,
+    comment_field: str = "transfer_comment",
+    reason_field: str = "transfer_reason",
+    bot_last_name: str = "Bot",
+    tz: str = PACIFIC,
+    contract: bool = False,
+    chunk: str = "day",
+    stays: DataFrame | None = None,
+) -> DataFrame:
+    """One row per stay of a case in a queue.  ``chunk`` is the stretch of time that one task orders for a case.
+
+    Tables: ``case_history``, ``queue_catalog``, ``users``, ``employees``, ``base_cases`` and, with ``phone_queue``, ``cases`` (see
+    ``case_moves``).  ``stays`` brings them from elsewhere, such as a stream of the moves (``streaming.stateful.stays_of``).
+    """
+    history = t["case_history"].filter(F.col("source") == source)
+    local = convert_tz("created_date", UTC, tz)
+    if stays is None:
+        # consecutive moves into the same queue are one stay
+        moves = case_moves(t, source=source, phone_queue=phone_queue, tz=tz)
+        stays = compact_changes(moves, "case_id", "queue_start_time", "queue_id", tie=MOVE_TIES, chunk=chunk)
+        stays = to_intervals(stays, "case_id", "queue_start_time", tie=MOVE_TIES, number="queue_number", end="queue_end_time", chunk=chunk)
 
     notes = field_to_columns(
         history.withColumn("__at", local), ["case_id", "created_by_id", "__at"], "field", "new_value",

@@ -56,6 +56,39 @@ def _rows(*counts: str) -> Column:
 _AUDIT_COLS = ["audit_id", "audit_at", "audit_comment", "audit_action", "actor_uid", "case_number"]
 
 
+def reimbursed(
+    payments: DataFrame, *, sender_token, since: str, mechanism: str = "REIMBURSEMENT", state: str = "PAID_OUT"
+) -> DataFrame:
+    """Paid reimbursements; ``payments`` may be a stream."""
+    return payments.filter(
+        (F.col("creation_mechanism") == mechanism)
+        & (F.col("sender_token") == sender_token)
+        & (F.col("created_at") >= F.lit(since).cast("timestamp_ntz"))
+        & (F.col("state") == state)
+    ).withColumn("customer_token", F.col("recipient_token"))
+
+
+def reimbursement_audits(t: Tables, action: str = "%reimburse%") -> DataFrame:
+    """Audit entries with the case that they name and what is known of its payment; ``audit_logs`` may be a stream."""
+    flow = t["case_payments"].select(
+        F.col("case_id").alias("__fc"), F.col("payment_id").alias("case_payment_id"), F.col("banking_token").alias("case_banking_token")
+    )
+    audits = _audits(t, action, {"case_id": "case_id", "case_origin": "origin"})
+    return audits.join(flow, F.col("case_id") == F.col("__fc"), "left").drop("__fc")
+
+
+#: How the audit entry of a reimbursement is found: arguments of ``tolerance_scan``, or of its form on streams.
+AUDIT_MATCH = {
+    "key": "customer_token", "left_ts": "created_at", "right_ts": "audit_at", "row_id": "payment_id", "count": "__n_audit",
+    "cols": {c: c for c in [*_AUDIT_COLS, "case_id", "case_origin", "case_payment_id", "case_banking_token"]},
+    "before_seconds": DAY, "after_seconds": DAY, "tie": ["audit_id", "case_payment_id"],
+}
+
+
+def audit_preferred() -> Column:
+    return F.col("case_banking_token").isNull()
+
+
 def match_reimbursements(
     t: Tables,
     *,
@@ -66,6 +99,7 @@ def match_reimbursements(
     state: str = "PAID_OUT",
     tz: str = PACIFIC,
     count_before_dedupe: bool = True,
+    best: DataFrame | None = None,
 ) -> DataFrame:
     """Paid reimbursements with audit entry, case, assignment and evidence flags, one row each.
 
@@ -74,24 +108,11 @@ def match_reimbursements(
     case the earliest one of the three days before.  None of the time-tolerant joins is run
     as a join: the picks are ordered scans and the number of joined rows, which
     ``payments_per_customer`` counts (``count_before_dedupe``), is a product of counts.
+    ``best`` brings the audit entries from elsewhere, such as a stream (``AUDIT_MATCH`` with ``streaming.stateful.stream_match``).
     """
-    pay = t["payments"].filter(
-        (F.col("creation_mechanism") == mechanism)
-        & (F.col("sender_token") == sender_token)
-        & (F.col("created_at") >= F.lit(since).cast("timestamp_ntz"))
-        & (F.col("state") == state)
-    ).withColumn("customer_token", F.col("recipient_token"))
-
-    flow = t["case_payments"].select(
-        F.col("case_id").alias("__fc"), F.col("payment_id").alias("case_payment_id"), F.col("banking_token").alias("case_banking_token")
-    )
-    audits = _audits(t, action, {"case_id": "case_id", "case_origin": "origin"})
-    audits = audits.join(flow, F.col("case_id") == F.col("__fc"), "left").drop("__fc")
-    cols = [*_AUDIT_COLS, "case_id", "case_origin", "case_payment_id", "case_banking_token"]
-    best = tolerance_scan(
-        pay, audits, "customer_token", "created_at", "audit_at", {c: c for c in cols}, row_id="payment_id", count="__n_audit",
-        before_seconds=DAY, after_seconds=DAY, prefer=F.col("case_banking_token").isNull(), tie=["audit_id", "case_payment_id"],
-    )
+    pay = reimbursed(t["payments"], sender_token=sender_token, since=since, mechanism=mechanism, state=state)
+    if best is None:
+        best = tolerance_scan(pay, reimbursement_audits(t, action), prefer=audit_preferred(), **AUDIT_MATCH)
     # cases of the three days before
     recent = t["support_cases"].select(
         "customer_token", F.col("created_at_utc").alias("recent_case_at"), F.col("case_id").alias("recent_case_id"),

@@ -24,6 +24,7 @@ from ..operators.classify import case, union_distinct
 from ..operators.joins import asof_dim, exclude, fold_join
 from ..operators.metrics import backlog_flag, concurrency, distinct_counts, entering_handled, side_by_side, threshold_alerts
 from ..sources.tables import conform, reload_start, trailing_filter
+from ..streaming.sla import LATENESS, stream_entering_handled
 from .contracts import HOURLY_ADVOCATE, HOURLY_ALERTS, HOURLY_QUEUE
 
 Tables = Mapping[str, DataFrame]
@@ -140,49 +141,51 @@ def _chats(t: Tables, rules: SlaRules) -> DataFrame:
     )
 
 
-def _chat_handled(chats: DataFrame, keys: Sequence[str], avgs: bool = False) -> DataFrame:
-    handle = F.col("chat_handle_time") / 60
-    out = distinct_counts(
-        chats,
-        keys,
-        "chat_transcript_id",
-        {"handled_touches": None, "touches_in_sla": F.col("__in"), "__abandoned": F.col("__lost")},
-        sums={"handle_time_min": handle},
-        avgs={"avg_handle_time_min": handle} if avgs else None,
-    )
+def chat_work() -> tuple[dict[str, Column | None], dict[str, Column]]:
+    """Flags of ids and sums over rows that are kept of handled chats."""
+    return {"handled_touches": None, "touches_in_sla": F.col("__in"), "__abandoned": F.col("__lost")}, {"handle_time_min": F.col("chat_handle_time") / 60}
+
+
+def _chat_columns(work: DataFrame) -> DataFrame:
     none = F.lit(None)
-    extra = {
-        "response_time_min": none.cast("double"),
-        "touch_lifetime_min": F.col("handle_time_min"),
-        "handled_backlog_touches": none.cast("bigint"),
-        "qualified_sla_touches": F.col("handled_touches") - F.col("__abandoned"),
+    return work.withColumns(
+        {
+            "response_time_min": none.cast("double"),
+            "touch_lifetime_min": F.col("handle_time_min"),
+            "handled_backlog_touches": none.cast("bigint"),
+            "qualified_sla_touches": F.col("handled_touches") - F.col("__abandoned"),
+        }
+    ).drop("__abandoned")
+
+
+def _chat_handled(chats: DataFrame, keys: Sequence[str], avgs: bool = False) -> DataFrame:
+    flags, sums = chat_work()
+    means = {"avg_handle_time_min": sums["handle_time_min"]} if avgs else None
+    out = _chat_columns(distinct_counts(chats, keys, "chat_transcript_id", flags, sums=sums, avgs=means))
+    return out.withColumn("avg_response_time_min", F.lit(None).cast("double")) if avgs else out
+
+
+def messaging_work() -> tuple[dict[str, Column | None], dict[str, Column]]:
+    """Flags of ids and sums over rows that are kept of handled touches."""
+    response, in_hours = F.col("response_time_seconds") / 60, F.col("in_business_hours")
+    flags = {
+        "handled_touches": None,
+        "handled_backlog_touches": backlog_flag("touch_assignment_time", "touch_start_time", in_hours),
+        "touches_in_sla": (response <= MESSAGING_TARGET_MIN) & in_hours,
+        "qualified_sla_touches": in_hours,
     }
-    if avgs:
-        extra["avg_response_time_min"] = none.cast("double")
-    return out.withColumns(extra).drop("__abandoned")
+    sums = {
+        "response_time_min": response,
+        "handle_time_min": F.col("handle_time_seconds") / 60,
+        "touch_lifetime_min": datediff_boundary("minute", "touch_assignment_time", "touch_end_time").cast("double"),
+    }
+    return flags, sums
 
 
 def _messaging_handled(touches: DataFrame, keys: Sequence[str], row_id: str = "touch_id", avgs: bool = False) -> DataFrame:
-    response = F.col("response_time_seconds") / 60
-    in_hours = F.col("in_business_hours")
-    handle = F.col("handle_time_seconds") / 60
-    return distinct_counts(
-        touches,
-        keys,
-        row_id,
-        {
-            "handled_touches": None,
-            "handled_backlog_touches": backlog_flag("touch_assignment_time", "touch_start_time", in_hours),
-            "touches_in_sla": (response <= MESSAGING_TARGET_MIN) & in_hours,
-            "qualified_sla_touches": in_hours,
-        },
-        sums={
-            "response_time_min": response,
-            "handle_time_min": handle,
-            "touch_lifetime_min": datediff_boundary("minute", "touch_assignment_time", "touch_end_time").cast("double"),
-        },
-        avgs={"avg_response_time_min": response, "avg_handle_time_min": handle} if avgs else None,
-    )
+    flags, sums = messaging_work()
+    means = {f"avg_{n}": sums[n] for n in ("response_time_min", "handle_time_min")}
+    return distinct_counts(touches, keys, row_id, flags, sums=sums, avgs=means if avgs else None)
 
 
 _QUEUE = ["queue_id", "team_name", "channel", "business_unit_name"]
@@ -227,6 +230,38 @@ def hourly_queue_sla(
     return _finish(fact, HOURLY_QUEUE, ds, full, round_like_fact)
 
 
+def streams_of_queue_sla(t: Tables, rules: SlaRules, *, tz: str = PACIFIC, lateness: str = LATENESS) -> dict[str, DataFrame]:
+    """``hourly_queue_sla`` from streams: arrivals joined with work, for ``messaging`` and ``chat``.
+
+    ``messaging_touches`` and ``chat_escalations`` of ``t`` are streams, ``queue_catalog`` a table.  Write both results and read them
+    with ``queue_sla_of_streams``.
+    """
+    touches = _with_queue(t["messaging_touches"], t["queue_catalog"], rules, keep_all=True)
+    touches = touches.withColumns({"__came": convert_tz("touch_start_time", tz, UTC), "__done": convert_tz("touch_assignment_time", tz, UTC)})
+    flags, sums = messaging_work()
+    messaging = stream_entering_handled(
+        touches, touches.filter(_counted(rules)), "__came", "__done", _QUEUE, "queue_id", entering_id="touch_start_id", handled_id="touch_id",
+        flags=flags, sums=sums, lateness=lateness,
+    )
+    chats = _chats(t, rules).withColumns({"__came": convert_tz("chat_created_at", tz, UTC), "__done": convert_tz("chat_start_time", tz, UTC)})
+    flags, sums = chat_work()
+    chat = stream_entering_handled(
+        chats, chats, "__came", "__done", _QUEUE, "queue_id", entering_id="chat_transcript_id", handled_id="chat_transcript_id", flags=flags, sums=sums,
+        lateness=lateness,
+    )
+    return {"messaging": messaging, "chat": chat}
+
+
+def queue_sla_of_streams(messaging: DataFrame, chat: DataFrame, start, stop, rules: SlaRules) -> DataFrame:
+    """The fact of ``hourly_queue_sla`` from the tables of ``streams_of_queue_sla``."""
+    spine = calendar_spine(messaging.sparkSession, start, stop, "hour")
+    cols = ["ts", *_QUEUE, "entering_touches", *_WORK]
+    inside = spine.select(F.col("interval_start").alias("ts"))
+    return _on_calendar(spine, messaging, ["entering_touches"], rules).select(*cols).unionByName(
+        _chat_columns(chat).join(inside, "ts", "left_semi").select(*cols)
+    )
+
+
 def _finish(fact: DataFrame, contract, ds, full, round_like_fact) -> DataFrame:
     if ds is not None:
         fact = fact.filter(trailing_filter("ts", ds, full=full))

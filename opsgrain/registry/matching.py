@@ -173,10 +173,7 @@ _AUDIT_ROWS = """au AS (
 """
 
 
-@register(
-    "payment_audit_match",
-    with_views(
-        f"""
+PAYMENT_AUDIT_SQL = f"""
 WITH {_AUDIT_ROWS}
 pay AS (SELECT * FROM p WHERE creation_mechanism = 'REIMBURSEMENT' AND sender_token = 1 AND created_at >= TIMESTAMP '2024-01-03' AND state = 'PAID_OUT'),
 j AS (
@@ -199,10 +196,10 @@ SELECT j.* EXCLUDE (rn, audit_at, created_at, assignment_submitted_at, recent_ca
   strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at, strftime(audit_at, '%Y-%m-%d %H:%M:%S') AS audit_at,
   strftime(assignment_submitted_at, '%Y-%m-%d %H:%M:%S') AS assignment_submitted_at, strftime(recent_case_at, '%Y-%m-%d %H:%M:%S') AS recent_case_at,
   case_id IS NOT NULL AS has_case_from_audit, assignment_submitted_at IS NOT NULL AS has_assignment, recent_case_id IS NOT NULL AS has_recent_case,
-  linked_case_id IS NOT NULL AS has_payment_on_case, audit_id IS NOT NULL AS has_audit FROM j WHERE rn = 1""",
-        **_PAY_VIEWS,
-    ),
-)
+  linked_case_id IS NOT NULL AS has_payment_on_case, audit_id IS NOT NULL AS has_audit FROM j WHERE rn = 1"""
+
+
+@register("payment_audit_match", with_views(PAYMENT_AUDIT_SQL, **_PAY_VIEWS))
 def payment_audit_match(spark, sf_dir):
     return payments.match_reimbursements(_pay(spark, sf_dir), sender_token=1, since="2024-01-03")
 

@@ -6,8 +6,14 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
+from ..plans import cases, payments, sla
 from ..streaming import sla as s
-from .base import View, register, with_views, work_folder
+from ..streaming import stateful
+from .base import CATALOG, CHATS, MESSAGING, View, register, with_views, work_folder
+from .history import _PHONE, _STAY_VIEWS, _STAYS, CASE_HISTORY, PHONE_CASES, QUEUES, _stays
+from .matching import _PAY_VIEWS, PAYMENT_AUDIT_SQL, _pay
+from .rules import SLA
+from .sla import _MIN, _QUEUE_FACT, START, STOP, rounded
 
 # every id in two hours, days 10 to 14 of the month left out by moving them behind the others
 def _moved(d, more: str) -> str:
@@ -82,9 +88,117 @@ SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, strftime(ts, '%Y-%m-%d') AS day,
 )
 def stream_alerts(spark, sf_dir):
     root = work_folder(spark, "stream_alerts")
-    hourly = s.stream_sla(_replay(spark, sf_dir, root), "ts", "event_id", [], _flags())
-    s.stream_alerts(hourly, f"{root}/facts", f"{root}/alerts", f"{root}/state", f"{root}/checkpoint", ceiling=15)
-    return spark.read.parquet(f"{root}/alerts").drop("batch")
+    hourly = s.stream_sla(_replay(spark, sf_dir, root), "ts", "event_id", [], _flags(), closed="closed")
+    stateful.append_to(stateful.stream_alerts(hourly, ceiling=15), f"{root}/alerts", f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/alerts").withColumn("day", F.col("ts").cast("date"))
+
+
+# of every id with remainder 3 one row comes behind all others; the rest is there a batch before, so the time has passed on
+_STRAGGLERS = "event_id % 10 = 3"
+
+
+@register(
+    "stream_uncounted_rows",
+    with_views(
+        f"""WITH top AS (SELECT max(ts) AS last FROM e WHERE NOT ({_STRAGGLERS}))
+SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS ts, count(*) AS landed,
+  count(*) FILTER (NOT gone) AS counted, count(*) FILTER (gone) AS late
+FROM (SELECT ts, {_STRAGGLERS} AND date_trunc('hour', ts) + INTERVAL 1 HOUR <= last - INTERVAL 7 DAY AS gone FROM e, top)
+GROUP BY 1 HAVING count(*) FILTER (gone) > 0""",
+        e=STREAMED,
+    ),
+)
+def stream_uncounted_rows(spark, sf_dir):
+    """Rows that came more than the lateness behind the newest one, per hour."""
+    root = work_folder(spark, "stream_uncounted")
+    rows = STREAMED.spark(spark, sf_dir)
+    end = rows.limit(1).select(
+        F.lit(None).cast("bigint").alias("event_id"), F.lit(None).cast("string").alias("event_type"), "value", F.lit(_END).cast("timestamp_ntz").alias("ts")
+    )
+    # the newest row again, so that batches lie between the others and the stragglers
+    newest = rows.filter(f"not ({_STRAGGLERS})").orderBy(F.col("ts").desc()).limit(1).withColumns({"event_id": F.lit(None).cast("bigint"), "event_type": F.lit(None).cast("string")})
+    for i, part in enumerate([rows.filter(f"not ({_STRAGGLERS})"), newest, newest, rows.filter(_STRAGGLERS), end]):
+        part.coalesce(1).write.parquet(f"{root}/in/{i}")
+    events = s.file_stream(spark, f"{root}/in", files_per_batch=1)
+    hourly = s.stream_sla(events, "ts", "event_id", ["event_type"], _flags(), rows="rows")
+    s.run_to_end(hourly, f"{root}/out", f"{root}/checkpoint")
+    landed = spark.read.parquet(f"{root}/in/0", f"{root}/in/3")
+    counted = spark.read.parquet(f"{root}/out").filter("event_type is not null")
+    return s.uncounted_rows(landed, "ts", counted, "rows")
+
+
+def _dealt(spark, rows, folder: str, ts: str, end: dict):
+    """A table as a stream of several files, a tenth of the rows one file late; the last file holds one row that ends the time."""
+    at = F.floor(F.datediff(ts, F.lit("2024-01-01").cast("date")) / 8) + F.when(F.pmod(F.xxhash64(*rows.columns), F.lit(10)) == 0, 1).otherwise(0)
+    rows = rows.withColumn("part", F.coalesce(F.least(F.greatest(at, F.lit(0)), F.lit(FILES - 1)), F.lit(0)))
+    for i in range(FILES):
+        rows.filter(F.col("part") == i).drop("part").coalesce(1).write.parquet(f"{folder}/{i}")
+    one = spark.range(1).select(*[F.lit(end.get(f.name)).cast(f.dataType).alias(f.name) for f in rows.drop("part").schema.fields])
+    one.coalesce(1).write.parquet(f"{folder}/{FILES}")
+    return s.file_stream(spark, folder, files_per_batch=1)
+
+
+@register(
+    "stream_queue_sla",
+    with_views(_QUEUE_FACT + "SELECT * REPLACE (strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts) FROM fact", m=MESSAGING, c=CATALOG, x=CHATS),
+)
+def stream_queue_sla(spark, sf_dir):
+    """The hourly queue fact from a stream of touches and one of chats."""
+    root = work_folder(spark, "stream_queue_sla")
+    # the last row has a queue, as work without one is dropped before it could move the time
+    end = {"touch_start_time": _END, "touch_assignment_time": _END, "queue_name": "Queue 0"}
+    touches = _dealt(spark, MESSAGING.spark(spark, sf_dir), f"{root}/touches", "touch_start_time", end)
+    chats = _dealt(
+        spark, CHATS.spark(spark, sf_dir), f"{root}/chats", "chat_created_at",
+        {"chat_created_at": _END, "chat_start_time": _END, "chat_record_type": SLA.record_types[0]},
+    )
+    t = {"messaging_touches": touches, "chat_escalations": chats, "queue_catalog": CATALOG.spark(spark, sf_dir)}
+    out = {}
+    for name, stream in sla.streams_of_queue_sla(t, SLA).items():
+        s.run_to_end(stream, f"{root}/out/{name}", f"{root}/checkpoint/{name}")
+        out[name] = spark.read.parquet(f"{root}/out/{name}")
+    return rounded(sla.queue_sla_of_streams(out["messaging"], out["chat"], START, STOP, SLA), _MIN)
+
+
+@register(
+    "stream_queue_history",
+    with_views(
+        _STAYS
+        + """SELECT * REPLACE (strftime(queue_start_time, '%Y-%m-%d %H:%M:%S') AS queue_start_time,
+  strftime(queue_end_time, '%Y-%m-%d %H:%M:%S') AS queue_end_time) FROM stays""",
+        **_STAY_VIEWS,
+    ),
+)
+def stream_queue_history(spark, sf_dir):
+    """Stays of cases in queues from a stream of changes and one of phone cases."""
+    _, t = _stays(spark, sf_dir)
+    root = work_folder(spark, "stream_queue_history")
+    changes = _dealt(
+        spark, CASE_HISTORY.spark(spark, sf_dir), f"{root}/changes", "created_date",
+        {"created_date": _END, "source": "S1", "field": "owner", "new_value": 0, "case_id": -1},
+    )
+    phone = _dealt(spark, PHONE_CASES.spark(spark, sf_dir), f"{root}/phone", "created_at_utc", {"created_at_utc": _END, "origin": "Phone", "case_id": -1})
+    moves = cases.case_moves({**t, "case_history": changes, "cases": phone}, source="S1", phone_queue=_PHONE)
+    log = stateful.stream_stays(moves, "case_id", "queue_start_time", "queue_id", tie=cases.MOVE_TIES)
+    stateful.append_to(log, f"{root}/log", f"{root}/checkpoint")
+    stays = stateful.stays_of(spark.read.parquet(f"{root}/log"), moves, "queue_number", "queue_end_time").filter("case_id >= 0")
+    return cases.case_queue_history(t, source="S1", phone_queue=_PHONE, stays=stays)
+
+
+@register("stream_payment_match", with_views(PAYMENT_AUDIT_SQL, **_PAY_VIEWS))
+def stream_payment_match(spark, sf_dir):
+    """Reimbursements with their audit entry from a stream of payments and one of audit entries."""
+    t, root = _pay(spark, sf_dir), work_folder(spark, "stream_payment_match")
+    pays = _dealt(
+        spark, t["payments"], f"{root}/payments", "created_at",
+        {"created_at": _END, "payment_id": -1, "creation_mechanism": "REIMBURSEMENT", "sender_token": 1, "state": "PAID_OUT", "recipient_token": -1},
+    )
+    logs = _dealt(spark, t["audit_logs"], f"{root}/audits", "created_at", {"created_at": _END, "action_name": "reimburse", "entity_token": -1})
+    left = payments.reimbursed(pays, sender_token=1, since="2024-01-03")
+    right = payments.reimbursement_audits({**t, "audit_logs": logs})
+    match = stateful.stream_match(left, right, prefer=payments.audit_preferred(), lateness="9 days", **payments.AUDIT_MATCH)
+    s.run_to_end(match, f"{root}/out", f"{root}/checkpoint")
+    return payments.match_reimbursements(t, sender_token=1, since="2024-01-03", best=spark.read.parquet(f"{root}/out"))
 
 
 _DAYS = """

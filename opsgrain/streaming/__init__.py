@@ -1,3 +1,3 @@
-from . import sla
+from . import sla, stateful
 
-__all__ = ["sla"]
+__all__ = ["sla", "stateful"]

@@ -1,5 +1,6 @@
 """Late rows, repeated rows and restarts of the streaming jobs."""
 
+import random
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from opsgrain.registry.base import work_folder
 from opsgrain.streaming import sla as s
+from opsgrain.streaming import stateful
 
 T0 = datetime(2024, 1, 1)
 SCHEMA = "event_id long, ts timestamp_ntz, kind string, value double"
@@ -61,17 +63,100 @@ def test_rows_beyond_the_lateness_do_not_count(spark, tmp_path):
     assert rows(spark.read.parquet(str(tmp_path / "out")), "ts") == [(T0 + timedelta(days=30),), (T0 + timedelta(days=31),)]
 
 
+def alerts_of(spark, tmp_path, batches, keys, **options):
+    stream = files(spark, str(tmp_path / "in"), [*batches, [END]])
+    hourly = s.stream_sla(stream, "ts", "event_id", keys, {"in_sla": F.col("value") <= 120, "qualified": F.lit(True)}, closed="closed")
+    stateful.append_to(stateful.stream_alerts(hourly, keys=keys, **options), str(tmp_path / "alerts"), str(tmp_path / "cp"))
+    return spark.read.parquet(str(tmp_path / "alerts"))
+
+
 @pytest.mark.parametrize("split", [True, False])
 def test_alerts_see_the_hour_before_a_gap(spark, tmp_path, split):
-    parts = [[(1, T0, "a", 1.0), (9, T0, "b", 1.0)], [(2, T0 + timedelta(days=20), "a", 500.0)], [(3, T0 + timedelta(days=21), "a", 1.0)]]
-    stream = files(spark, str(tmp_path / "in"), [*(parts if split else [sum(parts, [])]), [END]])
-    hourly = s.stream_sla(stream, "ts", "event_id", ["kind"], {"in_sla": F.col("value") <= 120, "qualified": F.lit(True)})
-    paths = [str(tmp_path / x) for x in ("facts", "alerts", "state", "cp")]
-    s.stream_alerts(hourly, *paths, keys=["kind"])
-    got = rows(spark.read.parquet(paths[1]), "kind", "ts", "sla_pct", "alert_drop")
-    assert got == [("a", T0, 100.0, False), ("a", T0 + timedelta(days=20), 0.0, True), ("a", T0 + timedelta(days=21), 100.0, False), ("b", T0, 100.0, False)]
-    prev = {(r["kind"], r["ts"]): r["prev_sla_pct"] for r in spark.read.parquet(paths[1]).collect()}
+    parts = [[(1, T0, "a", 1.0), (9, T0, "b", 1.0), (8, T0, None, 1.0)], [(2, T0 + timedelta(days=20), "a", 500.0)], [(3, T0 + timedelta(days=21), "a", 1.0), (7, T0 + timedelta(days=21), None, 500.0)]]
+    got = alerts_of(spark, tmp_path, parts if split else [sum(parts, [])], ["kind"]).filter("handled > 0")
+    assert rows(got.filter("kind is not null"), "kind", "ts", "sla_pct", "alert_drop") == [
+        ("a", T0, 100.0, False), ("a", T0 + timedelta(days=20), 0.0, True), ("a", T0 + timedelta(days=21), 100.0, False), ("b", T0, 100.0, False)]
+    prev = {(r["kind"], r["ts"]): r["prev_sla_pct"] for r in got.collect()}
     assert prev[("a", T0 + timedelta(days=20))] == 100.0 and prev[("b", T0)] is None
+    assert prev[(None, T0)] is None and prev[(None, T0 + timedelta(days=21))] == 100.0
+
+
+def test_silent_keys_are_forgotten(spark, tmp_path):
+    # "b" goes on, so time passes; "a" is silent for longer than ten days, then for less
+    parts = [[(1, T0, "a", 1.0), (2, T0, "b", 1.0)], [(3, T0 + timedelta(days=30), "b", 1.0)], [(4, T0 + timedelta(days=60), "b", 1.0)],
+             [(5, T0 + timedelta(days=61), "a", 1.0)], [(6, T0 + timedelta(days=69), "a", 1.0)], [(7, T0 + timedelta(days=120), "b", 1.0)]]
+    got = alerts_of(spark, tmp_path, parts, ["kind"], idle=timedelta(days=10))
+    prev = {r["ts"]: r["prev_sla_pct"] for r in got.filter("kind = 'a' and handled > 0").collect()}
+    assert prev == {T0: None, T0 + timedelta(days=61): None, T0 + timedelta(days=69): 100.0}
+
+
+MOVES = "k int, at timestamp_ntz, q int, u int"
+
+
+def move_files(spark, folder, batches):
+    import time
+
+    for i, part in enumerate(batches):
+        spark.createDataFrame(part, MOVES).coalesce(1).write.parquet(f"{folder}/f{i}.parquet")
+        time.sleep(0.05)
+    return spark.readStream.schema(MOVES).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).option("pathGlobFilter", "part-*").parquet(folder)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_stays_equal_the_batch_however_moves_are_dealt(spark, tmp_path, seed):
+    from opsgrain.operators.history import compact_changes, to_intervals
+
+    rng = random.Random(seed)
+    moves = [(rng.choice([1, 2, 3, None]), T0 + timedelta(hours=rng.randint(0, 900), microseconds=rng.choice([0, 5])), rng.choice([1, 2, 10, None]), rng.choice([5, 9, None])) for _ in range(120)]
+    moves += moves[:10]
+    # dealt by time with a jitter below the lateness
+    order = sorted(moves, key=lambda m: m[1] + timedelta(days=rng.random() * 6))
+    cuts = sorted(rng.sample(range(len(order)), 4))
+    batches = [order[a:b] for a, b in zip([0, *cuts], [*cuts, len(order)]) if order[a:b]]
+    stream = move_files(spark, str(tmp_path / "in"), [*batches, [(-1, T0 + timedelta(days=400), 0, 0)]])
+    log = stateful.stream_stays(stream, "k", "at", "q", tie=["q", "u"])
+    stateful.append_to(log, str(tmp_path / "log"), str(tmp_path / "cp"))
+    got = stateful.stays_of(spark.read.parquet(str(tmp_path / "log")), stream, "n", "until").filter("k > 0")
+    plain = to_intervals(compact_changes(spark.createDataFrame(moves, MOVES), "k", "at", "q", tie=["q", "u"]), "k", "at", tie=["q", "u"], number="n", end="until")
+    text = lambda df: sorted(str(tuple(r[c] for c in ("k", "n", "at", "q", "u", "until"))) for r in df.collect())
+    assert text(got) == text(plain)
+    assert plain.count() > 60
+
+
+@pytest.mark.parametrize("split", [True, False])
+def test_stream_match_equals_the_scan(spark, tmp_path, split):
+    from opsgrain.operators.match import tolerance_scan
+
+    rng = random.Random(4)
+    kind = "id int, k int, t timestamp_ntz, v int"
+    side = lambda n: [(i, rng.choice([1, 2, None]), T0 + timedelta(minutes=rng.randint(0, 6000)), rng.randint(0, 3)) for i in range(n)]
+    left, right = side(60), side(80)
+    end = [(-1, 9, T0 + timedelta(days=400), 0)]
+    streams = []
+    for name, data in (("l", left), ("r", right)):
+        data = sorted(data, key=lambda r: r[2])
+        parts = [data[: len(data) // 2], data[len(data) // 2 :], end] if split else [data, end]
+        for i, part in enumerate(parts):
+            spark.createDataFrame(part, kind).coalesce(1).write.parquet(str(tmp_path / name / f"f{i}.parquet"))
+        streams.append(spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).option("pathGlobFilter", "part-*").parquet(str(tmp_path / name)))
+    options = {"row_id": "id", "before_seconds": 7200, "after_seconds": 3600, "prefer": F.col("rv") > 1, "tie": ["rid"], "count": "n"}
+    named = lambda df: df.select("k", F.col("id").alias("rid"), F.col("t").alias("rt"), F.col("v").alias("rv"))
+    cols = {"hit": "rid", "hit_v": "rv"}
+    match = stateful.stream_match(streams[0], named(streams[1]), "k", "t", "rt", cols, **options)
+    s.run_to_end(match, str(tmp_path / "out"), str(tmp_path / "cp"))
+    plain = tolerance_scan(spark.createDataFrame(left, kind), named(spark.createDataFrame(right, kind)), "k", "t", "rt", cols, **options)
+    text = lambda df: sorted(str(tuple(r[c] for c in ("id", "hit", "hit_v", "n"))) for r in df.collect())
+    assert text(spark.read.parquet(str(tmp_path / "out")).filter("id >= 0")) == text(plain)
+
+
+def test_uncounted_rows(spark, tmp_path):
+    batches = [[(1, T0 + timedelta(days=30), "a", 1.0)], [(2, T0 + timedelta(days=31), "a", 1.0)], [(6, T0 + timedelta(days=31), "a", 1.0)], [(3, T0, "a", 1.0), (4, T0, "b", 1.0), (5, T0 + timedelta(days=29), "a", 1.0)], [END]]
+    stream = files(spark, str(tmp_path / "in"), batches)
+    hourly = s.stream_sla(stream, "ts", "event_id", ["kind"], {"in_sla": F.col("value") <= 120}, rows="rows")
+    s.run_to_end(hourly, str(tmp_path / "out"), str(tmp_path / "cp"))
+    landed = spark.createDataFrame(sum(batches[:-1], []), SCHEMA)
+    late = s.uncounted_rows(landed, "ts", spark.read.parquet(str(tmp_path / "out")), "rows")
+    assert rows(late, "ts", "landed", "counted", "late") == [(T0, 2, 0, 2)]
 
 
 @pytest.mark.parametrize("ds", [None, date(2024, 1, 12)])
