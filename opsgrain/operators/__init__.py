@@ -1,5 +1,5 @@
-from . import calendar, classify, history, intervals, joins, match, metrics, ordered, percentiles, quality
+from . import calendar, classify, cover, history, intervals, joins, match, metrics, ordered, percentiles, quality, rollups
 
 __all__ = [
-    "calendar", "classify", "history", "intervals", "joins", "match", "metrics", "ordered", "percentiles", "quality",
+    "calendar", "classify", "cover", "history", "intervals", "joins", "match", "metrics", "ordered", "percentiles", "quality", "rollups",
 ]

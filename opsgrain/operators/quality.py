@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dialect import datediff_boundary, full_match
 from .metrics import with_totals
+from .ordered import ordered
 
 
 def key_uniqueness(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -94,6 +95,48 @@ def key_report(df: DataFrame, keys: Sequence[str], parent: DataFrame, parent_key
     )
 
 
+class Watch:
+    """Checks that are counted while rows pass: use ``rows`` in place of the table, for instance in its write, then read ``result``.
+
+    No scan of its own: the counts are Spark's observed metrics of the query that writes the rows.  ``checks`` count the rows that fail;
+    ``distinct`` counts combinations (columns, condition), meant for columns of few values, as they are held in one set.  With
+    ``keys`` the rows pass one shuffle by key, spread over salts, and rows, distinct_keys (rows with a NULL in the key left out) and
+    duplicate_rows are counted too.
+    """
+
+    def __init__(
+        self, df: DataFrame, checks: Mapping[str, Column], *, keys: Sequence[str] = (), distinct: Mapping[str, tuple[Sequence[str], Column]] | None = None
+    ):
+        self._seen = Observation()
+        metrics = [F.count_if(c).alias(n) for n, c in checks.items()]
+        metrics += [F.size(F.collect_set(F.when(w, F.to_json(F.struct(*names))))).cast("bigint").alias(n) for n, (names, w) in (distinct or {}).items()]
+        passing = df
+        if keys:
+            passing = key_places(df, keys)
+            present = ~any_null(*keys)
+            metrics += [
+                F.count_if(present).alias("rows"),
+                F.count_if(present & (F.col("__place") == 1)).alias("distinct_keys"),
+                F.count_if(F.col("__of") > 1).alias("duplicate_rows"),
+            ]
+        self.rows = passing.observe(self._seen, *metrics).select(*df.columns)
+
+    @property
+    def result(self) -> dict[str, int]:
+        """The counts; waits for the first query that reads ``rows``."""
+        return self._seen.get
+
+    def report(self, spark: SparkSession) -> DataFrame:
+        """The counts as (check_name, value) rows."""
+        return spark.createDataFrame(sorted(self.result.items()), "check_name string, value bigint")
+
+
+def key_places(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows with their place among the rows of their key (``__place``, from 1) and the number of those (``__of``)."""
+    spread = F.pmod(F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]), F.lit(16))
+    return ordered(df, keys, [], spread, totals={"__of": ("count", F.lit(1))}, number="__place")
+
+
 def as_rows(report: DataFrame, names: Mapping[str, str] | None = None) -> DataFrame:
     """A one-row report as (check_name, value) rows."""
     pairs = F.array(*[F.struct(F.lit((names or {}).get(c, c)).alias("n"), F.col(c).cast("bigint").alias("v")) for c in report.columns])

@@ -38,6 +38,26 @@ def dq_report(spark, sf_dir):
     return by_row.union(q.as_rows(keys, {"without_child": "orders_without_lines", "without_parent": "lines_without_order"}))
 
 
+@register(
+    "dq_while_writing",
+    """
+SELECT 'rows' AS check_name, count(*) AS value FROM lineitem WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL
+UNION ALL SELECT 'distinct_keys', count(DISTINCT (l_orderkey, l_linenumber)) FROM lineitem
+UNION ALL SELECT 'duplicate_rows', count(*) FROM (SELECT count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS n FROM lineitem) WHERE n > 1
+UNION ALL SELECT 'null_or_missing', count(*) FROM lineitem WHERE l_shipdate IS NULL OR l_returnflag IS NULL
+UNION ALL SELECT 'distinct_flags', count(*) FROM (SELECT DISTINCT l_returnflag, l_linestatus FROM lineitem WHERE l_quantity > 10)
+UNION ALL SELECT 'bad_flags', count(*) FROM lineitem WHERE l_returnflag NOT IN ('A', 'N')""",
+)
+def dq_while_writing(spark, sf_dir):
+    """The checks of a fact counted by the query that writes it."""
+    lines = src.load(spark, sf_dir, "lineitem")["lineitem"]
+    checks = {"null_or_missing": q.any_null("l_shipdate", "l_returnflag"), "bad_flags": q.not_accepted("l_returnflag", ["A", "N"])}
+    flags = {"distinct_flags": (["l_returnflag", "l_linestatus"], F.col("l_quantity") > 10)}
+    watch = q.Watch(lines, checks, keys=["l_orderkey", "l_linenumber"], distinct=flags)
+    versions.publish(watch.rows, f"{work_folder(spark, 'watched')}/production")
+    return watch.report(spark)
+
+
 @register(
     "key_checks",
     """

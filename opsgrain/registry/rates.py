@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.dates import business_days_between
-from ..functions.dialect import trunc_date
+from ..functions.dialect import trunc, trunc_date
 from ..operators import classify as c
+from ..operators import rollups
 from ..operators.intervals import prorate_to_intervals
 from ..operators.metrics import percent_of_total, trailing_ratio
 from ..operators.percentiles import exact_percentiles
 from ..operators.quality import conservation_check
 from ..plans import cases, complaints, volume, voice, workforce
-from ..sources.tables import load
-from .base import CALLS, EMPLOYEES, View, frames, register, view, with_views
+from ..sources.tables import load, write
+from .base import CALLS, EMPLOYEES, View, frames, register, view, with_views, work_folder
 from .history import CASE_EVENTS, LABELS, TOKEN_CASES
 from .rules import ARRIVALS, TOUCHES
 from .sla import rounded
@@ -750,6 +751,55 @@ def median_percentiles(spark, sf_dir):
     return rounded(out, ["p25", "p50", "p75", "p95"], 4)
 
 
+@register(
+    "rolled_distinct_counts",
+    """
+WITH e AS (SELECT date_trunc('day', ts) AS day, event_type, user_id, value FROM events),
+g AS (
+  SELECT 'day' AS grain, day AS since, event_type, user_id, value FROM e
+  UNION ALL SELECT 'month', date_trunc('month', day), event_type, user_id, value FROM e
+  UNION ALL SELECT 'all', NULL, NULL, user_id, value FROM e)
+SELECT grain, strftime(since, '%Y-%m-%d') AS since, event_type, count(DISTINCT user_id) AS people,
+  count(DISTINCT CASE WHEN value > 100 THEN user_id END) AS people_above_100
+FROM g GROUP BY grain, since, event_type""",
+)
+def rolled_distinct_counts(spark, sf_dir):
+    """Distinct people of days, months and the whole, or-ed from bitmaps of hours; the second half of the month found its ids in two steps."""
+    events = load(spark, sf_dir, "events")["events"]
+    first = rollups.dense_ids(events.filter(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")), "user_id", "ts")
+    ids = rollups.dense_ids(events, "user_id", "ts", known=first)
+    flags = {"people": None, "people_above_100": F.col("value") > 100}
+    rows = events.join(ids, "user_id").withColumn("hour", trunc("hour", "ts"))
+    folder = work_folder(spark, "bitmaps")
+    write(rollups.id_bitmaps(rows, ["hour", "event_type"], "num", flags), f"{folder}/hours")
+    hours = spark.read.parquet(f"{folder}/hours")
+    days = rollups.merge_bitmaps(hours, [trunc("day", "hour").alias("since"), "event_type"], list(flags))
+    months = rollups.merge_bitmaps(days, [trunc("month", "since").alias("since"), "event_type"], list(flags))
+    whole = rollups.merge_bitmaps(months, [F.lit(None).cast("timestamp_ntz").alias("since"), F.lit(None).cast("string").alias("event_type")], list(flags))
+    out = [rollups.bitmap_counts(part.withColumn("grain", F.lit(g)), ["grain", "since", "event_type"], list(flags)) for g, part in (("day", days), ("month", months), ("all", whole))]
+    return out[0].unionByName(out[1]).unionByName(out[2]).withColumn("since", F.date_format("since", "yyyy-MM-dd"))
+
+
+@register(
+    "rolled_percentiles",
+    """
+SELECT strftime(date_trunc('month', ts), '%Y-%m-%d') AS since, event_type, count(value) AS n, true AS p25, true AS p50, true AS p95
+FROM events WHERE value IS NOT NULL GROUP BY 1, 2""",
+)
+def rolled_percentiles(spark, sf_dir):
+    """Are the percentiles of months, merged from sketches of days, within a hundredth of the wanted rank?"""
+    events = load(spark, sf_dir, "events")["events"]
+    points = {"p25": 0.25, "p50": 0.5, "p95": 0.95}
+    days = rollups.sketches(events.withColumn("day", trunc("day", "ts")), ["day", "event_type"], "value")
+    months = rollups.merge_sketches(days, [trunc("month", "day").alias("since"), "event_type"])
+    found = rollups.sketch_percentiles(months, points)
+    rows = events.filter("value is not null").withColumn("since", trunc("month", "ts")).join(found, ["since", "event_type"])
+    below = [F.count_if(F.col("value") < F.col(p)).alias(f"__lt_{p}") for p in points] + [F.count_if(F.col("value") <= F.col(p)).alias(f"__le_{p}") for p in points]
+    ranks = rows.groupBy("since", "event_type", "n").agg(*below)
+    near = [((F.col(f"__lt_{p}") <= (at + 0.01) * F.col("n")) & (F.col(f"__le_{p}") >= (at - 0.01) * F.col("n"))).alias(p) for p, at in points.items()]
+    return ranks.select(F.date_format("since", "yyyy-MM-dd").alias("since"), "event_type", "n", *near)
+
+
 def _case_sql(value: str, ranges) -> str:
     parts = []
     for lo, hi, label in ranges:

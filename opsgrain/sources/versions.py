@@ -119,7 +119,7 @@ def _columns(schema: T.StructType) -> dict[str, str]:
 
 def publish(
     df: DataFrame, production: str, partition_by: Sequence[str] = (), fmt: str = "parquet", keep: int = 2,
-    replaces: Callable[[Mapping[str, str | None]], bool] | None = None,
+    replaces: Callable[[Mapping[str, str | None]], bool] | None = None, gate: Callable[[], None] | None = None,
 ) -> str:
     """Publish ``df`` as the new version of the production table; returns the version.
 
@@ -128,7 +128,8 @@ def publish(
 
     The files and the list are written first; then the pointer file is replaced by a rename, which readers see all at once or not
     at all.  A failure before that leaves the published version as it was, and a version that another run published meanwhile is not
-    lost: the run that comes second fails.  ``keep`` versions stay, for readers that opened the one before; folders that
+    lost: the run that comes second fails.  ``gate`` is called when the files are written (``operators.quality.Watch`` has counted the rows by
+    then); if it raises, nothing is published.  ``keep`` versions stay, for readers that opened the one before; folders that
     none of them names are deleted.
     """
     spark, store = df.sparkSession, _Store(df.sparkSession, production)
@@ -139,6 +140,12 @@ def publish(
         raise ValueError("partitions can be taken over only from a version of the same columns, partitions and format")
     root = f"{production}/data/__v={name}"
     write(df, root, "overwrite", partition_by, fmt, full_refresh=True)
+    try:
+        if gate:
+            gate()
+    except Exception:
+        store.delete(root)
+        raise
     folders = {f: v for f, v in held.folders.items() if not replaces(values_of(f))} if held else {}
     folders |= dict.fromkeys(_partitions(store, root, len(partition_by)), name)
     store.write(f"{production}/versions/{name}", json.dumps(asdict(Version(name, list(partition_by), fmt, df.schema.json(), folders))))
