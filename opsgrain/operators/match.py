@@ -12,6 +12,35 @@ from .ordered import STEP_SECONDS as SECONDS
 from .ordered import epoch_micros, ordered, time_chunk
 
 
+def _borders(df: DataFrame, key: str, row_id: str, ts: str, tag: str, chunk: str) -> DataFrame:
+    """Rows with the tagged row before (``__ps``) and behind (``__ns``) where its tag is another one, among the tagged rows of the key.
+
+    The nearest row with another tag of any row of a run of one tag is that of the run's border row.  Untagged rows are kept out
+    of the sequence by a partition of their own, and have none.
+    """
+    here = F.struct(F.col(ts).alias("ts"), F.col(tag).alias("tag"))
+    apart = df.withColumn("__untagged", F.col(tag).isNull())
+    runs = ordered(apart, [key, "__untagged"], [ts, row_id], time_chunk(ts, chunk), lag={"__pl": here}, lead={"__nl": here})
+    start = F.when(F.col("__pl")["tag"] != F.col(tag), F.col("__pl"))
+    stop = F.when(F.col("__nl")["tag"] != F.col(tag), F.col("__nl"))
+    return runs.select(*df.columns, start.alias("__ps"), stop.alias("__ns"))
+
+
+def _nearer(df: DataFrame, ts: str, relation: str, before: str, behind: str, known: Column) -> DataFrame:
+    """The nearer one of two neighbours (struct of ts and tag) as columns of the relation; equal distances go to the earlier row."""
+    before, behind = F.when(known, F.col(before)), F.when(known, F.col(behind))
+    back, ahead = datediff_boundary("day", F.col(ts), before["ts"]), datediff_boundary("day", F.col(ts), behind["ts"])
+    pick = F.when(before.isNotNull() & (behind.isNull() | (F.abs(back) <= F.abs(ahead))), before).otherwise(behind)
+    out = df.withColumn("__pick", pick)
+    return out.withColumns(
+        {
+            f"{relation}_days": datediff_boundary("day", F.col(ts), F.col("__pick")["ts"]),
+            f"{relation}_ts": F.col("__pick")["ts"],
+            f"{relation}_tag": F.col("__pick")["tag"],
+        }
+    ).drop("__pick")
+
+
 def nearest_related(
     df: DataFrame, key: str, row_id: str, ts: str, tag: str, relation: str = "any", chunk: str = "day"
 ) -> DataFrame:
@@ -23,42 +52,40 @@ def nearest_related(
     key; the self join would compare all pairs.  A NULL tag is never same nor different.
     """
     here = F.struct(F.col(ts).alias("ts"), F.col(tag).alias("tag"))
-    span = time_chunk(ts, chunk)
-    order = [ts, row_id]
-    tagged = F.col(tag).isNotNull()
-    if relation == "any":
-        near = ordered(df, [key], order, span, lag={"__p": here}, lead={"__n": here})
-        tagged = F.lit(True)
-    elif relation == "same":
-        near = ordered(df, [key, tag], order, span, lag={"__p": here}, lead={"__n": here})
+    span, order = time_chunk(ts, chunk), [ts, row_id]
+    known = F.lit(True) if relation == "any" else F.col(tag).isNotNull()
+    if relation in ("any", "same"):
+        keys = [key] if relation == "any" else [key, tag]
+        near = ordered(df, keys, order, span, lag={"__p": here}, lead={"__n": here})
     elif relation == "different":
-        # untagged rows are kept out of the sequence by a partition of their own
-        apart = df.withColumn("__untagged", F.col(tag).isNull())
-        runs = ordered(apart, [key, "__untagged"], order, span, lag={"__pl": here}, lead={"__nl": here})
-        # where the tag changes, the neighbour is the nearest row with another tag; inside a
-        # run of one tag the value of the run's border row holds
-        start = F.when(F.col("__pl")["tag"] != F.col(tag), F.col("__pl"))
-        stop = F.when(F.col("__nl")["tag"] != F.col(tag), F.col("__nl"))
         near = ordered(
-            runs.select(*apart.columns, start.alias("__ps"), stop.alias("__ns")), [key, "__untagged"], order, span,
-            last_seen={"__p": F.col("__ps")}, next_seen={"__n": F.col("__ns")},
-        ).drop("__ps", "__ns", "__untagged")
+            _borders(df, key, row_id, ts, tag, chunk), [key], order, span, last_seen={"__p": F.col("__ps")}, next_seen={"__n": F.col("__ns")},
+        ).drop("__ps", "__ns")
     else:
         raise ValueError(relation)
-    near = near.withColumns({"__p": F.when(tagged, F.col("__p")), "__n": F.when(tagged, F.col("__n"))})
+    return _nearer(near, ts, relation, "__p", "__n", known).drop("__p", "__n")
 
-    back = datediff_boundary("day", F.col(ts), F.col("__p")["ts"])
-    ahead = datediff_boundary("day", F.col(ts), F.col("__n")["ts"])
-    take_back = F.col("__n").isNull() | (F.abs(back) <= F.abs(ahead))
-    pick = F.when(F.col("__p").isNotNull() & take_back, F.col("__p")).otherwise(F.col("__n"))
-    out = near.withColumn("__pick", pick)
-    return out.withColumns(
-        {
-            f"{relation}_days": datediff_boundary("day", F.col(ts), F.col("__pick")["ts"]),
-            f"{relation}_ts": F.col("__pick")["ts"],
-            f"{relation}_tag": F.col("__pick")["tag"],
-        }
-    ).drop("__p", "__n", "__pick")
+
+def nearest_of_each(df: DataFrame, key: str, row_id: str, ts: str, tag: str, chunk: str = "day") -> DataFrame:
+    """``nearest_related`` for ``any``, ``same`` and ``different`` in three scans that carry key, time, id and tag only.
+
+    The scan over the whole key serves both ``any`` and ``different``.  Other columns of ``df`` join once at the end.
+    """
+    here = F.struct(F.col(ts).alias("ts"), F.col(tag).alias("tag"))
+    span, order, tagged = time_chunk(ts, chunk), [ts, row_id], F.col(tag).isNotNull()
+    slim = df.select(key, row_id, ts, tag)
+    near = ordered(slim, [key, tag], order, span, lag={"__p": here}, lead={"__n": here})
+    near = _nearer(near, ts, "same", "__p", "__n", tagged).drop("__p", "__n")
+    near = ordered(
+        _borders(near, key, row_id, ts, tag, chunk), [key], order, span, lag={"__p": here}, lead={"__n": here},
+        last_seen={"__pd": F.col("__ps")}, next_seen={"__nd": F.col("__ns")},
+    )
+    near = _nearer(_nearer(near, ts, "any", "__p", "__n", F.lit(True)), ts, "different", "__pd", "__nd", tagged)
+    found = [f"{r}_{c}" for r in ("any", "same", "different") for c in ("days", "ts", "tag")]
+    rest = [c for c in df.columns if c not in slim.columns]
+    if not rest:
+        return near.select(*df.columns, *found)
+    return near.select(row_id, key, ts, tag, *found).join(df.select(row_id, *rest), row_id).select(*df.columns, *found)
 
 
 def first_contact_resolution(days: str | Column, limits: Sequence[int] = (7, 14, 28), missing: int = 100) -> dict[str, Column]:

@@ -17,7 +17,7 @@ from ..operators.history import (
     transition_type,
 )
 from ..operators.joins import asof_dim, fold_join, state_at
-from ..operators.match import first_contact_resolution, nearest_related
+from ..operators.match import first_contact_resolution, nearest_of_each
 from ..operators.metrics import side_by_side, with_totals
 from ..operators.ordered import ordered, time_chunk
 from ..sources.tables import conform
@@ -259,25 +259,24 @@ def contact_base(t: Tables, *, year: int | None = 2024, tz: str = PACIFIC) -> Da
 
 def fcr_detail(base: DataFrame, days: Sequence[int] = (7, 14, 28)) -> DataFrame:
     """Nearest other contact of the customer per case (any, same tag, other tag) and the FCR flags."""
-    out = base
-    for relation in ("any", "same", "different"):
-        out = nearest_related(out, "customer_token", "case_id", "case_ts_utc", "problem_tag", relation)
+    out = nearest_of_each(base, "customer_token", "case_id", "case_ts_utc", "problem_tag")
     return out.withColumns(first_contact_resolution("same_days", days))
 
 
 def fcr_summary(detail: DataFrame, days: Sequence[int] = (7, 14, 28)) -> DataFrame:
     """One row: average and median distances, customers with repeats, FCR rates.
 
-    Cases are counted per customer first, then added up, so distinct customers cost no
-    multi-distinct plan.  Medians are over whole days, of which there are few.
+    Cases are counted per customer and distances first; that shuffle serves the sums per customer, which are added up then, so
+    distinct customers cost no multi-distinct plan, and the medians, which are over whole days, of which there are few.
     """
     flags = [f"fcr_{n}_day" for n in days]
     kinds = ("any", "same", "different")
-    per = detail.groupBy("customer_token").agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.count_if(F.col(f)).alias(f) for f in flags],
-        *[F.sum(F.abs(f"{k}_days")).alias(f"{k}_sum") for k in kinds],
-        *[F.count(f"{k}_days").alias(f"{k}_n") for k in kinds],
+    cells = detail.groupBy("customer_token", *[F.abs(f"{k}_days").alias(f"{k}_days") for k in kinds]).agg(F.count(F.lit(1)).alias("n"))
+    per = cells.withColumns(first_contact_resolution("same_days", days)).groupBy("customer_token").agg(
+        F.sum("n").alias("n"),
+        *[F.coalesce(F.sum(F.when(F.col(f), F.col("n"))), F.lit(0)).alias(f) for f in flags],
+        *[F.sum(F.col(f"{k}_days") * F.col("n")).alias(f"{k}_sum") for k in kinds],
+        *[F.coalesce(F.sum(F.when(F.col(f"{k}_days").isNotNull(), F.col("n"))), F.lit(0)).alias(f"{k}_n") for k in kinds],
     )
     totals = per.agg(
         *[F.round(safe_ratio(F.sum(f"{k}_sum"), F.sum(f"{k}_n"))).alias(f"avg_abs_days_since_{k}") for k in kinds],
@@ -287,7 +286,7 @@ def fcr_summary(detail: DataFrame, days: Sequence[int] = (7, 14, 28)) -> DataFra
         ],
         *[safe_ratio(F.sum(f), F.sum("n"), 100, 2).alias(f"total_{f}") for f in flags],
     )
-    medians = detail.agg(*[F.median(F.abs(f"{k}_days")).alias(f"median_abs_days_since_{k}") for k in ("any", "same")])
+    medians = cells.agg(*[F.percentile(f"{k}_days", F.lit(0.5), F.col("n")).alias(f"median_abs_days_since_{k}") for k in ("any", "same")])
     return side_by_side(totals, medians)
 
 

@@ -39,11 +39,13 @@ fcr AS (
 """
 
 
-def _fcr(spark, sf_dir):
+def _contacts(spark, sf_dir):
     s = SUPPORT_CASES.spark(spark, sf_dir)
-    calls = s.select("case_id")
-    base = cases.contact_base({"support_cases": s, "call_records": calls}, year=None, tz="UTC")
-    return cases.fcr_detail(base)
+    return cases.contact_base({"support_cases": s, "call_records": s.select("case_id")}, year=None, tz="UTC")
+
+
+def _fcr(spark, sf_dir):
+    return cases.fcr_detail(_contacts(spark, sf_dir))
 
 
 @register(
@@ -61,7 +63,7 @@ def _fcr(spark, sf_dir):
     ),
 )
 def first_contact_resolution(spark, sf_dir):
-    return cases.fcr_summary(_fcr(spark, sf_dir))
+    return cases.fcr_summary(cases.fcr_detail(_contacts(spark, sf_dir).drop("origin")))
 
 
 @register(
