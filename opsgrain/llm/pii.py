@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 CONTEXT, RAISE, LOWER = 40, 0.3, 0.3
 #: Least score of a span of a kind that is not kept anyway.
 LEAST = 0.5
+#: Matches whose places are summed up at a time.
+STRETCH = 512
 
 
 def _digits(hit: Column) -> Column:
@@ -120,35 +122,87 @@ KINDS: tuple[Kind, ...] = (
 _SPAN = "struct<start:bigint,place:int,kind:string,end:bigint,score:double,base:boolean>"
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once per row, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _pieces(text: Column, pattern: str) -> Column:
+    """The matches in order, each with the text before it: lengths, the match, and as much of both ends as a context can need.
+
+    Behind them stands the text after the last match, as one more piece whose match is null.
+    """
+    gaps, hits = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+
+    def piece(pair: Column) -> Column:
+        gap, hit = pair["gap"], F.coalesce(pair["hit"], F.lit(""))
+        ends = {"gap_left": F.left(gap, F.lit(CONTEXT)), "gap_right": F.right(gap, F.lit(CONTEXT)), "hit_left": F.left(hit, F.lit(CONTEXT)), "hit_right": F.right(hit, F.lit(CONTEXT))}
+        return F.struct(
+            F.length(gap).cast("bigint").alias("gap"), F.length(hit).cast("bigint").alias("size"), pair["hit"].alias("hit"), *[c.alias(n) for n, c in ends.items()]
+        )
+
+    return F.transform(F.arrays_zip(gaps.alias("gap"), hits.alias("hit")), piece)
+
+
+def _starts(pieces: Column) -> Column:
+    """Where each piece begins, by running sums in stretches of ``STRETCH``: the lists that are added to stay short."""
+    size, none = F.size(pieces), F.array().cast("array<bigint>")
+
+    def running(sizes: Column, at: Column) -> Column:
+        begin = F.struct(at.alias("at"), none.alias("starts"))
+        step = lambda so_far, n: F.struct((so_far["at"] + n).alias("at"), F.concat(so_far["starts"], F.array(so_far["at"])).alias("starts"))
+        return F.aggregate(sizes, begin, step, lambda end: end["starts"])
+
+    def of(sizes: Column) -> Column:
+        stretches = F.transform(F.sequence(F.lit(0), F.floor((size - 1) / STRETCH).cast("int")), lambda k: F.slice(sizes, k * STRETCH + 1, F.lit(STRETCH)))
+
+        def joined(parts: Column) -> Column:
+            sums = F.transform(parts, lambda part: F.aggregate(part, F.lit(0).cast("bigint"), lambda a, n: a + n))
+            begins = running(sums, F.lit(0).cast("bigint"))
+            return F.flatten(F.transform(F.arrays_zip(parts.alias("part"), begins.alias("at")), lambda x: running(x["part"], x["at"])))
+
+        return _let(stretches, joined)
+
+    return _let(F.transform(pieces, lambda p: p["gap"] + p["size"]), of)
+
+
 def _spans(text: Column, kind: Kind, place: int) -> Column:
-    """Confirmed spans of a kind: the text between the matches gives their places, the whole text their context."""
-    gaps, hits = F.split(text, kind.pattern, -1), F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
+    """Confirmed spans of a kind, in time that grows with the text: matches are found once, their places are running sums, and the
+    context of a confirmed match comes from the pieces beside it, of which CONTEXT on each side always suffice, as no match is empty."""
     none = F.array().cast(f"array<{_SPAN}>")
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("found"))
-
-    def step(so_far: Column, i: Column) -> Column:
-        hit = F.get(hits, i)
-        begin = so_far["at"] + F.length(F.get(gaps, i))
-        place_of = begin.cast("int")
-        before = F.substring(text, F.greatest(place_of - CONTEXT, F.lit(0)) + 1, F.least(place_of, F.lit(CONTEXT)))
-        behind = F.substring(text, place_of + F.length(hit) + 1, F.lit(CONTEXT))
-        near = F.lower(F.concat(before, F.lit(" "), behind))
-        score = F.lit(kind.score)
-        if kind.raising:
-            score = score + F.when(near.rlike(kind.raising), RAISE).otherwise(0.0)
-        if kind.lowering:
-            score = score - F.when(near.rlike(kind.lowering), LOWER).otherwise(0.0)
-        score = F.round(F.least(F.greatest(score, F.lit(0.0)), F.lit(1.0)), 3)
-        span = F.struct(
-            begin.alias("start"), F.lit(place).alias("place"), F.lit(kind.name).alias("kind"),
-            (begin + F.length(hit)).alias("end"), score.alias("score"), F.lit(kind.base).alias("base"),
-        )
-        stays = kind.confirm(hit) if kind.base else kind.confirm(hit) & (score >= LEAST)
-        found = F.when(stays, F.concat(so_far["found"], F.array(span).cast(f"array<{_SPAN}>"))).otherwise(so_far["found"])
-        return F.struct((begin + F.length(hit)).alias("at"), found.alias("found"))
-
-    walked = F.aggregate(F.sequence(F.lit(0), F.size(hits) - 1), start, step, lambda end: end["found"])
-    return F.when(kind.needs(text) & (F.size(hits) > 0), walked).otherwise(none)
+
+    def found(pieces: Column, starts: Column) -> Column:
+        numbered = F.transform(pieces, lambda p, i: F.struct(i.alias("i"), p["hit"].alias("hit")))
+        sure = F.filter(numbered, lambda n: n["hit"].isNotNull() & kind.confirm(n["hit"]))
+
+        def span(n: Column) -> Column:
+            me = F.get(pieces, n["i"])
+            before = F.slice(pieces, F.greatest(n["i"] - CONTEXT, F.lit(0)) + 1, F.least(n["i"], F.lit(CONTEXT)))
+            behind = F.slice(pieces, n["i"] + 2, F.lit(CONTEXT))
+            left = F.concat(F.array_join(F.transform(before, lambda p: F.concat(p["gap_right"], p["hit_right"])), ""), me["gap_right"])
+            right = F.array_join(F.transform(behind, lambda p: F.concat(p["gap_left"], p["hit_left"])), "")
+            near = F.lower(F.concat(F.right(left, F.lit(CONTEXT)), F.lit(" "), F.left(right, F.lit(CONTEXT))))
+            begin = F.get(starts, n["i"]) + me["gap"]
+
+            def scored(words: Column) -> Column:
+                score = F.lit(kind.score)
+                if kind.raising:
+                    score = score + F.when(words.rlike(kind.raising), RAISE).otherwise(0.0)
+                if kind.lowering:
+                    score = score - F.when(words.rlike(kind.lowering), LOWER).otherwise(0.0)
+                return F.round(F.least(F.greatest(score, F.lit(0.0)), F.lit(1.0)), 3)
+
+            return F.struct(
+                begin.alias("start"), F.lit(place).alias("place"), F.lit(kind.name).alias("kind"), (begin + me["size"]).alias("end"),
+                _let(near, scored).alias("score"), F.lit(kind.base).alias("base"),
+            )
+
+        spans = F.transform(sure, span).cast(f"array<{_SPAN}>")
+        return spans if kind.base else F.filter(spans, lambda s: s["score"] >= LEAST)
+
+    pieces = _pieces(text, kind.pattern)
+    walked = _let(pieces, lambda p: _let(_starts(p), lambda s: found(p, s)))
+    return F.when(kind.needs(text), F.coalesce(walked, none)).otherwise(none)
 
 
 def find_personal_data(docs: DataFrame, kinds: Sequence[Kind] = KINDS) -> DataFrame:

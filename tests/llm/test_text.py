@@ -107,6 +107,28 @@ def test_context_reaches_over_other_matches(spark):
     assert got == {0: [(4, 15), (17, 28)], 1: [(3, 14), (15, 26)], 2: [(4, 15)], 3: [(4, 15), (40, 51)]}
 
 
+def test_many_matches_in_one_text_take_time_in_proportion(spark):
+    import time
+
+    one = "mail user{0}@host{0}.org now 10.{1}.7.{2} card 4111 1111 1111 1111, SSN 123-45-6789; call +1 555 010 {0:05d} or é {0}.50 EUR 😀 "
+
+    def run(n):
+        text = "".join(one.format(i, i % 250, i % 300) for i in range(n))
+        docs = spark.createDataFrame([(1, text)], "doc_id int, text string")
+        t = time.time()
+        spans = pii.find_personal_data(docs).first()["spans"]
+        return time.time() - t, text, spans
+
+    run(50)
+    half, _, _ = run(5000)
+    whole, text, spans = run(20_000)
+    got = [(s.start, s.place, s.kind, s.end) for s in spans if s.kind in BASE]
+    assert got == base_spans(text) and len(got) > 60_000
+    assert [(s.start, s.end) for s in spans if s.kind == "ssn"] == [(m.start(), m.end()) for m in re.finditer("123-45-6789", text)]
+    assert {round(s.score, 1) for s in spans if s.kind == "email"} == {0.9}
+    assert whole < 60 and whole < 8 * half + 5, (half, whole)
+
+
 def test_no_python_in_the_plan(spark):
     docs = spark.createDataFrame([(1, "a@b.c")], "doc_id int, text string")
     plan = pii.find_personal_data(docs).select(F.size("spans"))._jdf.queryExecution().toString()
