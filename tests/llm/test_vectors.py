@@ -121,3 +121,30 @@ def test_audit_of_rare_links_draws_the_whole_block():
         layer.links[(layer.links >= 0) & lost[layer.links]] = -1
     q, v = near_vectors.search_links(graph, queries, 0.9, seed=1)
     assert sorted(zip(q.tolist(), v.tolist())) == [(i, 1001 + i) for i in range(5)]
+
+
+def test_a_dense_group_is_answered_in_bounded_memory():
+    """4,000 queries on 8,000 near vectors have 32 million pairs, 512 MB; block and shard together are 3 MB."""
+    import tracemalloc
+
+    rng = np.random.default_rng(7)
+    vectors = rng.normal(size=32) + 0.02 * rng.normal(size=(8000, 32))
+    ids, copies = np.arange(8000), np.ones(8000, np.int64)
+    graph = hnsw.build(unit(vectors))
+    tracemalloc.start()
+    counts, node, root = near_vectors.answer(graph, ids, copies, vectors, ids[:4000], vectors[:4000], 0.9, 1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (counts == 7999).all() and len(node) == 7999 and (root == 0).all()
+    assert peak < 200e6, peak
+
+
+def test_shards_and_blocks_are_cut_by_bytes(spark):
+    rng = np.random.default_rng(9)
+    base = rng.normal(size=(60, 768))
+    rows = [(i, [float(x) for x in e]) for i, e in enumerate(np.concatenate([base, base + 0.01 * rng.normal(size=base.shape)]).astype(np.float32))]
+    frame = spark.createDataFrame([(*r, 1, "") for r in rows], KIND)
+    # 20 vectors a shard, 10 a block
+    got = near_vectors.mark_near_vectors(frame, shards=1, shard_bytes=20 * 768 * 8, block_bytes=10 * 768 * 8).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == {i: (1, i % 60) for i in range(120)}
+
