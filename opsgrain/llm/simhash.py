@@ -21,10 +21,10 @@ BITS, SEED = 64, 42
 SHINGLE, MAX_BITS = 4, 4
 #: Shingles hashed at a time, so that a very long text needs bounded memory.
 BLOCK = 1 << 16
-#: Distinct fingerprints that share a prefix on average, and bits of the longest prefix.
-PREFIX_ROWS, PREFIX_BITS = 512, 16
-#: A prefix that would emit this many times the average variants is cut by this many further bits.
-HOT, HOT_BITS = 8, 6
+#: Distinct fingerprints that share a prefix on average; further bits by which a prefix with too many is cut, again and again.
+PREFIX_ROWS, CUT_BITS = 512, 6
+#: A prefix with so many times the rows of an average one is cut.
+HOT = 3
 #: Variants that a task holds at a time.
 HELD = 1 << 21
 
@@ -108,34 +108,37 @@ def _collide(prints: np.ndarray, left: np.ndarray, free: int, radius: int, max_b
 
 
 def _routes(distinct: DataFrame, radius: int) -> DataFrame:
-    """(prefix, sub, left, fp): each fingerprint once for every prefix its variants can have; sub cuts hot prefixes further."""
+    """(prefix, bits, left, fp): each fingerprint once for every prefix (its first ``bits`` bits) that its variants can have.
+
+    A prefix whose variants would be more than ``HELD``, or whose rows are ``HOT`` times those of an average one, is cut by further
+    bits, and those prefixes again, until all are small; with all bits fixed a prefix is one variant, which few different
+    fingerprints can have.  So the largest group has a bound whatever the table, and only the rows that are cut are written.
+    """
     n = distinct.count()
-    bits = min(PREFIX_BITS, max(1, math.ceil(math.log2(max(2, n / PREFIX_ROWS)))))
-    prefix = F.shiftrightunsigned("fp", BITS - bits)
-    # at most 2^PREFIX_BITS counts, whatever the input
-    exact = np.zeros(1 << bits)
-    for p, c in distinct.groupBy(prefix.alias("p")).count().collect():
-        exact[p] = c
-    load = np.zeros(1 << bits)
-    for k, masks in enumerate(_masks(bits, radius)):
-        each = sum(math.comb(BITS - bits, j) for j in range(radius - k + 1))
-        for m in masks:
-            load += each * exact[np.arange(1 << bits) ^ m]
-    hot = [int(p) for p in np.flatnonzero((load > HOT * load.mean()) & (load > HELD))]
-    spark = distinct.sparkSession
-    routes = F.array(*[F.struct(F.lit(m).cast("bigint").alias("m"), F.lit(radius - k).alias("left")) for k, ms in enumerate(_masks(bits, radius)) for m in ms])
-    out = distinct.select("fp", prefix.alias("own"), F.explode(routes).alias("r"))
-    out = out.select("fp", F.col("own").bitwiseXOR(F.col("r.m")).alias("prefix"), F.col("r.left").alias("left"))
-    if not hot:
-        return out.withColumns({"sub": F.lit(0).cast("bigint"), "bits": F.lit(bits)})
-    marks = F.broadcast(spark.createDataFrame([(p,) for p in hot], "prefix bigint").withColumn("hot", F.lit(True)))
-    out = out.join(marks, "prefix", "left")
-    calm = out.filter("hot is null").select("fp", "prefix", "left", F.lit(0).cast("bigint").alias("sub"), F.lit(bits).alias("bits"))
-    subs = F.array(*[F.struct(F.lit(m).cast("bigint").alias("m"), F.lit(k).alias("cost")) for k, ms in enumerate(_masks(HOT_BITS, radius)) for m in ms])
-    cut = out.filter("hot").select("*", F.explode(subs).alias("s")).filter("s.cost <= left")
-    own = F.shiftrightunsigned("fp", BITS - bits - HOT_BITS).bitwiseAND(F.lit((1 << HOT_BITS) - 1).cast("bigint"))
-    cut = cut.select("fp", "prefix", (F.col("left") - F.col("s.cost")).alias("left"), own.bitwiseXOR(F.col("s.m")).alias("sub"), F.lit(bits + HOT_BITS).alias("bits"))
-    return calm.unionByName(cut)
+    bits = min(BITS, max(1, math.ceil(math.log2(max(2, n / PREFIX_ROWS)))))
+
+    def flips(width: int) -> Column:
+        """Each way to change at most ``radius`` of the last ``width`` bits of a prefix, and how many it changes."""
+        return F.explode(F.array(*[F.struct(F.lit(m).cast("bigint").alias("m"), F.lit(k).alias("cost")) for k, ms in enumerate(_masks(width, radius)) for m in ms]))
+
+    most = HOT * PREFIX_ROWS * sum(math.comb(bits, k) for k in range(radius + 1))
+    now = distinct.select("fp", flips(bits).alias("r"))
+    now = now.select("fp", F.shiftrightunsigned("fp", BITS - bits).bitwiseXOR(F.col("r.m")).alias("prefix"), (F.lit(radius) - F.col("r.cost")).alias("left"))
+    done = None
+    while True:
+        variants = F.get(F.array(*[F.lit(sum(math.comb(BITS - bits, j) for j in range(k + 1))) for k in range(radius + 1)]), F.col("left"))
+        loads = now.groupBy("prefix").agg(F.sum(variants).alias("load"), F.count("*").alias("rows"))
+        hot = store(loads.filter((F.col("load") > HELD) | (F.col("rows") > most)).select("prefix"), "hot")
+        cut = bits < BITS and not hot.isEmpty()
+        calm = (now.join(hot, "prefix", "left_anti") if cut else now).select("fp", "prefix", "left", F.lit(bits).alias("bits"))
+        done = calm if done is None else done.unionByName(calm)
+        if not cut:
+            return done
+        more = min(CUT_BITS, BITS - bits)
+        bits += more
+        own = F.shiftrightunsigned("fp", BITS - bits).bitwiseAND(F.lit((1 << more) - 1).cast("bigint")).bitwiseXOR(F.col("r.m"))
+        now = now.join(hot, "prefix").select("*", flips(more).alias("r")).filter("r.cost <= left")
+        now = store(now.select("fp", F.shiftleft("prefix", more).bitwiseOR(own).alias("prefix"), (F.col("left") - F.col("r.cost")).alias("left")), "routes")
 
 
 def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
@@ -143,7 +146,7 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
     Every fingerprint stands for all its variants within half the distance.  A variant is dealt by its prefix: the fingerprint is
     sent once to each prefix that its variants can have, and the variants are made where they meet, so the shuffle carries a few
-    dozen rows per fingerprint instead of thousands.  Prefixes with many more variants than others are cut by further bits.
+    dozen rows per fingerprint instead of thousands.  Prefixes with too many are cut by further bits until none is left.
     Members of a bucket are linked to the nearest one only, and a task returns a spanning forest, never all pairs.
     """
     radius = (max_bits + 1) // 2
@@ -151,7 +154,7 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     def bucket(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         prints, left = part["fp"].to_numpy().view(np.uint64), part["left"].to_numpy().astype(np.int64)
         found, held, us, vs = [], 0, [], []
-        for a, b in _collide(prints, left, BITS - int(key[2]), radius, max_bits):
+        for a, b in _collide(prints, left, BITS - int(key[1]), radius, max_bits):
             us.append(a.view(np.int64))
             vs.append(b.view(np.int64))
             held += len(a)
@@ -161,7 +164,7 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         u, v = forest(np.concatenate(us), np.concatenate(vs)) if us else (np.empty(0, np.int64), np.empty(0, np.int64))
         return pd.DataFrame({"u": u, "v": v})
 
-    return _routes(distinct, radius).groupBy("prefix", "sub", "bits").applyInPandas(bucket, "u bigint, v bigint").distinct()
+    return _routes(distinct, radius).groupBy("prefix", "bits").applyInPandas(bucket, "u bigint, v bigint").distinct()
 
 
 def mark_near_copies(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, rid: str | None = None) -> DataFrame:

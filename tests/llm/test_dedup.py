@@ -124,16 +124,24 @@ def test_collide_equals_all_pairs(monkeypatch):
         assert dict(zip(u, v)) == dict(zip(wu, wv))
 
 
-def test_hot_prefixes_are_cut(spark, monkeypatch):
+def test_prefixes_are_cut_until_all_are_small(spark, monkeypatch):
     rng = np.random.default_rng(2)
-    centre = int(rng.integers(0, 2**62))
-    prints = {centre ^ int(sum(1 << int(f) for f in rng.choice(60, rng.integers(0, 7), replace=False))) for _ in range(300)}
+    # a dense group: the first 40 bits alike but for a few flips
+    centre = int(rng.integers(0, 2**62)) >> 24 << 24
+    prints = {centre ^ int(sum(1 << int(f) for f in rng.choice(24, rng.integers(0, 12), replace=False))) for _ in range(600)}
+    prints |= {centre ^ int(sum(1 << int(f) for f in rng.choice(60, rng.integers(0, 7), replace=False))) for _ in range(300)}
     prints |= {int(x) for x in rng.integers(-(2**62), 2**62, 1500)}
     frame = spark.createDataFrame([(p,) for p in prints], "fp bigint")
-    monkeypatch.setattr(simhash, "HELD", 1000)
+    monkeypatch.setattr(simhash, "HELD", 20_000)
     monkeypatch.setattr(simhash, "PREFIX_ROWS", 16)
-    routes = simhash._routes(frame, 2)
-    assert routes.filter("sub > 0").count() > 0
+    routes = simhash._routes(frame, 2).toPandas()
+    assert len(routes["bits"].unique()) > 3 and len(routes) == len(routes.drop_duplicates())
+    free = 64 - routes["bits"]
+    routes["variants"] = np.select([routes["left"] == 0, routes["left"] == 1], [1, 1 + free], 1 + free + free * (free - 1) // 2)
+    groups = routes.groupby(["prefix", "bits"]).agg({"variants": "sum", "fp": "size"})
+    assert groups["variants"].max() <= 20_000 and groups["fp"].max() <= 3 * 16 * 37
+    # every variant of every fingerprint has exactly one place
+    assert (routes.groupby("fp")["variants"].sum() == 1 + 64 + 64 * 63 // 2).all()
     got = {r.node: r.root for r in components(simhash.links(frame, 4)).collect()}
     every = np.array(sorted(prints), dtype=np.int64).view(np.uint64)
     a, b = np.nonzero(np.triu(np.bitwise_count(every[:, None] ^ every[None, :]) <= 4, 1))
