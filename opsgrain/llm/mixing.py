@@ -103,14 +103,19 @@ def _moved(part: pd.DataFrame, seed: str, last: bool) -> pd.DataFrame:
     return part.assign(chance=now)
 
 
+def _flight_of(turn: int):
+    """The flight of a shard, with random numbers of its own in every turn."""
+    return lambda key, part: _moved(part, f"{key[0]}/{key[1]}" + (f"/{turn}" if turn else ""), False)
+
+
 def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST, shard_rows: int = SHARD_ROWS, rid: str | None = None) -> DataFrame:
     """doc_id, source, size, source_size, target, copies and taken (copies * size) of each row of ``docs`` (doc_id, text, source; ``rid`` names a
     text column that tells its rows, to be carried).
 
     A document of a source is expected target / source_size times.  The whole part of that is taken of all of them; of the rest, the cube
     method decides: within shards of a source the flight phase moves the chances along directions that keep the numbers of words and
-    documents, until two are left in a shard; those of all shards go through it again, and the last two of a source are decided
-    by the landing.  So the words taken of a source differ from its target by less than its largest document.
+    documents, until two are left in a shard; those of all shards go through it again, in shards as long as one would not hold
+    them, and the last two of a source are decided by the landing.  So the words taken of a source differ from its target by less than its largest document.
 
     The shard of a document follows from its id and the random numbers from the shard, so that reruns agree.  A null text has size 0; a
     null source is a source, the last one; null ids are spread by their place.  Repeated rows are decided each on its own.  An empty
@@ -129,13 +134,26 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHAR
         "doc_id", "source", "size", "rid", "source_size", "target",
         F.floor("expected").cast("bigint").alias("whole"),
         (F.col("expected") - F.floor("expected")).alias("chance"),
-        F.pmod(F.xxhash64(F.coalesce("doc_id", "rid"), "size"), shards).alias("shard"),
+        F.pmod(F.xxhash64(F.coalesce("doc_id", "rid"), "size"), shards).alias("shard"), "docs",
     )
-    flown = chances.groupBy("source", "shard").applyInPandas(lambda key, part: _moved(part, f"{key[0]}/{key[1]}", False), chances.schema)
-    flown = store(flown, "flown")
-    still = (F.col("chance") > 0) & (F.col("chance") < 1)
-    landed = flown.filter(still).groupBy("source").applyInPandas(lambda key, part: _moved(part, f"{key[0]}", True), chances.schema)
-    out = flown.filter(~still).unionByName(landed).withColumn("copies", F.col("whole") + F.round("chance").cast("bigint"))
+    still, decided, turn = (F.col("chance") > 0) & (F.col("chance") < 1), [], 0
+    while True:
+        flown = store(chances.groupBy("source", "shard").applyInPandas(_flight_of(turn), chances.schema), "flown")
+        decided.append(flown.filter(~still))
+        left = flown.filter(still)
+        most = left.groupBy("source").count().agg(F.max("count")).first()[0] or 0
+        if most <= shard_rows:
+            break
+        # two documents at most are left of a shard; they go through the flight in shards again
+        turn += 1
+        known = F.ceil(F.col("docs") / shard_rows) * 2
+        again = F.pmod(F.xxhash64(F.coalesce("doc_id", "rid"), "size", F.lit(turn)), F.greatest(F.lit(1), F.ceil(known / shard_rows)))
+        chances = left.withColumn("shard", again).withColumn("docs", known)
+    landed = left.groupBy("source").applyInPandas(lambda key, part: _moved(part, f"{key[0]}", True), left.schema)
+    out = landed
+    for part in decided:
+        out = out.unionByName(part)
+    out = out.withColumn("copies", F.col("whole") + F.round("chance").cast("bigint"))
     return out.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"),
         *([F.col("rid").alias(rid)] if rid else []),
