@@ -5,6 +5,7 @@ from __future__ import annotations
 import gzip
 import hashlib
 import json
+import re
 import struct
 import uuid
 import zlib
@@ -33,6 +34,8 @@ FULL16, FULL32 = 0xFFFF, 0xFFFFFFFF
 TAIL = 1 << 17
 #: Records that lie this close together are read at once, up to so many bytes.
 GAP, SPAN = 1 << 16, 8 << 20
+#: Entries of an index that a reader passes on at a time.
+LISTED = 1 << 16
 
 
 # --- ZIP packages -----------------------------------------------------------------------
@@ -166,22 +169,78 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, re
     return b"WARC/1.1\r\n" + lines.encode("utf-8", "surrogatepass") + b"\r\n" + block + b"\r\n\r\n"
 
 
-def parse(raw: bytes) -> tuple[dict[str, str], bytes]:
-    """Headers (lower-case names) and payload of one record."""
-    head, _, rest = raw.partition(b"\r\n\r\n")
+def head_of(raw: bytes) -> tuple[dict[str, str], int]:
+    """Headers (lower-case names) of the record that ``raw`` begins with, and where its block begins; ValueError without a whole head."""
+    head, blank, _ = raw.partition(b"\r\n\r\n")
     lines = head.decode("utf-8", "surrogatepass").split("\r\n")
-    if not lines[0].startswith("WARC/1."):
+    if not lines[0].startswith("WARC/1.") or not blank:
         raise ValueError("no WARC record")
-    headers = {k.lower(): v for k, _, v in (line.partition(": ") for line in lines[1:])}
-    block = rest[: int(headers["content-length"])]
-    if len(block) != int(headers["content-length"]):
-        raise ValueError("the record is cut")
-    return headers, block.partition(b"\r\n\r\n")[2]
+    return {k.lower(): v.strip() for k, _, v in (line.partition(":") for line in lines[1:])}, len(head) + 4
 
 
-def _page(value: str) -> int | None:
-    number = value.removeprefix("<urn:page:").removesuffix(">")
-    return int(number) if number else None
+def parse(raw: bytes) -> tuple[dict[str, str], bytes]:
+    """Headers (lower-case names) and payload of one record: the block behind its HTTP head, where it has one."""
+    headers, begin = head_of(raw)
+    block = raw[begin : begin + int(headers["content-length"])]
+    if len(block) != int(headers["content-length"]):
+        raise ValueError("the record is cut")
+    http = headers.get("content-type", "").startswith("application/http")
+    return headers, block.partition(b"\r\n\r\n")[2] if http else block
+
+
+def index_entries(chunks: Iterator[bytes]) -> Iterator[dict]:
+    """Entries of an index: lines of JSON, bare or behind key and time; other lines are passed over.  Gzip members are unpacked."""
+    rest = b""
+    for part in unpacked(chunks):
+        *lines, rest = (rest + part).split(b"\n")
+        yield from (json.loads(x[x.index(b"{") :]) for x in lines if b'"offset"' in x and b"{" in x)
+    yield from (json.loads(x[x.index(b"{") :]) for x in [rest] if b'"offset"' in x and b"{" in x)
+
+
+def unpacked(chunks: Iterator[bytes]) -> Iterator[bytes]:
+    """The chunks, or what the gzip members that they make up hold."""
+    machine = plain = None
+    for chunk in chunks:
+        if machine is None and plain is None:
+            plain = chunk[:2] != b"\x1f\x8b"
+        while chunk:
+            if plain:
+                yield chunk
+                break
+            machine = machine or zlib.decompressobj(31)
+            yield machine.decompress(chunk)
+            chunk = machine.unused_data
+            machine = None if machine.eof else machine
+
+
+def walk(read, begin: int, size: int) -> Iterator[tuple[int, int]]:
+    """(place, length) of the records of an archive that no index names: gzip members, or plain records by their heads."""
+    at, end = 0, size
+    while at < end:
+        first = read(begin + at, min(SPAN, end - at))
+        start = at
+        if first[:2] == b"\x1f\x8b":
+            machine, part = zlib.decompressobj(31), first
+            while True:
+                machine.decompress(part)
+                at += len(part) - len(machine.unused_data)
+                if machine.eof:
+                    break
+                if at >= end:
+                    raise ValueError("the last record of the archive is cut")
+                part = read(begin + at, min(SPAN, end - at))
+        else:
+            headers, block = head_of(first)
+            at += block + int(headers["content-length"]) + 4
+            if at > end:
+                raise ValueError("the last record of the archive is cut")
+        yield start, at - start
+
+
+def _page(value: str | None) -> int | None:
+    """The page of an id of this writer; null for any other."""
+    number = (value or "").removeprefix("<urn:page:").removesuffix(">")
+    return int(number) if number.isascii() and number.isdigit() else None
 
 
 # --- tables -----------------------------------------------------------------------------
@@ -253,37 +312,57 @@ def write_archives(pages: DataFrame, folder: str | None = None, revisit_bytes: i
 
 
 def locate(packages: DataFrame) -> DataFrame:
-    """(path, offset, length) of each record of the packages (path), from their directories and index members."""
+    """(path, offset, length) of each record of the packages (path), from their directories and index members.
+
+    Index members are those below ``indexes/``; an entry names an archive by its whole name or that below ``archive/``.  An archive that no
+    entry names is walked record by record, by the task that reads its package.
+    """
+
+    def places(uri: str) -> Iterator[list[tuple[int, int]]]:
+        with _opened(uri) as (read, length):
+            members = {m.name: m for m in directory(read, length)}
+            archives = {n: data_offset(read, m) for n, m in members.items() if n.startswith("archive/") and not n.endswith("/")}
+            base = {n.removeprefix("archive/"): (n, at) for n, at in archives.items()} | {n: (n, at) for n, at in archives.items()}
+            named: set[str] = set()
+            for name, m in members.items():
+                if not name.startswith("indexes/") or not m.size:
+                    continue
+                begin, found = data_offset(read, m), []
+                spans = (read(begin + at, min(SPAN, m.size - at)) for at in range(0, m.size, SPAN))
+                for x in index_entries(spans):
+                    archive, at = base[x["filename"]]
+                    named.add(archive)
+                    found.append((at + int(x["offset"]), int(x["length"])))
+                    if len(found) >= LISTED:
+                        yield found
+                        found = []
+                yield found
+            for archive, begin in archives.items():
+                if archive not in named:
+                    yield [(begin + at, n) for at, n in walk(read, begin, members[archive].size)]
 
     def entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for uri in batch["path"]:
-                with _opened(uri) as (read, length):
-                    members = {m.name: m for m in directory(read, length)}
-                    base = {name: data_offset(read, m) for name, m in members.items() if name.startswith("archive/")}
-                    for name, m in members.items():
-                        if not name.startswith("indexes/"):
-                            continue
-                        at, end, rest = data_offset(read, m), 0, b""
-                        while end < m.size:  # an index is read in spans
-                            part = read(at + end, min(SPAN, m.size - end))
-                            end += len(part)
-                            *lines, rest = (rest + part).split(b"\n")
-                            found = [json.loads(x) for x in lines if x]
-                            yield pd.DataFrame(
-                                {"path": uri, "offset": [base[x["filename"]] + x["offset"] for x in found], "length": [x["length"] for x in found]}
-                            ).astype({"offset": "int64", "length": "int64"})
+                for found in places(uri):
+                    yield pd.DataFrame({"path": uri, "offset": [at for at, _ in found], "length": [n for _, n in found]}).astype({"offset": "int64", "length": "int64"})
 
     return packages.select("path").mapInPandas(entries, "path string, offset bigint, length bigint")
 
 
 def read_records(entries: DataFrame) -> DataFrame:
-    """Records at the places (path, offset, length): page_id, url, record_type, digest, refers_to, payload (null for revisits).
+    """Records at the places (path, offset, length): record_id, page_id, url, record_type, digest, refers_id, refers_to, payload (null for revisits).
 
-    Records of a file that lie close together come with one range read; nothing is extracted.  The digest of a response is checked.
+    Records may be gzip members or plain.  ids are text as they stand; page_id and refers_to are the numbers of ids that this writer makes.
+    Records of a file that lie close together come with one range read; nothing is extracted.  A SHA-256 digest in hex is checked, a record
+    with another one, or without, gets that of its payload; revisits keep what they say.
     """
-    kind = "page_id bigint, url string, record_type string, digest string, refers_to bigint, payload binary"
-    schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("digest", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary())])
+    fields = [
+        ("record_id", pa.string()), ("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("digest", pa.string()),
+        ("refers_id", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary()),
+    ]
+    kind = "record_id string, page_id bigint, url string, record_type string, digest string, refers_id string, refers_to bigint, payload binary"
+    schema = pa.schema(fields)
 
     def spans(batch: pd.DataFrame):
         """Runs of neighbouring records of one file."""
@@ -306,13 +385,17 @@ def read_records(entries: DataFrame) -> DataFrame:
                     raw = read(start, run[-1][0] + run[-1][1] - start)
                 rows = []
                 for offset, length in run:
-                    headers, payload = parse(gzip.decompress(raw[offset - start : offset - start + length]))
-                    digest = headers["warc-payload-digest"].removeprefix("sha256:")
-                    revisit = headers["warc-type"] == "revisit"
-                    if not revisit and hashlib.sha256(payload).hexdigest() != digest:
-                        raise ValueError(f"{uri}: payload and digest differ at {offset}")
-                    refers = _page(headers["warc-refers-to"]) if revisit else None
-                    rows.append((_page(headers["warc-record-id"]), headers["warc-target-uri"], headers["warc-type"], digest, refers, None if revisit else payload))
+                    one = raw[offset - start : offset - start + length]
+                    headers, payload = parse(gzip.decompress(one) if one[:2] == b"\x1f\x8b" else one)
+                    said, revisit = headers.get("warc-payload-digest"), headers.get("warc-type") == "revisit"
+                    digest = said.removeprefix("sha256:") if said else None
+                    if not revisit:
+                        own = hashlib.sha256(payload).hexdigest()
+                        if said and re.fullmatch("sha256:[0-9a-f]{64}", said) and own != digest:
+                            raise ValueError(f"{uri}: payload and digest differ at {offset}")
+                        digest = own
+                    ident, refers = headers.get("warc-record-id"), headers.get("warc-refers-to") if revisit else None
+                    rows.append((ident, _page(ident), headers.get("warc-target-uri"), headers.get("warc-type"), digest, refers, _page(refers), None if revisit else payload))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
     return entries.repartitionByRange("path", "offset").mapInArrow(records, kind)
