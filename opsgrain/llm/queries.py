@@ -152,15 +152,18 @@ WINDOW w AS (PARTITION BY coalesce(text, ''))
 """,
 )
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.mark_copies(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return exact_dedup.mark_copies(_table(spark, sf_dir, "documents"))
 
 
 #: The rules of the query on pages.
 URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 
 
-def _sql_list(terms) -> str:
-    return "[" + ", ".join(f"'{t}'" for t in terms) + "]"
+def _sql_terms() -> str:
+    """Each term of the vocabulary that a URL holds."""
+    edge = ("(^|[^a-z0-9])", "([^a-z0-9]|$)")
+    each = (f"CASE WHEN regexp_matches(low, '{edge[0] * t.whole}{t.text}{edge[1] * t.whole}') THEN {{'term': '{t.text}', 'weight': {t.weight}::DOUBLE}} END" for t in url_filter.VOCABULARY)
+    return "[" + ",\n    ".join(each) + "]"
 
 
 @_query(
@@ -179,18 +182,19 @@ judged AS (
   SELECT p.*,
          (SELECT max_by(struct_pack(rule := r.rule, action := r.action), length(r.rule)) FROM rules r
           WHERE (p.host = r.host_end OR ends_with(p.host, '.' || r.host_end)) AND starts_with(p.path, r.start)) AS best,
-         list_filter({_sql_list(url_filter.STRICT)}, lambda t: regexp_matches(low, '(^|[^a-z0-9])' || t || '([^a-z0-9]|$)')) AS strict_terms,
-         list_filter({_sql_list(url_filter.SOFT)}, lambda t: regexp_matches(low, '(^|[^a-z0-9])' || t || '([^a-z0-9]|$)')) AS soft_terms
+         list_filter({_sql_terms()}, lambda t: t IS NOT NULL) AS terms
   FROM parts p)
 SELECT page_id, host, path, best.rule AS rule,
-       array_to_string(strict_terms, ',') AS strict_terms, array_to_string(soft_terms, ',') AS soft_terms,
-       coalesce(best.action, CASE WHEN len(strict_terms) > 0 OR len(soft_terms) >= {url_filter.SOFT_NEEDED} THEN 'block' ELSE 'allow' END) AS verdict
+       array_to_string(list_sort(list_transform(list_filter(terms, lambda t: t.weight >= {url_filter.REJECTED}), lambda t: t.term)), ',') AS strict_terms,
+       array_to_string(list_sort(list_transform(list_filter(terms, lambda t: t.weight < {url_filter.REJECTED}), lambda t: t.term)), ',') AS soft_terms,
+       round(coalesce(list_sum(list_transform(terms, lambda t: t.weight)), 0), 6) AS weight,
+       coalesce(best.action, CASE WHEN round(list_sum(list_transform(terms, lambda t: t.weight)), 6) >= {url_filter.REJECTED} THEN 'block' ELSE 'allow' END) AS verdict
 FROM judged
 """,
 )
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = url_filter.filter_urls(_table(spark, sf_dir, "pages"), URL_RULES)
-    return out.withColumns({c: F.array_join(c, ",") for c in ("strict_terms", "soft_terms")})
+    return out.withColumns({c: F.array_join(c, ",") for c in ("strict_terms", "soft_terms")} | {"weight": F.round("weight", 6)})
 
 
 def _wording(items: list) -> str:

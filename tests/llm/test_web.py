@@ -1,5 +1,6 @@
 """URL filter against a plain search, WARC packages against the zipfile module and an exact round trip."""
 
+import gzip
 import hashlib
 import io
 import random
@@ -29,8 +30,8 @@ def brute_verdict(url):
         if (host == h or host.endswith("." + h)) and path.startswith("/" + p) and (best is None or len(rule) > len(best[1])):
             best = (what, rule)
     low = "".join(c.lower() if c.isascii() else c for c in url or "")
-    hit = lambda t: re.search(rf"(?<![a-z0-9]){re.escape(t)}(?![a-z0-9])", low)
-    bad = any(map(hit, url_filter.STRICT)) or sum(1 for t in url_filter.SOFT if hit(t)) >= url_filter.SOFT_NEEDED
+    hit = lambda t: re.search(rf"(?<![a-z0-9]){re.escape(t.text)}(?![a-z0-9])", low) if t.whole else t.text in low
+    bad = round(sum(t.weight for t in url_filter.VOCABULARY if hit(t)), 6) >= 1
     return host, path, best[1] if best else None, best[0] if best else "block" if bad else "allow"
 
 
@@ -49,7 +50,22 @@ def test_urls_match_brute_force(spark):
     for i, u, *_ in rows:
         assert (got[i].host, got[i].path, got[i].rule, got[i].verdict) == brute_verdict(u), u
     assert url_filter.filter_urls(spark.createDataFrame([], PAGES), URL_RULES).count() == 0
-    assert {r.verdict for r in url_filter.filter_urls(spark.createDataFrame(rows, PAGES), strict=(), soft=()).collect()} == {"allow"}
+    assert {r.verdict for r in url_filter.filter_urls(spark.createDataFrame(rows, PAGES), vocabulary=()).collect()} == {"allow"}
+
+
+def test_weights_and_boundaries():
+    clean = ["http://a.org/farm/free-range-eggs", "http://a.org/win/hot-chocolate", "http://a.org/adult-free-admission", "http://essex.org/track/popup-book", "http://a.org/pharmacy"]
+    bad = ["http://onlineviagrashop.com", "http://a.com/nude-poker", "http://ads.a.com/popunder?affiliate=1", "http://a.com/SEX", "http://casino.a.org"]
+    weight = lambda u: url_filter.term_hits(u)[2]
+    assert all(weight(u) < 1 for u in clean) and all(weight(u) >= 1 for u in bad)
+    own = (url_filter.Term("eggs", 0.6), url_filter.Term("farm", 0.4), url_filter.Term("milk", 2.0, whole=False))
+    assert url_filter.term_hits(clean[0], own) == ([], ["eggs", "farm"], 1.0) and url_filter.term_hits("http://buttermilky", own)[0] == ["milk"]
+    assert len({t.text for t in url_filter.VOCABULARY}) == len(url_filter.VOCABULARY)
+
+
+def test_a_term_has_one_weight(spark):
+    with pytest.raises(ValueError):
+        url_filter.filter_urls(spark.createDataFrame([], PAGES), vocabulary=url_filter.terms("a a", 1.0))
 
 
 def test_longest_rule_wins(spark):
@@ -135,3 +151,50 @@ def test_archives_round_trip(spark):
 def test_archives_of_an_empty_table(spark):
     packages = warc.write_archives(spark.createDataFrame([], PAGES))
     assert packages.count() == 0 and warc.read_archives(packages).count() == 0
+
+
+def gz(*records):
+    return [gzip.compress(r) for r in records]
+
+
+def warc_record(kind, ident, body, http=True, **more):
+    block = (b"HTTP/1.1 200 OK\r\nX: y\r\n\r\n" if http else b"") + body
+    head = {"WARC-Type": kind, "WARC-Record-ID": ident, "WARC-Target-URI": "http://a/b", "Content-Type": "application/http; msgtype=response" if http else "text/plain"}
+    head |= {k.replace("_", "-"): v for k, v in more.items()} | {"Content-Length": str(len(block))}
+    return b"WARC/1.0\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head.items()).encode() + b"\r\n" + block + b"\r\n\r\n"
+
+
+@pytest.mark.parametrize("index", ["cdxj", "gz", "none", "plain"])
+def test_foreign_packages_are_read(spark, tmp_path, index):
+    """Indexes of key, time and JSON, compressed or not, with numbers as text; record ids as text; archives that no index names."""
+    bodies = [b"a" * 50, b"b" * 3_000_000, b"", b"c\r\n\r\nWARC/1.0\r\n"]
+    records = [warc_record("response", f"<urn:uuid:{i}>", b) for i, b in enumerate(bodies)]
+    records.insert(0, warc_record("warcinfo", "<urn:uuid:info>", b"software: x\r\n", http=False))
+    records.append(warc_record("revisit", "<urn:uuid:9>", b"", WARC_Refers_To="<urn:uuid:1>", WARC_Payload_Digest="sha1:ABC"))
+    parts, name = (records, "archive/x.warc") if index == "plain" else (gz(*records), "archive/x.warc.gz")
+    at, lines = 0, ["!meta {}", ""]
+    for i, part in enumerate(parts):
+        lines.append(f'com,a)/b 20240101000000 {{"url": "http://a/b", "filename": "x.warc.gz", "offset": "{at}", "length": "{len(part)}"}}')
+        at += len(part)
+    text = "\n".join(lines).encode()
+    members = [(name, parts), ("pages/pages.jsonl", [b"{}"])]
+    if index == "cdxj":
+        members.append(("indexes/index.cdxj", [text]))
+    elif index == "gz":
+        members.append(("indexes/index.cdx.gz", [gzip.compress(text[:100]), gzip.compress(text[100:])]))
+    path = tmp_path / "p.wacz"
+    path.write_bytes(package(members))
+    found = warc.read_records(warc.locate(spark.createDataFrame([(str(path),)], "path string"))).collect()
+    got = sorted((r.record_id, r.record_type, r.page_id, None if r.payload is None else bytes(r.payload)) for r in found)
+    want = [(f"<urn:uuid:{i}>", "response", None, b) for i, b in enumerate(bodies)]
+    assert got == sorted([*want, ("<urn:uuid:9>", "revisit", None, None), ("<urn:uuid:info>", "warcinfo", None, b"software: x\r\n")])
+    digests = {r.record_id: r.digest for r in found}
+    assert digests["<urn:uuid:0>"] == hashlib.sha256(bodies[0]).hexdigest() and digests["<urn:uuid:9>"] == "sha1:ABC"
+    assert {r.record_id: r.refers_id for r in found}["<urn:uuid:9>"] == "<urn:uuid:1>"
+
+
+def test_broken_archives_are_told(spark, tmp_path):
+    path = tmp_path / "p.zip"
+    path.write_bytes(package([("archive/x.warc.gz", [gz(warc_record("response", "<a>", b"x" * 9999))[0][:-20]])]))
+    with pytest.raises(Exception, match="cut"):
+        warc.locate(spark.createDataFrame([(str(path),)], "path string")).collect()
