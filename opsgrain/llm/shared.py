@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,12 +12,14 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; one of its own only where that is unset, as in tests."""
+    """``spark.checkpoint.dir`` of the session; one of its own only where that is unset and the master is local, as in tests."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         known = spark.sparkContext._jsc.sc().getCheckpointDir()
         if known.isDefined():
             root = known.get()
+        elif not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         else:
             root = tempfile.mkdtemp(prefix="llm-")
             spark.sparkContext.setCheckpointDir(root)
