@@ -7,6 +7,7 @@ written independently.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Sequence
@@ -279,8 +280,11 @@ def _own_folder() -> tempfile.TemporaryDirectory:
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
-    """A new folder for the files of one query: below ``spark.checkpoint.dir``, one of its own only where that is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or _own_folder().name
+    """A new folder for the files of one query: below ``spark.checkpoint.dir``, one of its own only where that is unset and the master is local."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+    root = root or _own_folder().name
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
