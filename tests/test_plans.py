@@ -350,18 +350,22 @@ def test_a_reload_reads_its_trailing_days_only(fact_files):
     assert df.exceptAll(whole).count() == 0 and whole.exceptAll(df).count() == 0
 
 
-def test_the_spine_is_the_build_side(spark):
+def test_spans_make_their_own_slots(spark):
+    """No join of spans and calendar, and an open end costs the slots of the days asked for."""
     from opsgrain.plans.workforce import available_minutes
 
     spans = [("a@x", "Available", at("2024-01-01 10:10:00"), at("2024-01-01 11:10:00")), ("a@x", "Available", at("2024-01-01 10:10:00"), at("2024-01-01 11:10:00")),
              ("b@x", "Break", at("2024-01-01 10:10:00"), at("2024-01-01 11:10:00")), ("c@x", "Available", at("2024-01-01 10:10:00"), None)]
     activity = spark.createDataFrame(spans, "email string, code string, date_time timestamp_ntz, status_remove_time timestamp_ntz")
     out = available_minutes(activity, "2024-01-01", "2024-01-03")
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert re.search(r"BroadcastHashJoin \[__slice#\d+\], \[__slice#\d+\], Inner, BuildRight", plan)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan and not re.search(r"Join.*(start_ts|end_ts|__node)", plan)
     got = out.collect()
     assert len(got) == 96 and sorted(r["available_minutes"] for r in got if r["login"]) == [10, 30]
     assert {(r["report_date"].day, r["day_minutes"]) for r in got} == {(1, 80), (2, None)}
+    forever = activity.withColumn("status_remove_time", F.lit("9999-12-31 00:00:00").cast("timestamp_ntz"))
+    late = available_minutes(forever, "2024-01-01", "2024-01-03").filter("login is not null").collect()
+    assert len({r["interval_start"] for r in late}) == 75 and {r["available_minutes"] for r in late} == {30}
 
 
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="test tables not there")
