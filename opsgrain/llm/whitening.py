@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
-from .shared import shared_folder, store
+from .shared import discard, shared_folder, store
 from .vector_codes import usable
 
 #: Components that are returned; whole numbers that 1.0 becomes and what is added; rows of a block.
@@ -95,6 +95,10 @@ class Blocks:
             yield first, matrix
             made.blocks().unpersist(False)
 
+    def discard(self) -> None:
+        """Delete the table; nothing may read it any more."""
+        discard(self.spark, self.table)
+
     def scatter(self) -> np.ndarray:
         return sum((scatter(m) for _, m in self.chunks()), np.zeros((self.width, self.width)))
 
@@ -182,7 +186,10 @@ def projected(packed: Blocks, matrix: np.ndarray) -> Blocks:
     for part in parts[1:]:
         out = out.unionByName(part.table)
     kind = f"block int, rows int, ids array<bigint>, deviations array<bigint>, matrix {_MATRIX}"
-    return keep_blocks(packed.table.drop("matrix").join(out, "block"), kind, packed.count, packed.block_rows, matrix.shape[1], "white")
+    whole = keep_blocks(packed.table.drop("matrix").join(out, "block"), kind, packed.count, packed.block_rows, matrix.shape[1], "white")
+    for part in (right, *parts):
+        part.discard()
+    return whole
 
 
 def unpacked(batches: Iterator[pa.RecordBatch], real: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -230,6 +237,7 @@ def whiten(vectors: DataFrame, components: int = COMPONENTS, scale: int = SCALE,
     mean = np.array([s / n for s in sums])
     kept = indexed(rows).select("index", "vec_id", deviation(F.col("x"), n, sums, largest).alias("deviation"), "x")
     packed = packed_blocks(kept, n, mean, block_rows)
+    discard(spark, rows)
     covariance = packed.scatter() / n
     values, directions = np.linalg.eigh(covariance)
     values, directions = values[::-1], directions[:, ::-1]
@@ -239,6 +247,7 @@ def whiten(vectors: DataFrame, components: int = COMPONENTS, scale: int = SCALE,
     real = values[:take] > dim * np.finfo(float).eps * max(values[0], 0.0)
     matrix = np.where(real, top / np.sqrt(np.where(real, values[:take], 1.0)), 0.0)
     white = projected(packed, matrix)
+    packed.discard()
     out = white.table.select("ids", "deviations", "matrix").mapInArrow(lambda batches: unpacked(batches, real), kind)
     trace = float(np.trace(covariance))
     explained = values[:take] / trace if trace else np.full(take, np.nan)
@@ -269,4 +278,6 @@ def identity_error(white: Blocks, n: int, real: np.ndarray) -> float | None:
 
     kind = f"block int, matrix {_MATRIX}"
     again = keep_blocks(white.table.select("block", "rows", "matrix").mapInArrow(centred, kind), kind, white.count, block_rows, width, "recentred")
-    return float(np.abs(again.scatter() / n - np.eye(width))[np.ix_(real, real)].max())
+    error = float(np.abs(again.scatter() / n - np.eye(width))[np.ix_(real, real)].max())
+    again.discard()
+    return error
