@@ -11,6 +11,15 @@ from ..functions.dialect import ntz
 from .cover import HALF_DAYS_TOP, covering, date_tick, half_tick, slice_tick, with_cover
 from .ordered import asof_lookup
 
+#: Days (or half days) that ``asof_dim`` compares with the versions of a key at once, as a power of four; no version has a cover of stretches above
+#: the rung STRETCHES_TOP.
+STRETCH_RUNG = 4
+STRETCH, STRETCHES_TOP = 4**STRETCH_RUNG, HALF_DAYS_TOP - STRETCH_RUNG
+
+
+def _stretch(tick: Column) -> Column:
+    return F.floor(tick / STRETCH)
+
 
 def broadcast_size(df: DataFrame) -> bool:
     """Does Spark's estimate of the size allow a broadcast?"""
@@ -38,10 +47,11 @@ def asof_dim(
 
     A dimension whose estimated size Spark would broadcast is joined on the key, with the range as residual: the facts stay where
     they are, and a key cannot have more versions than fit into the broadcast.  Beyond that size versions and facts of a key are
-    never compared.  Time is cut into days (or midnights and what lies between them); the distinct pairs of key and day of the
-    facts meet the covers of the versions (``operators.cover``) by equality, and the facts join what was found for their own pair.  So the
-    cost grows with the facts, the pairs and the versions, not with their product, and a key with very many
-    facts or versions is split at run time like any other equal key.
+    never compared.  Time is cut into days (or midnights and what lies between them), and these into stretches of ``STRETCH``.  The distinct
+    pairs of key and day of the facts meet the versions that reach into their stretch, which the covers of the versions in stretches
+    (``operators.cover``) tell, and the facts join what was found for their own pair.  In a stretch a version is compared with ``STRETCH`` pairs
+    at most, however many facts these stand for.  So the cost grows with the facts, the pairs and the versions, not with their product, and a key
+    with very many facts or versions is split at run time like any other equal key.
     """
     fact_key, dim_key = (key, key) if isinstance(key, str) else key
     at = F.col(ts) if isinstance(ts, str) else ts
@@ -58,9 +68,15 @@ def asof_dim(
         valid = facts["__at"].between(slim["__from"].cast(bound), slim["__to"].cast(bound))
         return facts.join(slim, (facts[fact_key] == slim["__dk"]) & valid, how).select(*keep, *attributes)
     tick, first, last = (date_tick(at), date_tick("__from"), date_tick("__to")) if by_date else (half_tick(at), half_tick("__from"), half_tick("__to"))
-    held = with_cover(slim, first, last).drop("__from", "__to")
+    held = slim.select("__dk", first.alias("__first"), last.alias("__last"), *[f"__d_{out}" for out in cols]).filter("__first <= __last")
     pairs = fact.select(F.col(fact_key).alias("__fk"), tick.alias("__tick")).filter("__fk is not null and __tick is not null").distinct()
-    valid = covering(pairs, F.col("__tick"), held, ["__fk"], ["__dk"], top=HALF_DAYS_TOP).drop("__dk")
+    pairs = pairs.withColumn("__stretch", _stretch(F.col("__tick")))
+    used = pairs.select(F.col("__fk").alias("__uk"), F.col("__stretch").alias("__in")).distinct()
+    spread = with_cover(held, _stretch(F.col("__first")), _stretch(F.col("__last")))
+    near = covering(used, F.col("__in"), spread, ["__uk"], ["__dk"], top=STRETCHES_TOP).drop("__dk")
+    met = pairs.join(near, (F.col("__fk") == F.col("__uk")) & (F.col("__stretch") == F.col("__in")))
+    hit = F.when(F.col("__tick").between(F.col("__first"), F.col("__last")), F.array(F.struct(*[f"__d_{out}" for out in cols])))
+    valid = met.select("__fk", "__tick", F.explode_outer(hit).alias("__hit")).filter("__hit is not null").select("__fk", "__tick", "__hit.*")
     facts = fact.withColumn("__at", tick)
     joined = facts.join(valid, (facts[fact_key] == valid["__fk"]) & (facts["__at"] == valid["__tick"]), how)
     return joined.select(*keep, *attributes)

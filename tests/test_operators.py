@@ -296,3 +296,16 @@ def test_quality(spark):
     assert sorted((r["k"], r["found_in"], r["m_diff"]) for r in rec.collect()) == [(1, "both", 2), (2, "only_b", None)]
     total = q.grand_total_check(spark.createDataFrame([(1,), (2,)], "n int"), spark.createDataFrame([(3,)], "n int"), ["n"]).first()
     assert total["matches"] is True
+
+
+def test_pairs_of_key_and_day_are_not_repeated_per_rung(spark, monkeypatch):
+    """Only the stretches in use ask every rung for covers; the days, of which there are far more, are shuffled once."""
+    monkeypatch.setattr(joins, "broadcast_size", lambda df: False)
+    fact = spark.createDataFrame([(i, 7, at("2024-01-31 15:00:00") + timedelta(days=i)) for i in range(700)], "id int, k int, t timestamp_ntz")
+    dim = spark.createDataFrame(
+        [(7, date(2024, 1, 1), date(2024, 12, 31), "a"), (7, date(2025, 1, 1), date(9999, 12, 31), "b")], "k int, start_date date, end_date date, city string"
+    )
+    out = asof_dim(fact, dim, "k", "t", {"city": "city"})
+    assert [(r["city"], r["count"]) for r in out.groupBy("city").count().orderBy("city").collect()] == [("a", 336), ("b", 364)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "[0,1,2,3,4,5,6,7,8,9,10,11]" not in plan and "[0,1,2,3,4,5,6,7]" in plan
