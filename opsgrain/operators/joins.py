@@ -21,10 +21,22 @@ def _stretch(tick: Column) -> Column:
     return F.floor(tick / STRETCH)
 
 
+#: Bytes in memory of a byte in a compressed file, about.
+UNPACKED = 10
+
+
 def broadcast_size(df: DataFrame) -> bool:
-    """Does Spark's estimate of the size allow a broadcast?"""
+    """Does the estimated size allow a broadcast?  Spark's estimate is that of the files, so it is multiplied by ``UNPACKED``."""
     most = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= most
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) * UNPACKED <= most
+
+
+def dim_side(dim: DataFrame) -> DataFrame:
+    """The dimension side of an equal join: by sort and merge where its rows, unpacked, are too many for a broadcast.
+
+    The driver builds the table of a broadcast and every executor holds it, while well compressed keys and names look small in their files.
+    """
+    return dim if broadcast_size(dim) else dim.hint("merge")
 
 
 def asof_dim(

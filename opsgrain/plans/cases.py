@@ -16,7 +16,7 @@ from ..operators.history import (
     to_intervals,
     transition_type,
 )
-from ..operators.joins import asof_dim, fold_join, state_at
+from ..operators.joins import asof_dim, dim_side, fold_join, state_at
 from ..operators.match import first_contact_resolution, nearest_of_each
 from ..operators.metrics import side_by_side, with_totals
 from ..operators.ordered import ordered, time_chunk
@@ -90,7 +90,7 @@ def case_queue_history(
         F.col("case_id").alias("__c"), F.col("created_by_id").alias("__u"), "__at", "transfer_comment", "transfer_reason"
     )
     users = t["users"].select(F.col("id").alias("__id"), F.col("name").alias("__name"), "last_name")
-    out = stays.join(users, stays["user_id"] == users["__id"], "left")
+    out = stays.join(dim_side(users), stays["user_id"] == users["__id"], "left")
     out = asof_dim(
         out, t["employees"], ("user_id", "agent_id"), "queue_start_time",
         {"employee_id": "employee_id", "__full_name": "full_name"}, by_date=True,
@@ -101,7 +101,7 @@ def case_queue_history(
         "left",
     )
     base = t["base_cases"].select(F.col("case_id").alias("__b"), "case_number")
-    out = out.join(base, F.col("case_id") == F.col("__b"), "left")
+    out = out.join(dim_side(base), F.col("case_id") == F.col("__b"), "left")
     out = out.select(
         F.concat(F.col("case_id").cast("string"), F.date_format("queue_start_time", "yyyy-MM-dd HH:mm:ss.SSS")).alias("cq_hash_key"),
         "source", "case_id", "case_number", "queue_id", "queue_name", "queue_type", "employee_id", "user_id",
@@ -131,7 +131,7 @@ def case_queue_transfers(
     base = base_cases.filter(F.col("case_created_at") >= F.lit(since).cast("timestamp_ntz")).select(
         F.col("case_id").alias("__b"), F.col("case_created_at").cast("date").alias("case_creation_date")
     )
-    q = queues.join(base, F.col("case_id") == F.col("__b")).drop("__b")
+    q = queues.join(dim_side(base), F.col("case_id") == F.col("__b")).drop("__b")
     q = q.withColumns(
         {
             "time_in_queue_minutes": datediff_boundary("minute", "queue_start_time", "queue_end_time"),
