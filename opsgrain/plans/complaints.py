@@ -11,9 +11,10 @@ from ..functions.dates import business_days_between
 from ..functions.dialect import PACIFIC, UTC, convert_tz, datediff_boundary, deep_link, ilike_any, like_plain, ntz, safe_ratio, trunc_date
 from ..operators.calendar import calendar_spine
 from ..operators.classify import case, incident_windows
-from ..operators.history import first_event, latest_event, pick_row
-from ..operators.joins import asof_dim
+from ..operators.history import first_event, latest_event
+from ..operators.joins import asof_dim, dim_side
 from ..operators.metrics import confusion_rates, distinct_counts, expected_rate, trailing_ratio
+from ..operators.ordered import epoch_micros
 
 Tables = Mapping[str, DataFrame]
 
@@ -137,7 +138,7 @@ def complaints_sot(
         c = asof_dim(c, t["employees"], (key, "agent_id"), day, cols, by_date=True)
     users = t["users"].select(F.col("id").alias("__u"), F.col("name").alias("__user_name"))
     queues = t["queue_catalog"].select(F.col("queue_id").alias("__q"), F.col("queue_name").alias("__queue_name"))
-    c = c.join(users, F.col("last_modified_by_id") == F.col("__u"), "left").join(queues, F.col("owner_id") == F.col("__q"), "left")
+    c = c.join(dim_side(users), F.col("last_modified_by_id") == F.col("__u"), "left").join(queues, F.col("owner_id") == F.col("__q"), "left")
 
     answered = latest_event(
         t["complaint_history"].filter(F.col("field") == bbb_field), ["parent_id"], "created_at_utc", ["new_value"]
@@ -305,29 +306,30 @@ def remediation_list(
     order central, mail_action, mail, mail_open, any_mail, owned, closed, before_queue, and none.
     """
     cases = t["cases"]
-    resolved = cases.select("case_id", F.coalesce("first_resolved_at", "last_resolved_at").alias("__resolved"))
-
     def is_specialist(team: str) -> Column:
         return ilike_any(team, specialist)
 
     owners = asof_dim(
         t["owner_history"], t["employees"], ("new_value", "agent_id"), "created_at_utc", {"team_code": "team_code"}, by_date=False, how="inner"
     ).filter(is_specialist("team_code"))
-    first_owner = first_event(owners.join(resolved, "case_id"), ["case_id"], "created_at_utc", ["new_value"]).select(
-        "case_id", F.lit(True).alias("__owned")
-    )
-    queued = t["owner_history"].filter(F.col("new_name") == escalation_queue).join(resolved, "case_id")
-    first_queue = first_event(queued, ["case_id"], "created_at_utc").select(
-        "case_id", F.coalesce(F.col("created_at_utc") > F.col("__resolved"), F.lit(False)).alias("__before_queue")
-    )
+    queued = t["owner_history"].filter(F.col("new_name") == escalation_queue)
     mails = asof_dim(
         t["emails"].filter(F.col("direction") == "outgoing"), t["employees"], ("created_by_id", "agent_id"), "email_created_at",
         {"team_code": "team_code"}, by_date=False, how="inner",
     )
-    # DESC puts NULL first: a sender without team code wins over a specialist
-    best_mail = pick_row(
-        mails, ["case_id"], [is_specialist("team_code").desc_nulls_first(), F.col("email_created_at").desc_nulls_last(), F.col("email_id")]
-    ).select("case_id", F.col("team_code").alias("__mail_team"))
+    # a sender without team code wins over a specialist, then the latest mail
+    special = is_specialist("team_code")
+    newest = F.struct(
+        F.when(special.isNull(), 0).when(special, 1).otherwise(2).alias("rank"), F.col("email_created_at").isNull().alias("undated"),
+        (-epoch_micros(F.col("email_created_at"))).alias("age"), F.col("email_id"),
+    )
+    # one row per case out of one aggregate: a shuffle and a sort for the three sides together
+    facts = owners.select("case_id", F.lit(True).alias("__owned"))
+    facts = facts.unionByName(queued.select("case_id", F.col("created_at_utc").alias("__queued_at")), allowMissingColumns=True)
+    facts = facts.unionByName(mails.select("case_id", newest.alias("__mail"), "team_code"), allowMissingColumns=True)
+    firsts = facts.groupBy("case_id").agg(
+        F.max("__owned").alias("__owned"), F.min("__queued_at").alias("__queued_at"), F.min_by("team_code", "__mail").alias("__mail_team")
+    )
 
     c = t["complaints"].filter((F.col("complaint_status") == "In Progress") & (F.col("severity_tier") == "Tier 2"))
     gate = (
@@ -339,8 +341,10 @@ def remediation_list(
         & F.coalesce("country", F.lit("United States")).isin(*countries)
     )
     c = c.filter(gate)
-    slim = cases.select("case_id", "case_number", "status", "case_creation_date_time_utc")
-    for side in (slim, first_owner, first_queue, best_mail):
+    slim = cases.select(
+        "case_id", "case_number", "status", "case_creation_date_time_utc", F.coalesce("first_resolved_at", "last_resolved_at").alias("__resolved")
+    )
+    for side in (slim, firsts):
         c = c.join(side, "case_id", "left")
     done = F.col("status").isin("Closed", "Resolved")
     special = F.coalesce(is_specialist("__mail_team"), F.lit(False))
@@ -353,7 +357,7 @@ def remediation_list(
             (F.col("__mail_team").isNotNull() & done, texts["any_mail"]),
             (F.col("__owned").isNotNull() & done, texts["owned"]),
             (done & F.col("closed_ts_utc").isNotNull(), texts["closed"]),
-            (F.col("__before_queue"), texts["before_queue"]),
+            (F.col("__queued_at") > F.col("__resolved"), texts["before_queue"]),
         ],
         F.lit(texts["none"]),
     )

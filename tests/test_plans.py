@@ -378,3 +378,37 @@ def test_inputs_are_built_once(spark, name, most):
     df.collect()
     final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert len(re.findall("FileScan parquet", final)) <= most
+
+
+def test_remediation_gathers_a_case_once(spark):
+    """Owner, queue and mail of a case come out of one aggregate; the best mail is that without team code, then a specialist's, then the latest."""
+    from opsgrain.plans import complaints
+
+    noon = "timestamp_ntz'2024-01-05 12:00:00'"
+    t = {
+        "complaints": spark.sql(
+            f"""SELECT cast(id AS int) AS complaint_id, cast(id AS int) AS case_id, 'In Progress' AS complaint_status, 'Tier 2' AS severity_tier, false AS is_duplicate,
+            'Internal' AS workflow, 'Main' AS business_unit, 'x' AS third_party_source, 'Unknown' AS country, false AS is_central_team, 'refund' AS resulting_action,
+            cast(null AS timestamp_ntz) AS closed_ts_utc, {noon} AS created_ts_utc, 'n' AS review_notes FROM range(1, 6)"""
+        ),
+        "cases": spark.sql(
+            f"""SELECT cast(id AS int) AS case_id, 'N' AS case_number, if(id = 5, 'Open', 'Closed') AS status, {noon} AS case_creation_date_time_utc,
+            {noon} AS first_resolved_at, {noon} AS last_resolved_at FROM range(1, 6)"""
+        ),
+        "owner_history": spark.sql(
+            """SELECT * FROM VALUES (3, 1, 'Team', timestamp_ntz'2024-01-02'), (5, 9, 'Escalations', timestamp_ntz'2024-01-06'), (5, 9, 'Escalations', null),
+            (null, 1, 'Escalations', timestamp_ntz'2024-01-02') AS v(case_id, new_value, new_name, created_at_utc)"""
+        ),
+        "emails": spark.sql(
+            """SELECT *, 'outgoing' AS direction FROM VALUES (1, 1, 2, timestamp_ntz'2024-01-03'), (2, 1, 1, timestamp_ntz'2024-01-02'), (3, 2, 1, timestamp_ntz'2024-01-02'),
+            (4, 2, 3, timestamp_ntz'2024-01-01') AS v(email_id, case_id, created_by_id, email_created_at)"""
+        ),
+        "employees": spark.sql(
+            "SELECT *, date'2023-01-01' AS start_date, date'2025-01-01' AS end_date FROM VALUES (1, 'MET 1'), (2, 'core'), (3, null) AS v(agent_id, team_code)"
+        ),
+    }
+    names = ["central", "mail_action", "mail", "mail_open", "any_mail", "owned", "closed", "before_queue", "none"]
+    out = complaints.remediation_list(t, specialist=["%met%"], escalation_queue="Escalations", business_unit="Main", texts={n: n for n in names})
+    got = {r["case_id"]: r["remediation_bucket"] for r in out.collect()}
+    assert got == {1: "mail_action", 2: "none", 3: "owned", 4: "none", 5: "before_queue"}
+    assert "Window" not in out._jdf.queryExecution().optimizedPlan().toString()
