@@ -32,6 +32,8 @@ _FLAGS = {
 }
 FILES = 4
 _END = "2025-06-01"
+#: Rows that one task writes into one file of a replay, about.
+ROWS_PER_FILE = 1_000_000
 
 
 def _flags():
@@ -53,6 +55,20 @@ def _replay(spark, sf_dir, folder, end: bool = True, files_per_batch: int = 1):
     return s.file_stream(spark, f"{folder}/in", files_per_batch=files_per_batch)
 
 
+def _land(spark, parts, folder) -> int:
+    """Write the parts one after the other, each as the same number of files, and return that number: so many files are a batch of the stream.
+
+    A part is written by as many tasks as it has files.  The order of files is that of their times, so a part with fewer rows is filled up with files
+    without any.
+    """
+    n = max(1, *(-(-part.count() // ROWS_PER_FILE) for part in parts))
+    for i, part in enumerate(parts):
+        (part.coalesce(1) if n == 1 else part.repartition(n)).write.parquet(f"{folder}/{i}")
+        for k in range(n - len(spark.read.parquet(f"{folder}/{i}").inputFiles())):
+            spark.createDataFrame([], part.schema).coalesce(1).write.parquet(f"{folder}/{i}/empty{k}")
+    return n
+
+
 _HOURS = """
 WITH h AS (
   SELECT date_trunc('hour', ts) AS h{key}, count(DISTINCT event_id) AS handled,
@@ -118,9 +134,10 @@ def stream_uncounted_rows(spark, sf_dir):
     )
     # the newest row again, so that batches lie between the others and the stragglers
     newest = rows.filter(f"not ({_STRAGGLERS})").orderBy(F.col("ts").desc()).limit(1).withColumns({"event_id": F.lit(None).cast("bigint"), "event_type": F.lit(None).cast("string")})
-    for i, part in enumerate([rows.filter(f"not ({_STRAGGLERS})"), newest, newest, rows.filter(_STRAGGLERS), end]):
-        part.coalesce(1).write.parquet(f"{root}/in/{i}")
-    events = s.file_stream(spark, f"{root}/in", files_per_batch=1)
+    batch = _land(spark, [rows.filter(f"not ({_STRAGGLERS})"), newest, newest, rows.filter(_STRAGGLERS)], f"{root}/in")
+    # the last batch needs no more than its one row
+    end.coalesce(1).write.parquet(f"{root}/in/4")
+    events = s.file_stream(spark, f"{root}/in", files_per_batch=batch)
     hourly = s.stream_sla(events, "ts", "event_id", ["event_type"], _flags(), rows="rows")
     s.run_to_end(hourly, f"{root}/out", f"{root}/checkpoint")
     landed = spark.read.parquet(f"{root}/in/0", f"{root}/in/3")
@@ -132,11 +149,10 @@ def _dealt(spark, rows, folder: str, ts: str, end: dict):
     """A table as a stream of several files, a tenth of the rows one file late; the last file holds one row that ends the time."""
     at = F.floor(F.datediff(ts, F.lit("2024-01-01").cast("date")) / 8) + F.when(F.pmod(F.xxhash64(*rows.columns), F.lit(10)) == 0, 1).otherwise(0)
     rows = rows.withColumn("part", F.coalesce(F.least(F.greatest(at, F.lit(0)), F.lit(FILES - 1)), F.lit(0)))
-    for i in range(FILES):
-        rows.filter(F.col("part") == i).drop("part").coalesce(1).write.parquet(f"{folder}/{i}")
+    batch = _land(spark, [rows.filter(F.col("part") == i).drop("part") for i in range(FILES)], folder)
     one = spark.range(1).select(*[F.lit(end.get(f.name)).cast(f.dataType).alias(f.name) for f in rows.drop("part").schema.fields])
     one.coalesce(1).write.parquet(f"{folder}/{FILES}")
-    return s.file_stream(spark, folder, files_per_batch=1)
+    return s.file_stream(spark, folder, files_per_batch=batch)
 
 
 @register(

@@ -181,3 +181,21 @@ def test_work_folder_follows_the_cluster_setting(spark):
     root = work_folder(spark, "x")
     old = spark.conf.get("spark.checkpoint.dir", None)
     assert root.startswith(old.rstrip("/") + "/x-") if old else "opsgrain-" in root
+
+
+def test_batches_of_several_files_count_like_single_files(spark, tmp_path, monkeypatch):
+    """A batch is as many files as tasks wrote, whatever is in them; a part with too few rows is filled up."""
+    from opsgrain.registry import QUERIES, streams
+
+    rows = spark.range(400).selectExpr(
+        "id AS event_id", "timestampadd(HOUR, cast(id * 2 AS int), timestamp_ntz'2024-01-01 00:10:00') AS ts", "id % 9 AS user_id",
+        "if(id % 2 = 0, 'view', 'click') AS event_type", "cast(id % 200 AS double) AS value", "concat('{\"k\": ', id % 100, '}') AS props",
+    )
+    rows.write.parquet(str(tmp_path / "events.parquet"))
+    run = lambda: sorted(map(tuple, QUERIES["stream_uncounted_rows"](spark, str(tmp_path)).collect()))
+    one = run()
+    sizes = []
+    land = streams._land
+    monkeypatch.setattr(streams, "_land", lambda *a: sizes.append(land(*a)) or sizes[-1])
+    monkeypatch.setattr(streams, "ROWS_PER_FILE", 250)
+    assert one and run() == one and sizes == [3]
