@@ -58,8 +58,8 @@ def asof_dim(
     row each, as the relational join does.
 
     A dimension whose estimated size Spark would broadcast is joined on the key, with the range as residual: the facts stay where
-    they are, and a key cannot have more versions than fit into the broadcast.  Beyond that size versions and facts of a key are
-    never compared.  Time is cut into days (or midnights and what lies between them), and these into stretches of ``STRETCH``.  The distinct
+    they are, and a key cannot have more versions than fit into the broadcast.  Beyond that size versions are not compared
+    with the facts of their key.  Time is cut into days (or midnights and what lies between them), and these into stretches of ``STRETCH``.  The distinct
     pairs of key and day of the facts meet the versions that reach into their stretch, which the covers of the versions in stretches
     (``operators.cover``) tell, and the facts join what was found for their own pair.  In a stretch a version is compared with ``STRETCH`` pairs
     at most, however many facts these stand for.  So the cost grows with the facts, the pairs and the versions, not with their product, and a key
