@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from ..plans import cases, payments, sla
@@ -63,7 +64,7 @@ def _land(spark, parts, folder) -> int:
     """
     n = max(1, *(-(-part.count() // ROWS_PER_FILE) for part in parts))
     for i, part in enumerate(parts):
-        (part.coalesce(1) if n == 1 else part.repartition(n)).write.parquet(f"{folder}/{i}")
+        part.repartition(n).write.parquet(f"{folder}/{i}")
         for k in range(n - len(spark.read.parquet(f"{folder}/{i}").inputFiles())):
             spark.createDataFrame([], part.schema).coalesce(1).write.parquet(f"{folder}/{i}/empty{k}")
     return n
@@ -148,8 +149,10 @@ def stream_uncounted_rows(spark, sf_dir):
 def _dealt(spark, rows, folder: str, ts: str, end: dict):
     """A table as a stream of several files, a tenth of the rows one file late; the last file holds one row that ends the time."""
     at = F.floor(F.datediff(ts, F.lit("2024-01-01").cast("date")) / 8) + F.when(F.pmod(F.xxhash64(*rows.columns), F.lit(10)) == 0, 1).otherwise(0)
-    rows = rows.withColumn("part", F.coalesce(F.least(F.greatest(at, F.lit(0)), F.lit(FILES - 1)), F.lit(0)))
+    # read once: each part is counted and written
+    rows = rows.withColumn("part", F.coalesce(F.least(F.greatest(at, F.lit(0)), F.lit(FILES - 1)), F.lit(0))).persist(StorageLevel.DISK_ONLY)
     batch = _land(spark, [rows.filter(F.col("part") == i).drop("part") for i in range(FILES)], folder)
+    rows.unpersist()
     one = spark.range(1).select(*[F.lit(end.get(f.name)).cast(f.dataType).alias(f.name) for f in rows.drop("part").schema.fields])
     one.coalesce(1).write.parquet(f"{folder}/{FILES}")
     return s.file_stream(spark, folder, files_per_batch=batch)

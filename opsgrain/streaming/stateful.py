@@ -7,6 +7,7 @@ from contextlib import contextmanager
 from datetime import timedelta
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -99,52 +100,77 @@ def stream_alerts(
 # -- stays -------------------------------------------------------------------------------------
 
 
+def _packed(rows: pd.DataFrame, schema: pa.Schema) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(pa.Table.from_pandas(rows, schema=schema, preserve_index=False))
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(parts: Sequence[bytes], schema: pa.Schema) -> pd.DataFrame:
+    tables = [pa.ipc.open_stream(bytes(p)).read_all() for p in parts]
+    return (pa.concat_tables(tables) if tables else schema.empty_table()).to_pandas()
+
+
 class _Stays(StatefulProcessor):
-    """Per key: the rows that an earlier one may still precede, and the open stay (number, value, start, row)."""
+    """Per bucket of keys: the rows that an earlier one may still precede, and the open stay (number, value, start, row) of each key.
+
+    Both are kept as packed tables, and all keys of a bucket are worked off together: a call and its round trips to the state cost some
+    milliseconds, whatever is in them.
+    """
 
     def __init__(self, ties: int, gap: int):
         self.order, self.gap = ["at", *[f"tie{i}" for i in range(ties)], "held"], gap
+        kinds = {"key": pa.string(), "at": pa.int64(), **dict.fromkeys(self.order[1:-1], pa.float64()), "held": pa.string(), "value": pa.string()}
+        self.waiting = pa.schema(kinds)
+        self.stays = pa.schema({"key": pa.string(), "number": pa.int64(), "value": pa.string(), "at": pa.int64(), "held": pa.string()})
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pending = handle.getListState("pending", "at bigint, " + "".join(f"{t} double, " for t in self.order[1:-1]) + "held string, value string")
-        self.open = handle.getValueState("open", "number bigint, value string, at bigint, held string")
+        self.pending = handle.getListState("pending", "rows binary")
+        self.open = handle.getValueState("open", "rows binary")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        new = pd.concat(list(rows))[[*self.order, "value"]]
-        self.pending.appendList([tuple(None if pd.isna(v) else v for v in r) for r in new.astype(object).itertuples(index=False)])
-        return self.release(key, timerValues.getCurrentWatermarkInMs())
+        new = [(_packed(part[self.waiting.names], self.waiting),) for part in rows]
+        return self.release(new, timerValues.getCurrentWatermarkInMs())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        return self.release(key, timerValues.getCurrentWatermarkInMs())
+        return self.release([], timerValues.getCurrentWatermarkInMs())
 
-    def release(self, key, watermark: int) -> Iterator[pd.DataFrame]:
+    def release(self, new: list[tuple[bytes]], watermark: int) -> Iterator[pd.DataFrame]:
         """Work off the rows before the watermark, in order."""
-        held = pd.DataFrame([tuple(r) for r in self.pending.get()], columns=[*self.order, "value"])
+        held = _unpacked([r[0] for r in [*self.pending.get(), *new]], self.waiting)
         sure = held["at"] < watermark * 1000
         wait = held[~sure]
-        out: list[tuple] = []
-        stay, opened = (tuple(self.open.get()) if self.open.exists() else None), False
-        for row in held[sure].sort_values(self.order, na_position="first").itertuples(index=False):
-            if stay is not None:
-                if row.value is not None and row.value == stay[1]:
-                    continue
-                out.append((*key, stay[0], stay[3], row.at - self.gap))
-            stay, opened = ((stay[0] if stay else 0) + 1, row.value, row.at, row.held), True
-        if opened:
-            self.open.update(stay)
-            out.append((*key, stay[0], stay[3], None))
-        if len(wait):
-            self.pending.put([tuple(None if pd.isna(v) else v for v in r) for r in wait.astype(object).itertuples(index=False)])
+        if not sure.any():
+            if new:
+                self.pending.appendList(new)
+        elif len(wait):
+            self.pending.put([(_packed(wait, self.waiting),)])
         else:
             self.pending.clear()
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
         if len(wait):
             self.handle.registerTimer(int(wait["at"].min()) // 1000 + 1)
-        if out:
-            log = pd.DataFrame(out, columns=["key", "number", "held", "until"])
-            yield log.astype({"until": "Int64"})
+        if sure.any():
+            yield self.log(held[sure])
+
+    def log(self, moves: pd.DataFrame) -> pd.DataFrame:
+        """The stays that ``moves`` end and begin; the last one of each key stays open."""
+        known = _unpacked([self.open.get()[0]] if self.open.exists() else [], self.stays)
+        touched = known["key"].isin(moves["key"])
+        # the open stay of a key is the row before its moves
+        rows = pd.concat([known[touched].assign(begins=0), moves.assign(begins=1)], ignore_index=True)
+        rows = rows.sort_values(["key", "begins", *self.order], na_position="first", ignore_index=True)
+        again = (rows["key"] == rows["key"].shift()) & rows["value"].notna() & (rows["value"] == rows["value"].shift())
+        rows = rows[~again].reset_index(drop=True)
+        stay = rows.groupby("key")
+        rows["number"] = (stay["number"].transform("first").fillna(1) + stay.cumcount()).astype("int64")
+        rows["until"] = rows["at"].astype("Int64").groupby(rows["key"]).shift(-1) - self.gap
+        last = rows["until"].isna()
+        self.open.update((_packed(pd.concat([known[~touched], rows.loc[last, known.columns]], ignore_index=True), self.stays),))
+        return rows.loc[~last | (rows["begins"] == 1), ["key", "number", "held", "until"]]
 
     def close(self) -> None:
         pass
@@ -153,15 +179,21 @@ class _Stays(StatefulProcessor):
 _JSON = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
-def stream_stays(moves: DataFrame, key: str, ts: str, value: str, *, tie: Sequence[str] = (), lateness: str = "7 days", gap_seconds: int = 1) -> DataFrame:
+def stream_stays(
+    moves: DataFrame, key: str, ts: str, value: str, *, tie: Sequence[str] = (), lateness: str = "7 days", gap_seconds: int = 1, buckets: int = 512
+) -> DataFrame:
     """A log of stays from a stream of moves: a row when a stay begins and one when it ends (``stays_of`` makes the table of it).
 
     The change points are those of ``compact_changes`` and the ends those of ``to_intervals``, however the moves are dealt over batches: a move waits in
     the state of its key until the watermark has passed it, then it is worked off in order of time and ``tie`` (numbers).  Besides the
     waiting rows the state of a key is its open stay.  Moves later than ``lateness`` do not count.
+
+    Keys share ``buckets`` by their hash, and Python is called once per bucket and batch.  A batch reads and writes the state of the buckets it touches,
+    and a bucket has to fit a Python worker: more keys, or small batches over many keys, want more buckets.  A checkpoint keeps its number.
     """
     known = moves.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
     rows = known.select(
+        F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).alias("bucket"),
         F.col(key).cast("string").alias("key"),
         F.col(ts).cast("timestamp").alias("event"),
         epoch_micros(F.col(ts)).alias("at"),
@@ -169,7 +201,7 @@ def stream_stays(moves: DataFrame, key: str, ts: str, value: str, *, tie: Sequen
         F.to_json(F.struct(*moves.columns), _JSON).alias("held"),
         F.col(value).cast("string").alias("value"),
     )
-    return rows.withWatermark("event", lateness).groupBy("key").transformWithStateInPandas(
+    return rows.withWatermark("event", lateness).groupBy("bucket").transformWithStateInPandas(
         statefulProcessor=_Stays(len(tie), gap_seconds * 1_000_000),
         outputStructType="key string, number bigint, held string, until bigint", outputMode="Append", timeMode="EventTime",
     )

@@ -123,6 +123,36 @@ def test_stays_equal_the_batch_however_moves_are_dealt(spark, tmp_path, seed):
     assert plain.count() > 60
 
 
+def test_keys_share_the_state_of_a_bucket(spark, tmp_path):
+    """Python is called once per bucket and batch, not once per key: the state holds some rows per bucket, however many keys there are."""
+    from opsgrain.operators.history import compact_changes, to_intervals
+
+    rng = random.Random(3)
+    moves = [(k, T0 + timedelta(hours=h + rng.randint(0, 30)), rng.choice([1, 2, None]), rng.choice([5, None])) for h in (0, 240, 480) for k in range(200) for _ in range(2)]
+    batches = [moves[i : i + 400] for i in (0, 400, 800)]
+    stream = move_files(spark, str(tmp_path / "in"), [*batches, [(-1, T0 + timedelta(days=400), 0, 0)]])
+    log = stateful.stream_stays(stream, "k", "at", "q", tie=["q", "u"], buckets=2)
+    done = stateful.append_to(log, str(tmp_path / "log"), str(tmp_path / "cp"))
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in done.recentProgress if p["stateOperators"]) <= 20
+    got = stateful.stays_of(spark.read.parquet(str(tmp_path / "log")), stream, "n", "until").filter("k >= 0")
+    plain = to_intervals(compact_changes(spark.createDataFrame(moves, MOVES), "k", "at", "q", tie=["q", "u"]), "k", "at", tie=["q", "u"], number="n", end="until")
+    text = lambda df: sorted(str(tuple(r[c] for c in ("k", "n", "at", "q", "u", "until"))) for r in df.collect())
+    assert text(got) == text(plain)
+
+
+def test_a_dealt_table_is_read_once(spark, tmp_path, monkeypatch):
+    """The parts of a dealt table are counted and written out of one read, and hold all its rows."""
+    from opsgrain.registry import streams
+
+    rows = spark.range(500).selectExpr("id", "if(id % 50 = 0, null, timestampadd(HOUR, cast(id AS int), timestamp_ntz'2024-01-01 00:00:00')) AS ts")
+    plans = []
+    land = streams._land
+    monkeypatch.setattr(streams, "_land", lambda spark, parts, folder: plans.extend(p._jdf.queryExecution().executedPlan().toString() for p in parts) or land(spark, parts, folder))
+    streams._dealt(spark, rows, str(tmp_path / "in"), "ts", {"ts": "2025-06-01"})
+    assert len(plans) == streams.FILES and all("InMemoryTableScan" in p for p in plans)
+    assert sorted(r["id"] for r in spark.read.option("recursiveFileLookup", True).parquet(str(tmp_path / "in")).filter("id is not null").collect()) == list(range(500))
+
+
 @pytest.mark.parametrize("split", [True, False])
 def test_stream_match_equals_the_scan(spark, tmp_path, split):
     from opsgrain.operators.match import tolerance_scan
