@@ -29,17 +29,25 @@ def comment_references(df: DataFrame, comment: str) -> DataFrame:
     )
 
 
-def _audits(t: Tables, action: str, case_cols: Mapping[str, str]) -> DataFrame:
-    """Audit rows of one kind of action with the case their comment names."""
+def _cases(t: Tables, case_cols: Mapping[str, str]) -> DataFrame:
+    return t["support_cases"].select(F.col("case_number").alias("__number"), *[F.col(s).alias(n) for n, s in case_cols.items()])
+
+
+def _with_case(t: Tables, action: str, cases: DataFrame) -> DataFrame:
+    """Audit rows of one kind of action with the row of ``cases`` for the number in their comment."""
     logs = t["audit_logs"].filter(like_plain("action_name", action, ignore_case=True)).select(
         F.col("entity_token").alias("customer_token"), F.col("id").alias("audit_id"), F.col("created_at").alias("audit_at"),
         F.col("comment").alias("audit_comment"), F.col("action_name").alias("audit_action"), "actor_uid",
         regexp_first("comment", CASE_NUMBER).alias("__number"),
     )
-    cases = t["support_cases"].select(F.col("case_number").alias("__number"), *[F.col(s).alias(n) for n, s in case_cols.items()])
     return logs.join(cases.filter(F.col("__number").isNotNull()), "__number", "left").withColumnRenamed("__number", "case_number")
 
 
+def _audits(t: Tables, action: str, case_cols: Mapping[str, str]) -> DataFrame:
+    """Audit rows of one kind of action with the case their comment names."""
+    return _with_case(t, action, _cases(t, case_cols))
+
+
 def _employee(df: DataFrame, employees: DataFrame) -> DataFrame:
     cols = {"agent_id": "agent_id", "agent_team": "team_code"}
     return asof_dim(df, employees, ("actor_uid", "uid"), "created_at", cols, by_date=False)
@@ -68,13 +76,41 @@ def reimbursed(
     ).withColumn("customer_token", F.col("recipient_token"))
 
 
+_REIMBURSED_CASE = {"case_id": "case_id", "case_origin": "origin"}
+
+
+def _flow(t: Tables) -> DataFrame:
+    return t["case_payments"].select(
+        F.col("case_id").alias("__fc"), F.col("payment_id").alias("case_payment_id"), F.col("banking_token").alias("case_banking_token")
+    )
+
+
 def reimbursement_audits(t: Tables, action: str = "%reimburse%") -> DataFrame:
     """Audit entries with the case that they name and what is known of its payment; ``audit_logs`` may be a stream."""
-    flow = t["case_payments"].select(
-        F.col("case_id").alias("__fc"), F.col("payment_id").alias("case_payment_id"), F.col("banking_token").alias("case_banking_token")
+    audits = _audits(t, action, _REIMBURSED_CASE)
+    return audits.join(_flow(t), F.col("case_id") == F.col("__fc"), "left").drop("__fc")
+
+
+def paid_cases(t: Tables) -> DataFrame:
+    """Cases by their number, each with the one of its payments that ``AUDIT_MATCH`` prefers and ``__weight``, their number (1 without any)."""
+    flow = _flow(t).filter(F.col("__fc").isNotNull())
+    # the order of a match among rows of one audit entry and case: nothing else tells them apart
+    best = F.min(F.struct((~audit_preferred()).alias("rest"), "case_payment_id", "case_banking_token"))
+    flow = flow.groupBy("__fc").agg(best.alias("__best"), F.count(F.lit(1)).alias("__n"))
+    cases = _cases(t, _REIMBURSED_CASE).join(flow, F.col("case_id") == F.col("__fc"), "left")
+    return cases.select(
+        "__number", *_REIMBURSED_CASE, F.col("__best.case_payment_id").alias("case_payment_id"),
+        F.col("__best.case_banking_token").alias("case_banking_token"), F.coalesce("__n", F.lit(1)).alias("__weight"),
     )
-    audits = _audits(t, action, {"case_id": "case_id", "case_origin": "origin"})
-    return audits.join(flow, F.col("case_id") == F.col("__fc"), "left").drop("__fc")
+
+
+def weighted_audits(t: Tables, cases: DataFrame, action: str = "%reimburse%") -> DataFrame:
+    """``reimbursement_audits`` with one row per entry and case, that of the best payment; ``__weight`` of ``cases`` (``paid_cases``) is how many it stands for.
+
+    A match out of them, weighted, is the one out of all rows, and a stream keeps as many rows fewer as cases have payments.
+    """
+    audits = _with_case(t, action, cases)
+    return audits.withColumn("__weight", F.coalesce("__weight", F.lit(1)))
 
 
 #: How the audit entry of a reimbursement is found: arguments of ``tolerance_scan``, or of its form on streams.

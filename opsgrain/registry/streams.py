@@ -215,9 +215,12 @@ def stream_payment_match(spark, sf_dir):
     )
     logs = _dealt(spark, t["audit_logs"], f"{root}/audits", "created_at", {"created_at": _END, "action_name": "reimburse", "entity_token": -1})
     left = payments.reimbursed(pays, sender_token=1, since="2024-01-03")
-    right = payments.reimbursement_audits({**t, "audit_logs": logs})
-    match = stateful.stream_match(left, right, prefer=payments.audit_preferred(), lateness="9 days", **payments.AUDIT_MATCH)
-    s.run_to_end(match, f"{root}/out", f"{root}/checkpoint")
+    # every batch looks its entries up there
+    paid = payments.paid_cases(t).persist(StorageLevel.DISK_ONLY)
+    right = payments.weighted_audits({**t, "audit_logs": logs}, paid)
+    match = stateful.stream_match(left, right, prefer=payments.audit_preferred(), weight="__weight", lateness="9 days", **payments.AUDIT_MATCH)
+    stateful.append_to(match, f"{root}/out", f"{root}/checkpoint", stateful.JOINS)
+    paid.unpersist()
     return payments.match_reimbursements(t, sender_token=1, since="2024-01-03", best=spark.read.parquet(f"{root}/out"))
 
 

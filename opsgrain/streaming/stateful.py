@@ -18,22 +18,27 @@ from ..operators.ordered import epoch_micros
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Settings of a query that joins streams: one store for the four tables of a join's state, and no count of its rows, which reads before each write.
+JOINS = {"spark.sql.streaming.join.stateFormatVersion": "3", "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false"}
 
 
 @contextmanager
-def state_on_disk(spark: SparkSession) -> Iterator[None]:
-    """Queries started inside keep their state in RocksDB, which state of own kinds needs; the session's setting comes back."""
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, _ROCKS)
+def state_on_disk(spark: SparkSession, conf: Mapping[str, str] | None = None) -> Iterator[None]:
+    """Queries started inside keep their state in RocksDB, which state of own kinds needs, with the settings ``conf``; the session's settings come back."""
+    wanted = {_PROVIDER: _ROCKS, **(conf or {})}
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.unset(_PROVIDER) if before is None else spark.conf.set(_PROVIDER, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
-def append_to(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def append_to(stream: DataFrame, path: str, checkpoint: str, conf: Mapping[str, str] | None = None) -> StreamingQuery:
     """Append the rows of a stream to parquet files, each exactly once, and stop when the input is used up."""
-    with state_on_disk(stream.sparkSession):
+    with state_on_disk(stream.sparkSession, conf):
         query = (
             stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
             .outputMode("append").trigger(availableNow=True).start()
@@ -219,25 +224,32 @@ def stays_of(log: DataFrame, moves: DataFrame, number: str, end: str) -> DataFra
 
 def stream_match(
     left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str, cols: Mapping[str, str], *, row_id: str, before_seconds: int,
-    after_seconds: int, prefer: Column | None = None, tie: Sequence[str] = (), count: str | None = None, lateness: str = "1 day",
+    after_seconds: int, prefer: Column | None = None, tie: Sequence[str] = (), count: str | None = None, weight: str | None = None, lateness: str = "1 day",
 ) -> DataFrame:
     """``tolerance_scan`` on streams: ``row_id``, ``cols`` and ``count`` of the best right row within the tolerance of each left row.
 
     An interval join of both streams, whose state goes back as far as tolerance and lateness reach and no further, then the best
     pair per left row, which comes out when the watermark has passed it.  Left rows without a match come out with NULLs; those with a NULL key
-    or time do not.
+    or time do not.  ``weight`` names a column of ``right`` with the number of rows that a row counts for.
+
+    Rows meet by key and stretch of time, so that a left row is held against the rows near it and not against all rows of its key: a stretch is as long as
+    the tolerance, a left row is in the two that its tolerance touches, a right row in one.
     """
     good = F.lit(True) if prefer is None else F.coalesce(prefer, F.lit(False))
+    span = max(1, before_seconds + after_seconds) * 1_000_000
+    stretch = lambda ts, seconds: F.floor((epoch_micros(F.col(ts)) + F.lit(seconds * 1_000_000)) / F.lit(span))
     lefts = left.filter(F.col(key).isNotNull() & F.col(left_ts).isNotNull()).select(
-        F.col(key).alias("__key"), F.col(row_id).alias("__id"), F.col(left_ts).cast("timestamp").alias("__at")
+        F.col(key).alias("__key"), F.col(row_id).alias("__id"), F.col(left_ts).cast("timestamp").alias("__at"),
+        F.explode(F.sequence(stretch(left_ts, -before_seconds), stretch(left_ts, after_seconds))).alias("__span"),
     )
     rank = [F.when(good, 0).otherwise(1).alias("good"), F.col(right_ts).alias("ts"), *[F.col(t).alias(f"tie{i}") for i, t in enumerate(tie)]]
     rights = right.filter(F.col(key).isNotNull() & F.col(right_ts).isNotNull()).select(
-        F.col(key).alias("__rkey"), F.col(right_ts).cast("timestamp").alias("__rat"),
+        F.col(key).alias("__rkey"), F.col(right_ts).cast("timestamp").alias("__rat"), stretch(right_ts, 0).alias("__rspan"),
+        (F.lit(1) if weight is None else F.col(weight)).cast("bigint").alias("__w"),
         F.struct(*rank, *[F.col(src).alias(f"__{out}") for out, src in cols.items()]).alias("__hit"),
     )
-    near = F.expr(f"__rkey = __key and __rat >= __at - interval {before_seconds} seconds and __rat <= __at + interval {after_seconds} seconds")
+    near = F.expr(f"__rkey = __key and __rspan = __span and __rat >= __at - interval {before_seconds} seconds and __rat <= __at + interval {after_seconds} seconds")
     pairs = lefts.withWatermark("__at", lateness).join(rights.withWatermark("__rat", lateness), near, "left")
-    best = pairs.groupBy("__at", "__id").agg(F.min("__hit").alias("__hit"), F.count("__hit").alias("__n"))
+    best = pairs.groupBy("__at", "__id").agg(F.min("__hit").alias("__hit"), F.coalesce(F.sum("__w"), F.lit(0)).alias("__n"))
     found = [F.col("__hit")[f"__{out}"].alias(out) for out in cols]
     return best.select(F.col("__id").alias(row_id), *found, *([F.col("__n").alias(count)] if count else []))

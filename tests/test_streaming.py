@@ -179,6 +179,41 @@ def test_stream_match_equals_the_scan(spark, tmp_path, split):
     assert text(spark.read.parquet(str(tmp_path / "out")).filter("id >= 0")) == text(plain)
 
 
+def test_a_weighted_row_matches_like_the_rows_it_stands_for(spark, tmp_path):
+    """One row per audit entry, with the number of payments of its case, finds and counts what all of them do; state goes to disk, in one store for a join."""
+    from opsgrain.operators.match import tolerance_scan
+    from opsgrain.plans import payments
+
+    rng = random.Random(6)
+    at = lambda: T0 + timedelta(minutes=rng.randint(0, 12000))
+    pays = spark.createDataFrame([(i, rng.choice([1, 2, None]), at()) for i in range(40)], "payment_id long, customer_token long, created_at timestamp_ntz")
+    number = lambda: rng.choice([None, "none", *[f"case {10000000 + i}" for i in range(6)]])
+    logs = [(i % 50, rng.choice([1, 2, None]), at(), "a reimbursement" if i % 7 else "other", number(), f"u{i}") for i in range(70)]
+    t = {
+        "audit_logs": spark.createDataFrame(logs, "id long, entity_token long, created_at timestamp_ntz, action_name string, comment string, actor_uid string"),
+        # a case with two numbers, a number of two cases, a case without an id, one without payments
+        "support_cases": spark.createDataFrame([(0, "10000000", "a"), (0, "10000001", "a"), (1, "10000001", "b"), (2, "10000002", None), (None, "10000003", "c"), (5, "10000005", "d")], "case_id long, case_number string, origin string"),
+        "case_payments": spark.createDataFrame([(0, 7, "T7"), (0, 3, "T3"), (0, 9, None), (1, 4, "T4"), (1, None, "T5"), (2, None, None), (2, None, None), (None, 8, None)], "case_id long, payment_id long, banking_token string"),
+    }
+    sides = {"pays": pays, "logs": t["audit_logs"]}
+    ends = {"pays": [(-1, 9, T0 + timedelta(days=400))], "logs": [(-1, 9, T0 + timedelta(days=400), "reimburse", None, None)]}
+    for name, df in sides.items():
+        for i, part in enumerate([df, spark.createDataFrame(ends[name], df.schema)]):
+            part.coalesce(1).write.parquet(str(tmp_path / name / str(i)))
+    streams = {n: spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(str(tmp_path / n)) for n, df in sides.items()}
+    right = payments.weighted_audits({**t, "audit_logs": streams["logs"]}, payments.paid_cases(t))
+    match = stateful.stream_match(streams["pays"], right, prefer=payments.audit_preferred(), weight="__weight", **payments.AUDIT_MATCH)
+    done = stateful.append_to(match, str(tmp_path / "out"), str(tmp_path / "cp"), stateful.JOINS)
+    plain = tolerance_scan(pays, payments.reimbursement_audits(t), prefer=payments.audit_preferred(), **payments.AUDIT_MATCH)
+    got = spark.read.parquet(str(tmp_path / "out")).filter("payment_id >= 0")
+    text = lambda df: sorted(str(tuple(r[c] for c in sorted(plain.columns))) for r in df.collect())
+    assert text(got) == text(plain)
+    assert max(r["__n_audit"] for r in plain.collect()) > 10 and payments.paid_cases(t).count() == 6
+    assert any("rocksdb" in k.lower() for p in done.recentProgress for o in p["stateOperators"] for k in o["customMetrics"])
+    assert spark.conf.get("spark.sql.streaming.join.stateFormatVersion", "2") == "2"
+    assert "__rspan" in match._jdf.queryExecution().analyzed().toString()
+
+
 def test_uncounted_rows(spark, tmp_path):
     batches = [[(1, T0 + timedelta(days=30), "a", 1.0)], [(2, T0 + timedelta(days=31), "a", 1.0)], [(6, T0 + timedelta(days=31), "a", 1.0)], [(3, T0, "a", 1.0), (4, T0, "b", 1.0), (5, T0 + timedelta(days=29), "a", 1.0)], [END]]
     stream = files(spark, str(tmp_path / "in"), batches)
